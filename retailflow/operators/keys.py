@@ -12,6 +12,11 @@ def _list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def source_order(df: DataFrame) -> list[str]:
+    """File order where the table carries positions, else all columns (any row order, but always the same)."""
+    return ["_pos"] if "_pos" in df.columns else df.columns
+
+
 def first_per_key(df: DataFrame, keys: str | Sequence[str], order) -> DataFrame:
     """One full row per key, the first by ``order``.
 
