@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core  # noqa: F401  (registers on import)
+from . import catalog_prices, core  # noqa: F401  (register on import)
 from .registry import QUERIES, run
 
 
