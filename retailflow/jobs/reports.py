@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CHANNEL_MARKERS, EAST_PROVINCES, PROVINCE_CODES
 from ..functions import sku
-from ..functions.semantics import excel_date, isin0, map_column, not_blank, number, parse_date, safe_div
+from ..functions.semantics import excel_date, isin0, map_column, money_round, not_blank, number, parse_date, safe_div
 from ..operators.groups import share_of
 from ..operators.keys import first_per_key, prefer_rows, source_order, top_k
 from ..operators.lookup import left_join_fill, lookup, semi
@@ -106,7 +106,8 @@ def wholesale_stores(invoices: DataFrame, years: tuple[int, int]) -> DataFrame:
     growth = F.when(a.isNull(), 1.0).when(b.isNull(), -1.0).otherwise(F.bround(safe_div(b - a, a), 3))
     out = wide.filter(a.isNotNull() | b.isNotNull()).withColumn("growth_rate", growth)
     for y in years:
-        out = out.withColumn(f"average_amount_{y}", F.bround(safe_div(f"total_amount_{y}", f"orders_{y}"), 2)).drop(f"orders_{y}")
+        mean = F.try_divide(F.col(f"total_amount_{y}"), F.col(f"orders_{y}").cast("decimal(12,0)"))
+        out = out.withColumn(f"average_amount_{y}", money_round(mean)).drop(f"orders_{y}")
     return lookup(out, first, "customer_name", ["start_date", "sales_rep", "country"], unique=True)
 
 

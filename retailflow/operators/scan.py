@@ -32,17 +32,17 @@ def run_id(df: DataFrame, value: str, order: str, by: Sequence[str] = (), out: s
     v = F.col(value)
     first = F.row_number().over(inside) == 1
     changed = F.when(first, 0).otherwise((~v.eqNullSafe(F.lag(v).over(inside))).cast("int"))
-    rows = blocked.withColumn("__chg", changed).withColumn(
-        "__run", F.sum("__chg").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = blocked.withColumn("__scan_chg", changed).withColumn(
+        "__scan_run", F.sum("__scan_chg").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     blocks = rows.groupBy(*by, _B).agg(
-        F.min_by(F.struct(v), F.col(order)).alias("__first"), F.max_by(F.struct(v), F.col(order)).alias("__last"),
-        F.max("__run").alias("__runs"))
-    before = F.lag("__last").over(across)
-    step = F.when(before.isNull(), 1).otherwise((~F.col("__first").eqNullSafe(before)).cast("int"))
-    blocks = blocks.withColumn("__step", step + F.lag("__runs", 1, 0).over(across)).withColumn(
-        "__base", F.sum("__step").over(across.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = join_back(rows, blocks.select(*by, _B, "__base"), [*by, _B])
-    return joined.withColumn(out, F.col("__base") + F.col("__run")).drop(_B, "__chg", "__run", "__base")
+        F.min_by(F.struct(v), F.col(order)).alias("__scan_first"), F.max_by(F.struct(v), F.col(order)).alias("__scan_last"),
+        F.max("__scan_run").alias("__scan_runs"))
+    before = F.lag("__scan_last").over(across)
+    step = F.when(before.isNull(), 1).otherwise((~F.col("__scan_first").eqNullSafe(before)).cast("int"))
+    blocks = blocks.withColumn("__scan_step", step + F.lag("__scan_runs", 1, 0).over(across)).withColumn(
+        "__scan_base", F.sum("__scan_step").over(across.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = join_back(rows, blocks.select(*by, _B, "__scan_base"), [*by, _B])
+    return joined.withColumn(out, F.col("__scan_base") + F.col("__scan_run")).drop(_B, "__scan_chg", "__scan_run", "__scan_base")
 
 
 def fill_down(df: DataFrame, cols: Sequence[str], order: str, by: Sequence[str] = (),
@@ -65,7 +65,7 @@ def blank_repeats(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
     """Show a label on the first row (by ``order``) that carries it, blank on later ones."""
     out = df
     for c in cols:
-        firsts = df.groupBy(c).agg(F.min(order).alias("__first"))
+        firsts = df.groupBy(c).agg(F.min(order).alias("__scan_first"))
         out = join_back(out, firsts, [c]).withColumn(
-            c, F.when(F.col(order) == F.col("__first"), F.col(c)).otherwise(F.lit(""))).drop("__first")
+            c, F.when(F.col(order) == F.col("__scan_first"), F.col(c)).otherwise(F.lit(""))).drop("__scan_first")
     return out.select(*df.columns)
