@@ -13,6 +13,7 @@ from ..functions import sku
 from ..functions.semantics import MONEY, band_label, isin0, money_round, pmax, rlike0, years_ratio
 from ..operators.bins import assign_by_rank, equal_count_bin, impute_median
 from ..operators.lookup import anti, grid_lookup, lookup
+from ..session import cut_lineage
 from .demand import DOUBLE, missing_label, ratio_sums, spu_stock, suggested_price, sum_where
 
 
@@ -40,7 +41,7 @@ def limited_sizes(items: DataFrame, new_season: str, k: int) -> DataFrame:
 
 
 def _priced(df: DataFrame, suggest: Column) -> DataFrame:
-    out = df.withColumn("suggest_discount", F.greatest(suggest, F.col("discount")))
+    out = df.withColumn("suggest_discount", pmax(suggest, F.col("discount")))
     return out.withColumn("suggest_price", money_round(
         (F.lit(Decimal(1)) - F.col("suggest_discount").cast("decimal(6,4)")) * F.col("regular_price")).cast(MONEY))
 
@@ -58,7 +59,7 @@ def winter_frame(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: Data
     out = items.filter(rlike0("seasons", season_letter) & (F.col("qty") > k) & (F.col("regular_price") > 0))
     out = lookup(out, spu_stock(inv), "spu", ["qty_spu"], unique=True)
     out = lookup(out, shares, {"cat": "category"}, ["r_peak", "r_half"], unique=True)
-    out = impute_median(out, ["r_peak", "r_half"])
+    out = impute_median(cut_lineage(out), ["r_peak", "r_half"])
     out = lookup(out, sold, "spu", ["sales_peak", "sales_yr_actual"], unique=True)
     year = pmax(F.try_divide(F.col("sales_peak"), F.col("r_peak")), F.col("sales_yr_actual"))
     return out.withColumn("sales_yr", year).withColumn("sales_half", F.col("sales_yr") * F.col("r_half"))
@@ -70,6 +71,7 @@ def clearance_carry_over(frame: DataFrame, new_season: str) -> DataFrame:
     stock = F.col("qty_spu").cast(DOUBLE)
     out = out.withColumn("qty_left", F.when(stock > F.col("sales_half"), (stock - F.col("sales_half")).cast("int")).otherwise(0))
     out = out.withColumn("times", F.bround(years_ratio("qty_left", "sales_half"), 1))
+    out = cut_lineage(out)
     small = F.coalesce((F.col("times") <= 0.5) | (F.col("qty_left") <= 20), F.lit(False))
     out = equal_count_bin(out, "times", 4, where=~small, out="bin")
     return _priced(out, F.when(small, 0.05).otherwise(F.col("bin") * 5 / 100 + 0.05))
@@ -80,7 +82,7 @@ def clearance_discontinued(frame: DataFrame, missing: DataFrame, new_season: str
     from 10%, the rest by quintile from 30%."""
     out = frame.filter(F.col("sales_yr").isNotNull() & ~rlike0("seasons", new_season))
     out = lookup(out, missing, "spu", {"percent": "missing_share"}, unique=True)
-    out = out.withColumn("times", F.bround(years_ratio("qty_spu", "sales_yr"), 1))
+    out = cut_lineage(out.withColumn("times", F.bround(years_ratio("qty_spu", "sales_yr"), 1)))
     full = F.coalesce(F.col("missing_share") < size_percent, F.lit(False))
     small = F.coalesce(F.col("times") <= 1, F.lit(False)) & full
     recent = ~small & full & rlike0("seasons", last_season)

@@ -50,7 +50,7 @@ def box_weight(lines: DataFrame, weights: DataFrame) -> DataFrame:
     """Estimated kilograms per box (1 kg of carton) by the packing list's and by the reference weights."""
     out = lines.withColumns({"__cat": sku.category("sku"), "__size": sku.size_tail("sku")})
     out = lookup(out, weights, {"__cat": "category", "__size": "size"}, {"unit_weight": "unit_weight_ref"}, unique=True).drop("__cat", "__size")
-    kilos = lambda c: F.bround(F.sum(F.col("quantity") * F.col(c)) / 1000 + 1, 2)
+    kilos = lambda c: F.bround(F.sum(F.col("quantity") * F.col(c)).cast("decimal(18,3)") / 1000 + 1, 2).cast("double")
     return with_group_total(out, "box_no", {"est_weight": kilos("unit_weight_g"), "est_weight_ref": kilos("unit_weight_ref")})
 
 

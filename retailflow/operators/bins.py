@@ -7,17 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .lookup import lookup
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], blocks: int = 64) -> DataFrame:
     """One row with array ``q``: exact quantiles with linear interpolation between order statistics.
 
-    Values are counted first, the distinct values are cut into blocks at approximate quantiles, counts are
-    accumulated per block and over the block totals, and the wanted order statistics are conditional minima.
-    No task holds more than one block of distinct values.
+    Values are counted first (and the counts written, they are read three times), the distinct values are cut
+    into blocks at approximate quantiles, counts are accumulated per block and over the block totals, and the
+    wanted order statistics are conditional minima.  No task holds more than one block of distinct values.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(counts)
     cuts = counts.agg(F.percentile_approx("v", [i / blocks for i in range(1, blocks)], 10_000).alias("e"))
     total = counts.agg(F.sum("n").alias("n"))
     tagged = counts.withColumn("e", cuts.scalar()).select(

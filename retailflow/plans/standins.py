@@ -79,8 +79,8 @@ STANDINS: dict[str, str] = {
         FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
         GROUP BY 1, 2, 3, 4, 5""",
     "s_inv": """
-        SELECT k.sku AS adjust_msku, l.f AS source_sheet, cast(l.q % 97 + l.q % 31 as int) AS inv_total_end_wk,
-               cast(l.q % 97 as int) AS inv_warehouse, cast(l.q % 17 as int) AS inv_amz_usa, cast(l.q % 11 as int) AS inv_amz_ca
+        SELECT k.sku AS adjust_msku, l.f AS source_sheet, cast(l.q % 13 + l.q % 9 as int) AS inv_total_end_wk,
+               cast(l.q % 13 as int) AS inv_warehouse, cast(l.q % 5 as int) AS inv_amz_usa, cast(l.q % 3 as int) AS inv_amz_ca
         FROM (SELECT l_partkey, l_returnflag AS f, cast(sum(l_quantity) as bigint) AS q FROM lineitem GROUP BY l_partkey, l_returnflag) l
         JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_cat_month": """
@@ -193,8 +193,9 @@ STANDINS: dict[str, str] = {
         GROUP BY l_suppkey % 50, l_suppkey % 3, l_suppkey % 28, k.cat, k.sku""",
     "s_packing": """
         SELECT event_id AS _pos, cast(user_id % 5 + 1 as int) AS sheet, case when user_id % 5 = 4 then 'F25 reserve' else 'Sheet' || cast(user_id % 5 as string) end AS sheet_name,
-               case when user_id % 2 = 0 then cast(event_id as string) end AS ctn_no,
-               case when user_id % 2 = 1 then cast(event_id % 40 as int) end AS ctn_start, case when user_id % 2 = 1 then cast(event_id % 40 + k % 4 as int) end AS ctn_end,
+               case when user_id % 5 % 2 = 0 and event_id % 3 = 0 then cast(event_id as string) end AS ctn_no,
+               case when user_id % 5 % 2 = 1 and event_id % 3 = 0 then cast(event_id % 40 as int) end AS ctn_start,
+               case when user_id % 5 % 2 = 1 and event_id % 3 = 0 then cast(event_id % 40 + k % 4 as int) end AS ctn_end,
                case when event_id % 4 = 0 then 'P' || cast(user_id % 10 as string) end AS po, s.sku || case when event_id % 9 = 0 then '-V1' else '' end AS sku,
                case when event_id % 5 = 0 then '25F' end AS season, cast(k % 12 + 1 as double) AS qty_shipped, cast(k % 6 + 1 as double) AS qty_per_box,
                case when k % 3 = 0 then '0.' || cast(100 + k as string) else cast(200 + k as string) end AS unit_weight, cast(k % 9 as double) + 2.25 AS gross_weight_per_ctn

@@ -44,8 +44,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: an executor lost later does not recompute what came before."""
+    """Reliable checkpoint for a table a plan reads several times: computed once, written to the shared folder.
+
+    Runs a job.  An executor lost later costs no recomputation of what came before.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=False)
+    return df.checkpoint()
