@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,8 +151,9 @@ def measured_weights(measured: DataFrame, boxes: DataFrame) -> DataFrame:
     """Measured box weights beside both estimates of the same (SKU, box)."""
     est = ["unit_weight_g", "unit_weight_ref", "est_weight", "est_weight_ref"]
     out = lookup(measured, boxes, {"sku": "sku", "box_number": "box_no"}, est, order=est)
-    kilos = F.col("total_weight_g") / 1000
-    return out.withColumns({"diff": kilos - F.col("est_weight"), "diff_ref": kilos - F.col("est_weight_ref")})
+    kilos = F.col("total_weight_g").cast("decimal(14,3)") * F.lit(Decimal("0.001"))
+    off = {"diff": "est_weight", "diff_ref": "est_weight_ref"}
+    return out.withColumns({d: kilos - F.col(e).cast("decimal(14,2)") for d, e in off.items()})
 
 
 def weights_to_update(weights: DataFrame) -> DataFrame:

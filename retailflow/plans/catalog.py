@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog_prices, core, planning, sales  # noqa: F401  (register on import)
+from . import catalog_prices, core, planning, sales, supply  # noqa: F401  (register on import)
 from .registry import QUERIES, run
 
 
