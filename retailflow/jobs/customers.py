@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import blank_to_null, not_blank
-from ..operators.groups import BLOCK_ROWS, join_text, weighted_count
+from ..operators.groups import BLOCK_ROWS, collapse, weighted_count
 from ..operators.keys import first_per_key, source_order
 from ..operators.lookup import lookup
 
@@ -24,9 +24,8 @@ def one_or_join(df: DataFrame, by: Sequence[str], cols: Sequence[str], sep: str,
                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per group: the value when there is one distinct value, else all values joined in source order."""
     by = list(by)
-    ends = df.groupBy(*by).agg(*[f(c).alias(f"__{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
-    text = join_text(df, by, {c: f"__all_{c}" for c in cols}, sep, order, block_rows)
-    out = lookup(ends, text, by, [f"__all_{c}" for c in cols], unique=True)
+    out = collapse(df, by, order, sep, {c: f"__all_{c}" for c in cols}, mins={c: f"__lo_{c}" for c in cols},
+                   maxs={c: f"__hi_{c}" for c in cols}, block_rows=block_rows)
     single = [F.when(F.col(f"__lo_{c}") == F.col(f"__hi_{c}"), F.col(f"__lo_{c}")).otherwise(F.col(f"__all_{c}")).alias(c)
               for c in cols]
     return out.select(*by, *single)

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import sku
 from ..functions.semantics import clip0, number, rlike0, safe_div
-from ..operators.groups import join_text_cut, total_row, with_group_total
+from ..operators.groups import collapse, total_row, with_group_total
 from ..operators.keys import first_per_key, source_order, union_prefer
-from ..operators.lookup import lookup, lookup_chain
-from ..operators.reshape import explode_range
+from ..operators.lookup import lookup
 from ..operators.scan import fill_down
 
 
@@ -31,13 +30,13 @@ def normalise_packing(lines: DataFrame, fill=("po", "season")) -> DataFrame:
     """
     kept = lines.filter(rlike0("sku", "-"))
     kept = fill_down(kept, [*fill, "ctn_start", "ctn_end", "ctn_no"], "_pos", ["sheet"])
-    weight = {"unit_weight_g": grams("unit_weight"), "gross_weight": F.bround("gross_weight_per_ctn", 2)}
-    single = kept.filter(F.col("ctn_start").isNull()).withColumns({
-        "box_no": F.concat(F.col("sheet").cast("string"), F.lit("-"), F.col("ctn_no")), "quantity": F.col("qty_shipped"), "__n": F.lit(0), **weight})
-    ranged = explode_range(kept.filter(F.col("ctn_start").isNotNull()), "ctn_start", "ctn_end", "__n").withColumns({
-        "box_no": F.concat(F.col("sheet").cast("string"), F.lit("-"), F.col("__n").cast("string")), "quantity": F.col("qty_per_box"), **weight})
-    cols = ["sheet", "sheet_name", "box_no", "po", "season", "sku", "quantity", "unit_weight_g", "gross_weight", "_pos", "__n"]
-    return single.select(*cols).unionByName(ranged.select(*cols)).withColumnRenamed("__n", "_box_seq")
+    single = F.col("ctn_start").isNull()
+    boxes = F.when(single, F.array(F.lit(None).cast("int"))).otherwise(F.sequence("ctn_start", "ctn_end"))
+    out = kept.withColumn("__n", F.explode(boxes))
+    return out.select(
+        "sheet", "sheet_name", F.concat(F.col("sheet").cast("string"), F.lit("-"), F.when(single, F.col("ctn_no")).otherwise(F.col("__n").cast("string"))).alias("box_no"),
+        "po", "season", "sku", F.when(single, F.col("qty_shipped")).otherwise(F.col("qty_per_box")).alias("quantity"), grams("unit_weight").alias("unit_weight_g"),
+        F.bround("gross_weight_per_ctn", 2).alias("gross_weight"), "_pos", F.coalesce("__n", F.lit(0)).alias("_box_seq"))
 
 
 def unit_weight(manual: DataFrame, master: DataFrame) -> DataFrame:
@@ -57,19 +56,19 @@ def box_weight(lines: DataFrame, weights: DataFrame) -> DataFrame:
 
 def resolve_po(lines: DataFrame, po: DataFrame, suffix: str = "-CA") -> DataFrame:
     """Purchase order reference with the region suffix, else without it; ``document`` is null when neither exists."""
-    docs = first_per_key(po, "ref_no", ["document_number"]).select("ref_no", "document_number")
-    tried = lines.withColumns({"__with": F.concat(F.col("po"), F.lit(suffix)), "__bare": F.col("po")})
-    out = lookup_chain(tried, [(docs, {"__with": "ref_no"}), (docs, {"__bare": "ref_no"})],
-                       {"document_number": "document", "ref_no": "__ref"}, unique=True)
-    return out.withColumn("po_ref", F.coalesce("__ref", "__bare")).drop("__with", "__bare", "__ref")
+    ends = F.col("ref_no").endswith(suffix)
+    docs = po.withColumn("__base", F.when(ends, F.expr(f"substring(ref_no, 1, length(ref_no) - {len(suffix)})")).otherwise(F.col("ref_no")))
+    docs = docs.groupBy("__base").agg(
+        F.min(F.when(ends, F.struct("ref_no", "document_number"))).alias("__with"), F.min(F.when(~ends, F.struct("ref_no", "document_number"))).alias("__bare"))
+    out = lookup(lines, docs, {"po": "__base"}, ["__with", "__bare"], unique=True)
+    found = F.coalesce("__with", "__bare")
+    return out.withColumns({"document": found["document_number"], "po_ref": F.coalesce(found["ref_no"], F.col("po"))}).drop("__with", "__bare")
 
 
 def collapse_shipment(lines: DataFrame, order=("_pos", "_box_seq")) -> DataFrame:
     """One row per (purchase order, item): quantity and the list of boxes (cut at 299 characters beyond 300)."""
-    by = ["po_ref", "item"]
     rows = lines.withColumn("item", sku.unversioned("sku"))
-    qty = rows.groupBy(*by).agg(F.sum("quantity").alias("quantity"), F.min("document").alias("document"))
-    return lookup(qty, join_text_cut(rows, by, "box_no", " | ", list(order), "box_no"), by, ["box_no"], unique=True)
+    return collapse(rows, ["po_ref", "item"], list(order), " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"}, longest=300)
 
 
 def over_received(ship: DataFrame, open_po: DataFrame) -> DataFrame:
@@ -97,13 +96,13 @@ def split_over_receipt(ship: DataFrame, open_po: DataFrame, shipment: str, over_
     """
     out = lookup(ship, open_po, {"po_ref": "ref_no", "item": "item"}, {"quantity_remain": "__open"}, unique=True)
     open_qty = F.coalesce("__open", F.lit(0.0))
-    capped = out.filter(F.col("document").isNotNull()).withColumn("quantity", F.least("quantity", open_qty))
-    over = out.filter(F.col("quantity") > open_qty).withColumns({
-        "quantity": F.col("quantity") - open_qty, "po_ref": F.lit(f"Over.{shipment}"), "document": F.lit(over_po)})
-    rows = capped.unionByName(over).drop("__open").filter(F.col("quantity") != 0)
-    qty = rows.groupBy("po_ref", "item").agg(F.sum("quantity").alias("quantity"), F.min("document").alias("document"))
-    text = join_text_cut(rows, ["po_ref", "item"], "box_no", " | ", ["box_no"], "box_no")
-    return lookup(qty, text, ["po_ref", "item"], ["box_no"], unique=True)
+    known = F.when(F.col("document").isNotNull(), F.least("quantity", open_qty)).otherwise(0.0)
+    parts = F.array(
+        F.struct(F.col("po_ref").alias("po_ref"), known.alias("quantity"), F.col("document").alias("document")),
+        F.struct(F.lit(f"Over.{shipment}").alias("po_ref"), F.greatest(F.col("quantity") - open_qty, F.lit(0.0)).alias("quantity"), F.lit(over_po).alias("document")))
+    rows = out.select("item", "box_no", F.explode(parts).alias("p")).select("item", "box_no", "p.*").filter(F.col("quantity") != 0)
+    # one row per (purchase order, item) here: an item has at most as many rows as there are orders
+    return collapse(rows.withColumn("__pos", F.lit(0)), ["po_ref", "item"], ["__pos", "box_no"], " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"}, longest=300)
 
 
 def reserve_transfer(lines: DataFrame, prefix: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1 << 20
@@ -49,38 +49,41 @@ def first_by(c: str, order: str) -> Column:
     return F.min_by(F.col(c), F.col(order))
 
 
-def join_text(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], sep: str, order: str,
-              block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Text of a group in source order, nulls skipped.
+def collapse(df: DataFrame, by: Sequence[str], order: str | Sequence[str], sep: str, texts: Mapping[str, str],
+             sums: Mapping[str, str] | None = None, mins: Mapping[str, str] | None = None,
+             maxs: Mapping[str, str] | None = None, longest: int | None = None, cut: int = 299,
+             block_rows: int = BLOCK_ROWS, fan: int = 1024) -> DataFrame:
+    """One row per group: joined text in source order (nulls skipped), sums, minima, maxima.
 
-    ``order`` is the whole-number source position.  Text is joined per block of positions first, so the
-    rows of a hot group are sorted and joined in many tasks and only block texts meet in one.
+    ``order`` starts with the whole-number source position; further columns break ties.  A group is joined
+    per block of positions, then per ``fan`` blocks, then whole, so no task holds more than a block of rows
+    of a hot group.  Text longer than ``longest`` is cut to ``cut`` characters; then every level keeps no more
+    than the characters that can still show.
     """
-    by = list(by)
+    by, order = list(by), [order] if isinstance(order, str) else list(order)
     q = sep.replace("'", "\\'")
-    part = df.groupBy(*by, block_of(order, block_rows).alias("__block")).agg(
-        *[F.expr(f"listagg(`{c}`, '{q}') within group (order by `{order}`)").alias(o) for c, o in cols.items()])
-    return part.groupBy(*by).agg(
-        *[F.expr(f"listagg(`{o}`, '{q}') within group (order by __block)").alias(o) for o in cols.values()])
+    keep = (lambda c: c) if longest is None else (lambda c: F.substring(c, 1, longest + 1))
 
+    def level(rows: DataFrame, key: Sequence, named: bool, sort: str) -> DataFrame:
+        src = (lambda m: [(o, o) for o in (m or {}).values()]) if named else (lambda m: list((m or {}).items()))
+        return rows.groupBy(*by, *key).agg(
+            *[keep(F.expr(f"listagg(`{c}`, '{q}') within group (order by {sort})")).alias(o) for c, o in src(texts)],
+            *[F.sum(c).alias(o) for c, o in src(sums)], *[F.min(c).alias(o) for c, o in src(mins)],
+            *[F.max(c).alias(o) for c, o in src(maxs)])
 
-def join_text_cut(df: DataFrame, by: Sequence[str], col: str, sep: str, order, out: str,
-                  longest: int = 300, cut: int = 299) -> DataFrame:
-    """Joined text of a group, cut to ``cut`` characters when longer than ``longest``.
+    first = f"struct({', '.join(f'`{o}`' for o in order)})" if len(order) > 1 else f"`{order[0]}`"
+    out = level(df, [block_of(order[0], block_rows).alias("__block")], False, first)
+    out = level(out, [block_of("__block", fan).alias("__blocks")], True, "__block")
+    out = level(out, [], True, "__blocks")
+    if longest is not None:
+        out = out.withColumns({o: F.when(F.length(o) > longest, F.substring(o, 1, cut)).otherwise(F.col(o)) for o in texts.values()})
+    return out
 
-    Every non-empty item adds at least ``1 + len(sep)`` characters, so the first items that can reach
-    into the kept text are enough; the row_number limit is applied inside map tasks before the shuffle.
-    """
-    by = list(by)
-    order = [order] if isinstance(order, str) else list(order)
-    enough = longest // (1 + len(sep)) + 2
-    w = Window.partitionBy(*by).orderBy(*order)
-    head = (df.filter(F.col(col).isNotNull() & (F.col(col) != ""))
-            .select(*by, col, *[o for o in order if o not in by and o != col])
-            .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= enough))
-    q = sep.replace("'", "\\'")
-    text = head.groupBy(*by).agg(F.expr(f"listagg(`{col}`, '{q}') within group (order by __rn)").alias(out))
-    return text.withColumn(out, F.when(F.length(out) > longest, F.substring(out, 1, cut)).otherwise(F.col(out)))
+
+def join_text(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], sep: str, order: str,
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Text of a group in source order, nulls skipped."""
+    return collapse(df, by, order, sep, cols, block_rows=block_rows)
 
 
 def with_subtotals(df: DataFrame, key: Sequence[str], detail: Sequence[str], sums: Sequence[str],

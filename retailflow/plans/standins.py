@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -73,19 +74,21 @@ STANDINS: dict[str, str] = {
         FROM s_sku k LEFT JOIN (SELECT l_partkey, cast(sum(l_quantity) as bigint) AS q FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_partkey) l
           ON l.l_partkey = k.p_partkey""",
     "s_sales": """
-        SELECT case l_linenumber % 4 when 0 then 'Amazon.com' when 1 then 'Amazon.ca' when 2 then 'WEB' else 'STORE' end AS sales_channel,
-               k.sku AS adjust_msku, k.cat AS cat_sku, year(l_shipdate) AS year, month(l_shipdate) AS month,
-               cast(sum(l_quantity) as bigint) AS qty
-        FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
-        GROUP BY 1, 2, 3, 4, 5""",
+        SELECT l.sales_channel, k.sku AS adjust_msku, k.cat AS cat_sku, l.year, l.month, l.qty
+        FROM (SELECT l_partkey, case l_linenumber % 4 when 0 then 'Amazon.com' when 1 then 'Amazon.ca' when 2 then 'WEB' else 'STORE' end AS sales_channel,
+                     year(l_shipdate) AS year, month(l_shipdate) AS month, cast(sum(l_quantity) as bigint) AS qty
+              FROM lineitem GROUP BY 1, 2, 3, 4) l
+        JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_inv": """
         SELECT k.sku AS adjust_msku, l.f AS source_sheet, cast(l.q % 13 + l.q % 9 as int) AS inv_total_end_wk,
                cast(l.q % 13 as int) AS inv_warehouse, cast(l.q % 5 as int) AS inv_amz_usa, cast(l.q % 3 as int) AS inv_amz_ca
         FROM (SELECT l_partkey, l_returnflag AS f, cast(sum(l_quantity) as bigint) AS q FROM lineitem GROUP BY l_partkey, l_returnflag) l
         JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_cat_month": """
-        SELECT k.cat AS category, year(l_shipdate) AS year, month(l_shipdate) AS month, cast(sum(l_quantity) as bigint) AS qty
-        FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
+        SELECT k.cat AS category, l.year, l.month, cast(sum(l.qty) as bigint) AS qty
+        FROM (SELECT l_partkey, year(l_shipdate) AS year, month(l_shipdate) AS month, cast(sum(l_quantity) as bigint) AS qty
+              FROM lineitem GROUP BY 1, 2, 3) l
+        JOIN s_sku k ON k.p_partkey = l.l_partkey
         GROUP BY 1, 2, 3""",
     "s_ratio": """
         SELECT m.category, m.month, cast(cast(floor(m.q * 10000 / t.q) as decimal(12,0)) * 0.0001 as decimal(12,4)) AS ratio
@@ -173,24 +176,27 @@ STANDINS: dict[str, str] = {
         FROM lineitem JOIN s_web_order w ON w.o_orderkey = l_orderkey
         JOIN s_sku k ON k.p_partkey = l_partkey""",
     "s_po": """
-        SELECT 'P' || cast(l_suppkey % 10 as string) || case when l_suppkey % 10 < 6 then '-CA' else '' end AS ref_no, k.sku AS item,
-               'PO#' || cast(l_suppkey % 10 as string) AS document_number,
-               case when l_suppkey % 2 = 0 then 'WH-CENTRAL' else 'WH-STORE' end AS warehouse, 'Open' AS status,
-               cast(sum(l_quantity) as double) AS quantity,
-               cast(sum(case when l_linestatus = 'F' then l_quantity / 2 end) as double) AS quantity_on_shipments,
-               cast(sum(case when l_linenumber = 1 then l_quantity else 0 end) as double) AS quantity_fulfilled_received
-        FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
-        WHERE l_returnflag <> 'A' AND l_suppkey % 10 < 8
-        GROUP BY 1, 2, 3, 4, 5""",
+        SELECT 'P' || cast(l.s as string) || case when l.s < 6 then '-CA' else '' end AS ref_no, k.sku AS item, 'PO#' || cast(l.s as string) AS document_number,
+               case when l.s % 2 = 0 then 'WH-CENTRAL' else 'WH-STORE' end AS warehouse, 'Open' AS status, l.quantity, l.quantity_on_shipments, l.quantity_fulfilled_received
+        FROM (SELECT l_suppkey % 10 AS s, l_partkey, cast(sum(l_quantity) as double) AS quantity,
+                     cast(sum(case when l_linestatus = 'F' then l_quantity / 2 end) as double) AS quantity_on_shipments,
+                     cast(sum(case when l_linenumber = 1 then l_quantity else 0 end) as double) AS quantity_fulfilled_received
+              FROM lineitem WHERE l_returnflag <> 'A' AND l_suppkey % 10 < 8 GROUP BY 1, 2) l
+        JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_request": """
-        SELECT 'P' || cast(l_suppkey % 50 as string) AS po, k.cat AS category, 'F' || cast(l_suppkey % 3 as string) AS vendor,
-               'P' || cast(l_suppkey % 50 as string) || ' - ' || k.cat AS memo, k.sku, cast(sum(l_quantity) as int) AS total_qty,
-               cast(sum(case when l_linenumber = 1 then l_quantity end) as int) AS qty_ca, cast(sum(case when l_linenumber = 2 then l_quantity end) as int) AS qty_uk,
-               cast(sum(case when l_linenumber = 3 then l_quantity end) as int) AS qty_de, cast(sum(case when l_linenumber = 4 then l_quantity end) as int) AS qty_au,
-               cast(sum(case when l_linenumber = 5 then l_quantity end) as int) AS qty_jp, cast(sum(case when l_linenumber = 6 then l_quantity end) as int) AS qty_cn,
-               cast(sum(case when l_linenumber = 7 then l_quantity end) as int) AS qty_wholesale, '2025.03.' || lpad(cast(l_suppkey % 28 + 1 as string), 2, '0') AS ship_date
-        FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
-        GROUP BY l_suppkey % 50, l_suppkey % 3, l_suppkey % 28, k.cat, k.sku""",
+        SELECT 'P' || cast(l.s50 as string) AS po, k.cat AS category, 'F' || cast(l.s3 as string) AS vendor, 'P' || cast(l.s50 as string) || ' - ' || k.cat AS memo, k.sku,
+               l.total_qty, l.qty_ca, l.qty_uk, l.qty_de, l.qty_au, l.qty_jp, l.qty_cn, l.qty_wholesale, '2025.03.' || lpad(cast(l.s28 + 1 as string), 2, '0') AS ship_date
+        FROM (SELECT l_partkey, l_suppkey % 50 AS s50, l_suppkey % 3 AS s3, l_suppkey % 28 AS s28,
+                     cast(sum(case when l_linenumber = 1 then l_quantity end) as int) AS qty_ca,
+                     cast(sum(case when l_linenumber = 2 then l_quantity end) as int) AS qty_uk,
+                     cast(sum(case when l_linenumber = 3 then l_quantity end) as int) AS qty_de,
+                     cast(sum(case when l_linenumber = 4 then l_quantity end) as int) AS qty_au,
+                     cast(sum(case when l_linenumber = 5 then l_quantity end) as int) AS qty_jp,
+                     cast(sum(case when l_linenumber = 6 then l_quantity end) as int) AS qty_cn,
+                     cast(sum(case when l_linenumber = 7 then l_quantity end) as int) AS qty_wholesale,
+                     cast(sum(l_quantity) as int) AS total_qty
+              FROM lineitem GROUP BY 1, 2, 3, 4) l
+        JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_packing": """
         SELECT event_id AS _pos, cast(user_id % 5 + 1 as int) AS sheet, case when user_id % 5 = 4 then 'F25 reserve' else 'Sheet' || cast(user_id % 5 as string) end AS sheet_name,
                case when user_id % 5 % 2 = 0 and event_id % 3 = 0 then cast(event_id as string) end AS ctn_no,
@@ -223,6 +229,9 @@ def ctes(names: list[str] | tuple[str, ...]) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({STANDINS[n]})" for n in needed(names)) if names else ""
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Inputs:
     """Job inputs of one data directory: ``t.s_web``, ``t.lineitem``."""
 
@@ -230,7 +239,10 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL over the test tables and the job inputs it names."""

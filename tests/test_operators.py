@@ -138,7 +138,7 @@ def test_joined_text_in_source_order(spark):
 def test_cut_text_equals_full_text_cut(spark):
     data = [(i, "k", str(i % 7)) for i in range(500)] + [(1, "j", "abc")]
     df = spark.createDataFrame(data, "p bigint, k string, t string")
-    got = dict(map(tuple, groups.join_text_cut(df, ["k"], "t", " | ", "p", "o").collect()))
+    got = dict(map(tuple, groups.collapse(df, ["k"], "p", " | ", {"t": "o"}, longest=300, block_rows=37, fan=3).collect()))
     full = " | ".join(str(i % 7) for i in range(500))
     assert got == {"k": full[:299], "j": "abc"}
 
