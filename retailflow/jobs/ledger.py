@@ -52,15 +52,13 @@ def apply_shipments(ledger: DataFrame, shipments: DataFrame) -> DataFrame:
     ``shipments`` (po, sku, region, quantity) reduce the line's Total and its region; shipped (order, SKU)
     pairs without a plan are appended.  ``flag`` marks lines more than 1% open or more than 10% overshipped.
     """
-    keys = ["po", "sku", "region"]
-    by_region = shipments.groupBy(*keys).agg(F.sum("quantity").alias("shipped"))
-    by_total = by_region.groupBy("po", "sku").agg(F.sum("shipped").alias("shipped")).withColumn("region", F.lit(TOTAL))
-    shipped = by_region.unionByName(by_total)
-    plan = ledger.groupBy(*keys).agg(F.sum("plan").alias("plan"))
-    out = plan.join(shipped, keys, "full").withColumns({
-        "unplanned": F.col("plan").isNull(), "shipped": F.coalesce("shipped", F.lit(0)), "plan": F.coalesce("plan", F.lit(0))})
-    order = out.groupBy("po", "region").agg(F.sum("plan").alias("plan"), F.sum("shipped").alias("shipped"), F.min("unplanned").alias("unplanned")).withColumn("sku", F.lit(""))
-    out = out.withColumn("level", F.lit("line")).unionByName(order.withColumn("level", F.lit("order")))
+    regions = F.explode(F.array_distinct(F.array(F.col("region"), F.lit(TOTAL))))
+    plan = ledger.select("po", "sku", "region", F.col("plan").cast("bigint").alias("plan"), F.lit(0).cast("bigint").alias("shipped"), F.lit(1).alias("planned"))
+    moved = shipments.select("po", "sku", regions.alias("region"), F.lit(0).cast("bigint").alias("plan"), F.col("quantity").cast("bigint").alias("shipped"), F.lit(0).alias("planned"))
+    lines = plan.unionByName(moved).groupBy("po", "sku", "region").agg(
+        F.sum("plan").alias("plan"), F.sum("shipped").alias("shipped"), (F.max("planned") == 0).alias("unplanned"))
+    order = lines.groupBy("po", "region").agg(F.sum("plan").alias("plan"), F.sum("shipped").alias("shipped"), F.min("unplanned").alias("unplanned"))
+    out = lines.withColumn("level", F.lit("line")).unionByName(order.withColumns({"sku": F.lit(""), "level": F.lit("order")}))
     out = out.withColumn("remaining", F.col("plan") - F.col("shipped"))
     out = out.withColumn("percent", remaining_percent(F.col("remaining"), F.col("plan")))
     return out.withColumn("flag", (F.col("percent") > 1) | (F.col("percent") < -10))

@@ -200,8 +200,7 @@ def _(t):
     SELECT l_suppkey, l_returnflag, qty, CASE WHEN length(t) > 300 THEN substr(t, 1, 299) ELSE t END AS boxes FROM x""")
 def _(t):
     rows = t.lineitem.withColumn("box", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
-    return groups.collapse(rows, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], " | ", {"box": "boxes"}, {"l_quantity": "qty"}, longest=300,
-                           block_rows=1000, fan=4)
+    return groups.collapse(rows, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], " | ", {"box": "boxes"}, {"l_quantity": "qty"}, longest=300)
 
 
 @query("run_length_orders", """
