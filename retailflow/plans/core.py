@@ -74,11 +74,9 @@ def _(t):
 
 
 @query("regex_rules_chunked", f"""
-    WITH hits AS (SELECT l_orderkey, l_linenumber, l_suppkey, r.price,
-                    row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey, l_partkey ORDER BY r.pos) AS rn
-                  FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
-                  JOIN {values(RULES, 'r(item, price, pos)')} ON regexp_matches(k.sku, r.item))
-    SELECT cast(price as double) AS price, count(*) AS n FROM hits WHERE rn = 1 GROUP BY 1""")
+    WITH hits AS (SELECT k.p_partkey, r.price, row_number() OVER (PARTITION BY k.p_partkey ORDER BY r.pos) AS rn
+                  FROM s_sku k JOIN {values(RULES, 'r(item, price, pos)')} ON regexp_matches(k.sku, r.item))
+    SELECT cast(price as double) AS price, count(*) AS n FROM lineitem JOIN hits ON p_partkey = l_partkey AND rn = 1 GROUP BY 1""")
 def _(t):
     table = t.spark.createDataFrame(RULES, "item string, price double, pos int")
     lines = lk.lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, ["sku"], unique=True)
