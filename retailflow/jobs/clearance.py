@@ -40,6 +40,25 @@ def limited_sizes(items: DataFrame, new_season: str, k: int) -> DataFrame:
     return lookup(out, most, "cat", ["n_all"], unique=True).filter(F.col("n") != F.col("n_all"))
 
 
+def event_leftovers(items: DataFrame, sales: DataFrame, listed: DataFrame, sizes: Mapping[str, int], new_season: str,
+                    old_seasons: Sequence[str], k: int, web_channel: str, market_pattern: str) -> DataFrame:
+    """Further event items of the categories in ``sizes``: goods of none of ``old_seasons``, and goods not of the new
+    season whose SPU no longer has all the category's sizes; with this year's sales per channel."""
+    pool = items.filter(isin0("cat", list(sizes)) & (F.col("qty") > k))
+    full = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])
+    left = pool.groupBy("spu").agg(F.count(F.lit(1)).alias("n"))
+    short = left.filter(F.col("n") != F.try_element_at(full, sku.category("spu")))
+    out = lookup(anti(pool, listed, "sku"), short, "spu", {}, unique=True, flag="__short")
+    none_of = ~rlike0("seasons", "|".join(old_seasons))
+    out = out.filter(none_of | (F.col("__short") & ~rlike0("seasons", new_season)))
+    on = F.col("sales_channel")
+    sold = sales.groupBy("adjust_msku").agg(F.sum("qty").alias("total"), F.sum(F.when(on == web_channel, F.col("qty"))).alias("total_web"),
+                                            F.sum(F.when(rlike0("sales_channel", market_pattern), F.col("qty"))).alias("total_market"))
+    out = lookup(out, sold, {"sku": "adjust_msku"}, ["total", "total_web", "total_market"], unique=True)
+    return out.withColumn("time_yrs", years_ratio("qty", "total")).select(
+        "sku", "seasons", "regular_price", "qty", "time_yrs", "total", "total_web", "total_market")
+
+
 def _priced(df: DataFrame, suggest: Column) -> DataFrame:
     out = df.withColumn("suggest_discount", pmax(suggest, F.col("discount")))
     return out.withColumn("suggest_price", money_round(

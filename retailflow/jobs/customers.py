@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.semantics import blank_to_null, not_blank
+from ..functions.semantics import blank_to_null, money, not_blank
 from ..operators.groups import BLOCK_ROWS, collapse, weighted_count
 from ..operators.keys import first_per_key, source_order
 from ..operators.lookup import lookup
@@ -71,6 +71,13 @@ def loyalty_points(payments: DataFrame, customers: DataFrame) -> DataFrame:
     return paid.filter(F.col("email").isNotNull()).select(clean_email("email").alias("email"), points.alias("points")).filter(F.col("points") != 0)
 
 
+def pos2_points(payments: DataFrame, customers: DataFrame) -> DataFrame:
+    """Whole points of the second POS: collected amount per payment of a known customer."""
+    paid = lookup(payments.filter(not_blank("customer_id")), customers, "customer_id", ["email"], unique=True)
+    out = paid.select("email", money("total_collected").cast("int").alias("points"))
+    return out.filter(F.col("email").isNotNull() & (F.col("points") != 0))
+
+
 def points_backlog(backlog: DataFrame, errors: DataFrame) -> DataFrame:
     """Points per e-mail over the old backlog and the newly rejected rows."""
     return weighted_count(backlog.select("email", "points").unionByName(errors.select("email", "points")), "email", "points", "points")

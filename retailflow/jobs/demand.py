@@ -6,7 +6,7 @@ caller provides decimals, so that sums do not depend on the order of addition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -65,10 +65,18 @@ def refresh_month_ratio(cat_sales: DataFrame, last_ratio: DataFrame, as_of: date
     return out.select("category", "month", F.when(use, new).otherwise(d("ratio")).alias("ratio"))
 
 
-def ratio_sums(ratio: DataFrame, **months: Sequence[int]) -> DataFrame:
+def month_in(months: Sequence[int], category: Column, special: Mapping[str, Sequence[int]] | None = None) -> Column:
+    """Is the row's month in the set?  ``special`` gives single categories a set of their own."""
+    test = F.col("month").isin(list(months))
+    for cat, ms in (special or {}).items():
+        test = F.when(category == cat, F.col("month").isin(list(ms))).otherwise(test)
+    return test
+
+
+def ratio_sums(ratio: DataFrame, special: Mapping[str, Sequence[int]] | None = None, **months: Sequence[int]) -> DataFrame:
     """One row per category with the summed shares of each named month set."""
     return ratio.groupBy("category").agg(
-        *[sum_where(F.col("month").isin(list(ms)), "ratio").cast(DOUBLE).alias(name) for name, ms in months.items()])
+        *[sum_where(month_in(ms, F.col("category"), special), "ratio").cast(DOUBLE).alias(name) for name, ms in months.items()])
 
 
 def spu_stock(inv: DataFrame) -> DataFrame:
@@ -79,12 +87,14 @@ def spu_stock(inv: DataFrame) -> DataFrame:
     return out.withColumn("qty_amz", F.col("qty_spu") - F.col("qty_wh"))
 
 
-def spu_sales(sales: DataFrame, months: Sequence[int], web_channel: str, market_pattern: str) -> DataFrame:
+def spu_sales(sales: DataFrame, months: Sequence[int], web_channel: str, market_pattern: str,
+              special: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
     """Sales per SPU in one pass: trailing months over all channels and on the web, 12 months on marketplaces.
 
     A figure is null where the SPU has no row in the channel at all.
     """
-    recent, web, market = F.col("month").isin(list(months)), F.col("sales_channel") == web_channel, rlike0("sales_channel", market_pattern)
+    recent = month_in(months, sku.category("adjust_msku"), special)
+    web, market = F.col("sales_channel") == web_channel, rlike0("sales_channel", market_pattern)
 
     def total(rows: Column, value: Column) -> Column:
         return F.sum(F.when(rows, value))
@@ -123,7 +133,8 @@ def catalog_frame(web: DataFrame, erp: DataFrame, master: DataFrame, warehouse:
 
 
 def with_years(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: DataFrame, missing: DataFrame, month: int,
-               web_channel: str, market_pattern: str, trailing: int = 3, include_current: bool = False) -> DataFrame:
+               web_channel: str, market_pattern: str, trailing: int = 3, include_current: bool = False,
+               special: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
     """Attach stock, yearly demand and years of stock per SPU; SPUs without stock rows are dropped.
 
     Yearly demand = trailing sales / trailing share of the year.  Where stock outside the warehouse covers a
@@ -131,10 +142,10 @@ def with_years(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: DataFr
     """
     months = trailing_months(month, trailing, include_current)
     stock = spu_stock(inv)
-    spus = lookup(stock, spu_sales(sales, months, web_channel, market_pattern), "spu", ["t_last3m", "t_last3m_web", "t_last12m_amz"], unique=True)
+    spus = lookup(stock, spu_sales(sales, months, web_channel, market_pattern, special), "spu", ["t_last3m", "t_last3m_web", "t_last12m_amz"], unique=True)
     spus = lookup(spus, missing, "spu", {"percent": "missing_share"}, unique=True)
     out = lookup(items, spus, "spu", [c for c in spus.columns if c != "spu"], unique=True, flag="__known").filter("__known").drop("__known")
-    out = lookup(out, ratio_sums(ratio, r3=months), {"cat": "category"}, ["r3"], unique=True)
+    out = lookup(out, ratio_sums(ratio, special, r3=months), {"cat": "category"}, ["r3"], unique=True)
     year = years_ratio("t_last3m", "r3")
     year_web = years_ratio("t_last3m_web", "r3")
     out = out.withColumns({"sales_1yr": year, "sales_1yr_web": year_web})

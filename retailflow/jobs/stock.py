@@ -51,6 +51,13 @@ def inventory_adjustment(pos: DataFrame, erp: DataFrame, warehouse: str, as_of:
         F.lit(f"{prefix}-{as_of:%y%m%d}-{suffix}").alias("external_id"))
 
 
+def stock_upload(stock: DataFrame, warehouse: str, as_of: date, memo: str = "Inventory Upload") -> DataFrame:
+    """First stock of a warehouse as adjustments: every item with stock, upper-case name."""
+    return stock.filter(F.col("warehouse_available") > 0).select(
+        _date(as_of).alias("date"), F.upper("name").alias("item"), F.col("warehouse_available").alias("adjust_qty_by"), F.lit("CC").alias("reason_code"),
+        F.lit(memo).alias("memo"), F.lit(warehouse).alias("warehouse"), F.lit(f"IAC-{as_of:%y%m%d}-1").alias("external_id"))
+
+
 def pos_not_in_erp(pos: DataFrame, erp: DataFrame, master: DataFrame) -> DataFrame:
     out = anti(pos, erp, "name").select("name", "quantity")
     return lookup(out, master, {"name": "msku"}, ["msku_status", "seasons_sku"], unique=True)

@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sku
+
+
+def rename_all(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
+    return df.withColumnsRenamed({c: fn(c) for c in df.columns})
+
+
+def with_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
+    return df.withColumns({c: F.lit(v) for c, v in values.items()})
+
+
+def across(df: DataFrame, cols: Sequence[str], fn: Callable[[Column], Column]) -> DataFrame:
+    """The same function over many columns, in one projection."""
+    return df.withColumns({c: fn(F.col(c)) for c in cols})
+
+
+def sort_r(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sort with missing values last both ways; ``-name`` sorts descending."""
+    return df.orderBy(*[F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_last() for k in keys])
+
+
+def sort_sku(df: DataFrame, col: str) -> DataFrame:
+    """Sort by category, then size."""
+    return df.orderBy(sku.category(col), sku.size(col), col)
+
 
 def split_rows(df: DataFrame, col: str, sep: str) -> DataFrame:
     """One row per delimited item, trimmed; a null stays one row."""

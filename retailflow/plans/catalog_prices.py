@@ -214,6 +214,13 @@ def _(t):
     return stock.inventory_adjustment(t.s_pos, t.s_erp, "WH-STORE", AS_OF)
 
 
+@query("stock_upload", f"""
+    SELECT '{DAY}' AS date, upper(name) AS item, warehouse_available AS adjust_qty_by, 'CC' AS reason_code, 'Inventory Upload' AS memo, 'WH-CN' AS warehouse, 'IAC-{YMD}-1' AS external_id
+    FROM s_erp WHERE inventory_warehouse = 'WH-3PL' AND warehouse_available > 0""")
+def _(t):
+    return stock.stock_upload(stock.warehouse_stock(t.s_erp, "WH-3PL"), "WH-CN", AS_OF)
+
+
 @query("pos_not_in_erp", """
     SELECT p.name, cast(p.quantity as double) AS quantity, m.msku_status, m.seasons_sku FROM s_pos p LEFT JOIN s_master m ON m.msku = p.name
     WHERE p.name NOT IN (SELECT name FROM s_erp WHERE warehouse_available > 10)""")

@@ -27,19 +27,21 @@ def _months(ms):
 R3 = _months(trailing_months(MONTH))
 
 
-def frame(months: str = R3) -> str:
-    """Catalog items with stock, demand and years of stock per SPU."""
+def frame(months: str = R3, late: str = "") -> str:
+    """Catalog items with stock, demand and years of stock per SPU; category ``late`` counts June and July instead."""
+    sold_in = f"CASE WHEN split_part(adjust_msku, '-', 1) = '{late}' THEN month IN (6, 7) ELSE month IN {months} END" if late else f"month IN {months}"
+    share_in = f"CASE WHEN category = '{late}' THEN month IN (6, 7) ELSE month IN {months} END" if late else f"month IN {months}"
     return f"""{L12},
     items AS (SELECT w.id, w.sku, CASE WHEN a.msku IS NOT NULL THEN a.seasons_sku ELSE b.seasons_sku END AS seasons, a.category_sku AS cat, {spu('w.sku')} AS spu, w.regular_price,
         CASE WHEN w.sale_price IS NULL THEN 0.0 ELSE (cast(w.regular_price as double) - cast(w.sale_price as double)) / cast(w.regular_price as double) END AS discount, coalesce(e.warehouse_available, 0) AS qty
       FROM s_web w LEFT JOIN s_master a ON a.msku = w.sku LEFT JOIN s_master b ON b.adjust_sku = w.sku LEFT JOIN s_erp e ON e.name = w.sku AND e.inventory_warehouse = 'WH-CENTRAL'
       WHERE w.regular_price IS NOT NULL AND w.sku IN (SELECT name FROM s_erp)),
     stk AS (SELECT {spu('adjust_msku')} AS spu, sum(inv_total_end_wk)::BIGINT AS qty_spu, sum(inv_warehouse)::BIGINT AS qty_wh FROM s_inv GROUP BY 1),
-    sold AS (SELECT {spu('adjust_msku')} AS spu, sum(CASE WHEN month IN {months} THEN qty ELSE 0 END)::BIGINT AS t3, sum(CASE WHEN sales_channel = 'WEB' THEN CASE WHEN month IN {months} THEN qty ELSE 0 END END)::BIGINT AS t3w,
+    sold AS (SELECT {spu('adjust_msku')} AS spu, sum(CASE WHEN {sold_in} THEN qty ELSE 0 END)::BIGINT AS t3, sum(CASE WHEN sales_channel = 'WEB' THEN CASE WHEN {sold_in} THEN qty ELSE 0 END END)::BIGINT AS t3w,
         sum(CASE WHEN sales_channel LIKE 'Amazon%' THEN qty END)::BIGINT AS m12 FROM l12 GROUP BY 1),
     miss AS (SELECT * FROM (SELECT {spu('name')} AS spu, count(DISTINCT regexp_replace(name, '^([A-Za-z0-9_]+-[A-Za-z0-9_]+-[A-Za-z0-9_]+).*', '\\1')) AS sizes, count(CASE WHEN warehouse_available > {K} THEN 1 END) AS in_stock
         FROM s_erp WHERE inventory_warehouse = 'WH-CENTRAL' GROUP BY 1) WHERE in_stock > 0),
-    rat AS (SELECT category, cast(sum(CASE WHEN month IN {months} THEN ratio ELSE 0 END) as double) AS r3 FROM s_ratio GROUP BY 1),
+    rat AS (SELECT category, cast(sum(CASE WHEN {share_in} THEN ratio ELSE 0 END) as double) AS r3 FROM s_ratio GROUP BY 1),
     f0 AS (SELECT i.*, stk.qty_spu, stk.qty_wh, stk.qty_spu - stk.qty_wh AS qty_amz, sold.t3, sold.t3w, sold.m12, rat.r3,
         CASE WHEN miss.sizes IS NULL THEN NULL WHEN miss.sizes < miss.in_stock THEN 0.0 ELSE (miss.sizes - miss.in_stock) / miss.sizes END AS missing_share
       FROM items i JOIN stk ON stk.spu = i.spu LEFT JOIN sold ON sold.spu = i.spu LEFT JOIN miss ON miss.spu = i.spu LEFT JOIN rat ON rat.category = i.cat),
@@ -69,8 +71,8 @@ def _missing(t):
     return demand.size_missing(stock.warehouse_stock(t.s_erp, "WH-CENTRAL"), K)
 
 
-def _frame(t, include_current=False):
-    return demand.with_years(_items(t), t.s_inv, _last12(t), t.s_ratio, _missing(t), MONTH, "WEB", "^Amazon", include_current=include_current)
+def _frame(t, include_current=False, special=None):
+    return demand.with_years(_items(t), t.s_inv, _last12(t), t.s_ratio, _missing(t), MONTH, "WEB", "^Amazon", include_current=include_current, special=special)
 
 
 def _grid(t):
@@ -277,11 +279,26 @@ def _(t):
 
 
 @query("holiday_discounts", f"""
-    WITH {frame()}, h0 AS (SELECT *, coalesce(round_even(time_yr, 2), 0.0) AS ty FROM framed WHERE qty > 1 AND regular_price > 0),
+    WITH {frame(R3, 'B3')}, h0 AS (SELECT *, coalesce(round_even(time_yr, 2), 0.0) AS ty FROM framed WHERE qty > 1 AND regular_price > 0),
     h1 AS (SELECT *, CASE WHEN cat = 'B3' THEN 0.2 WHEN contains(coalesce(seasons, ''), '25F') THEN CASE WHEN ty > 4 THEN 0.2 ELSE 0.1 END ELSE 0.0 END AS rule FROM h0),
     h2 AS (SELECT *, row_number() OVER (ORDER BY rule, ty DESC, sku) AS rk FROM h1),
     h3 AS (SELECT *, cast(CASE WHEN rk <= 54 THEN 0.4 WHEN rk <= 101 THEN 0.3 WHEN rk <= 250 THEN 0.2 WHEN rk <= 500 THEN 0.1 ELSE rule END + CASE WHEN cat = 'B7' THEN 0.1 ELSE 0.0 END as double) AS d FROM h2),
     z AS (SELECT *, CASE WHEN d > discount THEN d ELSE discount END AS sd FROM h3)
     SELECT sku, seasons, cat, spu, cast(regular_price as double) AS regular_price, discount, qty, ty AS time_yrs, sd AS suggest_discount, {off_price('sd', 4)} AS sale_price FROM z""")
 def _(t):
-    return clearance.holiday_discounts(_frame(t), 1, "25F", late_categories=["B3"], bumps={"B7": 0.1})
+    return clearance.holiday_discounts(_frame(t, special={"B3": (6, 7)}), 1, "25F", late_categories=["B3"], bumps={"B7": 0.1})
+
+
+SIZES = {"B1": 60, "B4": 40, "B9": 70, "B11": 55}
+
+
+@query("event_leftovers", f"""
+    WITH {frame()}, pool AS (SELECT * FROM items WHERE cat IN ('B1', 'B4', 'B9', 'B11') AND qty > 1),
+    sh AS (SELECT spu FROM pool GROUP BY spu HAVING count(*) <> CASE split_part(spu, '-', 1) WHEN 'B1' THEN 60 WHEN 'B4' THEN 40 WHEN 'B9' THEN 70 ELSE 55 END),
+    s AS (SELECT adjust_msku, sum(qty)::BIGINT AS t, sum(CASE WHEN sales_channel = 'WEB' THEN qty END)::BIGINT AS w, sum(CASE WHEN sales_channel LIKE 'Amazon%' THEN qty END)::BIGINT AS m FROM l12 GROUP BY 1)
+    SELECT sku, seasons, cast(regular_price as double) AS regular_price, qty, {years('qty', 's.t')} AS time_yrs, cast(s.t as double) AS total, cast(s.w as double) AS total_web, cast(s.m as double) AS total_market
+    FROM pool LEFT JOIN s ON s.adjust_msku = sku WHERE sku NOT IN (SELECT sku FROM s_web WHERE sale_price IS NOT NULL)
+      AND (NOT regexp_matches(coalesce(seasons, ''), '26|25|24') OR (spu IN (SELECT spu FROM sh) AND NOT contains(coalesce(seasons, ''), '26')))""")
+def _(t):
+    out = clearance.event_leftovers(_items(t), _last12(t), t.s_web.filter("sale_price IS NOT NULL"), SIZES, "26", ["26", "25", "24"], 1, "WEB", "^Amazon")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("total", "total_web", "total_market")})

@@ -235,6 +235,15 @@ def _(t):
     return customers.points_backlog(backlog, customers.loyalty_points(t.s_payment, t.s_customer))
 
 
+@query("pos2_points", """
+    WITH p AS (SELECT 'C' || o_custkey AS customer_id, trunc(cast(o_totalprice as decimal(12,2))) AS points FROM orders WHERE o_orderpriority <> '5-LOW')
+    SELECT c.email, cast(points as int) AS points FROM p JOIN s_pos2_customer c ON c.customer_id = p.customer_id WHERE points <> 0""")
+def _(t):
+    paid = t.orders.select(F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.concat(F.lit("C"), "o_custkey")).alias("customer_id"),
+                           F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("total_collected"))
+    return customers.pos2_points(paid, t.s_pos2_customer)
+
+
 # Reports
 
 

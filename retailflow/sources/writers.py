@@ -20,11 +20,13 @@ def write_export(df: DataFrame, path: str, renames: Mapping[str, str] | None = N
      .option("encoding", encoding).option("quoteAll", quote_all).csv(path))
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet", mode: str = "errorifexists",
-                      spread: int = 1) -> None:
-    """One folder per value of ``by``; ``spread`` files per value share a value holding many rows."""
-    keys = [F.col(by)] if spread == 1 else [F.col(by), F.pmod(F.xxhash64(*df.columns), F.lit(spread))]
-    writer = df.repartition(*keys).write.mode(mode).partitionBy(by)
+def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
+    """One folder per value of ``by``.
+
+    Rows are brought together by value first (few files per folder); adaptive execution splits the partition
+    of a value that holds many rows, so no task writes a hot value alone.
+    """
+    writer = df.hint("rebalance", F.col(by)).write.mode(mode).partitionBy(by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

@@ -162,3 +162,14 @@ def test_hot_key_is_pruned_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = keys.first_per_key(df, "k", "id")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_small_table_verbs(spark):
+    df = spark.createDataFrame([("B-A-2", None, 1), ("A-A-9", 2, None), ("A-A-10", 1, 3)], "sku string, a int, b int")
+    assert reshape.rename_all(df, lambda c: c.upper()).columns == ["SKU", "A", "B"]
+    assert [r["a"] for r in reshape.sort_r(df, ["-a"]).collect()] == [2, 1, None]
+    assert [r["a"] for r in reshape.sort_r(df, ["a"]).collect()] == [1, 2, None]
+    assert [r["sku"] for r in reshape.sort_sku(df, "sku").collect()] == ["A-A-10", "A-A-9", "B-A-2"]
+    out = reshape.across(reshape.with_constants(df, {"k": "x"}), ["a", "b"], lambda c: F.coalesce(c, F.lit(0)))
+    assert rows(out.select("k", "a", "b")) == [("x", 0, 1), ("x", 1, 3), ("x", 2, 0)]
+    assert rows(keys.append_rows(df.select("sku", "a"), [("z", 5)]).filter("sku = 'z'")) == [("z", 5)]

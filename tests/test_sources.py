@@ -91,6 +91,6 @@ def test_export_spelling_and_blanks(spark, tmp_path):
 def test_one_folder_per_category(spark, tmp_path):
     df = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1)], "category string, n int")
     out = str(tmp_path / "cats")
-    writers.write_partitioned(df, out, "category", spread=4)
+    writers.write_partitioned(df, out, "category")
     assert sorted(d for d in os.listdir(out) if d.startswith("category")) == ["category=a", "category=b"]
     assert spark.read.parquet(out).count() == 51
