@@ -17,7 +17,7 @@ from ..functions import sku
 from ..functions.months import forward_months, in_season_letter, month_fraction, off_season_letter, trailing_months
 from ..functions.semantics import MONEY, band_label, isin0, money_round, r_ifelse, rlike0, years_ratio
 from ..operators.groups import with_group_total
-from ..operators.lookup import grid_lookup, lookup, lookup_chain, semi
+from ..operators.lookup import grid_lookup, lookup, semi
 
 DOUBLE = "double"
 
@@ -120,12 +120,13 @@ def size_missing(erp: DataFrame, k: int) -> DataFrame:
 def catalog_frame(web: DataFrame, erp: DataFrame, master: DataFrame, warehouse: str) -> DataFrame:
     """Web items the ERP knows, with the warehouse's stock, season (by SKU, else by adjusted SKU), category, SPU
     and running discount."""
-    out = semi(web, erp, {"sku": "name"})
-    here = erp.filter(F.col("inventory_warehouse") == warehouse)
-    out = lookup(out, here, {"sku": "name"}, {"warehouse_available": "qty"}, unique=True)
-    seasons = [(master, {"sku": "msku"}), (master.filter(F.col("adjust_sku").isNotNull()), {"sku": "adjust_sku"})]
-    out = lookup_chain(out, seasons, {"seasons_sku": "seasons"}, order=["msku"])
-    out = lookup(out, master, {"sku": "msku"}, {"category_sku": "cat"}, unique=True)
+    here = F.when(F.col("inventory_warehouse") == warehouse, F.col("warehouse_available"))
+    known = erp.groupBy("name").agg(F.max(here).alias("qty"))
+    out = lookup(web, known, {"sku": "name"}, ["qty"], unique=True, flag="__known").filter("__known")
+    out = lookup(out, master, {"sku": "msku"}, {"category_sku": "cat", "seasons_sku": "__own"}, unique=True, flag="__listed")
+    others = master.filter(F.col("adjust_sku").isNotNull()).groupBy("adjust_sku").agg(F.min_by("seasons_sku", "msku").alias("__other"))
+    out = lookup(out, others, {"sku": "adjust_sku"}, ["__other"], unique=True)
+    out = out.withColumn("seasons", F.when(F.col("__listed"), F.col("__own")).otherwise(F.col("__other")))
     off = F.try_divide(F.col("regular_price").cast(DOUBLE) - F.col("sale_price").cast(DOUBLE), F.col("regular_price").cast(DOUBLE))
     return out.select("id", "sku", "name", "seasons", "cat", sku.spu("sku").alias("spu"), "regular_price",
                       F.when(F.col("sale_price").isNull(), 0.0).otherwise(off).alias("discount"),

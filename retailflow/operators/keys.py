@@ -24,7 +24,7 @@ def first_per_key(df: DataFrame, keys: str | Sequence[str], order) -> DataFrame:
     one row per task and not all its rows.
     """
     w = Window.partitionBy(*_list(keys)).orderBy(*_list(order))
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def top_k(df: DataFrame, k: int, order, by: Sequence[str] = ()) -> DataFrame:
