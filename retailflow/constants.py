@@ -44,3 +44,39 @@ HOLIDAY_BANDS = ((54, 0.4), (101, 0.3), (250, 0.2), (500, 0.1))
 # Regions of a factory order: quantity column -> region.
 ORDER_REGIONS = {"qty_ca": "CA", "qty_uk": "UK", "qty_de": "DE", "qty_au": "AU", "qty_jp": "JP", "qty_cn": "CN"}
 LEDGER_REGIONS = {"qty_ca": "CA/US", "qty_uk": "UK", "qty_de": "DE", "qty_cn": "CN", "qty_wholesale": "Wholesaler"}
+
+# Texts the receiving systems expect.
+PAY_CASH = "Cash"
+PAY_WALLET = "AlphaPay"
+PAY_POS = "Clover"
+PAY_POS2 = "Square"
+PAY_CARD_ONLINE = "Stripe CAD Allvalue"
+CLASS_HOME = "FBM : CA"
+CLASS_MARKET = "FBM : CN"
+PRICE_LEVEL = "Custom"
+TAX_FEDERAL = "CA-BC-GST"
+TAX_FULL = "CA-BC-TAX"
+TAX_ABROAD = "."
+TAX_ZERO = "CA-Zero"
+POS_TAX = "GST"
+POS_TAX_FULL = "GST+PST"
+SHIP_FREE = "Free shipping over $69"
+SHIP_PAID = "Parcel with Tracking"
+SHIP_STANDARD = "Standard"
+CARRIER_HOME = ("Canada Post", "Expedited Parcel")
+CARRIER_US = ("USPS", "USPS Priority Mail")
+REASON_RETURN = "RT"
+REASON_EXCHANGE = "EXC"
+REASON_COUNT = "CC"
+WALK_IN = "Walk-in"
+WALK_IN_NOTE = "Walk in customer-Picked"
+TERMS = "CIA"
+PO_REGULAR = "Regular"
+PO_OVER = "Over Received"
+PO_UNIFORM = "Daycare Uniforms"
+PO_MIXED = "MIX"
+PO_VENDOR = "China"
+PO_CURRENCY = "CAD"
+PO_APPROVED = "APPROVED"
+STATUS_SYNCED = "Synced"
+STATUS_SHIPPED = "Shipped"

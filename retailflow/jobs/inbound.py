@@ -8,6 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import PO_APPROVED, PO_CURRENCY, PO_MIXED, PO_OVER, PO_VENDOR, REASON_COUNT, TAX_ZERO
 from ..functions import sku
 from ..functions.semantics import clip0, number, rlike0, safe_div
 from ..operators.groups import collapse, total_row, with_group_total
@@ -83,10 +84,10 @@ def over_receipt_po(over: DataFrame, shipment: str, season: str, as_of: date, du
     text = lambda d: F.lit(d.strftime("%m/%d/%Y"))
     ref = F.lit(f"Over.{shipment}")
     return over.groupBy("item").agg(F.sum("over").alias("quantity")).select(
-        F.lit("Over Received").alias("po_type"), F.lit("MIX").alias("category"), F.lit(season).alias("season"), ref.alias("ref_no"),
-        F.lit(warehouse).alias("warehouse"), F.lit("China").alias("vendor"), F.lit("CAD").alias("currency"), text(as_of).alias("order_date"),
-        F.lit(by).alias("order_placed_by"), F.lit("APPROVED").alias("approval_status"), text(due).alias("due_date"),
-        F.lit(f"Over receiving in shipment {shipment}").alias("memo"), "item", "quantity", F.lit("CA-Zero").alias("tax_code"), ref.alias("external_id"))
+        F.lit(PO_OVER).alias("po_type"), F.lit(PO_MIXED).alias("category"), F.lit(season).alias("season"), ref.alias("ref_no"),
+        F.lit(warehouse).alias("warehouse"), F.lit(PO_VENDOR).alias("vendor"), F.lit(PO_CURRENCY).alias("currency"), text(as_of).alias("order_date"),
+        F.lit(by).alias("order_placed_by"), F.lit(PO_APPROVED).alias("approval_status"), text(due).alias("due_date"),
+        F.lit(f"Over receiving in shipment {shipment}").alias("memo"), "item", "quantity", F.lit(TAX_ZERO).alias("tax_code"), ref.alias("external_id"))
 
 
 def split_over_receipt(ship: DataFrame, open_po: DataFrame, shipment: str, over_po: str) -> DataFrame:
@@ -115,7 +116,7 @@ def reserve_shortfall(transfer: DataFrame, stock: DataFrame, shipment: str, ware
     """Adjustment that books the stock a transfer needs and the reserve lacks."""
     out = lookup(transfer, stock, {"item": "name"}, {"warehouse_available": "__have"}, unique=True, defaults={"__have": 0})
     out = out.withColumn("adjust_qty_by", F.col("quantity") - F.coalesce("__have", F.lit(0))).filter(F.col("adjust_qty_by") > 0)
-    return out.select(F.lit(as_of.strftime("%m/%d/%Y")).alias("date"), "item", "adjust_qty_by", F.lit("CC").alias("reason_code"),
+    return out.select(F.lit(as_of.strftime("%m/%d/%Y")).alias("date"), "item", "adjust_qty_by", F.lit(REASON_COUNT).alias("reason_code"),
                       F.lit(f"{shipment} Reserve TO").alias("memo"), F.lit(warehouse).alias("warehouse"), F.lit(f"IAC-{as_of:%y%m%d}-1").alias("external_id"))
 
 

@@ -9,7 +9,12 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import GST_ONLY_PROVINCES, HST_ONLY_PROVINCES, HST_PROVINCES, MISC_ITEM, TAXABLE_CATEGORIES
+from ..constants import (
+    CARRIER_HOME, CARRIER_US, CLASS_HOME, CLASS_MARKET, GST_ONLY_PROVINCES, HST_ONLY_PROVINCES,
+    HST_PROVINCES, MISC_ITEM, PAY_CARD_ONLINE, PAY_CASH, PAY_POS, PAY_POS2, PAY_WALLET, PRICE_LEVEL,
+    REASON_EXCHANGE, REASON_RETURN, SHIP_FREE, SHIP_PAID, SHIP_STANDARD, TAXABLE_CATEGORIES, TAX_ABROAD,
+    TAX_FEDERAL, TAX_FULL, TERMS, WALK_IN, WALK_IN_NOTE,
+)
 from ..functions import sku
 from ..functions.semantics import any_field_rlike, isin0, money, money_round, not_blank, parse_date, r_ifelse, rlike0, trunc_cents
 from ..operators.groups import BLOCK_ROWS, join_text, with_group_total
@@ -48,7 +53,7 @@ def known_item(lines: DataFrame, items: DataFrame, col: str) -> DataFrame:
     return out.withColumn(col, F.when(F.col("__known"), F.col(col)).otherwise(F.lit(MISC_ITEM))).drop("__known")
 
 
-def rate_tax_code(rate: Column, gst: str = "CA-BC-GST", full: str = "CA-BC-TAX") -> Column:
+def rate_tax_code(rate: Column, gst: str = TAX_FEDERAL, full: str = TAX_FULL) -> Column:
     return F.when(rate == 0.05, gst).when(rate == 0.12, full).otherwise("")
 
 
@@ -57,7 +62,7 @@ def zero_to_null(c: Column) -> Column:
 
 
 def payment_option(tender: Column, card: str) -> Column:
-    return r_ifelse(tender == "Cash", F.lit("Cash"), F.when(rlike0(tender, "WeChat"), "AlphaPay").otherwise(card))
+    return r_ifelse(tender == PAY_CASH, F.lit(PAY_CASH), F.when(rlike0(tender, "WeChat"), PAY_WALLET).otherwise(card))
 
 
 def coupon_code(*cols: str) -> Column:
@@ -77,7 +82,7 @@ def order_payments(payments: DataFrame, contacts: DataFrame) -> DataFrame:
 
 def pos_sales_orders(lines: DataFrame, payments: DataFrame, contacts: DataFrame, items: DataFrame,
                      second_employee: str = "", exclude_discounts: Sequence[str] = (), main: Store = MAIN,
-                     second: Store = SECOND, card: str = "Clover", memo: str = "POS sales",
+                     second: Store = SECOND, card: str = PAY_POS, memo: str = "POS sales",
                      block_rows: int = BLOCK_ROWS) -> DataFrame:
     """POS line items as ERP sales orders.
 
@@ -95,12 +100,12 @@ def pos_sales_orders(lines: DataFrame, payments: DataFrame, contacts: DataFrame,
     two = F.coalesce(F.col("order_employee_name") == second_employee, F.lit(False))
     out = runs.withColumns({
         "payment_option": payment_option(F.col("__tender"), card),
-        "class": F.lit("FBM : CA"), "memo": F.lit(memo),
+        "class": F.lit(CLASS_HOME), "memo": F.lit(memo),
         "order_date": F.date_format("__day", "MM/dd/yyyy"),
         "ref_id": ref_id(_pick(two, "prefix", second, main), F.col("__day"), F.col("__run")),
         "customer": _pick(two, "customer", second, main), "order_type": _pick(two, "order_type", second, main),
         "department": _pick(two, "department", second, main), "warehouse": _pick(two, "warehouse", second, main),
-        "quantity": F.lit(1), "price_level": F.lit("Custom"), "rate": F.col("item_total"),
+        "quantity": F.lit(1), "price_level": F.lit(PRICE_LEVEL), "rate": F.col("item_total"),
         "coupon_discount": zero_to_null(F.col("total_discount") + F.col("order_discount_proportion")),
         "coupon_code": coupon_code("order_discounts", "discounts"),
         "tax_code": F.when(F.col("item_tax_rate").isNotNull(), rate_tax_code(F.col("item_tax_rate"))),
@@ -116,7 +121,7 @@ def sold_by_employee(lines: DataFrame, employee: str) -> DataFrame:
 
 
 def pos2_sales_orders(lines: DataFrame, payments: DataFrame, customers: DataFrame, items: DataFrame,
-                      second_location: str = "", main: Store = MAIN, second: Store = SECOND, card: str = "Square",
+                      second_location: str = "", main: Store = MAIN, second: Store = SECOND, card: str = PAY_POS2,
                       memo: str = "POS 2 sales", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Second POS as sales orders: the store from the location, rate = net / quantity, tax code from the tax share."""
     kept = known_item(lines, items, "item").withColumn("__day", F.to_date("date"))
@@ -129,13 +134,13 @@ def pos2_sales_orders(lines: DataFrame, payments: DataFrame, customers: DataFram
     net, tax = money("net_sales"), money("tax")
     share = F.bround(F.try_divide(tax, net), 2).cast("double")
     out = kept.withColumns({
-        "payment_option": F.when((F.col("__cash") == "$0.00") | F.col("__cash").isNull(), card).otherwise("Cash"),
-        "class": F.lit("FBM : CA"), "memo": F.lit(memo), "order_date": F.date_format("__day", "MM/dd/yyyy"),
+        "payment_option": F.when((F.col("__cash") == "$0.00") | F.col("__cash").isNull(), card).otherwise(PAY_CASH),
+        "class": F.lit(CLASS_HOME), "memo": F.lit(memo), "order_date": F.date_format("__day", "MM/dd/yyyy"),
         "ref_id": ref_id(F.lit("SQ"), F.col("__day"), F.col("__run")),
         "customer": _pick(two, "customer", second, main), "order_type": _pick(two, "order_type", second, main),
         "department": _pick(two, "department", second, main), "warehouse": _pick(two, "warehouse", second, main),
         "order_id": F.col("transaction_id"), "item_sku": F.col("item"), "quantity": F.col("qty"),
-        "price_level": F.lit("Custom"), "rate": money_round(F.try_divide(net, F.col("qty").cast("decimal(12,2)"))),
+        "price_level": F.lit(PRICE_LEVEL), "rate": money_round(F.try_divide(net, F.col("qty").cast("decimal(12,2)"))),
         "coupon_discount": zero_to_null(money("discounts")), "coupon_code": F.lit(""),
         "tax_code": F.when(share.isNotNull(), rate_tax_code(share)), "tax_amount": tax,
         "recipient": F.coalesce("customer_name", F.lit("")),
@@ -150,11 +155,11 @@ def market_cash_sales(orders: DataFrame, home_country: str, warehouse: str = "WH
     paid = orders.filter((F.col("financial_status") == "paid") & (F.col("shipping_country") == home_country))
     net = F.col("lineitem_total") - F.col("lineitem_total_discount")
     out = paid.withColumns({
-        "payment_option": F.lit("AlphaPay"), "class": F.lit("FBM : CN"), "memo": F.lit("Marketplace sales"),
+        "payment_option": F.lit(PAY_WALLET), "class": F.lit(CLASS_MARKET), "memo": F.lit("Marketplace sales"),
         "customer": F.lit(account), "order_date": F.date_format(F.to_date(F.split("created_at", " ")[0]), "MM/dd/yyyy"),
         "order_id": F.col("order_no"), "ref_id": F.concat(F.lit(prefix), "order_no"), "order_type": F.lit("MARKET"),
         "department": F.lit("Retail : Marketplace"), "warehouse": F.lit(warehouse), "item_sku": F.col("lineitem_sku"),
-        "quantity": F.col("lineitem_quantity"), "price_level": F.lit("Custom"),
+        "quantity": F.col("lineitem_quantity"), "price_level": F.lit(PRICE_LEVEL),
         "rate": money_round(F.try_divide(net, F.col("lineitem_quantity").cast("decimal(10,0)"))),
         "coupon_discount": zero_to_null(F.col("lineitem_total_discount")), "coupon_code": F.lit(""),
         "tax_code": F.lit(""), "tax_amount": F.lit(None).cast("decimal(12,2)"),
@@ -168,7 +173,7 @@ def market_cash_sales(orders: DataFrame, home_country: str, warehouse: str = "WH
 def province_tax_code(country: Column, province: Column, taxable: Column) -> Column:
     """Sales tax code: none abroad, federal only, harmonised, or federal plus provincial for taxable goods."""
     code = lambda kind: F.concat(F.lit("CA-"), province, F.lit(kind))
-    return (F.when(country == "US", ".")
+    return (F.when(country == "US", TAX_ABROAD)
             .when(isin0(province, GST_ONLY_PROVINCES), code("-GST"))
             .when(isin0(province, HST_ONLY_PROVINCES), code("-HST"))
             .when(isin0(province, HST_PROVINCES) & taxable, code("-HST"))
@@ -195,21 +200,21 @@ def market_sales_orders(orders: DataFrame, home_country: str, as_of: date, taxab
         F.lit(as_of.strftime("%m/%d/%Y")).alias("date"),
         F.date_format(F.to_date(F.split("created_at", " ")[0]), "MM/dd/yyyy").alias("order_date"),
         F.lit((as_of + timedelta(days=1)).strftime("%m/%d/%Y")).alias("ship_by_date"),
-        F.lit("Custom").alias("price_level"), F.col("lineitem_sku").alias("sku"),
+        F.lit(PRICE_LEVEL).alias("price_level"), F.col("lineitem_sku").alias("sku"),
         F.col("lineitem_unit_price").alias("unit_price"), F.col("lineitem_quantity").alias("qty"),
         (F.col("lineitem_total") - F.col("lineitem_total_discount")).alias("amount"),
         province_tax_code(country, F.col("shipping_province"), isin0(sku.category("lineitem_sku"), taxable)).alias("tax_code"),
         F.col("lineitem_total_discount").alias("coupon_discount"), F.col("promotion_detail").alias("order_coupon_code"),
         F.col("shipping").alias("shipping_cost"), F.col("total").alias("order_total"),
-        F.when(~pickup, F.when(F.col("shipping") == 0, "Free shipping over $69").otherwise("Parcel with Tracking"))
+        F.when(~pickup, F.when(F.col("shipping") == 0, SHIP_FREE).otherwise(SHIP_PAID))
         .otherwise(at(pickup_points, F.lit(pickup_default))).alias("shipping_method"),
-        F.when(F.col("payment_method") == "Stripe", "Stripe CAD Allvalue").otherwise("AlphaPay").alias("payment_option"),
+        F.when(F.col("payment_method") == "Stripe", PAY_CARD_ONLINE).otherwise(PAY_WALLET).alias("payment_option"),
         name.alias("shipping_name"), F.concat_ws(" ", "shipping_address1", F.coalesce("shipping_address2", F.lit(""))).alias("shipping_address1"),
         city.alias("shipping_city"), F.col("shipping_province"), country.alias("shipping_country"),
         F.col("shipping_zip").alias("shipping_postal_code"), F.lit(warehouse).alias("warehouse"),
-        F.when(ca, "Canada Post").otherwise("USPS").alias("carrier"),
-        F.when(ca, "Expedited Parcel").otherwise("USPS Priority Mail").alias("shipping_service"),
-        F.when(~pickup, "Standard").otherwise(at(service_points, F.concat_ws(" ", city, F.lit("Pickup")))).alias("service"))
+        F.when(ca, CARRIER_HOME[0]).otherwise(CARRIER_US[0]).alias("carrier"),
+        F.when(ca, CARRIER_HOME[1]).otherwise(CARRIER_US[1]).alias("shipping_service"),
+        F.when(~pickup, SHIP_STANDARD).otherwise(at(service_points, F.concat_ws(" ", city, F.lit("Pickup")))).alias("service"))
 
 
 def returns_adjustment(returns: DataFrame, as_of: date, warehouse: str = "WH-STORE") -> DataFrame:
@@ -218,7 +223,7 @@ def returns_adjustment(returns: DataFrame, as_of: date, warehouse: str = "WH-STO
     text = [F.coalesce(F.col(c), F.lit("")) for c in ("original_order_id", "order_channel", "return_reason", "notes")]
     return todo.select(
         F.lit(as_of.strftime("%m/%d/%Y")).alias("date"), F.col("return_item_sku").alias("item"),
-        F.col("return_qty").alias("adjust_qty_by"), F.when(F.col("exchange_qty").isNull(), "RT").otherwise("EXC").alias("reason_code"),
+        F.col("return_qty").alias("adjust_qty_by"), F.when(F.col("exchange_qty").isNull(), REASON_RETURN).otherwise(REASON_EXCHANGE).alias("reason_code"),
         F.concat_ws(" | ", *text).alias("memo"), F.lit(warehouse).alias("warehouse"),
         F.lit(f"IAR-{as_of:%y%m%d}-1").alias("external_id"))
 
@@ -257,10 +262,10 @@ def pos2_import_orders(items: DataFrame, customers: DataFrame, pickups: Sequence
     return out.select(
         F.regexp_replace("date", "-", "").alias("order_date"),
         F.concat(F.lit(prefix), F.regexp_replace("date", "-", ""), F.lit("-"), F.format_string("%02d", F.col("__no"))).alias("order_number"),
-        F.when(nameless, "Walk-in").otherwise(F.col("__last_name")).alias("last_name"),
+        F.when(nameless, WALK_IN).otherwise(F.col("__last_name")).alias("last_name"),
         F.when(nameless, F.col("location")).otherwise(F.col("__first_name")).alias("first_name"),
         F.regexp_replace("__phone", r"'\+", "").alias("main_phone"), F.col("__email").alias("main_email"),
-        F.when(walk_in, "Walk in customer-Picked").otherwise("").alias("customer_note"), F.lit("CIA").alias("payment_terms"),
+        F.when(walk_in, WALK_IN_NOTE).otherwise("").alias("customer_note"), F.lit(TERMS).alias("payment_terms"),
         F.col("item").alias("sku"), trunc_cents(F.try_divide(money("net_sales"), F.col("qty").cast("decimal(12,2)"))).alias("unit_price"),
         F.col("qty"), where(0, "__address1").alias("shipping_address"), where(1, "__address2").alias("shipping_address_2"),
         where(2, "__city").alias("shipping_city"), where(3, "__state").alias("shipping_state"), F.lit("CA").alias("shipping_country"),

@@ -9,7 +9,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CONSTANT_CATEGORY_PRICES, TAXABLE_CATEGORIES
+from ..constants import (
+    CONSTANT_CATEGORY_PRICES, POS_TAX, POS_TAX_FULL, TAXABLE_CATEGORIES, TAX_FULL,
+)
 from ..functions import sku
 from ..functions.semantics import MONEY, apply_rules, isin0, money_round, not_blank, rlike0
 from ..operators.keys import append_rows, first_per_key, source_order, union_first
@@ -42,7 +44,7 @@ def category_price(web: DataFrame, extra: Sequence[tuple[str, float]] = CONSTANT
 
 
 def tax_rates(category: Column, taxable: Sequence[str]) -> Column:
-    return F.when(isin0(category, taxable), "GST+PST").otherwise("GST")
+    return F.when(isin0(category, taxable), POS_TAX_FULL).otherwise(POS_TAX)
 
 
 def _price_from(df: DataFrame, web: DataFrame, cat_price: DataFrame, key: str, cat: str, measure: str) -> DataFrame:
@@ -62,7 +64,7 @@ def sync_pos_catalog(pos: DataFrame, web: DataFrame, cat_price: DataFrame, rules
     items = first_per_key(pos.filter(not_blank("name")), "name", source_order(pos))
     items = _price_from(items.withColumn("cat", sku.category("name")), web, cat_price, "name", "cat", "sale_price")
     items = regex_lookup(items, rules, "name", "item", "_pos", ["sales"])
-    full = F.when(F.coalesce(F.col("__class") == "full", F.lit(False)), "GST+PST").otherwise("GST")
+    full = F.when(F.coalesce(F.col("__class") == "full", F.lit(False)), POS_TAX_FULL).otherwise(POS_TAX)
     return items.withColumns({
         "price": F.coalesce("sales", "price").cast(MONEY),
         "tax_rates": full if taxable is None else tax_rates(F.col("cat"), taxable),

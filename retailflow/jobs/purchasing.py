@@ -8,7 +8,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import ORDER_REGIONS
+from ..constants import (
+    ORDER_REGIONS, PO_APPROVED, PO_CURRENCY, PO_REGULAR, PO_UNIFORM, PO_VENDOR, TAX_ZERO,
+)
 from ..functions import sku
 from ..functions.semantics import clip0, not_blank, number
 from ..operators.groups import with_group_total
@@ -23,8 +25,8 @@ PURCHASE_ORDER = ("po_type", "category", "season", "ref_no", "warehouse", "vendo
 
 
 def _po_constants(as_of: date, by: str) -> dict[str, Column]:
-    return {"currency": F.lit("CAD"), "order_date": F.lit(as_of.strftime("%m/%d/%Y")), "order_placed_by": F.lit(by),
-            "approval_status": F.lit("APPROVED"), "tax_code": F.lit("CA-Zero")}
+    return {"currency": F.lit(PO_CURRENCY), "order_date": F.lit(as_of.strftime("%m/%d/%Y")), "order_placed_by": F.lit(by),
+            "approval_status": F.lit(PO_APPROVED), "tax_code": F.lit(TAX_ZERO)}
 
 
 def due_date(ship: Column, days: int = 40) -> Column:
@@ -44,7 +46,7 @@ def region_pos(requests: DataFrame, season_start: DataFrame, as_of: date, season
     long = lookup(long, starts, "category", {"due": "due_date"}, unique=True, defaults={"due_date": due_date(F.col("ship_date"))})
     places = F.create_map(*[F.lit(x) for kv in warehouses.items() for x in kv])
     ref = F.concat_ws("-", "po", "region")
-    return long.withColumns({**_po_constants(as_of, by), "po_type": F.lit("Regular"), "season": F.lit(season), "ref_no": ref,
+    return long.withColumns({**_po_constants(as_of, by), "po_type": F.lit(PO_REGULAR), "season": F.lit(season), "ref_no": ref,
                              "external_id": ref, "warehouse": F.try_element_at(places, F.col("region")), "item": F.col("sku")}).select(*PURCHASE_ORDER)
 
 
@@ -69,15 +71,15 @@ def wholesale_po(requests: DataFrame, ref: str, po_type: str, season: str, wareh
     lines = requests.filter(sku.valid("sku", 2) & (F.coalesce("quantity", F.lit(0)) > 0))
     text = _category_text(requests.filter(sku.valid("sku", 2)), "sku").scalar()
     return lines.withColumns({**_po_constants(as_of, by), "po_type": F.lit(po_type), "season": F.lit(season), "ref_no": F.lit(ref),
-                              "external_id": F.lit(ref), "warehouse": F.lit(warehouse), "vendor": F.lit("China"),
+                              "external_id": F.lit(ref), "warehouse": F.lit(warehouse), "vendor": F.lit(PO_VENDOR),
                               "memo": F.lit(f"{po_type} {season}"), "item": F.col("sku"), "due_date": due_date(F.col("ship_date")),
                               "category": text}).select(*PURCHASE_ORDER)
 
 
 def uniform_po(order: DataFrame, ref: str, season: str, warehouse: str, due: date, as_of: date, by: str = "") -> DataFrame:
     lines = order.filter(sku.valid("sku_number", 2) & (F.col("quantity") > 0))
-    return lines.withColumns({**_po_constants(as_of, by), "po_type": F.lit("Daycare Uniforms"), "season": F.lit(season), "ref_no": F.lit(ref),
-                              "external_id": F.lit(ref), "warehouse": F.lit(warehouse), "vendor": F.lit("China"),
+    return lines.withColumns({**_po_constants(as_of, by), "po_type": F.lit(PO_UNIFORM), "season": F.lit(season), "ref_no": F.lit(ref),
+                              "external_id": F.lit(ref), "warehouse": F.lit(warehouse), "vendor": F.lit(PO_VENDOR),
                               "memo": F.lit(f"Uniform order for {season}"), "item": F.col("sku_number"),
                               "due_date": F.lit(due.strftime("%m/%d/%Y")), "category": _category_text(lines, "sku_number").scalar()}).select(*PURCHASE_ORDER)
 

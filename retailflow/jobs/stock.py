@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import REASON_COUNT, STATUS_SHIPPED, STATUS_SYNCED
 from ..functions import sku
 from ..functions.semantics import MONEY, apply_rules, clip0, isin0, rlike0, safe_div
 from ..operators.keys import densify, first_per_key, source_order, upsert_status
@@ -46,7 +47,7 @@ def inventory_adjustment(pos: DataFrame, erp: DataFrame, warehouse: str, as_of:
     out = lookup(counted, here, "name", {"warehouse_available": "__erp"}, unique=True)
     out = out.withColumn("adjust_qty_by", (F.col("quantity") - F.col("__erp")).cast("int")).filter(F.col("adjust_qty_by") != 0)
     return out.select(
-        _date(as_of).alias("date"), F.col("name").alias("item"), "adjust_qty_by", F.lit("CC").alias("reason_code"),
+        _date(as_of).alias("date"), F.col("name").alias("item"), "adjust_qty_by", F.lit(REASON_COUNT).alias("reason_code"),
         F.lit("Good").alias("status"), F.lit(memo).alias("memo"), F.lit(warehouse).alias("warehouse"),
         F.lit(f"{prefix}-{as_of:%y%m%d}-{suffix}").alias("external_id"))
 
@@ -54,7 +55,7 @@ def inventory_adjustment(pos: DataFrame, erp: DataFrame, warehouse: str, as_of:
 def stock_upload(stock: DataFrame, warehouse: str, as_of: date, memo: str = "Inventory Upload") -> DataFrame:
     """First stock of a warehouse as adjustments: every item with stock, upper-case name."""
     return stock.filter(F.col("warehouse_available") > 0).select(
-        _date(as_of).alias("date"), F.upper("name").alias("item"), F.col("warehouse_available").alias("adjust_qty_by"), F.lit("CC").alias("reason_code"),
+        _date(as_of).alias("date"), F.upper("name").alias("item"), F.col("warehouse_available").alias("adjust_qty_by"), F.lit(REASON_COUNT).alias("reason_code"),
         F.lit(memo).alias("memo"), F.lit(warehouse).alias("warehouse"), F.lit(f"IAC-{as_of:%y%m%d}-1").alias("external_id"))
 
 
@@ -184,7 +185,7 @@ def tpl_log_rows(orders: DataFrame) -> DataFrame:
 
 def tpl_upsert(log: DataFrame, synced: DataFrame, shipped: DataFrame) -> DataFrame:
     """Log with the status of known orders changed and unknown orders appended."""
-    return upsert_status(log, "order_id", "status", [(tpl_log_rows(synced), "Synced"), (tpl_log_rows(shipped), "Shipped")])
+    return upsert_status(log, "order_id", "status", [(tpl_log_rows(synced), STATUS_SYNCED), (tpl_log_rows(shipped), STATUS_SHIPPED)])
 
 
 def tpl_split_orders(orders: DataFrame) -> DataFrame:

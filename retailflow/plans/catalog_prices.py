@@ -191,13 +191,13 @@ def _(t):
 
 
 @query("listing_gaps", f"""
-    WITH {LISTING}, cd AS (SELECT DISTINCT cat FROM s_sku WHERE cat < 'B20')
+    WITH {LISTING}, cd AS (SELECT DISTINCT cat FROM s_sku WHERE cat NOT IN ('B3', 'B8'))
     SELECT 'category' AS kind, item_category_sku AS key FROM cand WHERE item_category_sku NOT IN (SELECT cat FROM cd) GROUP BY 2
     UNION ALL SELECT 'spu', item_category_sku || '-' || item_print_sku FROM cand
       WHERE item_category_sku || '-' || item_print_sku NOT IN (SELECT spu FROM d) AND item_category_sku || '-' || item_print_sku IN (SELECT {cat('sku')} || '-' || split_part(sku, '-', 2) FROM s_web) GROUP BY 2""")
 def _(t):
     _, descr, _, cand = _listing(t)
-    texts = t.s_sku.filter("cat < 'B20'").select("cat").distinct().withColumns({c: F.lit("") for c in ("product_name", "description", "categories")})
+    texts = t.s_sku.filter("cat NOT IN ('B3', 'B8')").select("cat").distinct().withColumns({c: F.lit("") for c in ("product_name", "description", "categories")})
     a = pricing.missing_category_texts(cand, texts).select(F.lit("category").alias("kind"), F.col("cat").alias("key"))
     return a.unionByName(pricing.missing_spu_texts(cand, descr, t.s_web, texts).select(F.lit("spu").alias("kind"), F.col("spu").alias("key")))
 
@@ -229,14 +229,13 @@ def _(t):
 
 
 @query("apply_movements", """
-    WITH m AS (SELECT k.sku AS item, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END)::BIGINT AS q FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey
-               WHERE l_linenumber = 1 GROUP BY 1),
+    WITH m AS (SELECT k.sku AS item, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END)::BIGINT AS q FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey GROUP BY 1),
     n AS (SELECT k.sku AS item, count(*) AS q FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey WHERE l_returnflag = 'A' GROUP BY 1)
     SELECT p.name, greatest(coalesce(p.quantity, 0), 0) + coalesce(m.q, 0) - coalesce(n.q, 0) AS quantity
     FROM s_pos p LEFT JOIN m ON m.item = p.name LEFT JOIN n ON n.item = p.name""")
 def _(t):
     lines = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, {"sku": "item"}, unique=True)
-    received = lines.filter("l_linenumber = 1").select("item", F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0).alias("quantity"))
+    received = lines.select("item", F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0).alias("quantity"))
     sold = lines.filter("l_returnflag = 'A'").select("item", F.lit(1).alias("quantity"))
     out = stock.apply_movements(t.s_pos.select("name", "quantity"), received, 1, clip=True)
     return stock.apply_movements(out, sold, -1)
@@ -325,8 +324,8 @@ def _(t):
 
 
 @query("stock_discrepancy", """
-    WITH l AS (SELECT k.sku, l_returnflag AS f, l_linenumber AS n FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey),
-    a AS (SELECT sku, sum(CASE WHEN f = 'A' THEN 1 ELSE 0 END)::BIGINT AS i, sum(CASE WHEN f = 'R' AND n < 3 THEN 1 ELSE 0 END)::BIGINT AS o, sum(CASE WHEN f = 'N' THEN 1 ELSE 0 END)::BIGINT AS s FROM l GROUP BY 1),
+    WITH l AS (SELECT k.sku, l_returnflag AS f FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey),
+    a AS (SELECT sku, sum(CASE WHEN f = 'A' THEN 1 ELSE 0 END)::BIGINT AS i, sum(CASE WHEN f = 'R' THEN 1 ELSE 0 END)::BIGINT AS o, sum(CASE WHEN f = 'N' THEN 1 ELSE 0 END)::BIGINT AS s FROM l GROUP BY 1),
     x AS (SELECT e.name, e.warehouse_available AS quantity, coalesce(greatest(coalesce(p.quantity, 0), 0), 0)::BIGINT AS start, coalesce(a.i, 0) AS moved_in, coalesce(a.o, 0) AS moved_out, coalesce(a.s, 0) AS sold
           FROM s_erp e LEFT JOIN s_pos p ON p.name = e.name LEFT JOIN a ON a.sku = e.name WHERE e.inventory_warehouse = 'WH-STORE')
     SELECT *, quantity - (start + moved_in - moved_out - sold) AS discrepancy FROM x WHERE quantity - (start + moved_in - moved_out - sold) < -3 OR quantity - (start + moved_in - moved_out - sold) > 5""")
@@ -334,7 +333,7 @@ def _(t):
     lines = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, {"sku": "item"}, unique=True).withColumn("quantity", F.lit(1))
     start = stock.clean_pos(t.s_pos).select("name", "quantity")
     end = stock.warehouse_stock(t.s_erp, "WH-STORE").select("name", F.col("warehouse_available").alias("quantity"))
-    return stock.stock_discrepancy(start, end, lines.filter("l_returnflag = 'A'"), lines.filter("l_returnflag = 'R' AND l_linenumber < 3"), lines.filter("l_returnflag = 'N'"))
+    return stock.stock_discrepancy(start, end, lines.filter("l_returnflag = 'A'"), lines.filter("l_returnflag = 'R'"), lines.filter("l_returnflag = 'N'"))
 
 
 @query("tpl_diff", """

@@ -128,16 +128,16 @@ def _(t):
 
 @query("upsert_log", """
     WITH log AS (SELECT o_orderkey AS k, o_orderpriority AS status FROM orders WHERE o_orderstatus = 'O'),
-         a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linenumber = 1),
-         b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linenumber = 2)
+         a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A'),
+         b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R')
     SELECT log.k, CASE WHEN a.k IS NOT NULL THEN 'Synced' WHEN b.k IS NOT NULL THEN 'Shipped' ELSE log.status END AS status
     FROM log LEFT JOIN a ON a.k = log.k LEFT JOIN b ON b.k = log.k
     UNION ALL SELECT k, 'Synced' FROM a WHERE k NOT IN (SELECT k FROM log)
     UNION ALL SELECT k, 'Shipped' FROM b WHERE k NOT IN (SELECT k FROM log)""")
 def _(t):
     log = t.orders.filter("o_orderstatus = 'O'").selectExpr("o_orderkey AS k", "o_orderpriority AS status")
-    batch = lambda n: t.lineitem.filter(F.col("l_linenumber") == n).select(F.col("l_orderkey").alias("k"))
-    return keys.upsert_status(log, "k", "status", [(batch(1), "Synced"), (batch(2), "Shipped")])
+    batch = lambda f: t.lineitem.filter(F.col("l_returnflag") == f).select(F.col("l_orderkey").alias("k"))
+    return keys.upsert_status(log, "k", "status", [(batch("A"), "Synced"), (batch("R"), "Shipped")])
 
 
 @query("calendar_fill", """

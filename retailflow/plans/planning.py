@@ -169,12 +169,12 @@ def _(t):
 
 
 @query("reorder_gap", f"""
-    WITH {DEMAND}, p AS (SELECT item, sum(quantity - coalesce(quantity_on_shipments, 0)) AS po_remain FROM s_po WHERE warehouse = 'WH-STORE' AND quantity < 40 GROUP BY 1 HAVING sum(quantity - coalesce(quantity_on_shipments, 0)) > 0),
+    WITH {DEMAND}, p AS (SELECT item, sum(quantity - coalesce(quantity_on_shipments, 0)) AS po_remain FROM s_po WHERE warehouse = 'WH-STORE' GROUP BY 1 HAVING sum(quantity - coalesce(quantity_on_shipments, 0)) > 0),
     a AS (SELECT *, cast(trunc(s3 / nullif(r3, 0) * r4) as int) AS need FROM base)
     SELECT adjust_msku, cat, seasons, s3 AS sales_last3m, need, stock, coalesce(po_remain, 0.0) AS po_remain, need - stock - coalesce(po_remain, 0.0) AS gap
     FROM a LEFT JOIN p ON p.item = adjust_msku WHERE need - stock - coalesce(po_remain, 0.0) > 0""")
 def _(t):
-    return demand.reorder_gap(_last12(t), t.s_inv, t.s_master, t.s_ratio, t.s_po.filter("quantity < 40"), MONTH, CHANNELS, "WH-STORE")
+    return demand.reorder_gap(_last12(t), t.s_inv, t.s_master, t.s_ratio, t.s_po, MONTH, CHANNELS, "WH-STORE")
 
 
 @query("to_inactivate", """

@@ -181,7 +181,7 @@ STANDINS: dict[str, str] = {
         FROM (SELECT l_suppkey % 10 AS s, l_partkey, cast(sum(l_quantity) as double) AS quantity,
                      cast(sum(case when l_linestatus = 'F' then l_quantity / 2 end) as double) AS quantity_on_shipments,
                      cast(sum(case when l_linenumber = 1 then l_quantity else 0 end) as double) AS quantity_fulfilled_received
-              FROM lineitem WHERE l_returnflag <> 'A' AND l_suppkey % 10 < 8 GROUP BY 1, 2) l
+              FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1, 2) l
         JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_request": """
         SELECT 'P' || cast(l.s50 as string) AS po, k.cat AS category, 'F' || cast(l.s3 as string) AS vendor, 'P' || cast(l.s50 as string) || ' - ' || k.cat AS memo, k.sku,
@@ -202,7 +202,7 @@ STANDINS: dict[str, str] = {
                case when user_id % 5 % 2 = 0 and event_id % 3 = 0 then cast(event_id as string) end AS ctn_no,
                case when user_id % 5 % 2 = 1 and event_id % 3 = 0 then cast(event_id % 40 as int) end AS ctn_start,
                case when user_id % 5 % 2 = 1 and event_id % 3 = 0 then cast(event_id % 40 + k % 4 as int) end AS ctn_end,
-               case when event_id % 4 = 0 then 'P' || cast(user_id % 10 as string) end AS po, s.sku || case when event_id % 9 = 0 then '-V1' else '' end AS sku,
+               case when event_id % 4 = 0 then 'P' || cast(user_id % 12 as string) end AS po, s.sku || case when event_id % 9 = 0 then '-V1' else '' end AS sku,
                case when event_id % 5 = 0 then '25F' end AS season, cast(k % 12 + 1 as double) AS qty_shipped, cast(k % 6 + 1 as double) AS qty_per_box,
                case when k % 3 = 0 then '0.' || cast(100 + k as string) else cast(200 + k as string) end AS unit_weight, cast(k % 9 as double) + 2.25 AS gross_weight_per_ctn
         FROM s_event e JOIN s_sku s ON s.p_partkey = e.k""",

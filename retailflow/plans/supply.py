@@ -75,8 +75,8 @@ def _(t):
 
 
 NEW_SKU = f"""{WEB}, {CATS}, m AS (SELECT msku AS sku, item_name, category_sku AS c, CASE WHEN length(size) % 2 = 0 THEN size || 'M' ELSE size END AS size, upc_active, seasons FROM s_master),
-    dims AS (SELECT c, cast(z as varchar) || 'T' AS size, z + 0.125 AS l, z * 0.5 AS w FROM (SELECT DISTINCT cat AS c FROM s_sku WHERE cat < 'B2'), (SELECT unnest(generate_series(1, 39)) AS z)
-      UNION ALL SELECT c, cast(z as varchar), z + 0.125, z * 0.5 FROM (SELECT DISTINCT cat AS c FROM s_sku WHERE cat < 'B2'), (SELECT unnest(generate_series(1, 39)) AS z))"""
+    dims AS (SELECT c, cast(z as varchar) || 'T' AS size, z + 0.125 AS l, z * 0.5 AS w FROM (SELECT DISTINCT cat AS c FROM s_sku), (SELECT unnest(generate_series(1, 39)) AS z)
+      UNION ALL SELECT c, cast(z as varchar), z + 0.125, z * 0.5 FROM (SELECT DISTINCT cat AS c FROM s_sku), (SELECT unnest(generate_series(1, 39)) AS z))"""
 
 
 @query("tpl_new_skus", f"""
@@ -88,7 +88,7 @@ NEW_SKU = f"""{WEB}, {CATS}, m AS (SELECT msku AS sku, item_name, category_sku A
 def _(t):
     priced = pricing.effective_price(t.s_web, NOW)
     m = t.s_master.withColumn("size", F.when(F.length("size") % 2 == 0, F.concat("size", F.lit("M"))).otherwise(F.col("size")))
-    cats = t.s_sku.filter("cat < 'B2'").select("cat").distinct()
+    cats = t.s_sku.select("cat").distinct()
     z = cats.select("cat", F.explode(F.sequence(F.lit(1), F.lit(39))).alias("z"))
     dims = z.select(
         (F.substring("cat", 2, 5).cast("bigint") * 100 + F.col("z")).alias("_pos"), F.when(F.col("z") == 1, F.concat("cat", F.lit("(all)"))).alias("category"),
@@ -162,13 +162,13 @@ def _(t):
     return _boxes(t).withColumnRenamed("_box_seq", "box_seq")
 
 
-WEIGHTS = """manual AS (SELECT DISTINCT cat AS category, size, cast(150 + p_size as double) AS unit_weight FROM s_sku WHERE p_size % 2 = 0),
-    wt AS (SELECT * FROM manual UNION ALL SELECT DISTINCT cat, size, round_even(180.4 + p_size * 0.2, 0) FROM s_sku WHERE p_size % 3 <> 0 AND (cat, size) NOT IN (SELECT (category, size) FROM manual))"""
+WEIGHTS = """manual AS (SELECT DISTINCT cat AS category, size, cast(150 + p_size as double) AS unit_weight FROM s_sku WHERE p_size <= 25),
+    wt AS (SELECT * FROM manual UNION ALL SELECT DISTINCT cat, size, round_even(180.4 + p_size * 0.2, 0) FROM s_sku WHERE p_size >= 10 AND p_size < 45 AND (cat, size) NOT IN (SELECT (category, size) FROM manual))"""
 
 
 def _weights(t):
-    manual = t.s_sku.filter("p_size % 2 = 0").select(F.col("cat").alias("category"), "size", (F.col("p_size") + 150).cast("double").alias("unit_weight")).distinct()
-    log = t.s_sku.filter("p_size % 3 <> 0").select(F.col("cat").alias("category"), "size", (F.lit(180.4) + F.col("p_size") * F.lit(0.2)).alias("sample_weight_g")).distinct()
+    manual = t.s_sku.filter("p_size <= 25").select(F.col("cat").alias("category"), "size", (F.col("p_size") + 150).cast("double").alias("unit_weight")).distinct()
+    log = t.s_sku.filter("p_size >= 10 AND p_size < 45").select(F.col("cat").alias("category"), "size", (F.lit(180.4) + F.col("p_size") * F.lit(0.2)).alias("sample_weight_g")).distinct()
     return inbound.unit_weight(manual, log)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from retailflow import schemas
 from retailflow.constants import PROVINCE_CODES
+from retailflow.operators.reshape import calendar
 from retailflow.jobs import clearance, customers, demand, inbound, ledger, orders, pricing, purchasing, reports, stock
 
 
@@ -200,6 +201,6 @@ def test_winter_bins_stay_inside_their_subset(spark):
 
 def test_store_day_without_sales_is_zero(spark):
     pay = table(spark, "pos_payment", [dict(payment_date="02-Jan-2024 10:00", amount=5, result="SUCCESS"), dict(payment_date="07-Jan-2024 10:00", amount=7, result="SUCCESS"), dict(payment_date="03-Jan-2024", amount=0, result="SUCCESS")])
-    days = __import__("retailflow.operators.reshape", fromlist=["calendar"]).calendar(spark, date(2024, 1, 1), date(2024, 1, 8), closed=[date(2024, 1, 1)])
+    days = calendar(spark, date(2024, 1, 1), date(2024, 1, 8), closed=[date(2024, 1, 1)])
     got = {r["date"].day: int(r["amount"]) for r in reports.daily_sales(reports.store_payments(pay), days).collect()}
     assert got == {2: 5, 3: 0, 4: 0, 5: 0, 6: 0, 7: 7, 8: 0}
