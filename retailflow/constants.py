@@ -80,3 +80,7 @@ PO_CURRENCY = "CAD"
 PO_APPROVED = "APPROVED"
 STATUS_SYNCED = "Synced"
 STATUS_SHIPPED = "Shipped"
+
+# Wholesale marketplace: sales rep label and country labels of its orders.
+WHOLESALE_MARKET = "Faire"
+WHOLESALE_MARKET_COUNTRIES = {"United States": "US-Faire", "Canada": "CA"}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
-    CONSTANT_CATEGORY_PRICES, POS_TAX, POS_TAX_FULL, TAXABLE_CATEGORIES, TAX_FULL,
+    CONSTANT_CATEGORY_PRICES, POS_TAX, POS_TAX_FULL, TAXABLE_CATEGORIES,
 )
 from ..functions import sku
 from ..functions.semantics import MONEY, apply_rules, isin0, money_round, not_blank, rlike0

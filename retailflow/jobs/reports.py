@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CHANNEL_MARKERS, EAST_PROVINCES, PROVINCE_CODES
+from ..constants import CHANNEL_MARKERS, EAST_PROVINCES, PROVINCE_CODES, WHOLESALE_MARKET, WHOLESALE_MARKET_COUNTRIES
 from ..functions import sku
 from ..functions.semantics import excel_date, isin0, map_column, money_round, not_blank, number, parse_date, safe_div
 from ..operators.groups import share_of
@@ -58,7 +58,7 @@ def _dated(df: DataFrame, serial: str) -> DataFrame:
     return df.withColumn("date", excel_date(serial)).withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
-def unify_wholesale(a: DataFrame, b: DataFrame, c: DataFrame, years: Sequence[int], rep_c: str = "Faire") -> DataFrame:
+def unify_wholesale(a: DataFrame, b: DataFrame, c: DataFrame, years: Sequence[int], rep_c: str = WHOLESALE_MARKET) -> DataFrame:
     """Three invoice layouts in one; marketplace lines (layout c) are summed to orders."""
     first = _dated(a, "date").select(
         F.col("so_ref_number").alias("ref_no"), "date", "year", "month", "sales_rep", F.col("currency_code").alias("currency"),
@@ -73,7 +73,7 @@ def unify_wholesale(a: DataFrame, b: DataFrame, c: DataFrame, years: Sequence[in
         "shipping_cost", F.coalesce("amount_discount", F.lit(0)).alias("amount_discount"), F.col("tax_total").alias("tax"),
         F.col("total_qty_r").alias("total_qty"), F.col("country_code").alias("country"), F.col("state_province").alias("state"),
         "customer_name", "email")
-    country = map_column("country", {"United States": "US-Faire", "Canada": "CA"})
+    country = map_column("country", WHOLESALE_MARKET_COUNTRIES)
     third = _dated(c.groupBy("order_number").agg(
         F.min("order_date").alias("date"), F.sum("wholesale_price").alias("total_amount"), F.sum("quantity").alias("total_qty"),
         F.min("country").alias("country"), F.min("state").alias("state"), F.min("retailer_name").alias("customer_name")), "date")
