@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, token_file
+from . import bpe, graph_search, mixing, sharding, token_file, topk_search
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.tokens_of(spark, table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@query("op3_graph_neighbours")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
@@ -51,6 +56,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op8_pivot_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::bigint AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
+SELECT query_id, rank::int AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
