@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, graph_search, mixing, sharding, token_file, topk_search
+from . import bpe, graph_search, language, mixing, sharding, token_file, topk_search
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
 
 
+@query("op4_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.remainder(F.col("doc_id")) == 0
+    model = language.learn(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
