@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, graph_search, language, mixing, sharding, token_file, topk_search
+from . import bpe, graph_search, html_text, language, mixing, sharding, token_file, topk_search
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
