@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, graph_search, html_text, language, mixing, sharding, token_file, topk_search
+from . import bpe, graph_search, html_text, language, mixing, near_dup, sharding, token_file, topk_search
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n_words=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op8_pivot_topk", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) AS q FROM embeddings
