@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, graph_search, html_text, language, mixing, near_dup, sharding, token_file, topk_search
+from . import bpe, graph_search, html_text, language, mixing, near_dup, sharding, suffix_dedup, token_file, topk_search
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.tokens_of(spark, table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op3_graph_neighbours")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
