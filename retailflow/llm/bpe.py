@@ -313,17 +313,21 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, content binary")
 
 
-def round_trip(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, number of ids, sha256 of the ids (little-endian unsigned 32-bit) and of the bytes they decode to."""
+def round_trip(documents: DataFrame, ranks: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, number of ids, sha256 of the ids (little-endian unsigned 32-bit) and of the bytes they decode to; the ids, if asked for."""
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+
     def run(batches):
         for batch in batches:
             for lo, hi, texts in _texts(batch, 1):
                 own = encoder(ranks, pattern)
                 raw = own.encode_batch(texts)
-                back = [own.vocabulary.decode(np.frombuffer(r, "<u4")) if r else b"" for r in raw]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array([len(r) // 4 for r in raw], pa.int64()),
-                     pa.array([hashlib.sha256(r).hexdigest() for r in raw]), pa.array([hashlib.sha256(b).hexdigest() for b in back])],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                back = [hashlib.sha256(own.vocabulary.decode(np.frombuffer(r, "<u4")) if r else b"").hexdigest() for r in raw]
+                out = [batch.column(0).slice(lo, hi - lo), pa.array([len(r) // 4 for r in raw], pa.int64()),
+                       pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()), pa.array(back, pa.string())]
+                if with_ids:
+                    ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
+                    out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4"))))
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(out)])
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

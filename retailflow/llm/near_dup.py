@@ -133,7 +133,7 @@ def _links(documents: DataFrame, reps: DataFrame, pairs: DataFrame, n_words: int
 
 
 def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept of every row (doc_id, text)."""
+    """doc_id, text_hash, n_shingles, component (null for the empty set), component_id, kept of every row (doc_id, text)."""
     ready(documents.sparkSession)
     signed = written(_keyed(documents).mapInArrow(_sign(n_words), SIGNED), "signed")
     nodes = signed.where(F.col("node").isNotNull())
@@ -175,7 +175,21 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -
     # the smallest doc_id of a class, or of all classes of its component
     named = reps.select("node", "least").join(joined, "node", "left")
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("together"))
-    named = named.join(least, "component", "left").select("node", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("together")).alias("component_id"))
+    named = named.join(least, "component", "left").select(
+        "node", F.coalesce("component", "node").alias("component"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("together")).alias("component_id"))
     out = signed.select("doc_id", "text_hash", "n_shingles", "node").join(named, "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", "component", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(documents: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents of which one row of every component stays, the first by (doc_id, hash of text), and all without words.
+
+    Of rows with the same doc_id and text one stays.
+    """
+    found = near_duplicates(documents, n_words, percent).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash", "component", "kept")
+    chosen = (found.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("key"))
+              .select(F.col("key.id").alias("_id"), F.col("key.text_hash").alias("_hash")))
+    alone = found.where("component IS NULL").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    keyed = documents.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64("text")})
+    return keyed.join(written(chosen.union(alone), "kept"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select(*documents.columns)
