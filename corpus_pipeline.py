@@ -8,8 +8,8 @@ A stage takes (spark, docs, sf_dir) and returns documents; the last returns thei
 4. mix: documents in whole repeats and parts, so that sources reach their targets; a document may be two rows.
 5. token ids: byte-level BPE, decoded again.
 
-Each stage defines null, empty, long and repeated rows in its operator; a column that clashes with a result's name is
-replaced.  An empty table passes all stages empty.
+Each stage defines null, empty, long and repeated rows in its operator; other columns pass
+through unchanged whatever their names (n_chars follows the text).  An empty table passes all stages empty.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ LEAST_SHARE = 0.35
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.identify(docs, language.learn(docs.select("doc_id", "text", "lang")))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    model = language.learn(docs.select("doc_id", "text", "lang"))
+    found = language.identify(docs.select(F.struct("*").alias("row"), "text"), model)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,7 +60,7 @@ ARTICLE_NAME = frozenset("article content post entry story main article-body art
 _TAG = re.compile(r"""<!--(?:.*?--!?>|.*)|<[!?][^>]*>|</[a-zA-Z][^>]*>|<[a-zA-Z](?>[^'">]+|"[^"]*"|'[^']*')*+>|<[a-zA-Z][^<>]*>""", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{2,}")  # numbers of posts and the like
 
 
 class Page:
@@ -187,8 +187,8 @@ class Page:
             own[self.parent[i]] += own[i]
         main = self._chosen(own)
         inside = [False] * n
-        for i in range(n):
-            inside[i] = self.role[i] == self.role[main] or i > 0 and inside[self.parent[i]]
+        for i in range(n):  # with the article all of its role: a text may come in several
+            inside[i] = i == main or self.named[i] and self.role[i] == self.role[main] or i > 0 and inside[self.parent[i]]
         return [text for node, text in self.blocks if inside[node] and (not fixed or (self.role[node], (xxhash.xxh64_intdigest(text) >> 1) or 1) not in fixed)]
 
     def _chosen(self, own: list[float]) -> int:
@@ -259,12 +259,10 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (url, html and others) with ``text`` and ``n_chars`` (code points)."""
     ready(pages.sparkSession)
-    kept = [c for c in pages.columns if c not in ("host", "text", "n_chars")]
-    named = pages.select(*kept, _host(pages).alias("host"))
-    template = written(templates(named.select("host", F.xxhash64(*[F.col(c) for c in ("page_id", "url", "html") if c in kept]).alias("page"), "html")), "templates")
-    joined = named.join(template, "host", "left").drop("host")
-    passed = [c for c in kept if c != "html"]
-    schema = T.StructType([*(pages.schema[c] for c in passed), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    passed = [c for c in pages.columns if c not in ("html", "host", "text", "n_chars")]
+    rows = pages.select(F.struct(*passed).alias("_row"), F.xxhash64(*passed, "html").alias("page"), _host(pages).alias("host"), "html")
+    template = written(templates(rows.select("host", "page", "html")), "templates")
+    joined = rows.drop("page").join(template, "host", "left").drop("host")
 
     def run(batches):
         for batch in batches:
@@ -272,7 +270,7 @@ def extract(pages: DataFrame) -> DataFrame:
             for source, data, fixed in zip(batch.column("html"), batch.column("data"), batch.column("fixed")):
                 page = Page(source.as_py() or "")
                 texts.append("\n".join(page.article({d["role"]: d["share"] for d in data.as_py() or ()}, {(f["role"], f["words"]) for f in fixed.as_py() or ()})))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
-                                             [*passed, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["_row", "text", "n_chars"])
 
-    return joined.mapInArrow(run, schema)
+    schema = T.StructType([rows.schema["_row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    return joined.mapInArrow(run, schema).select("_row.*", "text", "n_chars")

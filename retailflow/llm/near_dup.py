@@ -191,5 +191,5 @@ def one_of_each(documents: DataFrame, n_words: int = 5, percent: int = 80) -> Da
     chosen = (found.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("key"))
               .select(F.col("key.id").alias("_id"), F.col("key.text_hash").alias("_hash")))
     alone = found.where("component IS NULL").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    keyed = documents.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64("text")})
-    return keyed.join(written(chosen.union(alone), "kept"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select(*documents.columns)
+    keyed = documents.select(F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_hash"))
+    return keyed.join(written(chosen.union(alone), "kept"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("_row.*")

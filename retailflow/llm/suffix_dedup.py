@@ -254,7 +254,7 @@ def _contexts(batches):
     names = ["bucket", "gram", "context", "many", "starts", "content"]
     for batch in batches:
         out, size = [], 0
-        for text, asked in zip(batch.column("text"), batch.column("asked")):
+        for text, asked in zip(_text(batch), batch.column("asked")):
             if not asked.is_valid:
                 continue
             raw = text.as_buffer()
@@ -333,16 +333,18 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _marked(documents: DataFrame) -> DataFrame:
-    """``documents`` (text and others, keys _id and _hash) with ``spans``: runs (first, last) of windows that repeat."""
+    """``documents`` (a struct _row with the text, keys _id and _hash) with ``spans``: runs (first, last) of windows that repeat."""
     key = ["_id", "_hash"]
-    grams = documents.select("text").mapInArrow(_found(False), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    rows = documents.select(*key, "text").mapInArrow(_found(True), "gram long, context long, _id long, _hash int, lo int, more int")
+    text = F.col("_row.text").alias("text")
+    grams = documents.select(text).mapInArrow(_found(False), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    rows = documents.select(*key, text).mapInArrow(_found(True), "gram long, context long, _id long, _hash int, lo int, more int")
     live = written(rows.join(grams, "gram", "left_semi"), "anchors")
     contexts = written(live.groupBy("gram", "context").agg(
         (F.count("*") > 1).alias("many"), *[F.first(c).alias(c) for c in (*key, "lo", "more")]), "contexts")
     crowds = written(contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD), "crowds")
     asked = (contexts.join(crowds, "gram", "left").withColumn("parts", F.coalesce(F.ceil(F.col("n") / CROWD), F.lit(1)).cast("int"))
              .groupBy(*key).agg(F.collect_list(F.struct("gram", "context", "many", "lo", "more", "parts")).alias("asked")))
+    # left joins on both uses of the documents: they share one exchange of the texts
     dealt = (documents.join(asked, key, "left")
              .mapInArrow(_contexts, "bucket long, gram long, context long, many boolean, starts array<int>, content binary")
              .repartition("bucket").sortWithinPartitions("bucket"))
@@ -354,7 +356,16 @@ def _marked(documents: DataFrame) -> DataFrame:
 
 def _with_keys(documents: DataFrame, keep: list[str]) -> DataFrame:
     ready(documents.sparkSession)
-    return documents.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), (F.xxhash64("text") % (1 << 31)).cast("int").alias("_hash"))
+    return documents.select(F.struct(*keep).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
+                            (F.xxhash64("text") % (1 << 31)).cast("int").alias("_hash"))
+
+
+def _text(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column("_row").field("text")
+
+
+def _raw(text: pa.Scalar) -> bytes:
+    return text.as_buffer().to_pybytes() if text.is_valid else b""
 
 
 def repeats(documents: DataFrame) -> DataFrame:
@@ -362,9 +373,8 @@ def repeats(documents: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text"), batch.column("spans")):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                runs = removed(spans.as_py())
+            for text, spans in zip(_text(batch), batch.column("spans")):
+                raw, runs = _raw(text), removed(spans.as_py())
                 out.append((len(raw), sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept_bytes(raw, runs)).hexdigest()))
             ids = [None if i == NO_ID else i for i in batch.column("_id").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([r[i] for r in out], k) for i, k in enumerate([pa.int64()] * 3 + [pa.string()]))],
@@ -374,15 +384,13 @@ def repeats(documents: DataFrame) -> DataFrame:
 
 def cleaned(documents: DataFrame) -> DataFrame:
     """``documents`` without the repeated bytes; a character cut in two goes.  ``n_chars``, if there, follows the text."""
-    keep = documents.columns
-
     def run(batches):
         for batch in batches:
-            texts = [None if not t.is_valid else kept_bytes(t.as_buffer().to_pybytes(), removed(s.as_py())).decode(errors="ignore") if s.is_valid else t.as_py()
-                     for t, s in zip(batch.column("text"), batch.column("spans"))]
-            new = {"text": pa.array(texts, pa.string())}
-            if "n_chars" in keep:
-                new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) if c in new else batch.column(c) for c in keep], keep)
-
-    return _marked(_with_keys(documents, keep)).mapInArrow(run, T.StructType(list(documents.schema.fields)))
+            texts = [None if not t.is_valid else kept_bytes(_raw(t), removed(s.as_py())).decode(errors="ignore") if s.is_valid else t.as_py()
+                     for t, s in zip(_text(batch), batch.column("spans"))]
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], ["_row", "_left"])
+
+    rows = _with_keys(documents, documents.columns)
+    left = _marked(rows).mapInArrow(run, T.StructType([rows.schema["_row"], T.StructField("_left", T.StringType())]))
+    new = {"text": F.col("_left"), "n_chars": F.length("_left")}
+    return left.select(*(new[f.name].cast(f.dataType).alias(f.name) if f.name in new else F.col("_row")[f.name].alias(f.name) for f in documents.schema.fields))
