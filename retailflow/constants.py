@@ -54,6 +54,7 @@ PAY_CARD_ONLINE = "Stripe CAD Allvalue"
 CLASS_HOME = "FBM : CA"
 CLASS_MARKET = "FBM : CN"
 PRICE_LEVEL = "Custom"
+MARKET_CARRIER = "Longxing"
 TAX_FEDERAL = "CA-BC-GST"
 TAX_FULL = "CA-BC-TAX"
 TAX_ABROAD = "."

@@ -44,10 +44,13 @@ def ambiguous_contacts(contacts: DataFrame) -> DataFrame:
 
 
 def named_emails(customers: DataFrame) -> DataFrame:
-    """One row per e-mail, then one per name: the simple contact table of the points and report jobs."""
+    """One row per e-mail, then one per name: the simple contact table of the points and report jobs.
+
+    An e-mail belongs to the first customer that has it; if that one has no name, to nobody.
+    """
     order = source_order(customers)
-    named = customers.withColumn("name", full_name()).filter((F.trim("name") != "") & not_blank("email_address"))
-    return first_per_key(first_per_key(named, "email_address", order), "name", order)
+    once = first_per_key(customers.withColumn("name", full_name()), "email_address", order)
+    return first_per_key(once.filter((F.trim("name") != "") & not_blank("email_address")), "name", order)
 
 
 def union_customers(pos: DataFrame, pos2: DataFrame, card: DataFrame) -> DataFrame:

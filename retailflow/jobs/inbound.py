@@ -67,9 +67,9 @@ def resolve_po(lines: DataFrame, po: DataFrame, suffix: str = "-CA") -> DataFram
 
 
 def collapse_shipment(lines: DataFrame, order=("_pos", "_box_seq")) -> DataFrame:
-    """One row per (purchase order, item): quantity and the list of boxes (cut at 299 characters beyond 300)."""
+    """One row per (purchase order, item): quantity and the list of all its boxes."""
     rows = lines.withColumn("item", sku.unversioned("sku"))
-    return collapse(rows, ["po_ref", "item"], list(order), " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"}, longest=300)
+    return collapse(rows, ["po_ref", "item"], list(order), " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"})
 
 
 def over_received(ship: DataFrame, open_po: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def split_over_receipt(ship: DataFrame, open_po: DataFrame, shipment: str, over_
         F.struct(F.lit(f"Over.{shipment}").alias("po_ref"), F.greatest(F.col("quantity") - open_qty, F.lit(0.0)).alias("quantity"), F.lit(over_po).alias("document")))
     rows = out.select("item", "box_no", F.explode(parts).alias("p")).select("item", "box_no", "p.*").filter(F.col("quantity") != 0)
     # one row per (purchase order, item) here: an item has at most as many rows as there are orders
-    return collapse(rows.withColumn("__pos", F.lit(0)), ["po_ref", "item"], ["__pos", "box_no"], " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"}, longest=300)
+    return collapse(rows.withColumn("__pos", F.lit(0)), ["po_ref", "item"], ["__pos", "box_no"], " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"})
 
 
 def reserve_transfer(lines: DataFrame, prefix: str) -> DataFrame:

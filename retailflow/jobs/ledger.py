@@ -18,9 +18,13 @@ TOTAL = "Total"
 
 
 def factory_by_category(factories: DataFrame, factory_cols: Sequence[str]) -> DataFrame:
-    """Wide factory sheet (a column per factory listing its categories) as category -> factory."""
+    """Wide factory sheet (a column per factory listing its categories) as category -> factory.
+
+    A category listed twice belongs to the factory of its last column.
+    """
     long = factories.select(*factory_cols).unpivot([], list(factory_cols), "factory", "category").filter(F.col("category").isNotNull())
-    return first_per_key(long, "category", ["factory"])
+    place = F.array_position(F.array(*[F.lit(c) for c in factory_cols]), F.col("factory"))
+    return first_per_key(long, "category", [place.desc()])
 
 
 def open_ledger(requests: DataFrame, master: DataFrame, factories: DataFrame | None = None,
@@ -50,7 +54,8 @@ def apply_shipments(ledger: DataFrame, shipments: DataFrame) -> DataFrame:
     """Remaining = plan - everything shipped, per line and per order (idempotent: always from the plan).
 
     ``shipments`` (po, sku, region, quantity) reduce the line's Total and its region; shipped (order, SKU)
-    pairs without a plan are appended.  ``flag`` marks lines more than 1% open or more than 10% overshipped.
+    pairs without a plan are appended.  ``flag`` marks lines more than 1.0% open or more than 10.0% overshipped, the
+    percentage read with one decimal: 1.05 reads as 1.1 (the number nearest to it lies above), likewise -10.05.
     """
     regions = F.explode(F.array_distinct(F.array(F.col("region"), F.lit(TOTAL))))
     plan = ledger.select("po", "sku", "region", F.col("plan").cast("bigint").alias("plan"), F.lit(0).cast("bigint").alias("shipped"), F.lit(1).alias("planned"))
@@ -61,17 +66,18 @@ def apply_shipments(ledger: DataFrame, shipments: DataFrame) -> DataFrame:
     out = lines.withColumn("level", F.lit("line")).unionByName(order.withColumns({"sku": F.lit(""), "level": F.lit("order")}))
     out = out.withColumn("remaining", F.col("plan") - F.col("shipped"))
     out = out.withColumn("percent", remaining_percent(F.col("remaining"), F.col("plan")))
-    return out.withColumn("flag", (F.col("percent") > 1) | (F.col("percent") < -10))
+    return out.withColumn("flag", (F.col("percent") >= 1.05) | (F.col("percent") <= -10.05))
 
 
 def manifest_to_po(manifest: DataFrame, master: DataFrame, po_map: DataFrame, region_alias: str = "fbasku_de",
-                   fallback_alias: str = "fbasku_us") -> DataFrame:
+                   fallback_alias: str = "fbasku_us", order: str = "_pos") -> DataFrame:
     """Fulfilment manifest to (order, SKU): merchant SKU by the regional alias (else the fallback alias, else the
-    SKU itself), else without its suffix; the order by category."""
+    SKU itself), else without its suffix; the order by category.  Of several rows with one alias, or of one category,
+    the last by ``order`` decides."""
     alias = F.coalesce(region_alias, fallback_alias, F.upper("msku"))
-    names = first_per_key(master.select(alias.alias("__alias"), F.upper("msku").alias("sku")), "__alias", ["sku"])
+    names = first_per_key(master.select(alias.alias("__alias"), F.upper("msku").alias("sku"), order), "__alias", [F.desc(order)])
     out = lookup(manifest, names, {"merchant_sku": "__alias"}, {"sku": "__sku"}, unique=True)
     out = out.withColumn("sku", F.coalesce("__sku", F.regexp_replace("merchant_sku", "-A.*", "")))
-    cats = first_per_key(po_map.select(sku.category("sku").alias("cat"), F.regexp_replace("po", "-.*", "").alias("po")), "cat", ["po"])
+    cats = first_per_key(po_map.select(sku.category("sku").alias("cat"), F.regexp_replace("po", "-.*", "").alias("po"), order), "cat", [F.desc(order)])
     out = lookup(out.withColumn("cat", sku.category("sku")), cats, "cat", ["po"], unique=True)
     return out.groupBy("po", "sku").agg(F.sum("quantity").alias("quantity"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import (
     CARRIER_HOME, CARRIER_US, CLASS_HOME, CLASS_MARKET, GST_ONLY_PROVINCES, HST_ONLY_PROVINCES,
-    HST_PROVINCES, MISC_ITEM, PAY_CARD_ONLINE, PAY_CASH, PAY_POS, PAY_POS2, PAY_WALLET, PRICE_LEVEL,
+    HST_PROVINCES, MARKET_CARRIER, MISC_ITEM, PAY_CARD_ONLINE, PAY_CASH, PAY_POS, PAY_POS2, PAY_WALLET, PRICE_LEVEL,
     REASON_EXCHANGE, REASON_RETURN, SHIP_FREE, SHIP_PAID, SHIP_STANDARD, TAXABLE_CATEGORIES, TAX_ABROAD,
     TAX_FEDERAL, TAX_FULL, TERMS, WALK_IN, WALK_IN_NOTE,
 )
@@ -164,7 +164,7 @@ def market_cash_sales(orders: DataFrame, home_country: str, warehouse: str = "WH
         "coupon_discount": zero_to_null(F.col("lineitem_total_discount")), "coupon_code": F.lit(""),
         "tax_code": F.lit(""), "tax_amount": F.lit(None).cast("decimal(12,2)"),
         "recipient": F.concat("shipping_last_name", "shipping_first_name"), "recipient_phone": F.col("phone"),
-        "recipient_email": F.col("email"), "shipping_carrier": F.lit(""), "shipping_method": F.lit(""),
+        "recipient_email": F.col("email"), "shipping_carrier": F.lit(MARKET_CARRIER), "shipping_method": F.lit(""),
         "shipping_cost": F.col("shipping"),
     })
     return out.select(*SALES_ORDER)

@@ -22,15 +22,15 @@ from ..operators.rules import regex_lookup
 def effective_price(web: DataFrame, as_of: datetime | None, order: str = "id") -> DataFrame:
     """First row per SKU with ``sale_price`` valid at ``as_of`` (regular price outside the window).
 
-    A missing window end is open.  ``as_of=None`` ignores the window.
+    A SKU whose first row has no regular price has no price.  A missing window end is open.  ``as_of=None`` ignores
+    the window.
     """
-    priced = web.filter(F.col("regular_price").isNotNull() & not_blank("sku"))
+    priced = first_per_key(web.filter(not_blank("sku")), "sku", order).filter(F.col("regular_price").isNotNull())
     off = F.col("sale_price").isNull()
     if as_of is not None:
         now = F.lit(as_of)
         off = off | F.coalesce(now < F.col("sale_starts"), F.lit(False)) | F.coalesce(now > F.col("sale_ends"), F.lit(False))
-    priced = priced.withColumn("sale_price", F.when(off, F.col("regular_price")).otherwise(F.col("sale_price")))
-    return first_per_key(priced, "sku", order)
+    return priced.withColumn("sale_price", F.when(off, F.col("regular_price")).otherwise(F.col("sale_price")))
 
 
 def category_price(web: DataFrame, extra: Sequence[tuple[str, float]] = CONSTANT_CATEGORY_PRICES,

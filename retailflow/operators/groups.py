@@ -51,33 +51,27 @@ def first_by(c: str, order: str) -> Column:
 
 def collapse(df: DataFrame, by: Sequence[str], order: str | Sequence[str], sep: str, texts: Mapping[str, str],
              sums: Mapping[str, str] | None = None, mins: Mapping[str, str] | None = None,
-             maxs: Mapping[str, str] | None = None, longest: int | None = None, cut: int = 299,
-             block_rows: int = BLOCK_ROWS, fan: int = 1024) -> DataFrame:
+             maxs: Mapping[str, str] | None = None, block_rows: int = BLOCK_ROWS, fan: int = 1024) -> DataFrame:
     """One row per group: joined text in source order (nulls skipped), sums, minima, maxima.
 
     ``order`` starts with the whole-number source position; further columns break ties.  A group is joined
     per block of positions, then per ``fan`` blocks, then whole, so no task holds more than a block of rows
-    of a hot group.  Text longer than ``longest`` is cut to ``cut`` characters; then every level keeps no more
-    than the characters that can still show.
+    of a hot group before the last level, which holds the group's text, the result itself.
     """
     by, order = list(by), [order] if isinstance(order, str) else list(order)
     q = sep.replace("'", "\\'")
-    keep = (lambda c: c) if longest is None else (lambda c: F.substring(c, 1, longest + 1))
 
     def level(rows: DataFrame, key: Sequence, named: bool, sort: str) -> DataFrame:
         src = (lambda m: [(o, o) for o in (m or {}).values()]) if named else (lambda m: list((m or {}).items()))
         return rows.groupBy(*by, *key).agg(
-            *[keep(F.expr(f"listagg(`{c}`, '{q}') within group (order by {sort})")).alias(o) for c, o in src(texts)],
+            *[F.expr(f"listagg(`{c}`, '{q}') within group (order by {sort})").alias(o) for c, o in src(texts)],
             *[F.sum(c).alias(o) for c, o in src(sums)], *[F.min(c).alias(o) for c, o in src(mins)],
             *[F.max(c).alias(o) for c, o in src(maxs)])
 
     first = f"struct({', '.join(f'`{o}`' for o in order)})" if len(order) > 1 else f"`{order[0]}`"
     out = level(df, [block_of(order[0], block_rows).alias("__block")], False, first)
     out = level(out, [block_of("__block", fan).alias("__blocks")], True, "__block")
-    out = level(out, [], True, "__blocks")
-    if longest is not None:
-        out = out.withColumns({o: F.when(F.length(o) > longest, F.substring(o, 1, cut)).otherwise(F.col(o)) for o in texts.values()})
-    return out
+    return level(out, [], True, "__blocks")
 
 
 def join_text(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], sep: str, order: str,

@@ -7,49 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.semantics import rlike0
 from .lookup import lookup
 
-RULES_IN_EXPRESSION = 500
 
-
-def regex_lookup(df: DataFrame, rules: DataFrame, col: str, pattern: str, order: str, cols: Sequence[str],
-                 limit: int = RULES_IN_EXPRESSION, chunk: int = 500) -> DataFrame:
+def regex_lookup(df: DataFrame, rules: DataFrame, col: str, pattern: str, order: str, cols: Sequence[str]) -> DataFrame:
     """Attach ``cols`` of the first rule (by unique ``order``) whose ``pattern`` matches ``col``; else null.
 
-    Up to ``limit`` rules (checked, not assumed) become one conditional expression: no join and no shuffle of
-    ``df``.  A longer table is matched against the distinct texts only, chunk of rules by chunk.
+    The rule table becomes one value, a list of its rules in order, that Spark reads once for the plan and hands to
+    every task; each distinct text is matched against it once and the result is looked up.  The plan is the same for
+    any number of rules.
     """
-    head = rules.select(order, pattern, *cols).orderBy(order).limit(limit + 1).collect()
-    if len(head) > limit:
-        return _by_chunks(df, rules, col, pattern, order, cols, chunk)
-    head = [r for r in head if r[pattern] is not None]
-    kinds = {c: rules.schema[c].dataType for c in cols}
-    if not head:
-        return df.withColumns({c: F.lit(None).cast(kinds[c]) for c in cols})
-    hit = None
-    for i, r in enumerate(head):
-        test = rlike0(col, r[pattern])
-        hit = F.when(test, F.lit(i + 1)) if hit is None else hit.when(test, F.lit(i + 1))
-    out = df.withColumn("__hit", hit)
-    values = {c: F.element_at(F.array(*[F.lit(r[c]).cast(kinds[c]) for r in head]), F.col("__hit")) for c in cols}
-    return out.withColumns({c: F.when(F.col("__hit").isNotNull(), v) for c, v in values.items()}).drop("__hit")
-
-
-def _by_chunks(df: DataFrame, rules: DataFrame, col: str, pattern: str, order: str, cols: Sequence[str],
-               chunk: int) -> DataFrame:
     cells = F.struct(F.col(order).alias("o"), F.col(pattern).alias("p"), *cols)
-    numbered = rules.filter(F.col(pattern).isNotNull()).withColumn("__c", F.pmod(F.xxhash64(order), F.lit(1 << 30)))
-    parts = rules.agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("n"))
-    groups = (numbered.withColumn("__n", parts.scalar()).withColumn("__c", F.col("__c") % F.col("__n"))
-              .groupBy("__c").agg(F.sort_array(F.collect_list(cells)).alias("__rules")))
+    ordered = rules.filter(F.col(pattern).isNotNull()).agg(F.sort_array(F.collect_list(cells)).alias("rules"))
     texts = df.select(F.col(col).alias("__t")).filter(F.col(col).isNotNull()).distinct()
-    spread = texts.withColumn("__c", F.explode(F.sequence(F.lit(0), parts.scalar() - 1)))
-    found = spread.join(groups, "__c").select(
-        "__t", F.get(F.filter("__rules", lambda r: F.regexp_like(F.col("__t"), r["p"])), F.lit(0)).alias("__m"))
-    best = found.filter(F.col("__m").isNotNull()).groupBy("__t").agg(F.min("__m").alias("__m"))
-    best = best.select(F.col("__t").alias(col), *[F.col(f"__m.{c}").alias(c) for c in cols])
-    return lookup(df, best, col, list(cols), unique=True)
+    first = F.get(F.filter("__rules", lambda r: F.regexp_like(F.col("__t"), r["p"])), F.lit(0))
+    hits = texts.withColumn("__rules", ordered.scalar()).withColumn("__m", first).filter(F.col("__m").isNotNull())
+    return lookup(df, hits.select(F.col("__t").alias(col), *[F.col(f"__m.{c}").alias(c) for c in cols]), col, list(cols), unique=True)
 
 
 def matches_any(df: DataFrame, rules: DataFrame, col: str, pattern: str, order: str, flag: str) -> DataFrame:

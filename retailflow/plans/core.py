@@ -80,7 +80,7 @@ def _(t):
 def _(t):
     table = t.spark.createDataFrame(RULES, "item string, price double, pos int")
     lines = lk.lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, ["sku"], unique=True)
-    out = rules.regex_lookup(lines, table, "sku", "item", "pos", ["price"], limit=0, chunk=3)
+    out = rules.regex_lookup(lines, table, "sku", "item", "pos", ["price"])
     return out.filter("price IS NOT NULL").groupBy("price").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -107,27 +107,27 @@ def _(t):
         one(~isin0("order_discounts", ["Partner channel"])).alias("not_partner"), one(~rlike0("order_discounts", "Staff")).alias("not_staff"))
 
 
-@query("semi_sold", "SELECT sku FROM s_sku WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_discount >= 0.09)")
+@query("semi_sold", "SELECT sku FROM s_sku WHERE EXISTS (SELECT 1 FROM lineitem WHERE 2 * l_partkey = p_partkey)")
 def _(t):
-    return lk.semi(t.s_sku, t.lineitem.filter("l_discount >= 0.09"), {"p_partkey": "l_partkey"}).select("sku")
+    return lk.semi(t.s_sku, t.lineitem.select((2 * F.col("l_partkey")).alias("sold")), {"p_partkey": "sold"}).select("sku")
 
 
-@query("anti_unsold", "SELECT sku FROM s_sku WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_discount >= 0.09)")
+@query("anti_unsold", "SELECT sku FROM s_sku WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE 2 * l_partkey = p_partkey)")
 def _(t):
-    return lk.anti(t.s_sku, t.lineitem.filter("l_discount >= 0.09"), {"p_partkey": "l_partkey"}).select("sku")
+    return lk.anti(t.s_sku, t.lineitem.select((2 * F.col("l_partkey")).alias("sold")), {"p_partkey": "sold"}).select("sku")
 
 
 @query("rows_update", """
-    WITH u AS (SELECT o_custkey, cast(sum(cast(o_totalprice as decimal(12,2))) as double) AS total FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+    WITH u AS (SELECT o_custkey, cast(sum(cast(o_totalprice as decimal(12,2))) as double) AS total FROM orders GROUP BY 1)
     SELECT c_custkey, CASE WHEN o_custkey IS NOT NULL THEN total ELSE c_acctbal END AS c_acctbal FROM customer LEFT JOIN u ON o_custkey = c_custkey""")
 def _(t):
-    new = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    new = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("double").alias("c_acctbal"))
     return lk.rows_update(t.customer.select("c_custkey", "c_acctbal"), new, "c_custkey", ["c_acctbal"])
 
 
 @query("upsert_log", """
-    WITH log AS (SELECT o_orderkey AS k, o_orderpriority AS status FROM orders WHERE o_orderstatus = 'O'),
+    WITH log AS (SELECT CASE WHEN o_orderstatus = 'O' THEN o_orderkey ELSE -o_orderkey END AS k, o_orderpriority AS status FROM orders),
          a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A'),
          b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R')
     SELECT log.k, CASE WHEN a.k IS NOT NULL THEN 'Synced' WHEN b.k IS NOT NULL THEN 'Shipped' ELSE log.status END AS status
@@ -135,20 +135,20 @@ def _(t):
     UNION ALL SELECT k, 'Synced' FROM a WHERE k NOT IN (SELECT k FROM log)
     UNION ALL SELECT k, 'Shipped' FROM b WHERE k NOT IN (SELECT k FROM log)""")
 def _(t):
-    log = t.orders.filter("o_orderstatus = 'O'").selectExpr("o_orderkey AS k", "o_orderpriority AS status")
+    log = t.orders.selectExpr("CASE WHEN o_orderstatus = 'O' THEN o_orderkey ELSE -o_orderkey END AS k", "o_orderpriority AS status")
     batch = lambda f: t.lineitem.filter(F.col("l_returnflag") == f).select(F.col("l_orderkey").alias("k"))
     return keys.upsert_status(log, "k", "status", [(batch("A"), "Synced"), (batch("R"), "Shipped")])
 
 
 @query("calendar_fill", """
     WITH d AS (SELECT cast(o_orderdate as date) AS date, cast(sum(cast(o_totalprice as decimal(12,2))) as double) AS amount, count(*) AS n
-               FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+               FROM orders GROUP BY 1),
          cal AS (SELECT cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) AS date)
     SELECT strftime(coalesce(d.date, cal.date), '%Y-%m-%d') AS date, coalesce(amount, 0.0) AS amount, coalesce(n, 0) AS n
     FROM d FULL JOIN (SELECT date FROM cal WHERE dayofweek(date) <> 0 AND date NOT IN (date '1996-01-01', date '1997-07-01', date '1998-12-25')) cal
       ON cal.date = d.date""")
 def _(t):
-    daily = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy(F.to_date("o_orderdate").alias("date")).agg(
+    daily = t.orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("double").alias("amount"), F.count(F.lit(1)).alias("n"))
     days = reshape.calendar(t.spark, date(1995, 1, 1), date(2001, 12, 31), closed=HOLIDAYS)
     return reshape.with_calendar(daily, days, {"amount": 0.0, "n": 0})
@@ -195,10 +195,10 @@ def _(t):
 @query("listagg_boxes", """
     WITH x AS (SELECT l_suppkey, l_returnflag, string_agg(l_orderkey || '-' || l_linenumber, ' | ' ORDER BY l_orderkey, l_linenumber, l_partkey) AS t,
                  cast(sum(l_quantity) as double) AS qty FROM lineitem GROUP BY 1, 2)
-    SELECT l_suppkey, l_returnflag, qty, CASE WHEN length(t) > 300 THEN substr(t, 1, 299) ELSE t END AS boxes FROM x""")
+    SELECT l_suppkey, l_returnflag, qty, t AS boxes FROM x""")
 def _(t):
     rows = t.lineitem.withColumn("box", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
-    return groups.collapse(rows, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], " | ", {"box": "boxes"}, {"l_quantity": "qty"}, longest=300)
+    return groups.collapse(rows, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], " | ", {"box": "boxes"}, {"l_quantity": "qty"})
 
 
 @query("run_length_orders", """

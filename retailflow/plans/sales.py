@@ -81,11 +81,11 @@ LINE_NET = "(lineitem_total - lineitem_total_discount)"
 @query("market_cash_sales", f"""
     SELECT strftime(cast(created_at as timestamp), '%m/%d/%Y') AS order_date, order_no AS order_id, 'MKT-' || order_no AS ref_id, lineitem_sku AS item_sku, lineitem_quantity AS quantity,
       {half_even(cents(LINE_NET), 'cast(lineitem_quantity as hugeint)')} / 100.0::DOUBLE AS rate, cast(nullif(lineitem_total_discount, 0) as double) AS coupon_discount,
-      shipping_last_name || shipping_first_name AS recipient, phone AS recipient_phone, email AS recipient_email, cast(shipping as double) AS shipping_cost, 'AlphaPay' AS payment_option
+      shipping_last_name || shipping_first_name AS recipient, phone AS recipient_phone, email AS recipient_email, 'Longxing' AS shipping_carrier, cast(shipping as double) AS shipping_cost, 'AlphaPay' AS payment_option
     FROM s_market WHERE financial_status = 'paid' AND shipping_country = 'CN'""")
 def _(t):
     return orders.market_cash_sales(t.s_market, "CN").select("order_date", "order_id", "ref_id", "item_sku", "quantity", "rate", "coupon_discount", "recipient", "recipient_phone",
-                                                             "recipient_email", "shipping_cost", "payment_option")
+                                                             "recipient_email", "shipping_carrier", "shipping_cost", "payment_option")
 
 
 TAX_TREE = """CASE WHEN shipping_country = 'US' THEN '.' WHEN shipping_province IN ('AB', 'NT', 'NU', 'YT') THEN 'CA-' || shipping_province || '-GST'
@@ -213,8 +213,8 @@ def _(t):
     return customers.union_customers(a, b, c.withColumns(lits(address1="x", address2="y", city="z", state="ON", country="CA", postal_code="T")))
 
 
-NAMED = """mail AS (SELECT *, first_name || ' ' || last_name AS name FROM s_customer WHERE trim(first_name || ' ' || last_name) <> '' AND trim(email_address) <> ''),
-    m1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY email_address ORDER BY _pos) AS r1 FROM mail) WHERE r1 = 1),
+NAMED = """mail AS (SELECT *, first_name || ' ' || last_name AS name, row_number() OVER (PARTITION BY email_address ORDER BY _pos) AS r1 FROM s_customer),
+    m1 AS (SELECT * FROM mail WHERE r1 = 1 AND trim(name) <> '' AND trim(email_address) <> ''),
     named AS (SELECT name, email_address FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY _pos) AS r2 FROM m1) WHERE r2 = 1)"""
 
 

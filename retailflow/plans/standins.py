@@ -71,7 +71,7 @@ STANDINS: dict[str, str] = {
                case when k.p_partkey % 19 = 0 then 'Z' || k.sku else k.sku end AS name,
                case when k.p_partkey % 29 = 0 then null else cast(coalesce(l.q, 0) % 13 - 3 as int) end AS quantity,
                case when k.p_partkey % 17 = 0 then null else k.price end AS price
-        FROM s_sku k LEFT JOIN (SELECT l_partkey, cast(sum(l_quantity) as bigint) AS q FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_partkey) l
+        FROM s_sku k LEFT JOIN (SELECT l_partkey, cast(sum(l_quantity) as bigint) AS q FROM lineitem GROUP BY l_partkey) l
           ON l.l_partkey = k.p_partkey""",
     "s_sales": """
         SELECT l.sales_channel, k.sku AS adjust_msku, k.cat AS cat_sku, l.year, l.month, l.qty
@@ -178,10 +178,10 @@ STANDINS: dict[str, str] = {
     "s_po": """
         SELECT 'P' || cast(l.s as string) || case when l.s < 6 then '-CA' else '' end AS ref_no, k.sku AS item, 'PO#' || cast(l.s as string) AS document_number,
                case when l.s % 2 = 0 then 'WH-CENTRAL' else 'WH-STORE' end AS warehouse, 'Open' AS status, l.quantity, l.quantity_on_shipments, l.quantity_fulfilled_received
-        FROM (SELECT l_suppkey % 10 AS s, l_partkey, cast(sum(l_quantity) as double) AS quantity,
-                     cast(sum(case when l_linestatus = 'F' then l_quantity / 2 end) as double) AS quantity_on_shipments,
+        FROM (SELECT l_suppkey % 10 AS s, l_partkey, cast(sum(floor(l_quantity / case when l_returnflag = 'A' then 10 else 2 end)) as double) AS quantity,
+                     cast(sum(case when l_linestatus = 'F' then floor(l_quantity / 4) end) as double) AS quantity_on_shipments,
                      cast(sum(case when l_linenumber = 1 then l_quantity else 0 end) as double) AS quantity_fulfilled_received
-              FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1, 2) l
+              FROM lineitem GROUP BY 1, 2) l
         JOIN s_sku k ON k.p_partkey = l.l_partkey""",
     "s_request": """
         SELECT 'P' || cast(l.s50 as string) AS po, k.cat AS category, 'F' || cast(l.s3 as string) AS vendor, 'P' || cast(l.s50 as string) || ' - ' || k.cat AS memo, k.sku,

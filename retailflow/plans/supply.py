@@ -200,7 +200,7 @@ RESOLVE = f"""{PACK}, docs AS (SELECT ref_no, min(document_number) AS doc FROM s
     res AS (SELECT b.*, CASE WHEN a.ref_no IS NOT NULL THEN a.doc ELSE d.doc END AS document, CASE WHEN a.ref_no IS NOT NULL THEN a.ref_no ELSE b.po END AS po_ref
       FROM boxes b LEFT JOIN docs a ON a.ref_no = b.po || '-CA' LEFT JOIN docs d ON d.ref_no = b.po),
     ship AS (SELECT po_ref, replace(sku, '-V1', '') AS item, sum(quantity) AS quantity, min(document) AS document, string_agg(box_no, ' | ' ORDER BY _pos, seq) AS txt FROM res GROUP BY 1, 2),
-    sh AS (SELECT po_ref, item, quantity, document, CASE WHEN length(txt) > 300 THEN substr(txt, 1, 299) ELSE txt END AS box_no FROM ship),
+    sh AS (SELECT po_ref, item, quantity, document, txt AS box_no FROM ship),
     op AS (SELECT ref_no, item, sum(greatest(quantity - coalesce(quantity_on_shipments, 0.0), 0.0)) AS remain FROM s_po GROUP BY 1, 2)"""
 
 
@@ -244,7 +244,7 @@ def _(t):
     a AS (SELECT po_ref, item, least(quantity, remain) AS quantity, document, box_no FROM j WHERE document IS NOT NULL
       UNION ALL SELECT 'Over.S1', item, quantity - remain, 'PO#77', box_no FROM j WHERE quantity > remain),
     z AS (SELECT po_ref, item, sum(quantity) AS quantity, min(document) AS document, string_agg(box_no, ' | ' ORDER BY box_no) AS txt FROM a WHERE quantity <> 0 GROUP BY 1, 2)
-    SELECT po_ref, item, quantity, document, CASE WHEN length(txt) > 300 THEN substr(txt, 1, 299) ELSE txt END AS box_no FROM z""")
+    SELECT po_ref, item, quantity, document, txt AS box_no FROM z""")
 def _(t):
     return inbound.split_over_receipt(_ship(t).filter("po_ref IS NOT NULL"), _open(t), "S1", "PO#77")
 
@@ -334,7 +334,7 @@ LEDGER = """led AS (SELECT po, trim(sku) AS sku, r.region, sum(r.q)::BIGINT AS p
 
 def _factories(t):
     n = F.substring("cat", 2, 5).cast("int")
-    return t.s_sku.select("cat").distinct().filter("cat <> 'B9'").select(*[F.when(n % 3 == i, F.col("cat")).alias(f"FAC{i}") for i in range(3)])
+    return t.s_sku.select("cat").distinct().filter("cat <> 'B9'").select(*[F.when((n % 3 == i) | ((n % 5 == 0) & F.lit(i == 2)), F.col("cat")).alias(f"FAC{i}") for i in range(3)])
 
 
 def _ledger(t):
@@ -342,7 +342,7 @@ def _ledger(t):
 
 
 @query("ledger_open", f"""
-    WITH {LEDGER} SELECT po, sku, region, plan, plan AS remaining, m.seasons, {cat('sku')} AS category, CASE WHEN {cat('sku')} <> 'B9' THEN 'FAC' || (cast(substr({cat('sku')}, 2) as int) % 3) END AS factory
+    WITH {LEDGER} SELECT po, sku, region, plan, plan AS remaining, m.seasons, {cat('sku')} AS category, CASE WHEN {cat('sku')} <> 'B9' THEN 'FAC' || CASE WHEN cast(substr({cat('sku')}, 2) as int) % 5 = 0 THEN 2 ELSE cast(substr({cat('sku')}, 2) as int) % 3 END END AS factory
     FROM led LEFT JOIN s_master m ON upper(m.msku) = upper(led.sku)""")
 def _(t):
     return _ledger(t)
@@ -356,8 +356,8 @@ def _(t):
 
 
 SHIPPED = """SELECT 'P' || cast(l_suppkey % 50 as string) AS po, case when l_discount = 0.1 then 'NEW-' else '' end || k.sku AS sku,
-    case l_linenumber when 2 then 'UK' when 3 then 'DE' when 6 then 'CN' when 7 then 'Wholesaler' else 'CA/US' end AS region, cast(l_quantity as bigint) AS quantity
-    FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey WHERE l_returnflag = 'A'"""
+    case l_linenumber when 2 then 'UK' when 3 then 'DE' when 6 then 'CN' when 7 then 'Wholesaler' else 'CA/US' end AS region,
+    cast(case l_returnflag when 'A' then l_quantity else floor(l_quantity / 2) end as bigint) AS quantity FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey"""
 
 
 @query("ledger_apply", f"""
@@ -366,7 +366,7 @@ SHIPPED = """SELECT 'P' || cast(l_suppkey % 50 as string) AS po, case when l_dis
       FROM led l FULL JOIN s1 s ON s.po = l.po AND s.sku = l.sku AND s.region = l.region),
     a AS (SELECT *, 'line' AS level FROM j UNION ALL SELECT po, '', region, sum(plan)::BIGINT, sum(shipped)::BIGINT, min(unplanned), 'order' FROM j GROUP BY po, region),
     p AS (SELECT *, plan - shipped AS remaining, CASE WHEN plan = 0 THEN 0.0 ELSE (plan - shipped) / plan * 100 END AS percent FROM a)
-    SELECT po, sku, region, plan, shipped, unplanned, level, remaining, percent, CASE WHEN percent > 1 OR percent < -10 THEN 1 ELSE 0 END AS flag FROM p""")
+    SELECT po, sku, region, plan, shipped, unplanned, level, remaining, percent, CASE WHEN cast(format('{{:.1f}}', percent) as double) > 1 OR cast(format('{{:.1f}}', percent) as double) < -10 THEN 1 ELSE 0 END AS flag FROM p""")
 def _(t):
     return ledger.apply_shipments(_ledger(t), t.sql(SHIPPED))
 
@@ -376,10 +376,13 @@ MANIFEST = """SELECT case when p_partkey % 6 = 0 then 'DE-' || sku when p_partke
 
 
 @query("manifest_to_po", f"""
-    WITH mf AS ({MANIFEST}), al AS (SELECT coalesce(fbasku_de, fbasku_us, upper(msku)) AS alias, min(upper(msku)) AS sku FROM s_master GROUP BY 1),
+    WITH mf AS ({MANIFEST}), al AS (SELECT alias, arg_max(sku, pos) AS sku FROM (SELECT coalesce(fbasku_de, fbasku_us, upper(msku)) AS alias, upper(msku) AS sku, 0 AS pos FROM s_master
+      UNION ALL SELECT fbasku_de, upper(msku) || '-V9', 1 FROM s_master WHERE fbasku_de IS NOT NULL) GROUP BY 1),
     m AS (SELECT CASE WHEN al.sku IS NOT NULL THEN al.sku ELSE regexp_replace(merchant_sku, '-A.*', '') END AS sku, quantity FROM mf LEFT JOIN al ON al.alias = merchant_sku),
-    pm AS (SELECT category AS cat, min(po) AS po FROM s_request WHERE category <> 'B7' GROUP BY 1)
+    pm AS (SELECT category AS cat, arg_max(po, sku || '|' || po) AS po FROM s_request WHERE category <> 'B7' GROUP BY 1)
     SELECT pm.po, m.sku, sum(quantity)::BIGINT AS quantity FROM m LEFT JOIN pm ON pm.cat = {cat('m.sku')} GROUP BY 1, 2""")
 def _(t):
-    po_map = t.s_request.filter("category <> 'B7'").select("sku", F.concat("po", F.lit("-CA")).alias("po"))
-    return ledger.manifest_to_po(t.sql(MANIFEST), t.s_master, po_map)
+    po_map = t.s_request.filter("category <> 'B7'").select("sku", F.concat("po", F.lit("-CA")).alias("po"), F.concat_ws("|", "sku", "po").alias("_pos"))
+    master = t.s_master.withColumn("_pos", F.lit(0))
+    again = master.filter("fbasku_de IS NOT NULL").withColumns({"msku": F.concat("msku", F.lit("-V9")), "_pos": F.lit(1)})
+    return ledger.manifest_to_po(t.sql(MANIFEST), master.unionByName(again), po_map)
