@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ POS = "_pos"
 # Row numbers inside one task fill the low 33 bits of monotonically_increasing_id().
 _ROW_BITS = 33
 _SPLIT_UNIT = 1 << 20
+# Above them the split's number, up to a tebibyte, and the file's number in a list of files.
+_FILE_BITS = 53
+MOST_FILES = 1 << 10
 
 
 def with_pos(df: DataFrame, source: str | None = None) -> DataFrame:
@@ -30,15 +35,45 @@ def with_pos(df: DataFrame, source: str | None = None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, *, sep: str = ",",
-               encoding: str = "UTF-8", pos: bool = False, source: str | None = None, header: bool = True) -> DataFrame:
-    """Headered delimited text; columns by position, blank cells null, nothing inferred."""
-    df = (spark.read.schema(schema).option("header", header).option("sep", sep).option("encoding", encoding)
-          .option("enforceSchema", True).option("quote", '"').option("escape", '"').csv(path))
+               encoding: str = "UTF-8", pos: bool = False, source: str | None = None, header: bool = True,
+               headers: Mapping[str, str] | None = None) -> DataFrame:
+    """Delimited text as the columns of ``schema``; blank cells and unreadable values are null, nothing is inferred.
+
+    With a header line columns are found by name: spelled as ``headers`` (schema column -> header) says, else as the
+    schema's names with any case and punctuation ("Regular price" is ``regular_price``).  Columns the schema lacks
+    are not read, their order is free, a column that the file lacks is an error.  Without a header line columns go
+    by position.
+    """
+    reader = spark.read.option("sep", sep).option("encoding", encoding).option("quote", '"').option("escape", '"')
+    if not header:
+        df = reader.schema(schema).csv(path)
+        names = {f.name: f.name for f in schema.fields}
+    else:
+        df = reader.option("header", True).csv(path)
+        names = _named(df.columns, schema, headers or {}, path)
     if pos or source:
         df = with_pos(df, source)
-        if not pos:
-            df = df.drop(POS)
-    return df
+    kinds = {f.name: f.dataType for f in schema.fields}
+    extra = ([POS] if pos else []) + ([source] if source else [])
+    return df.select(*[F.col(f"`{h}`").try_cast(kinds[c]).alias(c) for c, h in names.items()], *extra)
+
+
+def _plain(name: str) -> str:
+    return re.sub(r"[^0-9a-z]+", "_", name.lower()).strip("_")
+
+
+def _named(found: Sequence[str], schema: T.StructType, headers: Mapping[str, str], path) -> dict[str, str]:
+    """Schema column -> the file's spelling of it."""
+    plain: dict[str, str] = {}
+    for name in found:
+        plain.setdefault(_plain(name), name)
+    out = {}
+    for f in schema.fields:
+        given = headers.get(f.name)
+        out[f.name] = given if given in found else plain.get(_plain(given or f.name), plain.get(_plain(f.name)))
+    if missing := [c for c, h in out.items() if h is None]:
+        raise ValueError(f"{path}: no column {', '.join(missing)} among {', '.join(found)}")
+    return out
 
 
 def read_after_preamble(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, header: str,
@@ -76,8 +111,16 @@ def read_snapshot(spark: SparkSession, table: str, snapshot: date) -> DataFrame:
 
 
 def read_many(spark: SparkSession, paths: Sequence[str], schema: T.StructType, source: str, **kw) -> DataFrame:
-    """Like-shaped files in one scan, file name kept."""
-    return read_table(spark, list(paths), schema, source=source, **kw)
+    """Files of one kind as one table, each read by its own header line, file name kept.
+
+    With ``pos`` positions grow from file to file in the order given.
+    """
+    if len(paths) > MOST_FILES:
+        raise ValueError(f"{len(paths)} files; positions have room for {MOST_FILES}")
+    parts = [read_table(spark, p, schema, source=source, **kw) for p in paths]
+    if kw.get("pos"):
+        parts = [df.withColumn(POS, F.col(POS) + F.lit(i << _FILE_BITS)) for i, df in enumerate(parts)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def drop_marker_rows(df: DataFrame, col: str, markers: Sequence[str]) -> DataFrame:

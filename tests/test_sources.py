@@ -24,6 +24,24 @@ def test_headered_csv_with_positions(spark, tmp_path):
     assert len({r[2] for r in got}) == 3 and {r[3] for r in got} == {"points_a.csv"}
 
 
+def test_columns_are_found_by_their_header(spark, tmp_path):
+    """Extra and reordered columns, other spellings, two files of different layout; a missing column is an error."""
+    a = put(tmp_path / "a.csv", "PO TYPE,Points,E-mail\nRegular,1,a@x\nRegular,,b@x\n")
+    b = put(tmp_path / "b.csv", "email,note,points\nc@x,n,3\n")
+    df = readers.read_many(spark, [a, b], schema("points_file"), "file", headers={"email": "E-mail"}, pos=True)
+    got = sorted(map(tuple, df.collect()), key=lambda r: r[2])
+    assert [(r[0], r[1], r[3]) for r in got] == [("a@x", 1, "a.csv"), ("b@x", None, "a.csv"), ("c@x", 3, "b.csv")]
+    with pytest.raises(ValueError, match="points"):
+        readers.read_table(spark, put(tmp_path / "c.csv", "email,amount\nx,1\n"), schema("points_file"))
+    assert rows(readers.read_table(spark, put(tmp_path / "d.csv", "d@x,4\n"), schema("points_file"), header=False)) == [("d@x", 4)]
+
+
+def test_only_named_columns_are_read(spark, tmp_path):
+    p = put(tmp_path / "wide.csv", "a,email,b,points,c\n1,x,2,3,4\n")
+    plan = readers.read_table(spark, p, schema("points_file"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<email:string,points:string>" in plan
+
+
 def test_positions_follow_the_file_across_splits(spark, tmp_path):
     put(tmp_path / "big.csv", "email,points\n" + "".join(f"user{i}@example.com,{i}\n" for i in range(200_000)))
     put(tmp_path / "big2.csv", "email,points\n" + "".join(f"user{i}@example.com,{i}\n" for i in range(50_000)))
