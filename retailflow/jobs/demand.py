@@ -17,6 +17,7 @@ from ..functions import sku
 from ..functions.months import forward_months, in_season_letter, month_fraction, off_season_letter, trailing_months
 from ..functions.semantics import MONEY, band_label, isin0, money_round, r_ifelse, rlike0, years_ratio
 from ..operators.groups import with_group_total
+from ..operators.keys import first_per_key, source_order
 from ..operators.lookup import grid_lookup, lookup, semi
 
 DOUBLE = "double"
@@ -119,11 +120,12 @@ def size_missing(erp: DataFrame, k: int) -> DataFrame:
 
 def catalog_frame(web: DataFrame, erp: DataFrame, master: DataFrame, warehouse: str) -> DataFrame:
     """Web items the ERP knows, with the warehouse's stock, season (by SKU, else by adjusted SKU), category, SPU
-    and running discount."""
+    and running discount.  Of several web or master rows of one SKU the first counts."""
+    web = first_per_key(web, "sku", "id")
     here = F.when(F.col("inventory_warehouse") == warehouse, F.col("warehouse_available"))
     known = erp.groupBy("name").agg(F.max(here).alias("qty"))
     out = lookup(web, known, {"sku": "name"}, ["qty"], unique=True, flag="__known").filter("__known")
-    out = lookup(out, master, {"sku": "msku"}, {"category_sku": "cat", "seasons_sku": "__own"}, unique=True, flag="__listed")
+    out = lookup(out, master, {"sku": "msku"}, {"category_sku": "cat", "seasons_sku": "__own"}, order=source_order(master), flag="__listed")
     others = master.filter(F.col("adjust_sku").isNotNull()).groupBy("adjust_sku").agg(F.min_by("seasons_sku", "msku").alias("__other"))
     out = lookup(out, others, {"sku": "adjust_sku"}, ["__other"], unique=True)
     out = out.withColumn("seasons", F.when(F.col("__listed"), F.col("__own")).otherwise(F.col("__other")))
@@ -248,6 +250,6 @@ def to_inactivate(master: DataFrame, pos: DataFrame, inv: DataFrame, new_season:
     """Active SKUs of older seasons with nothing in the store and nothing anywhere."""
     total = inv.groupBy("adjust_msku").agg(F.sum("inv_total_end_wk").alias("inv_total"))
     out = master.filter((F.col("msku_status") == "Active") & ~rlike0("seasons_sku", new_season))
-    out = lookup(out, pos.filter(F.col("name").isNotNull()), {"msku": "name"}, {"quantity": "inv_pos"}, unique=True)
+    out = lookup(out, pos.filter(F.col("name").isNotNull()), {"msku": "name"}, {"quantity": "inv_pos"}, order=source_order(pos))
     out = lookup(out, total, {"msku": "adjust_msku"}, ["inv_total"], unique=True)
     return out.filter((F.col("inv_pos") == 0) & (F.col("inv_total") == 0)).select("msku", "msku_status", "seasons_sku", "inv_pos", "inv_total")

@@ -240,3 +240,10 @@ def test_all_boxes_of_an_item_are_listed(spark):
     from retailflow.jobs import inbound
     df = spark.createDataFrame([(i, 0, "P1", "A-B-1", f"b{i}", 1.0, "d") for i in range(200)], "_pos bigint, _box_seq int, po_ref string, sku string, box_no string, quantity double, document string")
     assert inbound.collapse_shipment(df).first()["box_no"].split(" | ") == [f"b{i}" for i in range(200)]
+
+
+def test_duplicate_pos_names_do_not_multiply_rows(spark):
+    master = spark.createDataFrame([("A-B-1", "Active", "24F")], "msku string, msku_status string, seasons_sku string")
+    pos = spark.createDataFrame([(2, "A-B-1", 5), (1, "A-B-1", 0)], "_pos bigint, name string, quantity int")
+    inv = spark.createDataFrame([("A-B-1", 0)], "adjust_msku string, inv_total_end_wk int")
+    assert [(r.msku, r.inv_pos) for r in demand.to_inactivate(master, pos, inv, "26S").collect()] == [("A-B-1", 0)]
