@@ -25,15 +25,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every edge leads to the smallest node of its component: no tail has two heads, no head is a tail."""
+    n = edges.agg(F.count("*"), F.count_distinct("a"), F.count_if(F.col("a") < F.col("b"))).first()
+    return n[0] == n[1] and not n[2] and edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component: its smallest node) of every node on an edge (a, b); empty without edges."""
     edges = written(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "edges")
-    mark = None
-    while True:
-        new = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(new) == mark or not new[0]:
-            break
-        mark = tuple(new)
+    while not _stars(edges):
         edges = written(_star(_star(edges, True), False), "edges")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    return written(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct(), "components")

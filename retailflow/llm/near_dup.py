@@ -6,12 +6,14 @@ lowest two bits are kept, in two planes of bits.  Texts with the same set of shi
 Candidates.  Classes that agree on all minima of a band share a bucket.  A pair at the similarity limit of 0.8 meets in no
 bucket with probability (1 - 0.8^4)^32 < 1e-7.  The agreement a pair of signatures shows, p, counted on the bits,
 gives the similarity (p - C) / (1 - C) with C = 1/4, the chance that two bits agree by accident; pairs whose estimate is
-under ``ESTIMATE`` (six standard deviations below the limit) are no candidates.
+six standard deviations under the limit are no candidates.
 
 Links.  Every candidate is confirmed on the full sets.  First every class is compared with one class of its
-buckets, the smallest that seems most alike; that joins groups of any size with as many comparisons as members.  Then
-only classes of different components that share a bucket are compared, all of them, so no link that would join two
-components is lost, and a bucket of many alike texts never makes all its pairs.
+buckets: of the bucket's centres (the class that meets most others, as an original among its edited copies does) the one
+that seems most alike.  That joins groups of any size with as many comparisons as members.  Then the classes that are not
+of their centre's component are compared with all classes of the bucket that they aren't joined with, so no link that
+would join two components is lost.  This goes bucket by bucket in tasks, a large bucket in parts of ``PART`` classes, and a
+part yields no pairs but the few links that connect what it has found to belong together.
 
 Cases.  Texts without words (null among them) have the empty set and are linked with nothing.  A text of fewer
 words than a shingle has one shingle, the whole sequence.  Repeated rows are one class and share their
@@ -36,24 +38,31 @@ from .shingles import mixed, shingle_set
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
-ESTIMATE = 0.55
+#: A part of a bucket has about this many classes, and bytes of compressed text.
+PART, PART_BYTES = 1024, 2 << 20
 
 _factors = np.random.default_rng(20_240_607).integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 SIGNED = "doc_id long, text_hash long, n_shingles long, node binary, signature array<long>, bands array<long>"
 
 
-def signature(shingles: np.ndarray) -> tuple[list[int], list[int]]:
-    """(bit planes: low bits of minima 0-63, 64-127, then second bits of the same; one hash per band)."""
+def minima(shingles: np.ndarray) -> np.ndarray:
     least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 2048):
         np.minimum(least, (_factors[:, None] * shingles[None, i: i + 2048]).min(1), out=least)
-    least = mixed(least)
-    bits = [np.packbits(((least >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)).view("<i8") for b in (0, 1)]
+    return mixed(least)
+
+
+def planes(least: np.ndarray) -> list[int]:
+    """The lowest bits of all minima, then their second bits, 64 to a number."""
+    return np.concatenate([np.packbits(((least >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)).view("<i8") for b in (0, 1)]).tolist()
+
+
+def band_keys(least: np.ndarray) -> list[int]:
     key = np.arange(BANDS, dtype=np.uint64)
     for r in range(ROWS):
         key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + least[r::ROWS])
-    return np.concatenate(bits).tolist(), key.view(np.int64).tolist()
+    return key.view(np.int64).tolist()
 
 
 def _sign(n_words: int):
@@ -62,7 +71,8 @@ def _sign(n_words: int):
             out = []
             for text in batch.column("text"):
                 s = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else b"", n_words)
-                out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), *signature(s)) if len(s) else (0, None, None, None))
+                least = minima(s)
+                out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), planes(least), band_keys(least)) if len(s) else (0, None, None, None))
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array([r[i] for r in out], k) for i, k in enumerate(kinds))],
                                              ["doc_id", "text_hash", "n_shingles", "node", "signature", "bands"])
@@ -71,11 +81,15 @@ def _sign(n_words: int):
 
 def estimate(a: str, b: str) -> Column:
     """Collision-corrected similarity of two signatures."""
-    def differ(i):
-        x, y = F.col(a), F.col(b)
-        return F.bit_count(x[i].bitwiseXOR(y[i]).bitwiseOR(x[i + 2].bitwiseXOR(y[i + 2])))
-    agree = 1 - (differ(0) + differ(1)) / F.lit(float(HASHES))
-    return (agree - 0.25) / 0.75
+    x, y, n = F.col(a), F.col(b), HASHES // 64
+    differ = sum((F.bit_count(x[i].bitwiseXOR(y[i]).bitwiseOR(x[i + n].bitwiseXOR(y[i + n]))) for i in range(n)), F.lit(0))
+    return ((1 - differ / F.lit(float(HASHES))) - 0.25) / 0.75
+
+
+def least_estimate(percent: int) -> float:
+    """Six standard deviations under the limit."""
+    p = 0.25 + 0.75 * percent / 100
+    return percent / 100 - 6 * (p * (1 - p) / HASHES) ** 0.5 / 0.75
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -92,13 +106,12 @@ def _compress(batches):
 NO_ID = -(1 << 63)  # stands for a null doc_id in keys
 
 
-def _texts(documents: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, z): compressed text of every class in ``pairs``."""
-    wanted = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    keys = reps.join(wanted, "node", "left_semi").select("node", "id", "text_hash")
+def _texts(documents: DataFrame, reps: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, z): compressed text of every class in ``nodes``."""
+    keys = reps.join(nodes, "node", "left_semi").select("node", "id", "text_hash")
     texts = (_keyed(documents).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash", "text")
              .mapInArrow(_compress, "id long, text_hash long, z binary"))
-    return written(texts.join(keys, ["id", "text_hash"]).groupBy("node").agg(F.min("z").alias("z")), "texts")
+    return written(texts.join(keys, ["id", "text_hash"]).groupBy("node").agg(F.min("z").alias("z")).withColumn("bytes", F.length("z")), "texts")
 
 
 def _confirm(n_words: int, percent: int):
@@ -108,7 +121,7 @@ def _confirm(n_words: int, percent: int):
 
         def of(z: bytes) -> np.ndarray:
             if z not in known:
-                if len(known) >= 64:
+                if len(known) >= 256:
                     known.clear()
                 known[z] = shingle_set(open_.decompress(z), n_words)
             return known[z]
@@ -116,7 +129,7 @@ def _confirm(n_words: int, percent: int):
         for batch in batches:
             keep = []
             for zx, zy in zip(batch.column("zx"), batch.column("zy")):
-                x, y = shingle_set(open_.decompress(zx.as_py()), n_words), of(zy.as_py())
+                x, y = of(zx.as_py()), of(zy.as_py())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             kept = batch.filter(pa.array(keep, pa.bool_()))
@@ -124,14 +137,79 @@ def _confirm(n_words: int, percent: int):
     return run
 
 
-def _links(documents: DataFrame, reps: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> DataFrame:
+def _links(texts: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> DataFrame:
     """(a, b): the pairs (x, y) that are links."""
-    texts = _texts(documents, reps, pairs)
     with_texts = (pairs.join(texts.select(F.col("node").alias("x"), F.col("z").alias("zx")), "x")
                   .join(texts.select(F.col("node").alias("y"), F.col("z").alias("zy")), "y"))
     return written(with_texts.select("x", "y", "zx", "zy").mapInArrow(_confirm(n_words, percent), "a binary, b binary"), "links")
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``left`` with every set of ``right``."""
+    if len(left) * len(right) <= 16:
+        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left])
+    flat = np.concatenate([*left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    values, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    often = np.cumsum(times > 1) - 1  # a shingle of one set alone is shared with nobody
+    keep = times[column] > 1
+    row, column = row[keep], often[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = 4096
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [lo, lo + width])
+        has = np.zeros((len(left) + len(right), width), np.float32)
+        has[row[a:b], column[a:b] - lo] = 1
+        out += has[: len(left)] @ has[len(left):].T
+    return out.astype(np.int64)
+
+
+def connecting(linked: np.ndarray) -> list[tuple[int, int]]:
+    """True places (left, right), fewer than rows and columns, that connect all that the true places connect."""
+    out, group = [], np.full(linked.shape[1], -1)
+    for i in np.flatnonzero(linked.any(1)).tolist():
+        own = np.flatnonzero(linked[i])
+        groups, first = np.unique(group[own], return_index=True)
+        out += [(i, int(own[j])) for g, j in zip(groups.tolist(), first.tolist()) if g >= 0]
+        out += [(i, j) for j in own[group[own] < 0].tolist()]
+        group[np.isin(group, groups[groups >= 0])] = i
+        group[own] = i
+    return out
+
+
+def _part_links(n_words: int, percent: int):
+    """Links between classes of different components in parts of buckets; rows come in order of their part."""
+    def compare(rows):
+        left, right = [r for r in rows if r[4]], [r for r in rows if not r[4]]
+        if not left or not right:
+            return []
+        open_ = zstandard.ZstdDecompressor()
+        sets = {r[1]: shingle_set(open_.decompress(r[3]), n_words) for r in rows}
+        x, y = [sets[r[1]] for r in left], [sets[r[1]] for r in right]
+        both = shared_counts(x, y)
+        size = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None]
+        number = {c: i for i, c in enumerate({r[2] for r in rows})}
+        apart = np.array([number[r[2]] for r in left])[:, None] != np.array([number[r[2]] for r in right])[None]
+        return [(left[i][1], right[j][1]) for i, j in connecting(apart & (100 * both >= percent * (size - both)))]
+
+    def run(batches):
+        held, out = [], []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "node", "component", "z", "is_left"))):
+                if held and row[0] != held[-1][0]:
+                    out += compare(held)
+                    held = []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+            out = []
+        out = compare(held)
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    return run
+
+
 def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, n_shingles, component (null for the empty set), component_id, kept of every row (doc_id, text)."""
     ready(documents.sparkSession)
@@ -144,33 +222,48 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -
     held = reps.select("node", "signature")
 
     banded = reps.select("node", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    shared = written(banded.join(buckets, "band").select("band", "node", "centre"), "buckets")
-
-    def rated(pairs):
-        return (pairs.join(held.select(F.col("node").alias("x"), F.col("signature").alias("sx")), "x")
-                .join(held.select(F.col("node").alias("y"), F.col("signature").alias("sy")), "y")
-                .withColumn("alike", estimate("sx", "sy")).where(F.col("alike") >= ESTIMATE).drop("sx", "sy"))
+    # written sides: Spark can split a join's hot key only between two plain exchanges
+    buckets = written(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
+    met = written(banded.join(buckets, "band").select("band", "node", "n"), "met")
+    # the centre of a bucket: the class that meets most others over all its buckets, as an original among its edited copies does
+    degree = met.groupBy("node").agg(F.sum("n").alias("degree"))
+    met = met.join(degree, "node")
+    centres = written(met.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("top")).select("band", F.col("top.node").alias("centre")), "centres")
+    shared = written(met.join(centres, "band").select("band", "node", "n", "centre"), "buckets")
 
     # one comparison for every class: the centre that seems most alike
-    first = rated(shared.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct())
-    first = first.groupBy("x").agg(F.max_by("y", F.struct("alike", "y")).alias("y"))
-    links = _links(documents, reps, written(first, "first"), n_words, percent)
+    alike = written(shared.where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
+                    .join(held.select(F.col("node").alias("x"), F.col("signature").alias("sx")), "x")
+                    .join(held.select(F.col("node").alias("y"), F.col("signature").alias("sy")), "y")
+                    .withColumn("alike", estimate("sx", "sy")).where(F.col("alike") >= least_estimate(percent)).select("x", "y", "alike"), "alike")
+    first = written(alike.groupBy("x").agg(F.max(F.struct("alike", "y")).alias("best")).select("x", F.col("best.y").alias("y")), "first")
+    both_sides = first.select(F.col("x").alias("node")).union(first.select(F.col("y").alias("node"))).distinct()
+    links = _links(_texts(documents, reps, both_sides), first, n_words, percent)
     joined = components(links)
 
     # then the classes of other components than their bucket's centre, against all of the bucket that they aren't joined with
-    labelled = (shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-                .join(joined.select(F.col("node").alias("centre"), F.col("component").alias("centre_component")), "centre", "left")
-                .withColumn("other", F.col("component") != F.coalesce("centre_component", "centre"))
-                .join(held, "node").select("band", "node", "component", "other", "signature"))
-    labelled = written(labelled, "labelled")
-    open_ = labelled.where("other").select("band").distinct()
-    left = labelled.where("other").select("band", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("signature").alias("sx"))
-    right = labelled.join(open_, "band", "left_semi").select("band", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("signature").alias("sy"))
-    apart = (left.join(right, "band").where((F.col("cx") != F.col("cy")) & (estimate("sx", "sy") >= ESTIMATE))
-             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    more = _links(documents, reps, written(apart, "apart"), n_words, percent)
-    joined = written(components(links.union(more)), "components")
+    unseen = alike.join(first.select("x", "y", F.lit(True).alias("seen")), ["x", "y"], "left").where("seen IS NULL")
+    labelled = written(
+        shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        .join(joined.select(F.col("node").alias("centre"), F.col("component").alias("centre_component")), "centre", "left")
+        .join(unseen.select(F.col("x").alias("node"), F.col("y").alias("centre"), F.lit(True).alias("unseen")), ["node", "centre"], "left")
+        .withColumn("other", F.col("component") != F.coalesce("centre_component", "centre")).select("band", "node", "n", "component", "other", "unseen"), "labelled")
+    # a bucket of two whose pair was compared, or whose signatures are unlike, is done
+    bands = written(labelled.where("other AND (n > 2 OR unseen)").select("band").distinct(), "bands")
+    open_ = written(labelled.join(bands, "band", "left_semi").select("band", "node", "component", "other"), "open")
+    texts = _texts(documents, reps, open_.select("node").distinct())
+    size = F.col("bytes").cast("long")
+    parts = open_.join(texts.select("node", "bytes"), "node").groupBy("band").agg(
+        F.ceil(F.greatest(F.count("*") / PART, F.sum(size) / PART_BYTES)).cast("int").alias("right_parts"),
+        F.ceil(F.greatest(F.count_if("other") / PART, F.sum(F.when(F.col("other"), size)) / PART_BYTES)).cast("int").alias("left_parts"))
+    dealt = open_.join(written(parts, "parts"), "band").withColumns({
+        "l": F.pmod(F.xxhash64("node"), F.col("left_parts")), "r": F.pmod(F.xxhash64("node", F.lit(1)), F.col("right_parts"))})
+    right = dealt.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("left_parts") - 1)).alias("l"), "r", "node", "component", F.lit(False).alias("is_left"))
+    left = dealt.where("other").select("band", "l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("right_parts") - 1)).alias("r"), "node", "component", F.lit(True).alias("is_left"))
+    with_texts = (left.union(right).select(F.xxhash64("band", "l", "r").alias("part"), "node", "component", "is_left")
+                  .join(texts.select("node", "z"), "node"))
+    more = written(with_texts.repartition("part").sortWithinPartitions("part").mapInArrow(_part_links(n_words, percent), "a binary, b binary"), "more")
+    joined = components(links.union(more))
 
     # the smallest doc_id of a class, or of all classes of its component
     named = reps.select("node", "least").join(joined, "node", "left")

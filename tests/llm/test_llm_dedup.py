@@ -136,9 +136,31 @@ def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     all_ = rng.integers(0, 1 << 63, 3000, np.uint64)
     a, b = all_[:2000], all_[500:2500]  # 1500 of 2500
-    pa_, pb = (np.array(near_dup.signature(x)[0]).view(np.uint64) for x in (a, b))
-    differ = sum(int((pa_[i] ^ pb[i]) | (pa_[i + 2] ^ pb[i + 2])).bit_count() for i in (0, 1))
+    x, y = (np.array(near_dup.planes(near_dup.minima(s))).view(np.uint64) for s in (a, b))
+    differ = sum(int((x[i] ^ y[i]) | (x[i + 2] ^ y[i + 2])).bit_count() for i in range(2))
     assert abs(((1 - differ / near_dup.HASHES) - 0.25) / 0.75 - 0.6) < 0.2
+    assert 0.54 < near_dup.least_estimate(80) < 0.56
+
+
+def test_shared_counts_and_connecting_links():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
+    assert near_dup.shared_counts(sets[:10], sets[10:]).tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[10:]] for a in sets[:10]]
+    for density in (0.01, 0.05, 0.3, 1.0):
+        linked = rng.random((40, 50)) < density
+
+        def groups(edges):
+            parent = list(range(90))
+
+            def find(i):
+                while parent[i] != i:
+                    i = parent[i]
+                return i
+            for i, j in edges:
+                parent[find(i)] = find(40 + j)
+            return [[find(i) == find(j) for j in range(90)] for i in range(90)]
+        some = near_dup.connecting(linked)
+        assert all(linked[i, j] for i, j in some) and len(some) < 90 and groups(some) == groups(zip(*np.nonzero(linked)))
 
 
 @pytest.mark.parametrize("n", [2, 5])
@@ -146,8 +168,10 @@ def test_near_duplicates_of_awkward_rows(spark, n):
     assert result(near_dup.near_duplicates(messy(spark), n)) == sorted(brute_near([(r[0], r[1]) for r in messy_rows()], n), key=repr)
 
 
-def test_near_duplicates_in_chains_and_crowds(spark):
-    """A chain whose ends are unlike, one big group of near copies, exact copies, and small unlike texts."""
+@pytest.mark.parametrize("part", [1024, 5])
+def test_near_duplicates_in_chains_and_crowds(spark, monkeypatch, part):
+    """A chain whose ends are unlike, one big group of near copies, exact copies, small unlike texts; buckets whole and in parts."""
+    monkeypatch.setattr(near_dup, "PART", part)
     rng = random.Random(8)
     base, rows = prose(60).split(), []
     for i in range(25):
