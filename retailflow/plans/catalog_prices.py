@@ -225,9 +225,9 @@ def _(t):
 
 @query("pos_not_in_erp", """
     SELECT p.name, cast(p.quantity as double) AS quantity, m.msku_status, m.seasons_sku FROM s_pos p LEFT JOIN s_master m ON m.msku = p.name
-    WHERE p.name NOT IN (SELECT name FROM s_erp WHERE warehouse_available > 10)""")
+    WHERE p.name NOT IN (SELECT name || CASE WHEN warehouse_available > 10 THEN '' ELSE '?' END FROM s_erp)""")
 def _(t):
-    return stock.pos_not_in_erp(t.s_pos, t.s_erp.filter("warehouse_available > 10"), t.s_master).withColumn("quantity", F.col("quantity").cast("double"))
+    return stock.pos_not_in_erp(t.s_pos, t.s_erp.withColumn("name", F.concat("name", F.when(F.col("warehouse_available") > 10, "").otherwise("?"))), t.s_master).withColumn("quantity", F.col("quantity").cast("double"))
 
 
 @query("apply_movements", """
@@ -266,10 +266,10 @@ def _(t):
 
 
 @query("refill_sold", f"""
-    WITH {CLEAN}, s AS (SELECT k.sku AS item, count(*) AS quantity FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey WHERE l_shipdate >= timestamp '2001-01-01' GROUP BY 1)
+    WITH {CLEAN}, s AS (SELECT k.sku AS item, count(*) AS quantity FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey GROUP BY 1)
     SELECT s.item, s.quantity, cast(p.quantity as double) AS stock FROM s LEFT JOIN pos p ON p.name = s.item""")
 def _(t):
-    sold = lookup(t.lineitem.filter(F.col("l_shipdate") >= F.lit(datetime(2001, 1, 1))), t.s_sku, {"l_partkey": "p_partkey"}, {"sku": "item"}, unique=True)
+    sold = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, {"sku": "item"}, unique=True)
     return stock.refill_sold(sold.groupBy("item").agg(F.count(F.lit(1)).alias("quantity")), t.s_pos).withColumn("stock", F.col("stock").cast("double"))
 
 
@@ -345,31 +345,31 @@ def _(t):
     return stock.tpl_diff(t.s_pos.select(F.col("name").alias("sku"), F.col("quantity").alias("current_atp")), stock.warehouse_stock(t.s_erp, "WH-3PL"))
 
 
-def _tpl(t, flag):
+def _tpl(t, which="true"):
     return t.sql(f"""
         SELECT 'SO' || cast(l_orderkey as string) || '-' || cast(l_suppkey % 3 as string) AS order_code, 'W' || cast(l_orderkey as string) AS extra_note_1,
                cast(year(l_shipdate) as string) || ' 10:00' AS shipment_order_date, cast(l_partkey as string) AS sku, cast(l_quantity as int) AS total_quantity,
                case when l_suppkey % 2 = 0 then 'Cheapest Service' else 'Fast' end AS shipping_service, 'BC' AS billing_state, l_returnflag AS status
-        FROM lineitem WHERE l_returnflag = '{flag}'""")
+        FROM lineitem WHERE {which}""")
 
 
 @query("split_orders", """
-    WITH o AS (SELECT l_orderkey AS so, l_suppkey % 3 AS fr FROM lineitem WHERE l_returnflag = 'A')
+    WITH o AS (SELECT l_orderkey AS so, l_suppkey % 3 AS fr FROM lineitem)
     SELECT DISTINCT 'SO' || so || '-' || fr AS order_code FROM o WHERE so IN (SELECT so FROM o GROUP BY so HAVING count(DISTINCT fr) > 1)""")
 def _(t):
-    return stock.tpl_split_orders(_tpl(t, "A")).select("order_code")
+    return stock.tpl_split_orders(_tpl(t)).select("order_code")
 
 
 @query("tpl_upsert", """
-    WITH log AS (SELECT 'W' || o_orderkey AS id, 'New' AS status FROM orders WHERE o_orderstatus = 'O'), a AS (SELECT DISTINCT 'W' || l_orderkey AS id FROM lineitem WHERE l_returnflag = 'A'),
-    b AS (SELECT DISTINCT 'W' || l_orderkey AS id FROM lineitem WHERE l_returnflag = 'R')
+    WITH log AS (SELECT CASE WHEN o_orderstatus = 'O' THEN 'W' ELSE 'V' END || o_orderkey AS id, 'New' AS status FROM orders), a AS (SELECT DISTINCT 'W' || l_orderkey AS id FROM lineitem WHERE l_returnflag = 'A'),
+    b AS (SELECT DISTINCT 'W' || l_orderkey AS id FROM lineitem WHERE l_returnflag <> 'A')
     SELECT log.id AS order_id, CASE WHEN a.id IS NOT NULL THEN 'Synced' WHEN b.id IS NOT NULL THEN 'Shipped' ELSE status END AS status FROM log LEFT JOIN a ON a.id = log.id LEFT JOIN b ON b.id = log.id
     UNION ALL SELECT id, 'Synced' FROM a WHERE id NOT IN (SELECT id FROM log) UNION ALL SELECT id, 'Shipped' FROM b WHERE id NOT IN (SELECT id FROM log)""")
 def _(t):
-    log = t.orders.filter("o_orderstatus = 'O'").select(
-        F.lit("").alias("date"), F.concat(F.lit("W"), "o_orderkey").alias("order_id"), F.lit("").alias("province"), F.lit(0).alias("total_qty"),
+    log = t.orders.select(
+        F.lit("").alias("date"), F.concat(F.when(F.col("o_orderstatus") == "O", "W").otherwise("V"), "o_orderkey").alias("order_id"), F.lit("").alias("province"), F.lit(0).alias("total_qty"),
         F.lit("").alias("shipping_required"), F.lit("").alias("items"), F.lit("New").alias("status"))
-    return stock.tpl_upsert(log, _tpl(t, "A"), _tpl(t, "R")).select("order_id", "status")
+    return stock.tpl_upsert(log, _tpl(t, "l_returnflag = 'A'"), _tpl(t, "l_returnflag <> 'A'")).select("order_id", "status")
 
 
 @query("fill_upc", "SELECT k.sku, m.upc_active AS upc FROM s_sku k LEFT JOIN s_master m ON m.msku = k.sku")

@@ -39,9 +39,9 @@ def _(t):
     SELECT o_orderkey, CASE WHEN c.c_custkey IS NOT NULL THEN c.c_name ELSE 'unknown' END AS name,
            CASE WHEN c.c_custkey IS NOT NULL THEN c.bal ELSE -1.0 END AS balance
     FROM orders LEFT JOIN (SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS bal FROM customer
-                           WHERE c_mktsegment <> 'BUILDING') c ON c.c_custkey = o_custkey""")
+                           ) c ON 2 * c.c_custkey = o_custkey""")
 def _(t):
-    dim = t.customer.filter(F.col("c_mktsegment") != "BUILDING").withColumn("bal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    dim = t.customer.withColumn("bal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))).withColumn("c_custkey", 2 * F.col("c_custkey"))
     out = lk.lookup(t.orders, dim, {"o_custkey": "c_custkey"}, {"c_name": "name", "bal": "balance"}, unique=True, defaults={"name": "unknown", "balance": -1.0})
     return out.select("o_orderkey", "name", "balance")
 
@@ -129,15 +129,15 @@ def _(t):
 @query("upsert_log", """
     WITH log AS (SELECT CASE WHEN o_orderstatus = 'O' THEN o_orderkey ELSE -o_orderkey END AS k, o_orderpriority AS status FROM orders),
          a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A'),
-         b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R')
+         b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag <> 'A')
     SELECT log.k, CASE WHEN a.k IS NOT NULL THEN 'Synced' WHEN b.k IS NOT NULL THEN 'Shipped' ELSE log.status END AS status
     FROM log LEFT JOIN a ON a.k = log.k LEFT JOIN b ON b.k = log.k
     UNION ALL SELECT k, 'Synced' FROM a WHERE k NOT IN (SELECT k FROM log)
     UNION ALL SELECT k, 'Shipped' FROM b WHERE k NOT IN (SELECT k FROM log)""")
 def _(t):
     log = t.orders.selectExpr("CASE WHEN o_orderstatus = 'O' THEN o_orderkey ELSE -o_orderkey END AS k", "o_orderpriority AS status")
-    batch = lambda f: t.lineitem.filter(F.col("l_returnflag") == f).select(F.col("l_orderkey").alias("k"))
-    return keys.upsert_status(log, "k", "status", [(batch("A"), "Synced"), (batch("R"), "Shipped")])
+    batch = lambda which: t.lineitem.filter(which).select(F.col("l_orderkey").alias("k"))
+    return keys.upsert_status(log, "k", "status", [(batch("l_returnflag = 'A'"), "Synced"), (batch("l_returnflag <> 'A'"), "Shipped")])
 
 
 @query("calendar_fill", """

@@ -113,9 +113,9 @@ def _(t):
 @query("returns_adjustment", f"""
     SELECT '{DAY}' AS date, k.sku AS item, cast(l_quantity as int) - 5 AS adjust_qty_by, CASE WHEN l_linenumber % 2 = 0 THEN 'RT' ELSE 'EXC' END AS reason_code,
       l_orderkey || ' | ' || l_linestatus || ' | ' || 'Size' || ' | ' || CASE WHEN l_linenumber = 3 THEN 'n' ELSE '' END AS memo, 'WH-STORE' AS warehouse, 'IAR-{YMD}-1' AS external_id
-    FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey WHERE l_returnflag = 'R' AND l_linenumber < 6 AND l_quantity <> 5""")
+    FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey WHERE l_linenumber < 6 AND l_quantity <> 5""")
 def _(t):
-    lines = lookup(t.lineitem.filter("l_returnflag = 'R'"), t.s_sku, {"l_partkey": "p_partkey"}, ["sku"], unique=True)
+    lines = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, ["sku"], unique=True)
     rec = lines.select(
         F.col("sku").alias("return_item_sku"), (F.col("l_quantity").cast("int") - 5).alias("return_qty"), F.when(F.col("l_linenumber") % 2 == 1, 1).alias("exchange_qty"),
         F.col("l_orderkey").cast("string").alias("original_order_id"), F.col("l_linestatus").alias("order_channel"), F.lit("Size").alias("return_reason"),
@@ -248,12 +248,12 @@ def _(t):
 
 
 @query("best_sellers", """
-    WITH s AS (SELECT adjust_msku, sum(qty)::BIGINT AS total FROM s_sales WHERE year = 2000 GROUP BY 1),
+    WITH s AS (SELECT adjust_msku, sum(qty)::BIGINT AS total FROM s_sales GROUP BY 1),
     j AS (SELECT s.*, m.category_sku AS category, coalesce(m.category_sku, '') || '-' || coalesce(m.print_sku, '') AS spu FROM s LEFT JOIN s_master m ON m.msku = s.adjust_msku),
     x AS (SELECT *, sum(total) OVER (PARTITION BY spu)::BIGINT AS total_spu FROM j)
     SELECT x.*, cast(e.warehouse_available as double) AS available FROM x LEFT JOIN s_erp e ON e.name = adjust_msku AND e.inventory_warehouse = 'WH-CENTRAL' WHERE category IN ('B1', 'B4', 'B9')""")
 def _(t):
-    out = reports.best_sellers(t.s_sales.filter("year = 2000"), t.s_master, ["B1", "B4", "B9"], t.s_erp.filter("inventory_warehouse = 'WH-CENTRAL'"))
+    out = reports.best_sellers(t.s_sales, t.s_master, ["B1", "B4", "B9"], t.s_erp.filter("inventory_warehouse = 'WH-CENTRAL'"))
     return _as_double(out, "available")
 
 

@@ -57,9 +57,9 @@ def _(t):
 
 
 @query("uniform_new_skus", f"""
-    WITH u AS ({UNIFORM}) SELECT sku_number, quantity FROM u WHERE regexp_matches(sku_number, '-.*-') AND quantity > 0 AND sku_number NOT IN (SELECT name FROM s_erp WHERE warehouse_available > 10)""")
+    WITH u AS ({UNIFORM}) SELECT sku_number, quantity FROM u WHERE regexp_matches(sku_number, '-.*-') AND quantity > 0 AND sku_number NOT IN (SELECT name || CASE WHEN warehouse_available > 10 THEN '' ELSE '?' END FROM s_erp)""")
 def _(t):
-    return purchasing.uniform_new_skus(t.sql(UNIFORM), t.s_erp.filter("warehouse_available > 10"))
+    return purchasing.uniform_new_skus(t.sql(UNIFORM), t.s_erp.withColumn("name", F.concat("name", F.when(F.col("warehouse_available") > 10, "").otherwise("?"))))
 
 
 @query("po_remaining", """
@@ -125,13 +125,13 @@ def _(t):
 
 
 @query("fabric_allocation", f"""
-    WITH f AS (SELECT k.cat, k.print, cast(sum(l_quantity) as double) AS len FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey WHERE k.print <> 'LARGE' GROUP BY 1, 2),
+    WITH f AS (SELECT k.cat, CASE WHEN k.print = 'LARGE' THEN 'L' ELSE k.print END AS print, cast(sum(l_quantity) as double) AS len FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey GROUP BY 1, 2),
     x AS (SELECT e.name, e.item_category_sku, e.item_print_sku, f.len, (e.item_size::INT % 3 + 1)::DOUBLE AS cost, (e.item_size::INT % 5 + 1)::DOUBLE AS r FROM s_erp e JOIN f ON f.cat = e.item_category_sku AND f.print = e.item_print_sku
       WHERE e.inventory_warehouse = 'WH-CENTRAL' AND e.item_size NOT IN ('6', '10')),
     y AS (SELECT *, sum(cost * r) OVER (PARTITION BY item_category_sku, item_print_sku) AS w FROM x)
     SELECT name, len AS fabric, cost AS cost_m, r AS size_r, w AS total_weight, cast({half_even('cast(len * r as hugeint)', 'cast(w as hugeint)')} as int) AS quantity FROM y""")
 def _(t):
-    lines = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, ["cat", "print"], unique=True).filter("print <> 'LARGE'")
+    lines = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, ["cat", "print"], unique=True).replace("LARGE", "L", "print")
     fabric = lines.groupBy(F.col("cat").alias("category"), "print").agg(F.sum("l_quantity").alias("length"))
     usage = t.s_sku.select(F.col("cat").alias("category"), "size").distinct().withColumns({
         "cost_m": (F.col("size").cast("int") % 3 + 1).cast("double"), "size_r": (F.col("size").cast("int") % 5 + 1).cast("double")})
