@@ -114,8 +114,9 @@ class Page:
             return
         near = self._open[-1][1]
         names, role, hidden = self._names(rest) if "=" in rest or "hidden" in rest else ((), "", False)
-        out = (tag in LEFT_OUT or role in LEFT_OUT_ROLE or hidden or (tag == "header" and not self._within("article", near))
-               or (tag not in ("html", "body", "article", "main") and any(self._bad(n) for n in names)))
+        inside = self._within("article", near)
+        out = (tag in LEFT_OUT or role in LEFT_OUT_ROLE or hidden or (tag == "header" and not inside)
+               or (tag not in ("html", "body", "article", "main") and any(self._bad(n, inside) for n in names)))
         if out or tag in CONTAINER:
             label = tag + "".join("." + _DIGITS.sub("0", n) for n in sorted(names))
             self.parent.append(near)
@@ -148,11 +149,12 @@ class Page:
         return names, role, hidden
 
     @staticmethod
-    def _bad(name: str) -> bool:
-        if name in LEFT_OUT_NAME:
-            return True
+    def _bad(name: str, inside: bool) -> bool:
+        """Whether a class or id names something left out; an article's own header holds its title."""
         parts = re.split(r"[-_]+", name)
-        return len(parts) > 1 and parts[0] not in ("no", "with", "has", "without") and (parts[0] in LEFT_OUT_NAME or parts[-1] in LEFT_OUT_NAME)
+        if inside and parts[-1] == "header" or parts[0] in ("no", "with", "has", "without"):
+            return False
+        return name in LEFT_OUT_NAME or parts[0] in LEFT_OUT_NAME or parts[-1] in LEFT_OUT_NAME
 
     def _end(self, tag: str) -> None:
         if tag in BLOCK:

@@ -45,6 +45,25 @@ def test_every_window_has_one_anchor_and_equal_windows_the_same():
     assert sum((last - first + 1).tolist()) == sum(len(t) - 199 for t in texts)
 
 
+def test_texts_in_pieces_hold_every_window_once(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcde ") for _ in range(n)) for n in (5000, 150, 0, 1203, 200, 1199)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(7), pa.int64()), pa.array([0] * 7, pa.int32())], ["text", "_id", "_hash"])
+
+    def windows():
+        out = {}
+        for got in suffix_dedup._found(True)([batch]):
+            for r in got.to_pylist():
+                for i in range(r["lo"], r["lo"] + r["more"] + 1):
+                    assert (r["_id"], i) not in out
+                    out[r["_id"], i] = r["gram"]
+        return out
+    whole = windows()
+    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 1000)
+    assert windows() == whole and len(whole) == sum(max(0, len(t or "") - 199) for t in texts)
+
+
 def brute_repeats(rows):
     count = {}
     for _, text in rows:
@@ -68,10 +87,9 @@ def test_repeats_of_awkward_rows(spark):
     assert suffix_dedup.repeats(empty(spark)).collect() == []
 
 
-def test_repeats_with_crowded_anchors_and_texts_in_pieces(spark, monkeypatch):
-    """Anchors of more contexts than CROWD are split; long texts come in pieces.  Same result."""
+def test_repeats_with_crowded_anchors(spark, monkeypatch):
+    """Anchors of more contexts than CROWD are split; the result is the same."""
     monkeypatch.setattr(suffix_dedup, "CROWD", 3)
-    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 1500)
     rows = [(i, prose(20) + " " + PASSAGE + " " + prose(20)) for i in range(30)] + [(99, prose(2000)), (100, "x" * 5000), (101, BASE + BASE)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert as_rows(suffix_dedup.repeats(df)) == sorted(brute_repeats(rows), key=repr)
