@@ -27,12 +27,17 @@ def factory_by_category(factories: DataFrame, factory_cols: Sequence[str]) -> Da
     return first_per_key(long, "category", [place.desc()])
 
 
-def open_ledger(requests: DataFrame, master: DataFrame, factories: DataFrame | None = None,
-                regions: Mapping[str, str] = LEDGER_REGIONS) -> DataFrame:
-    """Plan rows per (order, SKU, region) with a Total region; remaining starts at the plan."""
+def plan_lines(requests: DataFrame, regions: Mapping[str, str] = LEDGER_REGIONS) -> DataFrame:
+    """Planned quantity per (order, SKU, region) with a Total region."""
     lines = requests.filter(F.col("sku").contains("-")).withColumn("sku", F.trim("sku"))
     long = unpivot_regions(lines, ["po", "sku"], {"total_qty": TOTAL, **regions}, ("region", "plan"))
-    out = long.groupBy("po", "sku", "region").agg(F.sum("plan").alias("plan"))
+    return long.groupBy("po", "sku", "region").agg(F.sum("plan").alias("plan"))
+
+
+def open_ledger(requests: DataFrame, master: DataFrame, factories: DataFrame | None = None,
+                regions: Mapping[str, str] = LEDGER_REGIONS) -> DataFrame:
+    """The plan with season, category and factory; remaining starts at the plan."""
+    out = plan_lines(requests, regions)
     out = lookup(out.withColumn("__up", F.upper("sku")), master.withColumn("__up", F.upper("msku")), "__up", {"seasons": "seasons"}, order=["msku"]).drop("__up")
     out = out.withColumns({"category": sku.category("sku"), "remaining": F.col("plan")})
     return lookup(out, factories, "category", ["factory"], unique=True) if factories is not None else out
@@ -40,9 +45,10 @@ def open_ledger(requests: DataFrame, master: DataFrame, factories: DataFrame | N
 
 def ledger_subtotals(ledger: DataFrame, measures: Sequence[str] = ("plan", "remaining")) -> DataFrame:
     """Ledger lines plus one subtotal per order and region."""
-    rows = ledger.groupBy("po", "region", "sku").agg(*[F.sum(m).alias(m) for m in measures]).withColumn("level", F.lit("line"))
-    sub = rows.groupBy("po", "region").agg(*[F.sum(m).alias(m) for m in measures]).withColumns({"level": F.lit("order"), "sku": F.lit("")})
-    return rows.unionByName(sub)
+    out = ledger.groupingSets([["po", "region", "sku"], ["po", "region"]], "po", "region", "sku").agg(
+        *[F.sum(m).alias(m) for m in measures], F.grouping("sku").alias("__order"))
+    order = F.col("__order") == 1
+    return out.withColumns({"sku": F.when(order, F.lit("")).otherwise(F.col("sku")), "level": F.when(order, F.lit("order")).otherwise(F.lit("line"))}).drop("__order")
 
 
 def remaining_percent(remaining: Column, plan: Column) -> Column:
@@ -60,10 +66,11 @@ def apply_shipments(ledger: DataFrame, shipments: DataFrame) -> DataFrame:
     regions = F.explode(F.array_distinct(F.array(F.col("region"), F.lit(TOTAL))))
     plan = ledger.select("po", "sku", "region", F.col("plan").cast("bigint").alias("plan"), F.lit(0).cast("bigint").alias("shipped"), F.lit(1).alias("planned"))
     moved = shipments.select("po", "sku", regions.alias("region"), F.lit(0).cast("bigint").alias("plan"), F.col("quantity").cast("bigint").alias("shipped"), F.lit(0).alias("planned"))
-    lines = plan.unionByName(moved).groupBy("po", "sku", "region").agg(
-        F.sum("plan").alias("plan"), F.sum("shipped").alias("shipped"), (F.max("planned") == 0).alias("unplanned"))
-    order = lines.groupBy("po", "region").agg(F.sum("plan").alias("plan"), F.sum("shipped").alias("shipped"), F.min("unplanned").alias("unplanned"))
-    out = lines.withColumn("level", F.lit("line")).unionByName(order.withColumns({"sku": F.lit(""), "level": F.lit("order")}))
+    # lines and orders in one aggregation
+    out = plan.unionByName(moved).groupingSets([["po", "region", "sku"], ["po", "region"]], "po", "region", "sku").agg(
+        F.sum("plan").alias("plan"), F.sum("shipped").alias("shipped"), (F.max("planned") == 0).alias("unplanned"), F.grouping("sku").alias("__order"))
+    out = out.withColumns({"sku": F.when(F.col("__order") == 1, F.lit("")).otherwise(F.col("sku")),
+                           "level": F.when(F.col("__order") == 1, F.lit("order")).otherwise(F.lit("line"))}).drop("__order")
     out = out.withColumn("remaining", F.col("plan") - F.col("shipped"))
     out = out.withColumn("percent", remaining_percent(F.col("remaining"), F.col("plan")))
     return out.withColumn("flag", (F.col("percent") >= 1.05) | (F.col("percent") <= -10.05))

@@ -352,7 +352,8 @@ def _(t):
     WITH {LEDGER} SELECT po, region, CASE WHEN grouping(sku) = 1 THEN '' ELSE sku END AS sku, sum(plan)::BIGINT AS plan, sum(plan)::BIGINT AS remaining, CASE WHEN grouping(sku) = 1 THEN 'order' ELSE 'line' END AS level
     FROM led GROUP BY GROUPING SETS ((po, region, sku), (po, region))""")
 def _(t):
-    return ledger.ledger_subtotals(_ledger(t))
+    plan = ledger.plan_lines(t.s_request)
+    return ledger.ledger_subtotals(plan.withColumn("remaining", F.col("plan")))
 
 
 SHIPPED = """SELECT 'P' || cast(l_suppkey % 50 as string) AS po, case when l_discount = 0.1 then 'NEW-' else '' end || k.sku AS sku,
@@ -368,7 +369,7 @@ SHIPPED = """SELECT 'P' || cast(l_suppkey % 50 as string) AS po, case when l_dis
     p AS (SELECT *, plan - shipped AS remaining, CASE WHEN plan = 0 THEN 0.0 ELSE (plan - shipped) / plan * 100 END AS percent FROM a)
     SELECT po, sku, region, plan, shipped, unplanned, level, remaining, percent, CASE WHEN cast(format('{{:.1f}}', percent) as double) > 1 OR cast(format('{{:.1f}}', percent) as double) < -10 THEN 1 ELSE 0 END AS flag FROM p""")
 def _(t):
-    return ledger.apply_shipments(_ledger(t), t.sql(SHIPPED))
+    return ledger.apply_shipments(ledger.plan_lines(t.s_request), t.sql(SHIPPED))
 
 
 MANIFEST = """SELECT case when p_partkey % 6 = 0 then 'DE-' || sku when p_partkey % 5 = 0 then 'US-' || sku when p_partkey % 7 = 0 then sku || '-A2' else sku end AS merchant_sku,
