@@ -38,7 +38,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.tokens_of(spark, table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", r"""
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+bytes AS (SELECT doc_id, raw, octet_length(raw)::BIGINT AS n FROM docs),
+windows AS (SELECT doc_id, i, raw[i + 1:i + 200] AS x FROM (SELECT doc_id, raw, unnest(range(0, n - 199)) AS i FROM bytes)),
+often AS (SELECT x FROM windows GROUP BY x HAVING count(*) > 1),
+starts AS (SELECT doc_id, i, i - lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) > 200 AS is_new FROM windows JOIN often USING (x)),
+numbered AS (SELECT doc_id, i, sum(is_new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts),
+runs AS (SELECT doc_id, run, min(i) AS lo, max(i) + 200 AS hi FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS a, lo AS b FROM runs
+  UNION ALL SELECT bytes.doc_id, coalesce(max(hi), 0), any_value(n) FROM bytes LEFT JOIN runs USING (doc_id) GROUP BY bytes.doc_id),
+kept AS (SELECT doc_id, string_agg(hex(raw[a + 1:b]), '' ORDER BY a) AS h FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id),
+totals AS (SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM bytes LEFT JOIN totals USING (doc_id) JOIN kept USING (doc_id)
+""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
 
@@ -69,7 +83,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(list_zip(w[:-2], w[2:]), lambda z: z[1] || ' ' || z[2]) END)) AS s FROM words),
+classes AS (SELECT s, min(doc_id) AS node, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+shingles AS (SELECT node, n, unnest(s) AS x FROM classes),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT node, node AS least FROM classes UNION SELECT ways.b, reach.least FROM reach JOIN ways ON ways.a = reach.node),
+found AS (SELECT node, min(least) AS component_id FROM reach GROUP BY node)
+SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(found.component_id, sets.doc_id) AS component_id, sets.doc_id = coalesce(found.component_id, sets.doc_id) AS kept
+FROM sets LEFT JOIN classes ON classes.s = sets.s LEFT JOIN found ON found.node = classes.node
+""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n_words=2).select("doc_id", "n_shingles", "component_id", "kept")
 

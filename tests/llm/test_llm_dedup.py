@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from llm_data import BASE, PASSAGE, SCHEMA, SF, as_rows, empty, messy, messy_rows, needs_tables, prose, texts_of
+from oracle import compare, connect
 from retailflow.llm import near_dup, queries, suffix_dedup
 from retailflow.llm.components import components
 from retailflow.llm.shingles import shingle_set, words
@@ -105,7 +106,9 @@ def test_cleaned_keeps_rows_and_other_columns(spark):
 
 @needs_tables
 def test_op2(spark):
-    assert as_rows(queries.op2(spark, SF)) == sorted(brute_repeats(texts_of(spark)), key=repr)
+    got = queries.op2(spark, SF).persist()
+    assert as_rows(got) == sorted(brute_repeats(texts_of(spark)), key=repr)
+    assert compare(got, connect(SF), queries.SQL["op2_suffix_dedup"]) is None
 
 
 # Near-duplicates
@@ -226,4 +229,6 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
 
 @needs_tables
 def test_op7(spark):
-    assert result(queries.op7(spark, SF)) == sorted(brute_near(texts_of(spark), 2), key=repr)
+    got = queries.op7(spark, SF).persist()
+    assert result(got) == sorted(brute_near(texts_of(spark), 2), key=repr)
+    assert compare(got, connect(SF), queries.SQL["op7_near_duplicates"]) is None
