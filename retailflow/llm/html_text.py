@@ -57,7 +57,7 @@ LEFT_OUT_NAME = frozenset("""nav navbar navigation menu breadcrumb breadcrumbs m
  pagination pager toolbar hidden""".split())
 ARTICLE_NAME = frozenset("article content post entry story main article-body articlebody post-content entry-content post-body story-body main-content maincontent".split())
 
-_TAG = re.compile(r"""<!--(?:.*?--!?>|.*)|<[!?][^>]*>|</[a-zA-Z][^>]*>|<[a-zA-Z](?>[^'">]+|"[^"]*"|'[^']*')*+>|<[a-zA-Z][^<>]*>""", re.S)
+_TAG = re.compile(r"""<!--(?:.*?--!?>|.*)|<[!?][^>]*>|</[a-zA-Z][^>]*>|<[a-zA-Z](?>[^>"'=]+|=\s*"[^"]*"|=\s*'[^']*'|["'=])*+>""", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _DIGITS = re.compile(r"\d{2,}")  # numbers of posts and the like

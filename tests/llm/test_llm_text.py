@@ -121,6 +121,7 @@ def text_of(source):
     ("<div><div><p>" + "long text " * 30 + "</p></div><div><ul><li>a</li></ul></div></div>", ("long text " * 30).strip()),
     ("<article><div class='entry-header'><h1>Title</h1></div><p>x</p><ol class='comment-list'><li>no</ol></article>", "Title\nx"),
     ("<div class='site-header'>no</div><main>yes<div role=complementary>no</div><div class='cookie_banner'>no</div></main>", "yes"),
+    ("<article><p class=it's>a</p><p title=\"x>y\">b</p><p \">c</p>don't</article>", "a\nb\nc\ndon't"),
     ("<article hidden>no</article><article>yes</article>", "yes"), ("<article>5 < 6 and 7 > 3</article>", "5 < 6 and 7 > 3")])
 def test_text_of_single_pages(source, want):
     assert text_of(source) == want
