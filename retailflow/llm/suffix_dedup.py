@@ -249,7 +249,7 @@ def _common(order: np.ndarray, word, depth: int) -> np.ndarray:
 # The operator
 
 def _contexts(batches):
-    """The bytes of the contexts asked for, a row per context and part: bucket, gram, context, many, starts of windows, bytes."""
+    """The bytes of the contexts asked for, a row per context and part: bucket, gram, context, many, starts of windows (null: all), bytes."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.binary()]
     names = ["bucket", "gram", "context", "many", "starts", "content"]
     for batch in batches:
@@ -261,7 +261,7 @@ def _contexts(batches):
             for a in asked.as_py():
                 content = raw[a["lo"]: a["lo"] + a["more"] + LENGTH].to_pybytes()
                 if a["parts"] == 1:
-                    parts = {0: list(range(a["more"] + 1))}
+                    parts = {0: None}
                 else:
                     parts = {}
                     for i in range(a["more"] + 1):
@@ -282,7 +282,15 @@ def _repeated(rows: list[tuple]) -> pa.RecordBatch:
     ends = np.cumsum([len(r[5]) for r in rows])
     text = np.frombuffer(b"".join([r[5] for r in rows]), np.uint8)
     base = np.concatenate([[0], ends[:-1]])
-    wanted = np.concatenate([b + np.array(r[4], np.int64) for b, r in zip(base, rows)])
+    edge = np.zeros(len(text) + 1, np.int64)  # windows of whole contexts: +1 where they begin, -1 behind the last
+    whole = np.array([r[4] is None for r in rows])
+    np.add.at(edge, base[whole], 1)
+    np.add.at(edge, ends[whole] - LENGTH + 1, -1)
+    asked = np.cumsum(edge[:-1]) > 0
+    for b, r in zip(base.tolist(), rows):
+        if r[4] is not None:
+            asked[b + np.array(r[4], np.int64)] = True
+    wanted = np.flatnonzero(asked)
     order, common = suffix_order(text, ends, wanted, LENGTH)
     hit = np.zeros(len(text), bool)
     pair = np.flatnonzero(common >= LENGTH)
@@ -336,7 +344,7 @@ def _marked(documents: DataFrame) -> DataFrame:
     """``documents`` (a struct _row with the text, keys _id and _hash) with ``spans``: runs (first, last) of windows that repeat."""
     key = ["_id", "_hash"]
     text = F.col("_row.text").alias("text")
-    grams = documents.select(text).mapInArrow(_found(False), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    grams = written(documents.select(text).mapInArrow(_found(False), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
     rows = documents.select(*key, text).mapInArrow(_found(True), "gram long, context long, _id long, _hash int, lo int, more int")
     live = written(rows.join(grams, "gram", "left_semi"), "anchors")
     contexts = written(live.groupBy("gram", "context").agg(
