@@ -1,8 +1,8 @@
 """Mixing sources to target weights: Sainte-Lague apportionment of equal-token blocks.
 
 A source's words, in shards dealt by the documents' hash and there in order of doc_id, are cut into blocks of
-``BLOCK`` words.  Blocks go to sources by highest quotients of target / (2 taken + 1), a source's blocks then to its
-shards in the same way (by their words), which gives whole quotas that add up exactly.  A shard takes every block
+``BLOCK`` words (the last of a shard may be shorter).  Blocks go to sources by highest quotients of target / (2 taken + 1), a source's blocks then to its
+shards in the same way (by their blocks), which gives whole quotas that add up exactly.  A shard takes every block
 ``quota // blocks`` times and, once more, the ``quota % blocks`` blocks that come first in a seeded permutation of
 the block numbers.  So no document is taken more than twice and any part of the result can be computed again.
 
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .shared import written
 
 BLOCK = 64
-SHARD_WORDS = 1 << 20
-MOST_SHARDS = 4096
+SHARD_WORDS = 1 << 17
+MOST_SHARDS = 1 << 16
 WEIGHTS = (3, 1, 2)
 
 
@@ -96,30 +96,31 @@ def permutation(n: int, seed: str) -> tuple[int, int]:
     return a, number // 65_537 % n
 
 
-def with_sizes(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns, the text's hash and its number of words."""
-    held = documents.select(*keep, F.xxhash64("text").alias("_hash"), *([] if "text" in keep else ["text"]))
-    schema = held.select(*keep, "_hash").schema.add("size", "long")
+def with_sizes(documents: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, source, the text's hash and number of words, and the ``whole`` row as a struct."""
+    rows = documents.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("_hash"),
+                            F.struct(*(documents.columns if whole else ["text"])).alias("_row"))
+    names = ["doc_id", "source", "_hash", *["_row"] * whole]
+    schema = rows.select(*names).schema.add("size", "long")
 
     def run(batches):
         for batch in batches:
-            sizes = [len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in batch.column("text")]  # splits at 09-0D and 20
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in [*keep, "_hash"]), pa.array(sizes, pa.int64())], [*keep, "_hash", "size"])
+            text = batch.column("_row").field("text")
+            sizes = [len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in text]  # bytes split at 09-0D and 20
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sizes, pa.int64())], [*names, "size"])
 
-    return held.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _quotas(seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_shard").reset_index(drop=True)
-        words = pdf["words"].to_numpy()
-        blocks = -(-words // BLOCK)
-        quota = sainte_lague(words, int(pdf["quota"].iloc[0]), 2 * blocks)
+        source, blocks = int(pdf["_src"].iloc[0]), pdf["_n"].to_numpy()
+        quota = sainte_lague(blocks, int(pdf["quota"].iloc[0]), 2 * blocks)
         rows = []
-        for shard, n, q in zip(pdf["_shard"], blocks.tolist(), quota.tolist()):
+        for shard, n, q in zip(pdf["_shard"].tolist(), blocks.tolist(), quota.tolist()):
             n = max(n, 1)
-            a, b = permutation(n, f"{seed}/{pdf['_src'].iloc[0]}/{shard}")
-            rows.append((pdf["_src"].iloc[0], shard, n, q // n, q % n, a, b))
+            rows.append((source, shard, n, q // n, q % n, *permutation(n, f"{seed}/{source}/{shard}")))
         return pd.DataFrame(rows, columns=["_src", "_shard", "_n", "_base", "_rest", "_a", "_b"])
     return run
 
@@ -127,24 +128,24 @@ def _quotas(seed: int):
 def _planned(rows: DataFrame, sized: DataFrame, seed: int) -> DataFrame:
     """``rows`` (source, doc_id, _hash, size, ...) with their source's numbers, their shard's quota and their first word in it."""
     spark = sized.sparkSession
-    # one row per source
-    totals = [(r["source"], int(r["n"])) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()]
-    totals.sort(key=lambda x: (x[0] is None, x[0] or ""))
-    sizes = [n for _, n in totals]
-    want = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(totals))]) if totals else []
-    seats = sainte_lague(np.array([float(t) for t in want]), round(sum(want) / BLOCK),
-                         np.array([2 * -(-n // BLOCK) for n in sizes], np.int64)) if totals else []
-    shards = max(1, min(MOST_SHARDS, sum(sizes) // SHARD_WORDS))
-    sources = spark.createDataFrame(
-        [(s, i, n, float(t), int(q)) for i, ((s, n), t, q) in enumerate(zip(totals, want, seats))],
-        "_source string, _src int, source_size long, target double, quota long")
+    # one row per source reaches the driver
+    sizes = {r["source"]: int(r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = targets([sizes[s] for s in order], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(order))]) if order else []
+    shards = max(1, min(MOST_SHARDS, sum(sizes.values()) // SHARD_WORDS))
+    sources = spark.createDataFrame([(s, i, sizes[s], float(t)) for i, (s, t) in enumerate(zip(order, want))], "_source string, _src int, source_size long, target double")
 
     def numbered(df):
         return (df.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
                 .withColumn("_shard", F.pmod(F.xxhash64("doc_id", "_hash"), F.lit(shards)).cast("int")))
 
-    words = numbered(sized).groupBy("_src", "_shard").agg(F.sum("size").alias("words"), F.first("quota").alias("quota"))
-    quotas = words.groupBy("_src").applyInPandas(_quotas(seed), "_src int, _shard int, _n long, _base long, _rest long, _a long, _b long")
+    words = numbered(sized).groupBy("_src", "_shard").agg(F.ceil(F.sum("size") / BLOCK).alias("_n"))
+    blocks = {r["_src"]: int(r["n"]) for r in words.groupBy("_src").agg(F.sum("_n").alias("n")).collect()}
+    # a source's target in blocks of its own mean size (the last of a shard is shorter)
+    votes = np.array([float(t) * blocks[i] / max(1, sizes[s]) for i, (s, t) in enumerate(zip(order, want))])
+    seats = sainte_lague(votes, round(votes.sum()), np.array([2 * blocks[i] for i in range(len(order))], np.int64)) if order else []
+    quotas = (words.join(spark.createDataFrame([(i, int(q)) for i, q in enumerate(seats)], "_src int, quota long"), "_src")
+              .groupBy("_src").applyInPandas(_quotas(seed), "_src int, _shard int, _n long, _base long, _rest long, _a long, _b long"))
     place = Window.partitionBy("_src", "_shard").orderBy("doc_id", "_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = numbered(rows).withColumn("_from", F.coalesce(F.sum("size").over(place), F.lit(0)))
     return placed.join(quotas, ["_src", "_shard"])
@@ -156,7 +157,7 @@ def _chosen(block):
 
 def mix(documents: DataFrame, seed: int = 7) -> DataFrame:
     """doc_id, size, source_size, target (its source's), taken: words the mix takes of the document, repeats counted."""
-    sized = written(with_sizes(documents, ["doc_id", "source"]), "mix")
+    sized = written(with_sizes(documents), "mix")
     rows = _planned(sized, sized, seed)
     last = F.col("_from") + F.col("size")
     overlap = F.aggregate(
@@ -185,23 +186,22 @@ def mixed(documents: DataFrame, seed: int = 7) -> DataFrame:
 
     Columns as in ``documents``; ``n_chars``, if there, follows the text.
     """
-    keep = documents.columns
-    sized = written(with_sizes(documents, ["doc_id", "source"]), "mix")
-    rows = _planned(with_sizes(documents, keep), sized, seed).select(*keep, "_from", "_n", "_base", "_rest", "_a", "_b")
+    sized = written(with_sizes(documents), "mix")
+    rows = _planned(with_sizes(documents, whole=True), sized, seed).select("_row", "_from", "_n", "_base", "_rest", "_a", "_b")
     schema = documents.schema
 
     def run(batches):
         for batch in batches:
-            kept = pa.schema([batch.schema.field(k) for k in keep])
+            fields = batch.schema.field("_row").type
+            kept = pa.schema([fields.field(i) for i in range(fields.num_fields)])
             for i in range(0, batch.num_rows, 64):
                 out = []
-                for row in batch.slice(i, 64).to_pylist():
-                    start, n, base, rest, a, b = (row.pop(k) for k in ("_from", "_n", "_base", "_rest", "_a", "_b"))
-                    text = row["text"] or ""
+                for r in batch.slice(i, 64).to_pylist():
+                    row, text = r["_row"], r["_row"]["text"] or ""
                     if not _WORD.search(text):
                         continue
-                    out += [row] * base
-                    if part := taken_part(text, start, n, rest, a, b):
+                    out += [row] * r["_base"]
+                    if part := taken_part(text, r["_from"], r["_n"], r["_rest"], r["_a"], r["_b"]):
                         out.append(row | {"text": part} | ({"n_chars": len(part)} if "n_chars" in row else {}))
                 if out:
                     yield pa.RecordBatch.from_pylist(out, kept)
