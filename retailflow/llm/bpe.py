@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 #: Pre-tokens of more bytes get a queue of their own.
 LONG = 400
 #: Entries of a worker's table of encoded pieces; beyond it the table starts anew.  No result depends on it.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 200_000
 
 # A piece: white space and what follows up to the next white space.  No pre-token begins in one piece and ends in the next.
 _PIECE = re.compile(r"\s*\S+|\s+")
@@ -276,7 +276,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 #: Bytes of text encoded at once in a task.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 
 
 def _texts(batch: pa.RecordBatch, column: int):

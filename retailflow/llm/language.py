@@ -33,7 +33,7 @@ SWITCH = 8.0
 #: A language is written in a script if that has this share of its letters.
 SCRIPT_SHARE = 0.02
 #: Bytes of text handled at once in a task.
-AT_ONCE = 6 << 20
+AT_ONCE = 1 << 20
 
 # Scripts and the code point ranges of their letters.
 SCRIPTS = [
