@@ -2,7 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns documents; the last returns their token ids.
 
-1. language: documents without a language go (no letter, or none of the languages holds ``LEAST_SHARE`` of the letters).
+1. language: documents without a language go: no letter, or no learned language holds ``LEAST_SHARE`` of the letters.
 2. near duplicates: shingles of five words, similarity 0.8; one document of each group stays.
 3. repeated passages: bytes covered by a string of 200 bytes that starts elsewhere too go, documents stay.
 4. mix: documents in whole repeats and parts, so that sources reach their targets; a document may be two rows.
@@ -21,7 +21,7 @@ from retailflow.llm import bpe, language, mixing, near_dup, suffix_dedup
 from retailflow.llm.queries import tokenizer_file, tokenizer_pattern
 from retailflow.llm.shared import table, written
 
-LEAST_SHARE = 0.35
+LEAST_SHARE = 0.25
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
