@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns documents; the last returns their token ids.
 
-1. language: documents without a language go: no letter, or no learned language holds ``LEAST_SHARE`` of the letters.
+1. language: documents without a language go: no letter; under ``LEAST_KNOWN`` of the letters in scripts of learned languages;
+   or, from ``LEAST_LETTERS`` letters on (fewer are no evidence), trigrams under the floor.  Text mixed of learned languages stays.
 2. near duplicates: shingles of five words, similarity 0.8; one document of each group stays.
 3. repeated passages: bytes covered by a string of 200 bytes that starts elsewhere too go, documents stay.
 4. mix: documents in whole repeats and parts, so that sources reach their targets; a document may be two rows.
@@ -21,13 +22,15 @@ from retailflow.llm import bpe, language, mixing, near_dup, suffix_dedup
 from retailflow.llm.queries import tokenizer_file, tokenizer_pattern
 from retailflow.llm.shared import table, written
 
-LEAST_SHARE = 0.25
+LEAST_KNOWN = 0.5
+LEAST_LETTERS = 30
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = language.learn(docs.select("doc_id", "text", "lang"))
-    found = language.identify(docs.select(F.struct("*").alias("row"), "text"), model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select("row.*")
+    model = language.learn(docs.select("doc_id", "text", "lang"), evidence=True)
+    found = language.identify(docs.select(F.struct("*").alias("row"), "text"), model, evidence=True)
+    fits = (F.col("evidence.letters") < LEAST_LETTERS) | (F.col("evidence.fit") >= 0)
+    return found.where((F.col("lang_pred") != "und") & (F.col("evidence.known") >= LEAST_KNOWN) & fits).select("row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

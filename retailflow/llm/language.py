@@ -11,7 +11,10 @@ fewer); nothing else is sampled.  Null languages teach nothing.  Only text and l
 
 Cases.  Null text, or text without a letter: ``und``, score 0, no spans.  Words of a script that no language was
 seen in fit every language and follow their neighbours; if all words do, the most frequent language stands, with
-score 1 / languages.  Without anything to learn from everything is ``und``.  Ties go to the language that sorts
+score 1 / languages.  ``evidence`` says whether a text is in the learned languages at all, whatever their number: the
+share of its letters in scripts some language was learned in, and how far its trigrams score above a floor, per symbol.
+A language's floor is a quarter of the way up from its labelled texts with their letters in another order to the texts
+themselves, each scored by what the others teach; a language whose trigrams don't tell these apart has no floor.  Without anything to learn from everything is ``und``.  Ties go to the language that sorts
 first.  Repeated rows, null ids and other columns pass through.  Texts are whole, of any length.
 """
 
@@ -32,6 +35,8 @@ FIT_DOCS = 4000
 SWITCH = 8.0
 #: A language is written in a script if that has this share of its letters.
 SCRIPT_SHARE = 0.02
+#: Where a language's floor lies between its texts in another order (0) and its texts (1).
+FLOOR = 0.25
 #: Bytes of text handled at once in a task.
 AT_ONCE = 1 << 20
 
@@ -132,6 +137,7 @@ class Model:
         share = scripts / np.maximum(1, scripts.sum(1, keepdims=True))
         self.allowed = (share >= SCRIPT_SHARE).T  # [script, language]
         self.common = int(documents.argmax())
+        self.floor = np.full(len(langs), -np.inf)
 
     def word_scores(self, words: Words) -> np.ndarray:
         got = np.empty((len(words.start), len(self.langs)), np.float32)
@@ -178,11 +184,26 @@ def viterbi(scores: np.ndarray, first: np.ndarray, count: np.ndarray, switch: fl
     return label
 
 
-def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float], list[list[dict]]]:
-    """Language, score and spans (start, stop in code points, language) of every text."""
+def reordered(texts: list[str]) -> list[str]:
+    """The texts with their letters in another order, which depends on the number of letters alone; the rest stays in place."""
+    script, _ = letters()
+    out = []
+    for text in texts:
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).copy()
+        at = np.flatnonzero(script[points])
+        points[at] = points[np.random.default_rng(len(at)).permutation(at)]
+        out.append(points.tobytes().decode("utf-32-le"))
+    return out
+
+
+def predict(model: Model, texts: list[str], evidence: bool = False) -> tuple[list, ...]:
+    """Language, score and spans (start, stop in code points, language) of every text; with ``evidence`` also (letters, known, fit).
+
+    ``known`` is the share of letters in learned scripts, ``fit`` the mean of the symbols of these words above the floor (0 without any).
+    """
     n = len(texts)
     if not model.langs:
-        return ["und"] * n, [0.0] * n, [[] for _ in texts]
+        return (["und"] * n, [0.0] * n, [[] for _ in texts], *[[{"letters": 0, "known": 0.0, "fit": 0.0}] * n] * evidence)
     words = Words(texts)
     scores = model.word_scores(words)
     count = np.bincount(words.text, minlength=n)
@@ -209,7 +230,17 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float], lis
     for i, k in enumerate(known):
         if total[i] and not k:
             spans[i] = [s | {"lang": model.langs[model.common]} for s in spans[i]]
-    return langs, score, spans
+    if not evidence:
+        return langs, score, spans
+    # words of unlearned scripts say nothing about trigrams
+    learned = model.allowed[words.script].any(1)
+    size, above = words.size * learned, np.zeros(len(label))
+    at = np.flatnonzero(learned)
+    above[at] = scores[at, label[at]] - model.floor[label[at]] * size[at]
+    symbols = np.bincount(words.text, size, n)
+    seen = np.bincount(words.text, (words.size - 1) * learned, n) / np.maximum(1, total)
+    fit = np.bincount(words.text, above, n) / np.maximum(1, symbols)
+    return langs, score, spans, [{"letters": int(t), "known": float(s), "fit": float(f)} for t, s, f in zip(total, seen, fit)]
 
 
 def slices(texts: pa.Array):
@@ -229,8 +260,8 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5
 
 
-def learn(documents: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
-    """A model from the documents (doc_id, text, lang) it is given."""
+def learn(documents: DataFrame, fit_docs: int = FIT_DOCS, evidence: bool = False) -> Model:
+    """A model from the documents (doc_id, text, lang) it is given; with ``evidence`` also the languages' floors."""
     spark = ready(documents.sparkSession)
     labelled = documents.where(F.col("lang").isNotNull())
     # one row per language
@@ -256,29 +287,59 @@ def learn(documents: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
         lang, key = np.nonzero(both)
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(key, pa.int32()), pa.array(both[lang, key], pa.int64())], ["lang", "key", "n"])
 
+    def score(batches):
+        total = model.grams.sum(1)
+        for batch in batches:
+            for lo, hi, texts in slices(batch.column(1)):
+                lang = np.array([number[l] for l in batch.column(0)[lo:hi].to_pylist()])
+                words, other = Words(texts), Words(reordered(texts))
+                of = np.repeat(words.text, words.size)
+                # without the text's own trigrams
+                _, back, own = np.unique(of * BUCKETS + words.bucket, return_inverse=True, return_counts=True)
+                left = model.grams[lang[of], words.bucket] - own[back.ravel()]
+                rest = total[lang] - np.bincount(of, minlength=len(texts))
+                inside = np.log((left + 0.5) / (rest[of] + 0.5 * BUCKETS))
+                to = np.repeat(lang[other.text], other.size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(len(langs)), pa.int32()), *(pa.array(np.bincount(at, by, len(langs)).astype(float)) for at, by in (
+                        (lang[of], inside), (lang[of], None), (to, model.log[other.bucket, to]), (to, None)))], ["lang", "inside", "n", "outside", "m"])
+
     # at most BUCKETS rows per language
     rows = sample.mapInArrow(count, "lang int, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
     both = np.zeros((len(langs), BUCKETS + OTHER + 1), np.int64)
     both[np.asarray(rows["lang"]), np.asarray(rows["key"])] = np.asarray(rows["n"])
-    return Model(langs, both[:, :BUCKETS], both[:, BUCKETS:], np.array(list(counts.values())))
+    model = Model(langs, both[:, :BUCKETS], both[:, BUCKETS:], np.array(list(counts.values())))
+    if evidence:
+        model.grams = both[:, :BUCKETS]
+        # one row per language
+        for r in sample.mapInArrow(score, "lang int, inside double, n double, outside double, m double").groupBy("lang").agg(*[F.sum(c).alias(c) for c in ("inside", "n", "outside", "m")]).collect():
+            if r["n"] and (inside := r["inside"] / r["n"]) > (outside := r["outside"] / r["m"]):
+                model.floor[r["lang"]] = outside + FLOOR * (inside - outside)
+        del model.grams  # not sent to the tasks of identify
+    return model
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("lang", T.StringType())]))
 
 
-def identify(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with lang_pred, score and spans (columns of these names are replaced).  No shuffle."""
+EVIDENCE = T.StructType([T.StructField("letters", T.LongType()), T.StructField("known", T.DoubleType()), T.StructField("fit", T.DoubleType())])
+
+
+def identify(documents: DataFrame, model: Model, evidence: bool = False) -> DataFrame:
+    """``documents`` with lang_pred, score, spans and, if asked for, evidence (columns of these names are replaced).  No shuffle."""
     held = ready(documents.sparkSession).sparkContext.broadcast(model)  # BUCKETS numbers per language
-    kept = documents.drop("lang_pred", "score", "spans")
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("spans", SPANS)])
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())]))
+    more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("spans", SPANS)] + [T.StructField("evidence", EVIDENCE)] * evidence
+    kept = documents.drop(*(f.name for f in more))
+    schema = T.StructType([*kept.schema.fields, *more])
+    kinds = [pa.string(), pa.float64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())])),
+             pa.struct([("letters", pa.int64()), ("known", pa.float64()), ("fit", pa.float64())])]
 
     def run(batches):
         for batch in batches:
             for lo, hi, texts in slices(batch.column("text")):
-                langs, scores, spans = predict(held.value, texts)
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)],
-                                                 [*batch.schema.names, "lang_pred", "score", "spans"])
+                got = predict(held.value, texts, evidence)
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), *(pa.array(g, k) for g, k in zip(got, kinds))],
+                                                 [*batch.schema.names, *(f.name for f in more)])
 
     return kept.mapInArrow(run, schema)
 

@@ -1,8 +1,9 @@
 """The pipeline's stages one after the other."""
 
 import hashlib
+import random
 
-from llm_data import SF, empty, messy, needs_tables
+from llm_data import SCHEMA, SF, empty, messy, needs_tables
 
 import corpus_pipeline
 from retailflow.llm.shared import written
@@ -33,6 +34,22 @@ def test_no_rows(spark):
     assert [t.count() for t in through(spark, empty(spark))] == [0] * 6
 
 
+def test_language_stage_rejects_what_is_in_no_learned_language(spark):
+    """Four languages: the greatest share of a text is never under 1/4, so junk and unlearned scripts must show otherwise."""
+    rng = random.Random(5)
+    words = {"en": "the house and the river are with us when they have been there", "de": "der hund und die katze sind nicht über das grüne feld gelaufen",
+             "fr": "les enfants sont dans la maison avec une petite fleur rouge", "es": "los perros corren por el campo cuando llega la noche oscura"}
+    prose = lambda lang, n=30: " ".join(rng.choice(words[lang].split()) for _ in range(n))
+    junk = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(30))
+    good = [(i, prose(lang), lang) for i, lang in enumerate(list(words) * 40)] + [(1000 + i, prose(lang), None) for i, lang in enumerate(words)]
+    good += [(1010, " ".join(map(prose, words)), None), (1011, "the", None), (1012, prose("en") + " мир 你好", None)]
+    bad = [(2000 + i, junk(), None) for i in range(5)] + [(2010, "это не только слова но и предложения", None), (2011, "αβγ δεζ", None),
+           (2012, "the " + "слова " * 20, None), (2013, "1234 !!!", None), (2014, None, None)]
+    docs = spark.createDataFrame([(i, t, lang, None, None) for i, t, lang in good + bad], SCHEMA).repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.in_a_language(spark, docs, SF).collect()}
+    assert kept == {i for i, _, _ in good}
+
+
 @needs_tables
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
