@@ -22,7 +22,7 @@ hash names, so equal windows still meet and a part stays of bounded size.
 Cases.  Null text is the empty text.  Matches are of bytes (they may begin inside a character), never cross
 documents and are judged on the input.  A text shorter than LENGTH loses nothing.  Repeated rows repeat each
 other wholly.  Null doc_ids are ids like others.  Other columns are kept by ``cleaned`` and not read by ``repeats``.
-An empty table stays empty.  Contexts are compared by two 64-bit hashes, windows by their bytes.
+An empty table stays empty.  Contexts are compared by two 64-bit hashes, windows by their bytes, those of crowded anchors by 128-bit digest.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -248,55 +248,82 @@ def _common(order: np.ndarray, word, depth: int) -> np.ndarray:
 
 # The operator
 
-def _contexts(batches):
-    """The bytes of the contexts asked for, a row per context and part: bucket, gram, context, many, starts of windows (null: all), bytes."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.binary()]
-    names = ["bucket", "gram", "context", "many", "starts", "content"]
+def _cut(batches):
+    """(gram, context, many, bytes) of the contexts asked for."""
     for batch in batches:
-        out, size = [], 0
         for text, asked in zip(_text(batch), batch.column("asked")):
-            if not asked.is_valid:
-                continue
-            raw = text.as_buffer()
-            for a in asked.as_py():
-                content = raw[a["lo"]: a["lo"] + a["more"] + LENGTH].to_pybytes()
-                if a["parts"] == 1:
-                    parts = {0: None}
-                else:
-                    parts = {}
-                    for i in range(a["more"] + 1):
-                        parts.setdefault(xxhash.xxh3_64_intdigest(content[i: i + LENGTH]) % a["parts"], []).append(i)
-                for part, starts in parts.items():
-                    bucket = (a["gram"] + part * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
-                    out.append((bucket, a["gram"], a["context"], a["many"], starts, content))
-                    size += len(content)
-                if size >= AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
-                    out, size = [], 0
-        if out:
+            if asked.is_valid:
+                raw = text.as_buffer()
+                for a in asked.as_py():
+                    yield a["gram"], a["context"], a["many"], raw[a["lo"]: a["lo"] + a["more"] + LENGTH].to_pybytes()
+
+
+def _contexts(batches):
+    """The bytes of the contexts asked for, a row per context."""
+    kinds, names = [pa.int64(), pa.int64(), pa.bool_(), pa.binary()], ["gram", "context", "many", "content"]
+    out, size = [], 0
+    for row in _cut(batches):
+        out.append(row)
+        size += len(row[3])
+        if size >= AT_ONCE:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
+            out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
+
+
+def _windows(batches):
+    """A row per window of the contexts asked for, with its 128-bit digest."""
+    def table():
+        n = np.array([len(d) // 16 for *_, d in out])
+        digest = np.frombuffer(b"".join(d for *_, d in out), ">i8").astype(np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(np.repeat(np.array([r[i] for r in out]), n)) for i in range(3)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in n])),
+             pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy())], ["gram", "context", "many", "start", "high", "low"])
+
+    out, size = [], 0
+    for gram, context, many, content in _cut(batches):
+        digests = b"".join([xxhash.xxh3_128_digest(content[i: i + LENGTH]) for i in range(len(content) - LENGTH + 1)])
+        out.append((gram, context, many, digests))
+        size += len(digests)
+        if size >= AT_ONCE:
+            yield table()
+            out, size = [], 0
+    if out:
+        yield table()
+
+
+def _runs(batches):
+    """Runs of the windows that repeat, of rows (gram, context, starts in order)."""
+    for batch in batches:
+        row, first, last = [], [], []
+        for i, starts in enumerate(batch.column("starts")):
+            at = np.asarray(starts.values)
+            new = np.flatnonzero(np.diff(at) > 1) + 1
+            first.append(at[np.concatenate([[0], new])])
+            last.append(at[np.concatenate([new - 1, [len(at) - 1]])])
+            row.append(np.full(len(new) + 1, i))
+        if row:
+            take = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays([batch.column("gram").take(take), batch.column("context").take(take),
+                                              pa.array(np.concatenate(first), pa.int32()), pa.array(np.concatenate(last), pa.int32())], ["gram", "context", "first", "last"])
 
 
 def _repeated(rows: list[tuple]) -> pa.RecordBatch:
-    """Runs of windows that repeat, of rows (bucket, gram, context, many, starts, content) of whole buckets."""
-    ends = np.cumsum([len(r[5]) for r in rows])
-    text = np.frombuffer(b"".join([r[5] for r in rows]), np.uint8)
+    """Runs of windows that repeat, of rows (gram, context, many, content) of whole anchors."""
+    ends = np.cumsum([len(r[3]) for r in rows])
+    text = np.frombuffer(b"".join([r[3] for r in rows]), np.uint8)
     base = np.concatenate([[0], ends[:-1]])
-    edge = np.zeros(len(text) + 1, np.int64)  # windows of whole contexts: +1 where they begin, -1 behind the last
-    whole = np.array([r[4] is None for r in rows])
-    np.add.at(edge, base[whole], 1)
-    np.add.at(edge, ends[whole] - LENGTH + 1, -1)
-    asked = np.cumsum(edge[:-1]) > 0
-    for b, r in zip(base.tolist(), rows):
-        if r[4] is not None:
-            asked[b + np.array(r[4], np.int64)] = True
-    wanted = np.flatnonzero(asked)
+    edge = np.zeros(len(text) + 1, np.int64)  # windows: +1 where a context's begin, -1 behind the last
+    np.add.at(edge, base, 1)
+    np.add.at(edge, ends - LENGTH + 1, -1)
+    wanted = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
     order, common = suffix_order(text, ends, wanted, LENGTH)
     hit = np.zeros(len(text), bool)
     pair = np.flatnonzero(common >= LENGTH)
     hit[order[pair]] = hit[order[pair - 1]] = True
     which = np.searchsorted(ends, wanted, "right")
-    found = hit[wanted] | np.array([r[3] for r in rows])[which]
+    found = hit[wanted] | np.array([r[2] for r in rows])[which]
     at, which = wanted[found], which[found]
     if not len(at):
         first = last = np.empty(0, np.int64)
@@ -305,21 +332,21 @@ def _repeated(rows: list[tuple]) -> pa.RecordBatch:
         first = np.flatnonzero(new)
         last = np.concatenate([first[1:], [len(at)]]) - 1
     row = which[first]
-    gram, context = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+    gram, context = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
     return pa.RecordBatch.from_arrays([pa.array(gram[row]), pa.array(context[row]), pa.array((at[first] - base[row]).astype(np.int32)), pa.array((at[last] - base[row]).astype(np.int32))],
                                       ["gram", "context", "first", "last"])
 
 
 def _sort(batches):
-    """Suffix arrays of whole buckets (rows come in order of buckets), as many at once as AT_ONCE bytes hold."""
+    """Suffix arrays of whole anchors (rows come in their order), as many at once as AT_ONCE bytes hold."""
     held, size = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "gram", "context", "many", "starts", "content"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "many", "content"))):
             if size >= AT_ONCE and row[0] != held[-1][0]:
                 yield _repeated(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[5])
+            size += len(row[3])
     if held:
         yield _repeated(held)
 
@@ -349,19 +376,32 @@ def _marked(documents: DataFrame) -> DataFrame:
     live = written(rows.join(grams, "gram", "left_semi"), "anchors")
     contexts = written(live.groupBy("gram", "context").agg(
         (F.count("*") > 1).alias("many"), *[F.first(c).alias(c) for c in (*key, "lo", "more")]), "contexts")
-    crowds = written(contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD), "crowds")
-    asked = (contexts.join(crowds, "gram", "left").withColumn("parts", F.coalesce(F.ceil(F.col("n") / CROWD), F.lit(1)).cast("int"))
-             .groupBy(*key).agg(F.collect_list(F.struct("gram", "context", "many", "lo", "more", "parts")).alias("asked")))
+    crowds = written(contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("gram"), "crowds")
+    asked = F.collect_list(F.struct("gram", "context", "many", "lo", "more")).alias("asked")
     # left joins on both uses of the documents: they share one exchange of the texts
-    dealt = (documents.join(asked, key, "left")
-             .mapInArrow(_contexts, "bucket long, gram long, context long, many boolean, starts array<int>, content binary")
-             .repartition("bucket").sortWithinPartitions("bucket"))
+    dealt = (documents.join(contexts.join(crowds, "gram", "left_anti").groupBy(*key).agg(asked), key, "left")
+             .mapInArrow(_contexts, "gram long, context long, many boolean, content binary")
+             .repartition("gram").sortWithinPartitions("gram"))
     found = dealt.mapInArrow(_sort, "gram long, context long, first int, last int")
+    if not crowds.isEmpty():
+        found = found.union(_of_crowds(documents, contexts.join(crowds, "gram", "left_semi"), asked))
     spans = (found.join(live, ["gram", "context"])
              .groupBy(*key).agg(F.collect_list(F.struct((F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last"))).alias("spans")))
     return documents.join(spans, key, "left")
 
 
+def _of_crowds(documents: DataFrame, contexts: DataFrame, asked: Column) -> DataFrame:
+    """Runs of windows that repeat in the contexts of crowded anchors: windows are counted by digest, no anchor's contexts gather in a task."""
+    key, window = ["_id", "_hash"], ["gram", "high", "low"]
+    windows = written(documents.join(contexts.groupBy(*key).agg(asked), key).mapInArrow(
+        _windows, "gram long, context long, many boolean, start int, high long, low long"), "windows")
+    # contexts are different ones: a window counted twice is in two of them
+    twice = written(windows.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1").select(*window), "repeated")
+    runs = (windows.where("NOT many").join(twice, window, "left_semi").groupBy("gram", "context").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+            .mapInArrow(_runs, "gram long, context long, first int, last int"))
+    return runs.union(contexts.where("many").select("gram", "context", F.lit(0).alias("first"), F.col("more").alias("last")))
+
+
 def _with_keys(documents: DataFrame, keep: list[str]) -> DataFrame:
     ready(documents.sparkSession)
     return documents.select(F.struct(*keep).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),

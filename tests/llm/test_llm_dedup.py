@@ -96,6 +96,25 @@ def test_repeats_with_crowded_anchors(spark, monkeypatch):
     assert as_rows(suffix_dedup.repeats(df)) == sorted(brute_repeats(rows), key=repr)
 
 
+@pytest.mark.parametrize("crowd", [3, 20])
+def test_no_sort_holds_more_of_an_anchor_than_crowd(spark, monkeypatch, crowd):
+    """A passage's tail before different texts: its last window is in every context, which sends all of them to one part."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    rows = [(i, prose(20) + " " + PASSAGE + " " + prose(20)) for i in range(30)] + [(99, BASE + BASE)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sort = suffix_dedup._sort
+
+    def counted(batches):
+        count = {}
+        for batch in batches:
+            for gram in batch.column("gram").to_pylist():
+                count[gram] = count.get(gram, 0) + 1
+                assert count[gram] <= crowd
+            yield batch
+    monkeypatch.setattr(suffix_dedup, "_sort", lambda batches: sort(counted(batches)))
+    assert as_rows(suffix_dedup.repeats(df)) == sorted(brute_repeats(rows), key=repr)
+
+
 def test_cleaned_keeps_rows_and_other_columns(spark):
     got = suffix_dedup.cleaned(messy(spark)).drop("n_chars")
     assert got.columns == [c for c in messy(spark).columns if c != "n_chars"] and got.count() == len(messy_rows())
