@@ -153,15 +153,46 @@ def build_shard(ids: np.ndarray, x: np.ndarray) -> bytes:
                     nodes=nodes, graph=graph, entry=np.array([entry]))
 
 
+def _own(ids: np.ndarray, starts: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Query number * nodes + node of every node that holds rows of the query's own id, ascending, and how many it holds."""
+    n_nodes = len(starts) - 1
+    node = np.repeat(np.arange(n_nodes), np.diff(starts))
+    order = np.argsort(ids, kind="stable")
+    lo, hi = (np.searchsorted(ids[order], asked, side) for side in ("left", "right"))
+    size = hi - lo
+    place = np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return np.unique(np.repeat(np.arange(len(asked)), size) * n_nodes + node[order[place]], return_counts=True)
+
+
 def search_shard(payload: bytes, asked: np.ndarray, q: np.ndarray, k: int):
     index = V.unpacked(payload)
     nodes, starts, ids, x = index["nodes"], index["starts"], index["ids"], index["x"]
-    found, near = beam_search(index["graph"], nodes, int(index["entry"][0]), _units(q), max(SEARCH_BEAM, 2 * k))
-    take = min(found.shape[1], 4 * k)
-    at, node = np.nonzero(np.isfinite(near[:, :take]))
-    node = found[at, node]
-    # the first k + 1 ids of a node are enough: one may be the query's own
-    sizes = np.minimum(starts[node + 1] - starts[node], k + 1)
+    own, n_own = _own(ids, starts, asked)
+    nodes_own = np.bincount(own // len(nodes), minlength=len(q))
+    unit, beam = _units(q), max(SEARCH_BEAM, 2 * k)
+    ats, found = [], []
+    # queries whose id has several nodes: the beam has room for these besides
+    for some in (np.flatnonzero(nodes_own <= 1), np.flatnonzero(nodes_own > 1)):
+        if not len(some):
+            continue
+        wide = beam + (int(nodes_own[some].max()) if nodes_own[some[0]] > 1 else 0)
+        node, near = beam_search(index["graph"], nodes, int(index["entry"][0]), unit[some], wide)
+        row, place = np.nonzero(np.isfinite(near))
+        ats.append(some[row])
+        found.append(node[row, place])
+    at, node = np.concatenate(ats), np.concatenate(found).astype(np.int64)
+    # the query's own rows in each node; the best 4 k nodes that hold others
+    key = at * len(nodes) + node
+    place = np.minimum(np.searchsorted(own, key), max(0, len(own) - 1))
+    mine = np.where(own[place] == key, n_own[place], 0) if len(own) else np.zeros(len(key), np.int64)
+    others = starts[node + 1] - starts[node] - mine > 0
+    at, node, mine = at[others], node[others], mine[others]
+    order = np.argsort(at, kind="stable")
+    first = np.searchsorted(at[order], at[order])
+    order = order[np.arange(len(order)) - first < 4 * k]
+    at, node, mine = at[order], node[order], mine[order]
+    # the first k ids of a node are enough, besides the query's own
+    sizes = np.minimum(starts[node + 1] - starts[node], k + mine)
     at = np.repeat(at, sizes)
     row = np.repeat(starts[node], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     other = ids[row] != asked[at]

@@ -85,9 +85,10 @@ def search_shard(payload: bytes, asked: np.ndarray, q: np.ndarray, pivots: np.nd
         rows = slice(starts[a], stops[a])
         s = _scores(whole[active], x[rows])
         least = np.where(np.isinf(limit[active]), np.iinfo(np.int64).min, np.floor((norm[active] + square - limit[active] ** 2) / 2 - 1e-3 * (1 + norm[active])))
-        if s.shape[1] > k + 1:  # the query's own row may be among them
-            least = np.maximum(least, np.partition(s, -(k + 1), 1)[:, -(k + 1)])
-        i, j = np.nonzero((s >= least[:, None]) & (asked[active][:, None] != ids[rows][None]))
+        other = asked[active][:, None] != ids[rows][None]
+        if s.shape[1] > k:  # rows of the query's own id, however many, take no place among the best
+            least = np.maximum(least, np.partition(np.where(other, s, np.iinfo(np.int64).min), -k, 1)[:, -k])
+        i, j = np.nonzero((s >= least[:, None]) & other)
         at, got, scores = np.concatenate([at, active[i]]), np.concatenate([got, ids[rows][j]]), np.concatenate([scores, s[i, j]])
         keep = V.top(at, got, scores, k)
         at, got, scores = at[keep], got[keep], scores[keep]

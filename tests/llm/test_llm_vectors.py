@@ -60,6 +60,33 @@ def test_neighbours_of_awkward_rows(spark):
     assert got(graph_search.search(frame(spark, awkward()), F.col("id") % 20 == 0, 5)) == brute(awkward(), 20, 5, True)
 
 
+def test_repeated_ids_take_no_place_in_an_annulus(monkeypatch):
+    """One annulus of 200 rows; the query's id three times, with the largest products."""
+    monkeypatch.setattr(topk_search, "ANNULUS", 256)
+    rng = np.random.default_rng(7)
+    x = np.floor(64 * (rng.normal(size=(200, 6)) * 0.1 + 1))
+    ids = np.arange(200)
+    ids[[20, 21, 22]] = 20
+    x[[20, 21, 22]] = 200
+    square = float((x ** 2).sum(1).max())
+    pivots = topk_search._raised(x[:1], square)
+    at, found, scores = topk_search.search_shard(topk_search.build_shard(ids, x, pivots, square), np.array([20]), x[20:21], pivots, square, 20)
+    best = sorted((-int(x[20] @ v), i) for i, v in zip(ids.tolist(), x) if i != 20)[:20]
+    assert len(at) == 20 and sorted(zip((-scores).tolist(), found.tolist())) == best
+
+
+def test_repeated_ids_take_no_place_among_copies():
+    """30 copies of one vector, the query's id eight of them and the smallest; another id has 300 nodes of its own beside it."""
+    rng = np.random.default_rng(8)
+    v, w = rng.normal(size=6), rng.normal(size=6)
+    near = w + rng.normal(size=(300, 6)) * 1e-3
+    ids = np.concatenate([[20] * 8, 100 + np.arange(22), [40] * 300, 200 + np.arange(50)])
+    x = np.concatenate([np.repeat(v[None], 30, 0), near, w + rng.normal(size=(50, 6)) * 0.5])
+    at, found, scores = graph_search.search_shard(graph_search.build_shard(ids, x), np.array([20, 40]), np.stack([v, w]), 5)
+    assert found[at == 0].tolist() == [100, 101, 102, 103, 104] and np.allclose(scores[at == 0], 1)
+    assert len(found[at == 1]) == 5 and 40 not in found[at == 1]
+
+
 @pytest.mark.parametrize("search", [topk_search.search, graph_search.search])
 def test_few_or_no_rows(spark, search):
     asked = F.col("id") % 20 == 0
