@@ -372,7 +372,7 @@ def _marked(documents: DataFrame) -> DataFrame:
     key = ["_id", "_hash"]
     text = F.col("_row.text").alias("text")
     grams = written(documents.select(text).mapInArrow(_found(False), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    rows = documents.select(*key, text).mapInArrow(_found(True), "gram long, context long, _id long, _hash int, lo int, more int")
+    rows = documents.select(*key, text).mapInArrow(_found(True), "gram long, context long, _id long, _hash long, lo int, more int")
     live = written(rows.join(grams, "gram", "left_semi"), "anchors")
     contexts = written(live.groupBy("gram", "context").agg(
         (F.count("*") > 1).alias("many"), *[F.first(c).alias(c) for c in (*key, "lo", "more")]), "contexts")
@@ -405,7 +405,7 @@ def _of_crowds(documents: DataFrame, contexts: DataFrame, asked: Column) -> Data
 def _with_keys(documents: DataFrame, keep: list[str]) -> DataFrame:
     ready(documents.sparkSession)
     return documents.select(F.struct(*keep).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
-                            (F.xxhash64("text") % (1 << 31)).cast("int").alias("_hash"))
+                            F.xxhash64("text").alias("_hash"))
 
 
 def _text(batch: pa.RecordBatch) -> pa.Array:

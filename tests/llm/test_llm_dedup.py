@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from llm_data import BASE, PASSAGE, SCHEMA, SF, as_rows, empty, messy, messy_rows, needs_tables, prose, texts_of
 from oracle import compare, connect
@@ -115,6 +116,19 @@ def test_no_sort_holds_more_of_an_anchor_than_crowd(spark, monkeypatch, crowd):
     assert as_rows(suffix_dedup.repeats(df)) == sorted(brute_repeats(rows), key=repr)
 
 
+def test_texts_without_ids_are_known_by_the_whole_hash(spark):
+    """Two texts without an id whose hashes agree in 32 bits; only one repeats anything."""
+    def low(text):  # Spark's xxhash64 % 2^31, with the sign of the hash
+        h = xxhash.xxh64_intdigest(text.encode(), 42)
+        return h % (1 << 31) if h < 1 << 63 else -(((1 << 64) - h) % (1 << 31))
+    clean = " ".join(f"{i * i * i}" for i in range(100))
+    met = {low(t): t for t in (f"{PASSAGE} {i}" for i in range(300_000))}
+    other, text = next((met[h], t) for t in (f"{i} {clean}" for i in range(300_000)) if (h := low(t)) in met)
+    rows = [(None, other), (None, text), (1, "once more " + PASSAGE)]
+    got = as_rows(suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == sorted(brute_repeats(rows), key=repr) and sum(r[2] == 0 for r in got) == 1
+
+
 def test_cleaned_keeps_rows_and_other_columns(spark):
     got = suffix_dedup.cleaned(messy(spark)).drop("n_chars")
     assert got.columns == [c for c in messy(spark).columns if c != "n_chars"] and got.count() == len(messy_rows())
