@@ -276,13 +276,14 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -
 
 
 def one_of_each(documents: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of which one row of every component stays, the first by (doc_id, hash of text), and all without words.
+    """The documents of which one row of every component stays, the first by (doc_id, hash of text), and all rows without words.
 
-    Of rows with the same doc_id and text one stays.
+    Of rows with words and the same doc_id and text one stays.
     """
     found = near_duplicates(documents, n_words, percent).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash", "component", "kept")
     chosen = (found.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("key"))
               .select(F.col("key.id").alias("_id"), F.col("key.text_hash").alias("_hash")))
-    alone = found.where("component IS NULL").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     keyed = documents.select(F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_hash"))
-    return keyed.join(written(chosen.union(alone), "kept"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("_row.*")
+    one = keyed.join(written(chosen, "kept"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("_row.*")
+    # linked with nothing: they pass as often as they are there
+    return one.union(documents.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")))

@@ -253,6 +253,12 @@ def test_one_of_each(spark):
     assert near_dup.one_of_each(empty(spark)).collect() == []
 
 
+def test_one_of_each_keeps_every_row_without_words(spark):
+    rows = [(None, None), (None, None), (None, ""), (None, ""), (1, " \t\x0b"), (1, " \t\x0b"), (None, "some words"), (None, "some words"), (2, "\x00"), (3, "\u00a0")]
+    got = near_dup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert as_rows(got) == sorted(rows[:7] + rows[8:], key=repr)
+
+
 def test_components_of_a_path_a_star_and_a_ring(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)] + [(5, 5), (1, 0)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
