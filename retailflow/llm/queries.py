@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, graph_search, html_text, language, mixing, near_dup, sharding, suffix_dedup, token_file, topk_search
+from . import (bpe, graph_search, html_text, language, mixing, near_dup, private_data, sharding, spelling, suffix_dedup, token_file,
+               topk_search, vector_codes)
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,69 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Lloyd's rounds in SQL: all distances of every round."""
+    steps = [f"""
+kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+width AS (SELECT (max(len(v)) // {parts})::BIGINT AS w FROM kept),
+cut AS (SELECT row, vec_id, label, p, v[p * w + 1:(p + 1) * w] AS x FROM kept, width, range({parts}) AS r(p)),
+book0 AS (SELECT p, row - 1 AS e, x AS c FROM cut WHERE row <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (SELECT row, p, min(d) AS d, arg_min(e, d * 1000 + e) AS e FROM (
+  SELECT row, p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM cut JOIN book{i} USING (p)) GROUP BY row, p)""")
+        if i < rounds:
+            steps.append(f"""
+mean{i} AS (SELECT p, e, list(m ORDER BY j) AS c FROM (
+  SELECT p, e, j, floor(sum(x[j]) / count(*))::BIGINT AS m FROM near{i} JOIN cut USING (row, p), width, range(1, w + 1) AS t(j) GROUP BY p, e, j) GROUP BY p, e),
+book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean{i}.c, book{i}.c) AS c FROM book{i} LEFT JOIN mean{i} USING (p, e))""")
+    return "WITH" + ",".join(steps) + f""",
+coded AS (SELECT row, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY row)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (row)"""
+
+
+@query("op11_vector_codes", _codes_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_spelling_variants", r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END, i::BIGINT) AS c FROM range(256) AS r(i))),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents),
+each AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS k, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(1, len(hex(encode(k))), 2), lambda i: ('0x' || hex(encode(k))[i:i + 1])::BIGINT),
+    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8), 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM each, crc),
+spelt AS (SELECT CASE WHEN h % 199 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+places AS (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM words),
+masks AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS less FROM places),
+pairs AS (
+  SELECT a.word, b.word AS near FROM masks a JOIN masks b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT word, less FROM masks WHERE less IN (SELECT word FROM words)
+  UNION SELECT less, word FROM masks WHERE less IN (SELECT word FROM words)),
+best AS (
+  SELECT pairs.word, count(*) AS n_near, arg_max(near, (ranked.n, -ranked.rank)) AS near, max(ranked.n) AS near_n
+  FROM pairs JOIN (SELECT word, n, row_number() OVER (ORDER BY word) AS rank FROM words) AS ranked ON ranked.word = pairs.near GROUP BY pairs.word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM forms UNION SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL),
+ends AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_private_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.find(table(spark, sf_dir, "documents"))
