@@ -4,7 +4,8 @@ Base spans (``base``) are e-mail addresses, IP addresses, card and phone numbers
 Everything of a looser form (``loose``: "name (at) host", a card number with other separators, a phone number without its
 country sign, an IPv6 address ...) is a candidate, nothing more; whether it is personal data is left to its contexts.
 
-A lexical pattern is the words beside a mention: three or two on the left, two on the right, or one on each side.  Patterns and
+A lexical pattern is the words beside a mention (three or two on the left, two on the right, or one on each side), or the
+outer shape of a card or phone number (digits as d, with its check sum), which finds numbers that run into another one.  Patterns and
 values are the two sides of a graph whose edge says that a value occurred in a pattern, however often.  Each turn
 scores both sides:
 
@@ -54,9 +55,10 @@ LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 LOOSE_SIGN = re.compile(r"\s?(?:[@＠]|[\[({]\s?(?:at|AT|@)\s?[\])}])\s?")
 LOOSE_HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|．|\s?[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s?)[A-Za-z0-9-]++)*+")
 LOOSE_IP = re.compile(r"(?<![\w.:])(?:[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\)|\s?[\[(]dot[\])]\s?)[0-9]{1,3}){3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7})(?![\w:])")
-LOOSE_CARD = re.compile(r"(?<!\w)[0-9](?:[\x20./_-]?[0-9]){11,18}+(?!\w)")
-LOOSE_PHONE = re.compile(r"(?<!\w)\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}+(?!\w)")
+LOOSE_CARD = re.compile(r"(?<!\w)[0-9](?:[\x20./_-]?[0-9]){11,18}(?!\w)")
+LOOSE_PHONE = re.compile(r"(?<![\w+])\+?\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}(?!\w)")
 BRACKETED_DOT = re.compile(r"\s?(?:[\[({]\s?(?:dot|DOT|\.)\s?[\])}]|．)\s?")
+DIGIT = re.compile("[0-9]")
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]")
 
 
@@ -111,13 +113,17 @@ def value(kind: int, text: str) -> str:
     return BRACKETED_DOT.sub(".", LOOSE_SIGN.sub("@", text) if kind == 0 else text).lower()
 
 
-def patterns(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a mention: marked word sequences; one without a word of letters is none."""
+def patterns(text: str, start: int, end: int, kind: int) -> list[str]:
+    """Lexical patterns of a mention: marked word sequences (one without a word of letters is none), the shape of a number."""
     left = [w.lower() for w in TOKEN.findall(text[max(0, start - REACH):start])][-3:]
     right = [w.lower() for w in TOKEN.findall(text[end:end + REACH])][:2]
     ways = [("l3", left) if len(left) == 3 else None, ("l2", left[-2:]) if len(left) > 1 else None,
             ("r2", right) if len(right) == 2 else None, ("lr", [left[-1], right[0]]) if left and right else None]
-    return [f"{name} {' '.join(words)}" for name, words in filter(None, ways) if any(w.isalpha() for w in words)]
+    found = [f"{name} {' '.join(words)}" for name, words in filter(None, ways) if any(w.isalpha() for w in words)]
+    if kind >= KINDS.index("card"):
+        number = text[start:end]
+        found.append(f"{KINDS[kind]} {DIGIT.sub('d', number)}" + " sum" * (kind == KINDS.index("card") and luhn(only_digits(number))))
+    return found
 
 
 SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
@@ -131,7 +137,7 @@ def mentions(text: str) -> tuple[list[tuple], list[tuple]]:
     """Base spans, and all mentions with their contexts."""
     spans = base(text)
     fixed = [(kind, *s) for kind, of_kind in enumerate(spans) for s in of_kind]
-    return fixed, [(kind, lo, hi, value(kind, text[lo:hi]), seed, patterns(text, lo, hi))
+    return fixed, [(kind, lo, hi, value(kind, text[lo:hi]), seed, patterns(text, lo, hi, kind))
                    for seed, some in ((True, fixed), (False, loose(text, spans))) for kind, lo, hi in some]
 
 
@@ -179,7 +185,8 @@ def _believed(edges: DataFrame, scores: DataFrame) -> DataFrame:
 def _scored(edges: DataFrame, believed: DataFrame) -> DataFrame:
     """(value, kind, score) of candidates that believed patterns speak for."""
     doubt = F.sum(F.ln(1 - F.col("confidence")).cast("decimal(24,12)")).cast("double")
-    kept = edges.join(believed, "pattern").where(_has("may", F.col("kind")) & ~_has("known", F.col("kind")))
+    unsure = edges.where(F.col("may") != F.coalesce("known", F.lit(0)))  # seeds are many and need no score
+    kept = unsure.join(believed, "pattern").where(_has("may", F.col("kind")) & ~_has("known", F.col("kind")))
     return kept.groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")).where(F.col("score") >= TRUST)
 
 
