@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import vectors as V
 from .shared import ready, written
 
-BLOCK = 256  # vectors searched side by side
+BLOCK = 64  # vectors of neighbouring sums searched side by side
 STEP = 16  # entries a direction takes at once
 LONGEST = 2 ** 63 - 1
 
