@@ -135,7 +135,7 @@ def test_turns_reach_further(spark):
     rows += [(60, "ping him via last (at) x.org now")]
     few = {r[0]: r[7] for r in got(P.find(frame(spark, rows)))}
     assert few[60] == 0  # half of the box's values are not seeds: not believed
-    rows += [(100 + i, f"mail box {i}cd@x.example.com") for i in range(40)]
+    rows += [(100 + i, f"mail box {i}cd@x.example.com") for i in range(100)]
     found = got(P.find(frame(spark, rows)))
     assert found == brute(rows) and {r[0]: r[7] for r in found}[60] == 1
 
