@@ -13,7 +13,6 @@ from ..functions import sku
 from ..functions.semantics import MONEY, band_label, isin0, money_round, pmax, rlike0, years_ratio
 from ..operators.bins import assign_by_rank, equal_count_bin, impute_median
 from ..operators.lookup import anti, grid_lookup, lookup
-from ..session import cut_lineage
 from .demand import DOUBLE, missing_label, ratio_sums, spu_stock, suggested_price, sum_where
 
 
@@ -26,7 +25,7 @@ def bulk_dead(items: DataFrame, sales: DataFrame, new_season: str, other_letter:
     sold = sales.groupBy(sku.spu("adjust_msku").alias("spu")).agg(
         sum_where(F.col("month").isin(list(SUMMER_MONTHS)), "qty").cast(DOUBLE).alias("sales_ss"),
         sum_where(F.col("month").isin(list(WINTER_MONTHS)), "qty").cast(DOUBLE).alias("sales_fw"))
-    out = lookup(spus, sold, "spu", ["sales_ss", "sales_fw"], unique=True, defaults={"sales_ss": 0.0, "sales_fw": 0.0})
+    out = lookup(spus, sold, "spu", ["sales_ss", "sales_fw"], unique="grouped", defaults={"sales_ss": 0.0, "sales_fw": 0.0})
     out = out.withColumn("time_yrs", years_ratio("qty", F.col("sales_ss") + F.col("sales_fw")))
     return out.filter(~rlike0("seasons", other_letter) & (F.col("time_yrs") > min_years) & (F.col("qty") > min_qty))
 
@@ -37,7 +36,7 @@ def limited_sizes(items: DataFrame, new_season: str, k: int) -> DataFrame:
     most = sizes.groupBy(sku.category("spu").alias("cat")).agg(F.max("n").alias("n_all"))
     left = items.filter(~rlike0("seasons", new_season) & (F.col("qty") > k) & (F.col("regular_price") > 0))
     out = left.groupBy("spu").agg(F.count(F.lit(1)).alias("n")).withColumn("cat", sku.category("spu"))
-    return lookup(out, most, "cat", ["n_all"], unique=True).filter(F.col("n") != F.col("n_all"))
+    return lookup(out, most, "cat", ["n_all"], unique="grouped").filter(F.col("n") != F.col("n_all"))
 
 
 def event_leftovers(items: DataFrame, sales: DataFrame, listed: DataFrame, sizes: Mapping[str, int], new_season: str,
@@ -48,13 +47,13 @@ def event_leftovers(items: DataFrame, sales: DataFrame, listed: DataFrame, sizes
     full = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])
     left = pool.groupBy("spu").agg(F.count(F.lit(1)).alias("n"))
     short = left.filter(F.col("n") != F.try_element_at(full, sku.category("spu")))
-    out = lookup(anti(pool, listed, "sku"), short, "spu", {}, unique=True, flag="__short")
+    out = lookup(anti(pool, listed, "sku"), short, "spu", {}, unique="grouped", flag="__short")
     none_of = ~rlike0("seasons", "|".join(old_seasons))
     out = out.filter(none_of | (F.col("__short") & ~rlike0("seasons", new_season)))
     on = F.col("sales_channel")
     sold = sales.groupBy("adjust_msku").agg(F.sum("qty").alias("total"), F.sum(F.when(on == web_channel, F.col("qty"))).alias("total_web"),
                                             F.sum(F.when(rlike0("sales_channel", market_pattern), F.col("qty"))).alias("total_market"))
-    out = lookup(out, sold, {"sku": "adjust_msku"}, ["total", "total_web", "total_market"], unique=True)
+    out = lookup(out, sold, {"sku": "adjust_msku"}, ["total", "total_web", "total_market"], unique="grouped")
     return out.withColumn("time_yrs", years_ratio("qty", "total")).select(
         "sku", "seasons", "regular_price", "qty", "time_yrs", "total", "total_web", "total_market")
 
@@ -76,10 +75,10 @@ def winter_frame(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: Data
     shares = lookup(ratio_sums(ratio, r_peak=peak, r_half=half), growth, "category", ["growth"], unique=True)
     shares = shares.filter(F.col("growth").isNotNull())
     out = items.filter(rlike0("seasons", season_letter) & (F.col("qty") > k) & (F.col("regular_price") > 0))
-    out = lookup(out, spu_stock(inv), "spu", ["qty_spu"], unique=True)
+    out = lookup(out, spu_stock(inv), "spu", ["qty_spu"], unique="grouped")
     out = lookup(out, shares, {"cat": "category"}, ["r_peak", "r_half"], unique=True)
-    out = impute_median(cut_lineage(out), ["r_peak", "r_half"])
-    out = lookup(out, sold, "spu", ["sales_peak", "sales_yr_actual"], unique=True)
+    out = impute_median(out, ["r_peak", "r_half"])
+    out = lookup(out, sold, "spu", ["sales_peak", "sales_yr_actual"], unique="grouped")
     year = pmax(F.try_divide(F.col("sales_peak"), F.col("r_peak")), F.col("sales_yr_actual"))
     return out.withColumn("sales_yr", year).withColumn("sales_half", F.col("sales_yr") * F.col("r_half"))
 
@@ -90,7 +89,6 @@ def clearance_carry_over(frame: DataFrame, new_season: str) -> DataFrame:
     stock = F.col("qty_spu").cast(DOUBLE)
     out = out.withColumn("qty_left", F.when(stock > F.col("sales_half"), (stock - F.col("sales_half")).cast("int")).otherwise(0))
     out = out.withColumn("times", F.bround(years_ratio("qty_left", "sales_half"), 1))
-    out = cut_lineage(out)
     small = F.coalesce((F.col("times") <= 0.5) | (F.col("qty_left") <= 20), F.lit(False))
     out = equal_count_bin(out, "times", 4, where=~small, out="bin")
     return _priced(out, F.when(small, 0.05).otherwise(F.col("bin") * 5 / 100 + 0.05))
@@ -101,7 +99,7 @@ def clearance_discontinued(frame: DataFrame, missing: DataFrame, new_season: str
     from 10%, the rest by quintile from 30%."""
     out = frame.filter(F.col("sales_yr").isNotNull() & ~rlike0("seasons", new_season))
     out = lookup(out, missing, "spu", {"percent": "missing_share"}, unique=True)
-    out = cut_lineage(out.withColumn("times", F.bround(years_ratio("qty_spu", "sales_yr"), 1)))
+    out = out.withColumn("times", F.bround(years_ratio("qty_spu", "sales_yr"), 1))
     full = F.coalesce(F.col("missing_share") < size_percent, F.lit(False))
     small = F.coalesce(F.col("times") <= 1, F.lit(False)) & full
     recent = ~small & full & rlike0("seasons", last_season)
@@ -154,7 +152,7 @@ def holiday_discounts(framed: DataFrame, k: int, winter: str, categories: Sequen
     out = out.withColumn("time_yrs", F.coalesce(F.bround("time_yr", 2), F.lit(0.0)))
     rule = F.when(rlike0("seasons", winter), F.when(F.col("time_yrs") > 4, 0.2).otherwise(0.1)).otherwise(0.0)
     out = out.withColumn("__rule", F.when(isin0("cat", late_categories), 0.2).otherwise(rule))
-    out = assign_by_rank(out, ["sku"], [F.col("__rule"), F.col("time_yrs").desc()], bands, F.col("__rule"), "__band")
+    out = assign_by_rank(out, ["sku"], ["__rule", "-time_yrs"], bands, F.col("__rule"), "__band")
     more = F.lit(Decimal("0"))
     for cat, plus in (bumps or {}).items():
         more = F.when(F.col("cat") == cat, F.lit(Decimal(str(plus)))).otherwise(more)

@@ -58,7 +58,7 @@ def refresh_month_ratio(cat_sales: DataFrame, last_ratio: DataFrame, as_of: date
     total = sold.groupBy("category").agg(F.sum("__qty").alias("__total"))
     share = last.groupBy("category").agg(sum_where(elapsed, "ratio").alias("__share"))
     out = semi(last, cat_sales.select("category").distinct(), "category")
-    out = lookup(out, sold, ["category", "month"], ["__qty"], unique=True)
+    out = lookup(out, sold, ["category", "month"], ["__qty"], unique="grouped")
     out = lookup(lookup(out, total, "category", ["__total"], unique=True), share, "category", ["__share"], unique=True)
     d = lambda c: F.col(c).cast(DOUBLE)
     new = F.try_divide(F.coalesce(d("__qty"), F.lit(0.0)), d("__total")) * d("__share")
@@ -124,10 +124,10 @@ def catalog_frame(web: DataFrame, erp: DataFrame, master: DataFrame, warehouse:
     web = first_per_key(web, "sku", "id")
     here = F.when(F.col("inventory_warehouse") == warehouse, F.col("warehouse_available"))
     known = erp.groupBy("name").agg(F.max(here).alias("qty"))
-    out = lookup(web, known, {"sku": "name"}, ["qty"], unique=True, flag="__known").filter("__known")
+    out = lookup(web, known, {"sku": "name"}, ["qty"], unique="grouped", flag="__known").filter("__known")
     out = lookup(out, master, {"sku": "msku"}, {"category_sku": "cat", "seasons_sku": "__own"}, order=source_order(master), flag="__listed")
     others = master.filter(F.col("adjust_sku").isNotNull()).groupBy("adjust_sku").agg(F.min_by("seasons_sku", "msku").alias("__other"))
-    out = lookup(out, others, {"sku": "adjust_sku"}, ["__other"], unique=True)
+    out = lookup(out, others, {"sku": "adjust_sku"}, ["__other"], unique="grouped")
     out = out.withColumn("seasons", F.when(F.col("__listed"), F.col("__own")).otherwise(F.col("__other")))
     off = F.try_divide(F.col("regular_price").cast(DOUBLE) - F.col("sale_price").cast(DOUBLE), F.col("regular_price").cast(DOUBLE))
     return out.select("id", "sku", "name", "seasons", "cat", sku.spu("sku").alias("spu"), "regular_price",
@@ -145,10 +145,10 @@ def with_years(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: DataFr
     """
     months = trailing_months(month, trailing, include_current)
     stock = spu_stock(inv)
-    spus = lookup(stock, spu_sales(sales, months, web_channel, market_pattern, special), "spu", ["t_last3m", "t_last3m_web", "t_last12m_amz"], unique=True)
+    spus = lookup(stock, spu_sales(sales, months, web_channel, market_pattern, special), "spu", ["t_last3m", "t_last3m_web", "t_last12m_amz"], unique="grouped")
     spus = lookup(spus, missing, "spu", {"percent": "missing_share"}, unique=True)
     out = lookup(items, spus, "spu", [c for c in spus.columns if c != "spu"], unique=True, flag="__known").filter("__known").drop("__known")
-    out = lookup(out, ratio_sums(ratio, special, r3=months), {"cat": "category"}, ["r3"], unique=True)
+    out = lookup(out, ratio_sums(ratio, special, r3=months), {"cat": "category"}, ["r3"], unique="grouped")
     year = years_ratio("t_last3m", "r3")
     year_web = years_ratio("t_last3m_web", "r3")
     out = out.withColumns({"sales_1yr": year, "sales_1yr_web": year_web})
@@ -214,7 +214,7 @@ def demand_base(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio: Data
     out = sold.join(stock, "adjust_msku")
     out = lookup(out, master, {"adjust_msku": "msku"}, {"category_sku": "cat", "seasons_sku": "seasons", "msku_status": "status"}, unique=True)
     sums = ratio_sums(ratio, r3=months, r_ahead=forward_months(month, ahead))
-    return lookup(out, sums, {"cat": "category"}, ["r3", "r_ahead"], unique=True)
+    return lookup(out, sums, {"cat": "category"}, ["r3", "r_ahead"], unique="grouped")
 
 
 def low_stock_month(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio: DataFrame, month: int,
@@ -239,7 +239,7 @@ def reorder_gap(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio: Data
         F.sum(F.col("quantity") - F.coalesce("quantity_on_shipments", F.lit(0))).alias("po_remain")).filter(F.col("po_remain") > 0)
     out = demand_base(sales, inv, master, ratio, month, channels, 4)
     out = out.withColumn("need", (F.try_divide(F.col("sales_last3m"), F.col("r3")) * F.col("r_ahead")).cast("int"))
-    out = lookup(out, remain, {"adjust_msku": "item"}, ["po_remain"], unique=True, defaults={"po_remain": 0})
+    out = lookup(out, remain, {"adjust_msku": "item"}, ["po_remain"], unique="grouped", defaults={"po_remain": 0})
     out = out.withColumn("gap", F.col("need") - F.col("stock") - F.col("po_remain")).filter(F.col("gap") > 0)
     if season:
         out = out.filter(rlike0("seasons", season))
@@ -251,5 +251,5 @@ def to_inactivate(master: DataFrame, pos: DataFrame, inv: DataFrame, new_season:
     total = inv.groupBy("adjust_msku").agg(F.sum("inv_total_end_wk").alias("inv_total"))
     out = master.filter((F.col("msku_status") == "Active") & ~rlike0("seasons_sku", new_season))
     out = lookup(out, pos.filter(F.col("name").isNotNull()), {"msku": "name"}, {"quantity": "inv_pos"}, order=source_order(pos))
-    out = lookup(out, total, {"msku": "adjust_msku"}, ["inv_total"], unique=True)
+    out = lookup(out, total, {"msku": "adjust_msku"}, ["inv_total"], unique="grouped")
     return out.filter((F.col("inv_pos") == 0) & (F.col("inv_total") == 0)).select("msku", "msku_status", "seasons_sku", "inv_pos", "inv_total")

@@ -61,7 +61,7 @@ def resolve_po(lines: DataFrame, po: DataFrame, suffix: str = "-CA") -> DataFram
     docs = po.withColumn("__base", F.when(ends, F.expr(f"substring(ref_no, 1, length(ref_no) - {len(suffix)})")).otherwise(F.col("ref_no")))
     docs = docs.groupBy("__base").agg(
         F.min(F.when(ends, F.struct("ref_no", "document_number"))).alias("__with"), F.min(F.when(~ends, F.struct("ref_no", "document_number"))).alias("__bare"))
-    out = lookup(lines, docs, {"po": "__base"}, ["__with", "__bare"], unique=True)
+    out = lookup(lines, docs, {"po": "__base"}, ["__with", "__bare"], unique="grouped")
     found = F.coalesce("__with", "__bare")
     return out.withColumns({"document": found["document_number"], "po_ref": F.coalesce(found["ref_no"], F.col("po"))}).drop("__with", "__bare")
 
@@ -142,7 +142,7 @@ def receiving(ship: DataFrame, shipment_id: str) -> DataFrame:
 def customer_inbound(ship: DataFrame, ordered: DataFrame, stock: DataFrame) -> DataFrame:
     """Customer order lines with what the shipment and the stock leave missing."""
     came = ship.groupBy("item").agg(F.sum("quantity").alias("shipped"))
-    out = lookup(ordered, came, "item", ["shipped"], unique=True, defaults={"shipped": 0})
+    out = lookup(ordered, came, "item", ["shipped"], unique="grouped", defaults={"shipped": 0})
     out = lookup(out, stock, {"item": "name"}, {"warehouse_available": "available"}, unique=True, defaults={"available": 0})
     return out.withColumn("missing", clip0(F.col("quantity") - F.col("shipped") - F.col("available")))
 

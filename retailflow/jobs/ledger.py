@@ -83,8 +83,8 @@ def manifest_to_po(manifest: DataFrame, master: DataFrame, po_map: DataFrame, re
     the last by ``order`` decides."""
     alias = F.coalesce(region_alias, fallback_alias, F.upper("msku"))
     names = first_per_key(master.select(alias.alias("__alias"), F.upper("msku").alias("sku"), order), "__alias", [F.desc(order)])
-    out = lookup(manifest, names, {"merchant_sku": "__alias"}, {"sku": "__sku"}, unique=True)
+    out = lookup(manifest, names, {"merchant_sku": "__alias"}, {"sku": "__sku"}, unique="grouped")
     out = out.withColumn("sku", F.coalesce("__sku", F.regexp_replace("merchant_sku", "-A.*", "")))
     cats = first_per_key(po_map.select(sku.category("sku").alias("cat"), F.regexp_replace("po", "-.*", "").alias("po"), order), "cat", [F.desc(order)])
-    out = lookup(out.withColumn("cat", sku.category("sku")), cats, "cat", ["po"], unique=True)
+    out = lookup(out.withColumn("cat", sku.category("sku")), cats, "cat", ["po"], unique="grouped")
     return out.groupBy("po", "sku").agg(F.sum("quantity").alias("quantity"))

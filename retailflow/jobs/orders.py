@@ -49,7 +49,7 @@ def _pick(cond: Column, field: str, second: Store, main: Store) -> Column:
 
 def known_item(lines: DataFrame, items: DataFrame, col: str) -> DataFrame:
     """Items the ERP does not know become the miscellaneous item."""
-    out = lookup(lines, items.select(F.col("name")).distinct(), {col: "name"}, {}, unique=True, flag="__known")
+    out = lookup(lines, items.select(F.col("name")).distinct(), {col: "name"}, {}, unique="grouped", flag="__known")
     return out.withColumn(col, F.when(F.col("__known"), F.col(col)).otherwise(F.lit(MISC_ITEM))).drop("__known")
 
 
@@ -297,13 +297,13 @@ def store_wholesale(lines: DataFrame, payments: DataFrame, contacts: DataFrame,
     paid = paid.withColumn("__part", F.concat(F.col("tender"), F.lit(":$"), F.col("amount").cast("string")))
     tender = join_text(paid, ["order_id"], {"__part": "tender"}, "|", "_pos", block_rows)
     total = paid.groupBy("order_id").agg(F.sum("amount").alias("amount"), F.min_by("customer_name", "_pos").alias("customer_name"))
-    per_order = lookup(total, tender, "order_id", ["tender"], unique=True)
+    per_order = lookup(total, tender, "order_id", ["tender"], unique="grouped")
     per_order = lookup(per_order, contacts, {"customer_name": "name"}, {"phone_number": "__phone", "email_address": "recipient_email"}, unique=True)
     known = first_per_key(wholesalers.filter(not_blank("email")), "email", source_order(wholesalers))
     per_order = lookup(per_order, known, {"recipient_email": "email"}, {"company_name": "company_name", "phone": "recipient_phone"},
-                       unique=True, defaults={"company_name": F.col("customer_name"), "recipient_phone": F.col("__phone")})
+                       unique="grouped", defaults={"company_name": F.col("customer_name"), "recipient_phone": F.col("__phone")})
     refs = first_per_key(orders.select("order_id", "ref_id"), "order_id", "ref_id")
-    per_order = lookup(per_order, refs, "order_id", ["ref_id"], unique=True)
+    per_order = lookup(per_order, refs, "order_id", ["ref_id"], unique="grouped")
     rows = lookup(whole, per_order, "order_id", ["ref_id", "tender", "amount", "company_name", "recipient_phone", "recipient_email"], unique=True)
     rows = rows.withColumns({
         "order_date": F.date_format(parse_date("line_item_date", "dd-MMM-yyyy"), "MM/dd/yyyy"),

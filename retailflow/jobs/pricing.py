@@ -142,7 +142,7 @@ def category_listing(items: DataFrame, pos_category: DataFrame) -> DataFrame:
     """Items under their category, the category label and id shown on its first item only."""
     out = items.select(F.col("categories").alias("category_name"), F.col("name").alias("item_sort_order"))
     firsts = out.groupBy("category_name").agg(F.min("item_sort_order").alias("__first"))
-    out = lookup(out, firsts, "category_name", ["__first"], unique=True)
+    out = lookup(out, firsts, "category_name", ["__first"], unique="grouped")
     out = lookup(out, pos_category, "category_name", ["category_id"], unique=True)
     shown = F.col("item_sort_order") == F.col("__first")
     return out.select(

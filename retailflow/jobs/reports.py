@@ -24,7 +24,7 @@ def best_sellers(sales: DataFrame, master: DataFrame, categories: Sequence[str],
     per_sku = lookup(per_sku, master, {"adjust_msku": "msku"}, {"category_sku": "category", "print_sku": "__print"}, unique=True)
     per_sku = per_sku.withColumn("spu", F.concat(F.coalesce("category", F.lit("")), F.lit("-"), F.coalesce("__print", F.lit(""))))
     per_spu = per_sku.groupBy("spu").agg(F.sum("total").alias("total_spu"))
-    out = lookup(per_sku, per_spu, "spu", ["total_spu"], unique=True).drop("__print")
+    out = lookup(per_sku, per_spu, "spu", ["total_spu"], unique="grouped").drop("__print")
     if stock is not None:
         out = lookup(out, stock, {"adjust_msku": "name"}, {"warehouse_available": "available"}, unique=True)
     return out.filter(isin0("category", categories))
@@ -66,7 +66,7 @@ def unify_wholesale(a: DataFrame, b: DataFrame, c: DataFrame, years: Sequence[in
         "total_qty", F.col("ship_to_country").alias("country"), F.col("ship_to_state").alias("state"), "customer_name",
         F.col("main_email").alias("email"))
     names = first_per_key(first.filter(not_blank("email")).select("email", "customer_name", "ref_no"), "email", ["ref_no"])
-    second = lookup(_dated(b, "date"), names, "email", {"customer_name": "customer_name"}, unique=True,
+    second = lookup(_dated(b, "date"), names, "email", {"customer_name": "customer_name"}, unique="grouped",
                     defaults={"customer_name": F.col("company_name")})
     second = second.select(
         "ref_no", "date", "year", "month", "sales_rep", "currency", F.col("amount_foreign_currency").alias("total_amount"),
@@ -108,7 +108,7 @@ def wholesale_stores(invoices: DataFrame, years: tuple[int, int]) -> DataFrame:
     for y in years:
         mean = F.try_divide(F.col(f"total_amount_{y}"), F.col(f"orders_{y}").cast("decimal(12,0)"))
         out = out.withColumn(f"average_amount_{y}", money_round(mean)).drop(f"orders_{y}")
-    return lookup(out, first, "customer_name", ["start_date", "sales_rep", "country"], unique=True)
+    return lookup(out, first, "customer_name", ["start_date", "sales_rep", "country"], unique="grouped")
 
 
 def store_payments(payments: DataFrame, exclude_employee: str | None = None) -> DataFrame:
@@ -180,7 +180,7 @@ def customer_counts(payments: DataFrame, contacts: DataFrame, web_customers: Dat
     """Known customers, repeat customers, and those unknown to the web shop."""
     paid = lookup(payments, contacts, {"customer_name": "name"}, {"email_address": "email"}, unique=True)
     per = paid.filter(F.col("email").isNotNull()).groupBy("email").agg(F.count(F.lit(1)).alias("n"))
-    per = lookup(per, web_customers.select("email").distinct(), "email", {}, unique=True, flag="__web")
+    per = lookup(per, web_customers.select("email").distinct(), "email", {}, unique="grouped", flag="__web")
     out = per.agg(F.count(F.lit(1)).alias("known"), F.count_if(F.col("n") > 1).alias("repeat"), F.count_if(~F.col("__web")).alias("new"))
     return out.withColumns({"repeat_share": safe_div("repeat", "known"), "new_share": safe_div("new", "known")})
 

@@ -67,7 +67,7 @@ def pos_not_in_erp(pos: DataFrame, erp: DataFrame, master: DataFrame) -> DataFra
 def apply_movements(pos: DataFrame, moves: DataFrame, sign: int = 1, clip: bool = False) -> DataFrame:
     """Add (or take away) the summed movement quantity per item; items without movement keep theirs."""
     moved = moves.groupBy("item").agg(F.sum("quantity").alias("__moved"))
-    out = lookup(pos, moved, {"name": "item"}, ["__moved"], unique=True, defaults={"__moved": 0})
+    out = lookup(pos, moved, {"name": "item"}, ["__moved"], unique="grouped", defaults={"__moved": 0})
     base = clip0("quantity") if clip else F.col("quantity")
     return out.withColumn("quantity", (base + sign * F.col("__moved")).cast("bigint")).drop("__moved")
 
@@ -98,7 +98,7 @@ def replenish_clearance(pos: DataFrame, donor: DataFrame, rules: DataFrame, n: i
 
 def refill_sold(sold: DataFrame, pos: DataFrame) -> DataFrame:
     """Refill what was sold; current stock shown beside."""
-    return lookup(sold.select("item", "quantity"), clean_pos(pos), {"item": "name"}, {"quantity": "stock"}, unique=True)
+    return lookup(sold.select("item", "quantity"), clean_pos(pos), {"item": "name"}, {"quantity": "stock"}, unique="grouped")
 
 
 def refill_event(pos: DataFrame, donor: DataFrame, event_items: DataFrame, low: int = 10, target: int = 20) -> DataFrame:
@@ -162,7 +162,7 @@ def stock_discrepancy(start: DataFrame, end: DataFrame, moved_in: DataFrame, mov
 
     out = end.select("name", "quantity")
     for df, key, name in ((start, "name", "start"), (moved_in, "item", "moved_in"), (moved_out, "item", "moved_out"), (sold, "item", "sold")):
-        out = lookup(out, total(df, key), {"name": key}, {"q": name}, unique=True).withColumn(name, F.coalesce(name, F.lit(0)))
+        out = lookup(out, total(df, key), {"name": key}, {"q": name}, unique="grouped").withColumn(name, F.coalesce(name, F.lit(0)))
     out = out.withColumn("quantity", F.coalesce("quantity", F.lit(0)))
     gap = F.col("quantity") - (F.col("start") + F.col("moved_in") - F.col("moved_out") - F.col("sold"))
     return out.withColumn("discrepancy", gap).filter((gap < low) | (gap > high))

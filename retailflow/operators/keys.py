@@ -83,7 +83,7 @@ def upsert_status(log: DataFrame, key: str, status: str, batches: Sequence[tuple
 
     out = log
     for i, (batch, _) in enumerate(batches):
-        out = lookup(out, batch.select(key).distinct(), key, {}, unique=True, flag=f"__in{i}")
+        out = lookup(out, batch.select(key).distinct(), key, {}, unique="grouped", flag=f"__in{i}")
     value = F.col(status)
     for i, (_, label) in reversed(list(enumerate(batches))):
         value = F.when(F.col(f"__in{i}"), F.lit(label)).otherwise(value)

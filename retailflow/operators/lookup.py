@@ -4,13 +4,16 @@ No side is forced into a broadcast: Catalyst broadcasts what its statistics put
 threshold, AQE does so at run time for what turns out small, and beyond it the join is a sort-merge
 join whose hot partitions AQE splits.  ``salt`` spreads a hot key over several copies of the dimension
 where a plan cannot rely on that (for example a dimension too large to copy whole to every executor).
+
+A key that occurs twice in the dimension never multiplies rows: the first row by ``order`` is taken, or the
+lookup fails at run time (``unique=True``, for tables whose key must be unique), inside the one job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,13 +36,26 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
+def one_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dim`` without rows of null key; reading a key that occurs twice is an error that names it.
+
+    The rows of a key meet in one window, so the check costs no second reading of ``dim``.  The window groups by
+    the keys as one value: a join on the keys then deals both its sides itself, which is what AQE needs to split hot keys.
+    """
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))
+    text = F.concat(F.lit(f"key ({', '.join(keys)}) is not unique: "), F.to_json(key))
+    known = dim.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).withColumn("__nth", nth)
+    return known.filter(F.when(F.col("__nth") > 1, F.raise_error(text).cast("boolean")).otherwise(True)).drop("__nth")
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
     on: On,
     cols: Cols,
     *,
-    unique: bool = False,
+    unique: bool | str = False,
     order: str | Sequence[str] | None = None,
     defaults: Mapping[str, object] | None = None,
     flag: str | None = None,
@@ -48,12 +64,15 @@ def lookup(
     """Attach ``cols`` of ``dim`` to every row of ``df``; the row count never changes.
 
     ``on`` maps df column -> dim column, ``cols`` maps dim column -> output name (an output may replace
-    a column of ``df``).  ``unique`` declares the key unique; otherwise the first row per key by ``order``
-    is used.  ``defaults`` fill outputs of rows *without a match*: a matched null stays null.
+    a column of ``df``).  ``unique`` says that the key must be unique, which is checked while the lookup runs;
+    ``unique="grouped"`` that ``dim`` was made by grouping on exactly this key, which needs no check; otherwise the
+    first row per key by ``order`` is used.  ``defaults`` fill outputs of rows *without a match*: a matched null stays null.
     """
     on, cols = _pairs(on), _pairs(cols)
     if not unique:
         dim = first_per_key(dim, [d for _, d in on], order or [c for c, _ in cols])
+    elif unique != "grouped":
+        dim = one_per_key(dim, [d for _, d in on])
     right = dim.select(
         *[F.col(f"`{d}`").alias(f"__k{i}") for i, (_, d) in enumerate(on)],
         *[F.col(f"`{c}`").alias(f"__v{i}") for i, (c, _) in enumerate(cols)],

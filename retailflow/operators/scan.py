@@ -1,64 +1,78 @@
 """Scans in source order: run ids, fill-down, show-once labels.
 
-``order`` is the whole-number source position.  Rows are scanned inside blocks of positions (a hot day or
-file becomes many tasks), one summary row per block carries state across blocks, and the carried state is
-joined back.  Only block summaries meet in one task: one row per ``block_rows`` source rows.
+``order`` is the whole-number source position.  Rows are scanned inside blocks of positions (a hot day or file becomes many
+tasks).  A block folds to its last row, which carries the state at the block's end; states combine from block to block in a window over
+these few rows, and what a block inherits is joined to its rows.
+
+The input is read once.  Rows are dealt to blocks by one exchange, from which both the scan and the fold are taken: a block's last row
+travels whole, so both need the same columns and Spark reuses the exchange; the join finds the rows already
+dealt and sorted.  Only block summaries meet in one task: one row per ``block_rows`` source rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .groups import BLOCK_ROWS, block_of, join_back
 
-_B = "__block"
+_G, _B, _END = "__group", "__block", "__end"
+
+
+def _inside(order: str) -> WindowSpec:
+    return Window.partitionBy(_G, _B).orderBy(order)
+
 
+def _across() -> WindowSpec:
+    return Window.partitionBy(_G).orderBy(_B)
 
-def _in_blocks(df: DataFrame, by: Sequence[str], order: str, block_rows: int):
-    blocked = df.withColumn(_B, block_of(order, block_rows))
-    inside = Window.partitionBy(*by, _B).orderBy(order)
-    across = Window.partitionBy(*(by or [F.lit(0)])).orderBy(_B)
-    return blocked, inside, across
+
+def _in_blocks(df: DataFrame, by: Sequence[str], order: str, block_rows: int) -> DataFrame:
+    """Rows with their group (one value, never null, so that null is a group of its own) and block."""
+    group = F.struct(*[F.col(f"`{c}`") for c in by]) if by else F.lit(0)
+    return df.withColumns({_G: group, _B: F.coalesce(block_of(order, block_rows), F.lit(-1))})
+
+
+def _carried(rows: DataFrame, order: str, carry: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
+    """``rows`` with ``keep``, of which ``carry`` gives what each block inherits; it sees a block's last row as ``__last``."""
+    rows = rows.withColumn(_END, F.lead(F.lit(True)).over(_inside(order)).isNull())
+    ends = rows.filter(_END).select(_G, _B, F.struct(*rows.columns).alias("__last"))
+    for name, value in carry.items():
+        ends = ends.withColumn(name, value)
+    right = ends.select(F.col(_G).alias("__g"), F.col(_B).alias("__b"), *keep)
+    return rows.join(right, (F.col(_G) == F.col("__g")) & (F.col(_B) == F.col("__b"))).drop("__g", "__b", _END)
 
 
 def run_id(df: DataFrame, value: str, order: str, by: Sequence[str] = (), out: str = "run_id",
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """1-based id that grows whenever ``value`` differs from the row before it (within ``by``)."""
-    by = list(by)
-    blocked, inside, across = _in_blocks(df, by, order, block_rows)
-    v = F.col(value)
-    first = F.row_number().over(inside) == 1
-    changed = F.when(first, 0).otherwise((~v.eqNullSafe(F.lag(v).over(inside))).cast("int"))
-    rows = blocked.withColumn("__scan_chg", changed).withColumn(
-        "__scan_run", F.sum("__scan_chg").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    blocks = rows.groupBy(*by, _B).agg(
-        F.min_by(F.struct(v), F.col(order)).alias("__scan_first"), F.max_by(F.struct(v), F.col(order)).alias("__scan_last"),
-        F.max("__scan_run").alias("__scan_runs"))
-    before = F.lag("__scan_last").over(across)
-    step = F.when(before.isNull(), 1).otherwise((~F.col("__scan_first").eqNullSafe(before)).cast("int"))
-    blocks = blocks.withColumn("__scan_step", step + F.lag("__scan_runs", 1, 0).over(across)).withColumn(
-        "__scan_base", F.sum("__scan_step").over(across.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = join_back(rows, blocks.select(*by, _B, "__scan_base"), [*by, _B])
-    return joined.withColumn(out, F.col("__scan_base") + F.col("__scan_run")).drop(_B, "__scan_chg", "__scan_run", "__scan_base")
+    inside = _inside(order)
+    v = F.struct(F.col(f"`{value}`").alias("v"))  # never null: a null value is a value
+    above = F.lag(v).over(inside)
+    rows = _in_blocks(df, by, order, block_rows).withColumns({
+        "__first": F.first(v).over(inside), "__changed": F.when(above.isNull(), 0).otherwise((above != v).cast("int"))})
+    rows = rows.withColumn("__run", F.sum("__changed").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    before = F.lag("__last").over(_across())
+    joined = _carried(rows, order, {
+        "__before": before,
+        "__starts": F.when(F.col("__before").isNull() | (F.struct(F.col(f"__before.{value}").alias("v")) != F.col("__last.__first")), 1).otherwise(0),
+        "__base": F.sum(F.col("__starts") + F.coalesce(F.col("__before.__run"), F.lit(0))).over(_across().rowsBetween(Window.unboundedPreceding, 0)),
+    }, ["__base"])
+    new = {out: F.col("__base") + F.col("__run")}
+    return joined.withColumns(new).select(*[c for c in df.columns if c != out], out)
 
 
 def fill_down(df: DataFrame, cols: Sequence[str], order: str, by: Sequence[str] = (),
               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Replace nulls by the last value above them (within ``by``)."""
-    by, cols = list(by), list(cols)
-    blocked, inside, across = _in_blocks(df, by, order, block_rows)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    rows = blocked.withColumns({f"__f_{c}": F.last(c, ignorenulls=True).over(so_far) for c in cols})
-    ends = blocked.groupBy(*by, _B).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__e_{c}") for c in cols])
-    above = across.rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*by, _B, *[F.last(f"__e_{c}", ignorenulls=True).over(above).alias(f"__c_{c}") for c in cols])
-    out = join_back(rows, ends, [*by, _B])
-    out = out.withColumns({c: F.coalesce(F.col(f"__f_{c}"), F.col(f"__c_{c}")) for c in cols})
-    return out.select(*df.columns)
+    so_far = _inside(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = _in_blocks(df, by, order, block_rows).withColumns({f"__f{i}": F.last(c, ignorenulls=True).over(so_far) for i, c in enumerate(cols)})
+    above = _across().rowsBetween(Window.unboundedPreceding, -1)
+    carry = {f"__c{i}": F.last(F.col(f"__last.__f{i}"), ignorenulls=True).over(above) for i, _ in enumerate(cols)}
+    out = _carried(rows, order, carry, list(carry))
+    return out.withColumns({c: F.coalesce(F.col(f"__f{i}"), F.col(f"__c{i}")) for i, c in enumerate(cols)}).select(*df.columns)
 
 
 def blank_repeats(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:

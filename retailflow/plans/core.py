@@ -286,7 +286,7 @@ def _(t):
     WITH r AS (SELECT p_partkey, p_retailprice, row_number() OVER (ORDER BY p_size, p_retailprice DESC, p_partkey) AS rk FROM part)
     SELECT p_partkey, CASE WHEN rk <= 54 THEN 0.4 WHEN rk <= 101 THEN 0.3 WHEN rk <= 250 THEN 0.2 WHEN rk <= 500 THEN 0.1 ELSE 0.0 END::DOUBLE AS discount FROM r""")
 def _(t):
-    out = bins.assign_by_rank(t.part, ["p_partkey"], [F.col("p_size"), F.col("p_retailprice").desc()], [(54, .4), (101, .3), (250, .2), (500, .1)], F.lit(0.0), "discount")
+    out = bins.assign_by_rank(t.part, ["p_partkey"], ["p_size", "-p_retailprice"], [(54, .4), (101, .3), (250, .2), (500, .1)], F.lit(0.0), "discount")
     return out.select("p_partkey", "discount")
 
 
