@@ -13,6 +13,7 @@ from ..functions import sku
 from ..functions.semantics import MONEY, band_label, isin0, money_round, pmax, rlike0, years_ratio
 from ..operators.bins import assign_by_rank, equal_count_bin, impute_median
 from ..operators.lookup import anti, grid_lookup, lookup
+from ..session import SharedFrames, kept
 from .demand import DOUBLE, missing_label, ratio_sums, spu_stock, suggested_price, sum_where
 
 
@@ -65,7 +66,8 @@ def _priced(df: DataFrame, suggest: Column) -> DataFrame:
 
 
 def winter_frame(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: DataFrame, growth: DataFrame, k: int,
-                 season_letter: str = "F", peak: Sequence[int] = (9, 10, 11, 12), half: Sequence[int] = (1, 2, 3, 4, 5, 6)) -> DataFrame:
+                 season_letter: str = "F", peak: Sequence[int] = (9, 10, 11, 12), half: Sequence[int] = (1, 2, 3, 4, 5, 6),
+                 shared: SharedFrames | None = None) -> DataFrame:
     """Season items with stock and yearly demand = max(peak sales / peak share, actual year).
 
     Shares of categories without a growth figure are unknown and take the median over the season's items.
@@ -77,29 +79,31 @@ def winter_frame(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: Data
     out = items.filter(rlike0("seasons", season_letter) & (F.col("qty") > k) & (F.col("regular_price") > 0))
     out = lookup(out, spu_stock(inv), "spu", ["qty_spu"], unique="grouped")
     out = lookup(out, shares, {"cat": "category"}, ["r_peak", "r_half"], unique=True)
-    out = impute_median(out, ["r_peak", "r_half"])
     out = lookup(out, sold, "spu", ["sales_peak", "sales_yr_actual"], unique="grouped")
+    out = impute_median(kept(out, shared, "winter"), ["r_peak", "r_half"])
     year = pmax(F.try_divide(F.col("sales_peak"), F.col("r_peak")), F.col("sales_yr_actual"))
     return out.withColumn("sales_yr", year).withColumn("sales_half", F.col("sales_yr") * F.col("r_half"))
 
 
-def clearance_carry_over(frame: DataFrame, new_season: str) -> DataFrame:
+def clearance_carry_over(frame: DataFrame, new_season: str, shared: SharedFrames | None = None) -> DataFrame:
     """Goods of the coming season: small leftovers after the half year 5%, else by quartile of leftover years."""
     out = frame.filter(F.col("sales_yr").isNotNull() & rlike0("seasons", new_season))
     stock = F.col("qty_spu").cast(DOUBLE)
     out = out.withColumn("qty_left", F.when(stock > F.col("sales_half"), (stock - F.col("sales_half")).cast("int")).otherwise(0))
     out = out.withColumn("times", F.bround(years_ratio("qty_left", "sales_half"), 1))
+    out = kept(out, shared, "carry_over")
     small = F.coalesce((F.col("times") <= 0.5) | (F.col("qty_left") <= 20), F.lit(False))
     out = equal_count_bin(out, "times", 4, where=~small, out="bin")
     return _priced(out, F.when(small, 0.05).otherwise(F.col("bin") * 5 / 100 + 0.05))
 
 
-def clearance_discontinued(frame: DataFrame, missing: DataFrame, new_season: str, last_season: str, size_percent: float) -> DataFrame:
+def clearance_discontinued(frame: DataFrame, missing: DataFrame, new_season: str, last_season: str, size_percent: float,
+                           shared: SharedFrames | None = None) -> DataFrame:
     """Goods that do not come back: up to a year of stock in full sizes 5%, last season in full sizes by quartile
     from 10%, the rest by quintile from 30%."""
     out = frame.filter(F.col("sales_yr").isNotNull() & ~rlike0("seasons", new_season))
     out = lookup(out, missing, "spu", {"percent": "missing_share"}, unique=True)
-    out = out.withColumn("times", F.bround(years_ratio("qty_spu", "sales_yr"), 1))
+    out = kept(out.withColumn("times", F.bround(years_ratio("qty_spu", "sales_yr"), 1)), shared, "discontinued")
     full = F.coalesce(F.col("missing_share") < size_percent, F.lit(False))
     small = F.coalesce(F.col("times") <= 1, F.lit(False)) & full
     recent = ~small & full & rlike0("seasons", last_season)
@@ -143,7 +147,7 @@ def event_candidates(framed: DataFrame, new_season: str, k: int, min_years: floa
 
 def holiday_discounts(framed: DataFrame, k: int, winter: str, categories: Sequence[str] | None = None,
                       late_categories: Sequence[str] = (), bumps: Mapping[str, float] | None = None,
-                      bands: Sequence[tuple[int, float]] = HOLIDAY_BANDS) -> DataFrame:
+                      bands: Sequence[tuple[int, float]] = HOLIDAY_BANDS, shared: SharedFrames | None = None) -> DataFrame:
     """Holiday sale: season rule first, then bands by rank (smallest rule discount, most years), category bumps,
     never below the running discount."""
     out = framed.filter((F.col("qty") > k) & (F.col("regular_price") > 0))
@@ -152,7 +156,7 @@ def holiday_discounts(framed: DataFrame, k: int, winter: str, categories: Sequen
     out = out.withColumn("time_yrs", F.coalesce(F.bround("time_yr", 2), F.lit(0.0)))
     rule = F.when(rlike0("seasons", winter), F.when(F.col("time_yrs") > 4, 0.2).otherwise(0.1)).otherwise(0.0)
     out = out.withColumn("__rule", F.when(isin0("cat", late_categories), 0.2).otherwise(rule))
-    out = assign_by_rank(out, ["sku"], ["__rule", "-time_yrs"], bands, F.col("__rule"), "__band")
+    out = assign_by_rank(kept(out, shared, "holiday"), ["sku"], ["__rule", "-time_yrs"], bands, F.col("__rule"), "__band")
     more = F.lit(Decimal("0"))
     for cat, plus in (bumps or {}).items():
         more = F.when(F.col("cat") == cat, F.lit(Decimal(str(plus)))).otherwise(more)

@@ -19,6 +19,7 @@ from ..functions.semantics import MONEY, band_label, isin0, money_round, r_ifels
 from ..operators.groups import with_group_total
 from ..operators.keys import first_per_key, source_order
 from ..operators.lookup import grid_lookup, lookup, semi
+from ..session import SharedFrames, kept
 
 DOUBLE = "double"
 
@@ -164,10 +165,11 @@ def missing_label(share: Column, null_is_low: bool = True) -> Column:
     return F.when(share.isNull(), "Sizes missing < 50%" if null_is_low else F.lit(None)).otherwise(label)
 
 
-def years_of_stock(framed: DataFrame) -> DataFrame:
+def years_of_stock(framed: DataFrame, shared: SharedFrames | None = None) -> DataFrame:
     """Overstock report: years of stock to one decimal for SPUs with warehouse stock on the web."""
     out = framed.filter(F.col("regular_price") > 0)
-    out = with_group_total(out, "spu", {"qty_on_web": F.sum("qty")}).filter(F.col("qty_on_web") > 0)
+    out = out.select("sku", "seasons", "cat", "spu", "regular_price", "discount", "qty", "time_yr", "missing_share")
+    out = with_group_total(kept(out, shared, "years_of_stock"), "spu", {"qty_on_web": F.sum("qty")}).filter(F.col("qty_on_web") > 0)
     return out.select("sku", "seasons", "cat", "spu", "regular_price", "discount", "qty",
                       F.bround("time_yr", 1).alias("time_yrs"), missing_label(F.col("missing_share"), False).alias("size_percent_missing"))
 
@@ -218,7 +220,7 @@ def demand_base(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio: Data
 
 
 def low_stock_month(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio: DataFrame, month: int,
-                    channels: Sequence[str], refill: int = 12) -> DataFrame:
+                    channels: Sequence[str], refill: int = 12, shared: SharedFrames | None = None) -> DataFrame:
     """In-season active SKUs that will not last the month, with the share of the SPU's sizes that will."""
     out = demand_base(sales, inv, master, ratio, month, channels, 1).withColumn("spu", sku.spu("adjust_msku"))
     out = out.withColumn("sales_this", F.try_divide(F.col("sales_last3m"), F.col("r3")) * F.col("r_ahead"))
@@ -226,7 +228,7 @@ def low_stock_month(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio:
     left = r_ifelse(stock < F.col("sales_this"), F.lit(0), (stock - F.col("sales_this")).cast("int"))
     out = out.withColumn("qty_left", left)
     out = out.withColumn("enough", (F.col("qty_left") >= refill) | (F.col("sales_this") == 0))
-    out = with_group_total(out, "spu", {"__ok": F.avg(F.col("enough").cast("int"))})
+    out = with_group_total(kept(out, shared, "low_stock"), "spu", {"__ok": F.avg(F.col("enough").cast("int"))})
     out = out.withColumn("percent_sizes_ok", (F.col("__ok") * 100).cast("int"))
     return out.filter(rlike0("seasons", in_season_letter(month)) & (F.col("status") == "Active") & ~F.col("enough")).select(
         "adjust_msku", "spu", "cat", "seasons", "sales_last3m", "sales_this", "stock", "qty_left", "percent_sizes_ok")

@@ -15,6 +15,7 @@ from ..operators.groups import collapse, total_row, with_group_total
 from ..operators.keys import first_per_key, source_order, union_prefer
 from ..operators.lookup import lookup
 from ..operators.scan import fill_down
+from ..session import SharedFrames, kept
 
 
 def grams(c: str):
@@ -47,12 +48,12 @@ def unit_weight(manual: DataFrame, master: DataFrame) -> DataFrame:
     return union_prefer(manual.select("category", "size", "unit_weight"), samples, ["category", "size"])
 
 
-def box_weight(lines: DataFrame, weights: DataFrame) -> DataFrame:
+def box_weight(lines: DataFrame, weights: DataFrame, shared: SharedFrames | None = None) -> DataFrame:
     """Estimated kilograms per box (1 kg of carton) by the packing list's and by the reference weights."""
     out = lines.withColumns({"__cat": sku.category("sku"), "__size": sku.size_tail("sku")})
     out = lookup(out, weights, {"__cat": "category", "__size": "size"}, {"unit_weight": "unit_weight_ref"}, unique=True).drop("__cat", "__size")
     kilos = lambda c: F.bround(F.sum(F.col("quantity") * F.col(c)).cast("decimal(18,3)") / 1000 + 1, 2).cast("double")
-    return with_group_total(out, "box_no", {"est_weight": kilos("unit_weight_g"), "est_weight_ref": kilos("unit_weight_ref")})
+    return with_group_total(kept(out, shared, "box_lines"), "box_no", {"est_weight": kilos("unit_weight_g"), "est_weight_ref": kilos("unit_weight_ref")})
 
 
 def resolve_po(lines: DataFrame, po: DataFrame, suffix: str = "-CA") -> DataFrame:

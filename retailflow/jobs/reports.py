@@ -14,6 +14,7 @@ from ..operators.groups import share_of
 from ..operators.keys import first_per_key, prefer_rows, source_order, top_k
 from ..operators.lookup import left_join_fill, lookup, semi
 from ..operators.reshape import pivot_fixed, with_calendar
+from ..session import SharedFrames, kept
 
 DOUBLE = "double"
 
@@ -228,14 +229,16 @@ def return_rate(tx: DataFrame, province_map: Mapping[str, str] = PROVINCE_CODES,
     return wide.filter(F.col("orders") >= min_orders).withColumn("return_rate", safe_div("refunds", "orders"))
 
 
-def regional_share(orders: DataFrame, master: DataFrame, country: str = "CA", east: Sequence[str] = EAST_PROVINCES) -> DataFrame:
+def regional_share(orders: DataFrame, master: DataFrame, country: str = "CA", east: Sequence[str] = EAST_PROVINCES,
+                   shared: SharedFrames | None = None) -> DataFrame:
     """Share of a country in each category's sales and of its eastern provinces in the country's."""
     rows = orders.filter((F.col("order_status") == "Completed") & not_blank("country_code") & not_blank("sku"))
     rows = lookup(rows, master, {"sku": "msku"}, {"category_sku": "category"}, unique=True, defaults={"category": sku.category("sku")})
-    by_country = share_of(rows.groupBy("category", "country_code").agg(F.sum("quantity").alias("q")), "q", "category", "share")
-    home = by_country.filter(F.col("country_code") == country).select("category", F.bround("share", 2).alias("country_share"))
     region = F.when(isin0("state_code", east), "East").otherwise("West")
-    by_region = share_of(rows.filter(F.col("country_code") == country).groupBy("category", region.alias("region")).agg(
-        F.sum("quantity").alias("q")), "q", "category", "share")
+    # a row per category, country and side: both shares are of these few rows
+    rows = kept(rows.groupBy("category", "country_code", region.alias("region")).agg(F.sum("quantity").alias("q")), shared, "regional_share")
+    by_country = share_of(rows.groupBy("category", "country_code").agg(F.sum("q").alias("q")), "q", "category", "share")
+    home = by_country.filter(F.col("country_code") == country).select("category", F.bround("share", 2).alias("country_share"))
+    by_region = share_of(rows.filter(F.col("country_code") == country).select("category", "region", "q"), "q", "category", "share")
     side = by_region.filter(F.col("region") == "East").select("category", F.bround("share", 2).alias("east_share"))
     return lookup(home, side, "category", ["east_share"], unique=True, defaults={"east_share": 0.0})

@@ -123,7 +123,7 @@ def _(t):
     WITH {frame()}, x AS (SELECT *, sum(qty) OVER (PARTITION BY spu) AS on_web FROM framed WHERE regular_price > 0)
     SELECT sku, seasons, cat, spu, cast(regular_price as double) AS regular_price, discount, qty, round_even(time_yr, 1) AS time_yrs, {missing_sql('NULL')} AS size_percent_missing FROM x WHERE on_web > 0""")
 def _(t):
-    return demand.years_of_stock(_frame(t))
+    return demand.years_of_stock(_frame(t), t.shared)
 
 
 BANDS = f"""b AS (SELECT * REPLACE (coalesce(time_yr, 10.0) AS time_yr), 'Sold out ' || cast(cast(trunc(least(coalesce(time_yr, 10.0), 3.0)) as int) + 1 as varchar) || ' yr' AS time_yrs,
@@ -165,7 +165,7 @@ DEMAND = f"""{L12}, sold AS (SELECT adjust_msku, cast(sum(CASE WHEN month IN {R3
     e AS (SELECT *, avg(CASE WHEN ok THEN 1 WHEN NOT ok THEN 0 END) OVER (PARTITION BY spu) AS share FROM c)
     SELECT adjust_msku, spu, cat, seasons, s3 AS sales_last3m, st AS sales_this, stock, lft AS qty_left, cast(trunc(share * 100) as int) AS percent_sizes_ok FROM e WHERE contains(seasons, 'S') AND status = 'Active' AND NOT ok""")
 def _(t):
-    return demand.low_stock_month(_last12(t), t.s_inv, t.s_master, t.s_ratio, MONTH, CHANNELS)
+    return demand.low_stock_month(_last12(t), t.s_inv, t.s_master, t.s_ratio, MONTH, CHANNELS, shared=t.shared)
 
 
 @query("reorder_gap", f"""
@@ -224,7 +224,7 @@ def bins_sql(name: str, source: str, n: int) -> str:
 
 def _winter(t):
     growth = t.s_sku.select(F.col("cat").alias("category")).distinct().withColumn("growth", F.when(F.col("category").isin("B5", "B6"), None).otherwise(F.lit(0.1)))
-    return clearance.winter_frame(_items(t), t.s_inv, _last12(t), t.s_ratio, growth, 1)
+    return clearance.winter_frame(_items(t), t.s_inv, _last12(t), t.s_ratio, growth, 1, shared=t.shared)
 
 
 @query("clearance_carry_over", f"""
@@ -235,7 +235,7 @@ def _winter(t):
     z AS (SELECT *, CASE WHEN sug IS NOT NULL THEN greatest(sug, discount) END AS sd FROM s)
     SELECT sku, lft AS qty_left, times, sd AS suggest_discount, {off_price('sd', 4)} AS suggest_price FROM z""")
 def _(t):
-    return clearance.clearance_carry_over(_winter(t), "24").select("sku", "qty_left", "times", "suggest_discount", "suggest_price")
+    return clearance.clearance_carry_over(_winter(t), "24", t.shared).select("sku", "qty_left", "times", "suggest_discount", "suggest_price")
 
 
 @query("clearance_discontinued", f"""
@@ -250,7 +250,7 @@ def _(t):
     z AS (SELECT *, CASE WHEN sug IS NOT NULL THEN greatest(sug, discount) END AS sd FROM s)
     SELECT sku, times, ms AS missing_share, sd AS suggest_discount, {off_price('sd', 4)} AS suggest_price FROM z""")
 def _(t):
-    return clearance.clearance_discontinued(_winter(t), _missing(t), "24", "25", 0.6).select("sku", "times", "missing_share", "suggest_discount", "suggest_price")
+    return clearance.clearance_discontinued(_winter(t), _missing(t), "24", "25", 0.6, t.shared).select("sku", "times", "missing_share", "suggest_discount", "suggest_price")
 
 
 @query("clearance_grid", f"""
@@ -286,7 +286,7 @@ def _(t):
     z AS (SELECT *, CASE WHEN d > discount THEN d ELSE discount END AS sd FROM h3)
     SELECT sku, seasons, cat, spu, cast(regular_price as double) AS regular_price, discount, qty, ty AS time_yrs, sd AS suggest_discount, {off_price('sd', 4)} AS sale_price FROM z""")
 def _(t):
-    return clearance.holiday_discounts(_frame(t, special={"B3": (6, 7)}), 1, "25F", late_categories=["B3"], bumps={"B7": 0.1})
+    return clearance.holiday_discounts(_frame(t, special={"B3": (6, 7)}), 1, "25F", late_categories=["B3"], bumps={"B7": 0.1}, shared=t.shared)
 
 
 SIZES = {"B1": 60, "B4": 40, "B9": 70, "B11": 55}

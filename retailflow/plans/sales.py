@@ -439,7 +439,7 @@ def _(t):
     e AS (SELECT category, cast(sum(CASE WHEN s IN ('MB', 'ON', 'QC', 'NB', 'NS', 'NL', 'PE') THEN q ELSE 0 END) as double) / sum(q) AS share FROM r WHERE c = 'CA' GROUP BY 1)
     SELECT a.category, round_even(a.share, 2) AS country_share, round_even(coalesce(e.share, 0.0), 2) AS east_share FROM a LEFT JOIN e ON e.category = a.category WHERE a.n > 0""")
 def _(t):
-    return reports.regional_share(t.s_web_line, t.s_master)
+    return reports.regional_share(t.s_web_line, t.s_master, shared=t.shared)
 
 
 @query("cat_spu_sales", f"SELECT {cat('adjust_msku')} AS category, {spu('adjust_msku')} AS spu, sales_channel, sum(qty)::BIGINT AS qty FROM s_sales GROUP BY 1, 2, 3")

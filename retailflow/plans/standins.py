@@ -7,11 +7,16 @@ file order (``event_id`` is the source position).
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import re
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import SharedFrames
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 _MONTHS = "'JanFebMarAprMayJunJulAugSepOctNovDec'"
@@ -232,12 +237,24 @@ def ctes(names: list[str] | tuple[str, ...]) -> str:
 _SCHEMAS: dict[str, T.StructType] = {}
 
 
+def _closed(owner: SharedFrames) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        owner.close()
+
+
 class Inputs:
     """Job inputs of one data directory: ``t.s_web``, ``t.lineitem``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def shared(self) -> SharedFrames:
+        """Owner of the query's shared frames; a result is read after its query returns, so they go when Python ends."""
+        owner = SharedFrames(self.spark)
+        atexit.register(_closed, owner)
+        return owner
+
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
         if path not in _SCHEMAS:

@@ -185,7 +185,7 @@ EST = f"""{PACK}, {WEIGHTS}, est AS (SELECT b.*, w.unit_weight AS unit_weight_re
 
 def _est(t):
     boxes = _boxes(t).withColumn("full_sku", F.col("sku")).withColumn("sku", F.regexp_extract("sku", "^[^-]+-[^-]+-[^-]+", 0))
-    out = inbound.box_weight(boxes, _weights(t))
+    out = inbound.box_weight(boxes, _weights(t), t.shared)
     return out.withColumn("sku", F.col("full_sku")).drop("full_sku")
 
 

@@ -1,8 +1,9 @@
-"""Session settings and lineage cutting."""
+"""Session settings and shared frames."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,12 +44,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="retailflow-checkpoint-")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint for a table a plan reads several times: computed once, written to the shared folder.
+class SharedFrames:
+    """Owner of frames that several branches of a plan read: each is written once and dropped with its owner.
 
-    Runs a job.  An executor lost later costs no recomputation of what came before.
+        with SharedFrames(spark) as shared:
+            demand.years_of_stock(framed, shared).write...
+
+    A frame becomes a table of the warehouse, which all executors reach: it is computed once, branches read only the columns they
+    need, and an executor lost later costs none of what came before.  Keeping a frame runs its job.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint()
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._tables: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        table = f"shared_{name}_{uuid.uuid4().hex[:12]}"
+        self._tables.append(table)
+        df.write.format("parquet").option("compression", "zstd").saveAsTable(table)
+        return self._spark.table(table)
+
+    def close(self) -> None:
+        while self._tables:
+            self._spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
+
+    def __enter__(self) -> SharedFrames:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
+def kept(df: DataFrame, shared: SharedFrames | None, name: str) -> DataFrame:
+    """The frame, written once if it has an owner."""
+    return shared.keep(df, name) if shared else df
