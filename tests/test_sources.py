@@ -112,3 +112,53 @@ def test_one_folder_per_category(spark, tmp_path):
     writers.write_partitioned(df, out, "category")
     assert sorted(d for d in os.listdir(out) if d.startswith("category")) == ["category=a", "category=b"]
     assert spark.read.parquet(out).count() == 51
+
+
+def scans(df):
+    return len([x for x in df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n") if "FileScan" in x])
+
+
+def test_a_pattern_reads_every_file_by_its_own_header(spark, tmp_path):
+    put(tmp_path / "m1.csv", "sku,qty\nA,1\nB,2\n")
+    put(tmp_path / "m2.csv", "qty,note,sku\n7,x,C\n,,D\n")
+    put(tmp_path / "m3.csv", "sku,qty\nE,5\n")
+    put(tmp_path / "m4.csv", "")
+    put(tmp_path / "m 5,%.csv", "sku,qty\nF,6\n")
+    df = readers.read_table(spark, str(tmp_path / "m*.csv"), readers.T.StructType.fromDDL("sku string, qty int"), pos=True, source="f")
+    got = sorted(map(tuple, df.collect()), key=lambda r: r[2])
+    assert [(r[0], r[1], r[3]) for r in got] == [("F", 6, "m 5,%.csv"), ("A", 1, "m1.csv"), ("B", 2, "m1.csv"), ("C", 7, "m2.csv"), ("D", None, "m2.csv"), ("E", 5, "m3.csv")]
+    assert scans(df) == 2  # distinct headers
+
+
+def test_any_number_of_files(spark, tmp_path):
+    for i in range(1100):
+        put(tmp_path / f"n{i:05d}.csv", f"email,points\nu{i},{i}\n" if i % 2 else f"points,email\n{i},u{i}\n")
+    paths = [str(tmp_path / f"n{i:05d}.csv") for i in reversed(range(1100))]
+    df = readers.read_many(spark, paths, schema("points_file"), "f", pos=True)
+    assert scans(df) == 2
+    assert [r["points"] for r in sorted(df.collect(), key=lambda r: r["_pos"])] == list(reversed(range(1100)))
+
+
+def test_blank_and_repeated_header_cells(spark, tmp_path):
+    p = put(tmp_path / "h.csv", "﻿email,,Email,points,\na,1,b,2,3\n")
+    assert rows(readers.read_table(spark, p, schema("points_file"))) == [("a", 2)]
+    with pytest.raises(ValueError, match="header"):
+        readers.read_table(spark, put(tmp_path / "none.csv", ""), schema("points_file"))
+
+
+def test_census_stops_at_the_header(spark, tmp_path):
+    p = put(tmp_path / "long.csv", "email,points\n" + "someone@example.com,1\n" * 400_000)
+    assert [(f.head, f.size) for f in readers.census(spark, p)] == [("email,points", os.path.getsize(p))]
+    assert [f.head for f in readers.census(spark, p, "some")] == ["someone@example.com,1"]
+    assert readers.read_table(spark, p, schema("points_file")).count() == 400_000
+
+
+def test_preambles_of_files_of_one_name(spark, tmp_path):
+    for folder, text in (("a", "note\ntype,sku,quantity,order state\nOrder,A,1,BC\n"), ("b", "x\ny\nz\ntype,sku,order state,quantity\nRefund,B,ON,2\n")):
+        (tmp_path / folder).mkdir()
+        put(tmp_path / folder / "p.csv", text)
+    df = readers.read_after_preamble(spark, str(tmp_path / "*" / "p.csv"), schema("amz_transaction"), "type,sku")
+    assert [tuple(r)[:4] for r in sorted(df.collect(), key=lambda r: r["_pos"])] == [("Order", "A", 1, "BC"), ("Refund", "B", 2, "ON")]
+    put(tmp_path / "a" / "q.csv", "nothing of the kind\n")
+    with pytest.raises(ValueError, match="q.csv"):
+        readers.read_after_preamble(spark, str(tmp_path / "a"), schema("amz_transaction"), "type,sku")
