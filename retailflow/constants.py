@@ -28,6 +28,11 @@ PROVINCE_CODES = {
     "SASKATCHEWAN": "SK", "YUKON": "YT",
 }
 
+# Country and province names marketplaces write beside the codes, replaced in this order.
+MARKET_COUNTRIES = (("美国", "US"), ("加拿大", "CA"))
+MARKET_PROVINCES = (("不列颠哥伦比亚", "BC"),)
+MARKET_HOME = "中国"
+
 # Line for sales of items the ERP does not know.
 MISC_ITEM = "MISC-ITEM"
 
@@ -72,6 +77,9 @@ REASON_COUNT = "CC"
 WALK_IN = "Walk-in"
 WALK_IN_NOTE = "Walk in customer-Picked"
 TERMS = "CIA"
+COMMIT_AVAILABLE = "Available QTY"
+LOG_WHOLE = "Whole"
+LOG_YES = "Y"
 PO_REGULAR = "Regular"
 PO_OVER = "Over Received"
 PO_UNIFORM = "Daycare Uniforms"

@@ -127,6 +127,11 @@ def map_column(c: str | Column, table: Mapping[str, str], default: Column | None
     return F.coalesce(F.try_element_at(pairs, col(c)), col(c) if default is None else default)
 
 
+def substitutions(c: str | Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Texts replaced wherever they occur, one pair after the other."""
+    return reduce(lambda text, pair: F.replace(text, F.lit(pair[0]), F.lit(pair[1])), pairs, col(c))
+
+
 def any_field_rlike(fields: Sequence[str | Column], pattern: str) -> Column:
     """Does any field of the row match?"""
     return F.concat_ws("\x1f", *[col(f).cast("string") for f in fields]).rlike(pattern)

@@ -85,6 +85,11 @@ def winter_frame(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: Data
     return out.withColumn("sales_yr", year).withColumn("sales_half", F.col("sales_yr") * F.col("r_half"))
 
 
+def clearance_no_sales(frame: DataFrame) -> DataFrame:
+    """Season items whose SPU has no sales at all: no yearly demand, so no discount rule applies to them."""
+    return frame.filter(F.col("sales_yr").isNull())
+
+
 def clearance_carry_over(frame: DataFrame, new_season: str, shared: SharedFrames | None = None) -> DataFrame:
     """Goods of the coming season: small leftovers after the half year 5%, else by quartile of leftover years."""
     out = frame.filter(F.col("sales_yr").isNotNull() & rlike0("seasons", new_season))

@@ -89,6 +89,11 @@ def spu_stock(inv: DataFrame) -> DataFrame:
     return out.withColumn("qty_amz", F.col("qty_spu") - F.col("qty_wh"))
 
 
+def erp_spu_stock(items: DataFrame) -> DataFrame:
+    """Stock per SPU by the ERP's items of one warehouse."""
+    return items.groupBy(sku.spu("name").alias("spu")).agg(F.sum("warehouse_available").alias("qty_wh"))
+
+
 def spu_sales(sales: DataFrame, months: Sequence[int], web_channel: str, market_pattern: str,
               special: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
     """Sales per SPU in one pass: trailing months over all channels and on the web, 12 months on marketplaces.
@@ -138,15 +143,18 @@ def catalog_frame(web: DataFrame, erp: DataFrame, master: DataFrame, warehouse:
 
 def with_years(items: DataFrame, inv: DataFrame, sales: DataFrame, ratio: DataFrame, missing: DataFrame, month: int,
                web_channel: str, market_pattern: str, trailing: int = 3, include_current: bool = False,
-               special: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
+               special: Mapping[str, Sequence[int]] | None = None, warehouse: DataFrame | None = None) -> DataFrame:
     """Attach stock, yearly demand and years of stock per SPU; SPUs without stock rows are dropped.
 
     Yearly demand = trailing sales / trailing share of the year.  Where stock outside the warehouse covers a
     year of marketplace sales the web has to sell the warehouse stock alone, else everything sells everywhere.
+    ``warehouse`` (spu, qty_wh) takes the place of the warehouse stock of ``inv``.
     """
     months = trailing_months(month, trailing, include_current)
     stock = spu_stock(inv)
     spus = lookup(stock, spu_sales(sales, months, web_channel, market_pattern, special), "spu", ["t_last3m", "t_last3m_web", "t_last12m_amz"], unique="grouped")
+    if warehouse is not None:
+        spus = lookup(spus, warehouse, "spu", ["qty_wh"], unique=True)
     spus = lookup(spus, missing, "spu", {"percent": "missing_share"}, unique=True)
     out = lookup(items, spus, "spu", [c for c in spus.columns if c != "spu"], unique=True, flag="__known").filter("__known").drop("__known")
     out = lookup(out, ratio_sums(ratio, special, r3=months), {"cat": "category"}, ["r3"], unique="grouped")

@@ -15,7 +15,9 @@ from ..operators.groups import collapse, total_row, with_group_total
 from ..operators.keys import first_per_key, source_order, union_prefer
 from ..operators.lookup import lookup
 from ..operators.scan import fill_down
+from ..schemas import SHIPMENT_HEADERS, TRANSFER_HEADERS
 from ..session import SharedFrames, kept
+from .stock import transfer
 
 
 def grams(c: str):
@@ -107,10 +109,20 @@ def split_over_receipt(ship: DataFrame, open_po: DataFrame, shipment: str, over_
     return collapse(rows.withColumn("__pos", F.lit(0)), ["po_ref", "item"], ["__pos", "box_no"], " | ", {"box_no": "box_no"}, {"quantity": "quantity"}, {"document": "document"})
 
 
-def reserve_transfer(lines: DataFrame, prefix: str) -> DataFrame:
-    """Items on reserve sheets as a transfer, one row per item."""
+def shipment_upload(receipt: DataFrame, ref_no: str, ships: date, arrives: date, memo: str, location: str, amz_shipment: str = "") -> DataFrame:
+    """Shipment file (``SHIPMENT_HEADERS``) of what ``split_over_receipt`` leaves: one row per (purchase order, item)."""
+    text = lambda d: F.lit(d.strftime("%m/%d/%Y"))
+    out = receipt.withColumns({"ref_no": F.lit(ref_no), "expected_shipping_date": text(ships), "expected_delivery_date": text(arrives), "memo": F.lit(memo),
+                               "location": F.lit(location), "amz_shipment_id": F.lit(amz_shipment)})
+    return out.select(*SHIPMENT_HEADERS)
+
+
+def reserve_transfer(lines: DataFrame, prefix: str, as_of: date, shipment: str, season: str = "", source: str = "WH-CN", to: str = "WH-CENTRAL",
+                     ref_no: str = "", by: str = "", to_type: str = "China-Central") -> DataFrame:
+    """Items on reserve sheets as a transfer order (``TRANSFER_HEADERS``), one row per item; its memo is the shipment."""
     rows = lines.filter(F.col("sheet_name").contains(prefix)).groupBy(sku.unversioned("sku").alias("item")).agg(F.sum("quantity").alias("quantity"))
-    return rows.filter(F.col("quantity") > 0)
+    return rows.filter(F.col("quantity") > 0).withColumns(
+        transfer(as_of, season, source, to, ref_no or f"TO-{shipment}", shipment, by, to_type)).select(*TRANSFER_HEADERS)
 
 
 def reserve_shortfall(transfer: DataFrame, stock: DataFrame, shipment: str, warehouse: str, as_of: date) -> DataFrame:

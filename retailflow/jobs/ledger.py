@@ -43,6 +43,19 @@ def open_ledger(requests: DataFrame, master: DataFrame, factories: DataFrame | N
     return lookup(out, factories, "category", ["factory"], unique=True) if factories is not None else out
 
 
+def stated_totals(ledger: DataFrame, stated: DataFrame) -> DataFrame:
+    """The ledger with each order's stated total and whether its lines add up to it (null for an order without one)."""
+    sums = ledger.filter(F.col("region") == TOTAL).groupBy("po").agg(F.sum("plan").alias("line_total"))
+    out = lookup(ledger, sums, "po", ["line_total"], unique="grouped")
+    out = lookup(out, stated, "po", {"total_qty": "stated_total"}, unique=True)
+    return out.withColumn("total_ok", F.coalesce("line_total", F.lit(0)) == F.col("stated_total"))
+
+
+def totals_hold() -> dict[str, tuple[Column, object]]:
+    """For ``write_checked``: ledger lines of orders that miss their stated total, counted while the ledger is written."""
+    return {"lines_off": (F.count_if(~F.col("total_ok")), 0)}
+
+
 def ledger_subtotals(ledger: DataFrame, measures: Sequence[str] = ("plan", "remaining")) -> DataFrame:
     """Ledger lines plus one subtotal per order and region."""
     out = ledger.groupingSets([["po", "region", "sku"], ["po", "region"]], "po", "region", "sku").agg(

@@ -10,17 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
-    CARRIER_HOME, CARRIER_US, CLASS_HOME, CLASS_MARKET, GST_ONLY_PROVINCES, HST_ONLY_PROVINCES,
-    HST_PROVINCES, MARKET_CARRIER, MISC_ITEM, PAY_CARD_ONLINE, PAY_CASH, PAY_POS, PAY_POS2, PAY_WALLET, PRICE_LEVEL,
+    CARRIER_HOME, CARRIER_US, CLASS_HOME, CLASS_MARKET, COMMIT_AVAILABLE, GST_ONLY_PROVINCES, HST_ONLY_PROVINCES,
+    HST_PROVINCES, MARKET_CARRIER, MARKET_COUNTRIES, MARKET_PROVINCES, MISC_ITEM, PAY_CARD_ONLINE, PAY_CASH, PAY_POS, PAY_POS2, PAY_WALLET, PRICE_LEVEL,
     REASON_EXCHANGE, REASON_RETURN, SHIP_FREE, SHIP_PAID, SHIP_STANDARD, TAXABLE_CATEGORIES, TAX_ABROAD,
     TAX_FEDERAL, TAX_FULL, TERMS, WALK_IN, WALK_IN_NOTE,
 )
 from ..functions import sku
-from ..functions.semantics import any_field_rlike, isin0, money, money_round, not_blank, parse_date, r_ifelse, rlike0, trunc_cents
+from ..functions.semantics import any_field_rlike, isin0, money, money_round, not_blank, parse_date, r_ifelse, rlike0, substitutions, trunc_cents
 from ..operators.groups import BLOCK_ROWS, join_text, with_group_total
 from ..operators.keys import first_per_key, source_order
 from ..operators.lookup import anti, lookup, semi
 from ..operators.scan import run_id
+from ..schemas import MARKET_ORDER_HEADERS, SALES_ORDER_HEADERS, STORE_WHOLESALE_HEADERS
 
 
 @dataclass(frozen=True)
@@ -37,10 +38,7 @@ class Store:
 MAIN = Store("store 1", "SHOP 1", "Retail : Store 1", "WH-STORE", "CLR")
 SECOND = Store("store 2", "SHOP 2", "Retail : Store 2", "WH-CENTRAL", "CLS")
 
-SALES_ORDER = ("payment_option", "class", "order_date", "ref_id", "order_type", "department", "warehouse", "memo",
-               "order_id", "item_sku", "quantity", "price_level", "rate", "coupon_discount", "coupon_code", "tax_code",
-               "tax_amount", "customer", "recipient", "recipient_phone", "recipient_email", "shipping_carrier",
-               "shipping_method", "shipping_cost")
+SALES_ORDER = tuple(SALES_ORDER_HEADERS)
 
 
 def _pick(cond: Column, field: str, second: Store, main: Store) -> Column:
@@ -149,10 +147,16 @@ def pos2_sales_orders(lines: DataFrame, payments: DataFrame, customers: DataFram
     return out.filter(F.col("quantity") > 0).select(*SALES_ORDER)
 
 
+def translated(orders: DataFrame, countries: Sequence[tuple[str, str]] = MARKET_COUNTRIES,
+               provinces: Sequence[tuple[str, str]] = MARKET_PROVINCES) -> DataFrame:
+    """Marketplace orders with country and province names as codes."""
+    return orders.withColumns({"shipping_country": substitutions("shipping_country", countries), "shipping_province": substitutions("shipping_province", provinces)})
+
+
 def market_cash_sales(orders: DataFrame, home_country: str, warehouse: str = "WH-STORE", account: str = "market",
                       prefix: str = "MKT-") -> DataFrame:
     """Paid marketplace orders of the home country; rate is net of the line discount."""
-    paid = orders.filter((F.col("financial_status") == "paid") & (F.col("shipping_country") == home_country))
+    paid = translated(orders).filter((F.col("financial_status") == "paid") & (F.col("shipping_country") == home_country))
     net = F.col("lineitem_total") - F.col("lineitem_total_discount")
     out = paid.withColumns({
         "payment_option": F.lit(PAY_WALLET), "class": F.lit(CLASS_MARKET), "memo": F.lit("Marketplace sales"),
@@ -183,38 +187,47 @@ def province_tax_code(country: Column, province: Column, taxable: Column) -> Col
 
 def market_sales_orders(orders: DataFrame, home_country: str, as_of: date, taxable: Sequence[str] = TAXABLE_CATEGORIES,
                         pickup_points: Sequence[tuple[str, str]] = (), pickup_default: str = "Pickup at Warehouse",
-                        service_points: Sequence[tuple[str, str]] = (), warehouse: str = "WH-CENTRAL") -> DataFrame:
-    """Paid marketplace orders shipped to CA or US, with tax code, pickup or shipping method, ship-by = as_of + 1.
+                        service_points: Sequence[tuple[str, str]] = (), warehouse: str = "WH-CENTRAL",
+                        accounts: tuple[str, str] = ("market CA", "market US"), department: str = "Retail : Marketplace",
+                        memo: str = "Marketplace order") -> DataFrame:
+    """Paid marketplace orders shipped to CA or US in the upload's layout (``MARKET_ORDER_HEADERS``), with tax code, pickup or
+    shipping method, ship-by = as_of + 1.  ``accounts`` are the customers of home and other orders.
 
     ``pickup_points`` and ``service_points`` map a city to its pickup method and service label.
     """
-    paid = orders.filter((F.col("financial_status") == "paid") & (F.col("shipping_country") != home_country))
+    paid = translated(orders).filter((F.col("financial_status") == "paid") & (F.col("shipping_country") != home_country))
     country, city = F.col("shipping_country"), F.col("shipping_city")
     pickup = F.coalesce(F.col("delivery_method") == "pickup", F.lit(False))
     name = F.when(pickup, F.col("pickup_person_name")).otherwise(F.concat_ws(" ", "shipping_first_name", "shipping_last_name"))
     at = lambda points, default: F.coalesce(*[F.when(city == c, F.lit(v)) for c, v in points], default)
     ca = country == "CA"
-    return paid.select(
-        F.concat(F.lit("MARKET "), country).alias("order_type_code"),
-        F.concat(F.lit("MKT"), country, F.lit("-"), "order_no").alias("order_id"),
-        F.lit(as_of.strftime("%m/%d/%Y")).alias("date"),
-        F.date_format(F.to_date(F.split("created_at", " ")[0]), "MM/dd/yyyy").alias("order_date"),
-        F.lit((as_of + timedelta(days=1)).strftime("%m/%d/%Y")).alias("ship_by_date"),
-        F.lit(PRICE_LEVEL).alias("price_level"), F.col("lineitem_sku").alias("sku"),
-        F.col("lineitem_unit_price").alias("unit_price"), F.col("lineitem_quantity").alias("qty"),
-        (F.col("lineitem_total") - F.col("lineitem_total_discount")).alias("amount"),
-        province_tax_code(country, F.col("shipping_province"), isin0(sku.category("lineitem_sku"), taxable)).alias("tax_code"),
-        F.col("lineitem_total_discount").alias("coupon_discount"), F.col("promotion_detail").alias("order_coupon_code"),
-        F.col("shipping").alias("shipping_cost"), F.col("total").alias("order_total"),
-        F.when(~pickup, F.when(F.col("shipping") == 0, SHIP_FREE).otherwise(SHIP_PAID))
-        .otherwise(at(pickup_points, F.lit(pickup_default))).alias("shipping_method"),
-        F.when(F.col("payment_method") == "Stripe", PAY_CARD_ONLINE).otherwise(PAY_WALLET).alias("payment_option"),
-        name.alias("shipping_name"), F.concat_ws(" ", "shipping_address1", F.coalesce("shipping_address2", F.lit(""))).alias("shipping_address1"),
-        city.alias("shipping_city"), F.col("shipping_province"), country.alias("shipping_country"),
-        F.col("shipping_zip").alias("shipping_postal_code"), F.lit(warehouse).alias("warehouse"),
-        F.when(ca, CARRIER_HOME[0]).otherwise(CARRIER_US[0]).alias("carrier"),
-        F.when(ca, CARRIER_HOME[1]).otherwise(CARRIER_US[1]).alias("shipping_service"),
-        F.when(~pickup, SHIP_STANDARD).otherwise(at(service_points, F.concat_ws(" ", city, F.lit("Pickup")))).alias("service"))
+    order_id = F.concat(F.lit("MKT"), country, F.lit("-"), "order_no")
+    order_date = F.date_format(F.to_date(F.split("created_at", " ")[0]), "MM/dd/yyyy")
+    address = F.concat_ws(" ", "shipping_address1", F.coalesce("shipping_address2", F.lit("")))
+    out = {
+        "customer_id": F.when(ca, accounts[0]).otherwise(accounts[1]), "order_type_code": F.concat(F.lit("MARKET "), country),
+        "order_id": order_id, "ref_number": order_id, "date": F.lit(as_of.strftime("%m/%d/%Y")), "order_date": order_date,
+        "sales_effective_date": order_date, "ship_by_date": F.lit((as_of + timedelta(days=1)).strftime("%m/%d/%Y")),
+        "price_level": F.lit(PRICE_LEVEL), "sku": F.col("lineitem_sku"), "unit_price": F.col("lineitem_unit_price"),
+        "qty": F.col("lineitem_quantity"), "amount": F.col("lineitem_total") - F.col("lineitem_total_discount"),
+        "tax_code": province_tax_code(country, F.col("shipping_province"), isin0(sku.category("lineitem_sku"), taxable)),
+        "coupon_discount": F.col("lineitem_total_discount"), "order_coupon_code": F.col("promotion_detail"),
+        "shipping_cost": F.col("shipping"), "shipping_tax_code": F.lit(TAX_ABROAD), "order_total": F.col("total"),
+        "shipping_method": F.when(~pickup, F.when(F.col("shipping") == 0, SHIP_FREE).otherwise(SHIP_PAID)).otherwise(at(pickup_points, F.lit(pickup_default))),
+        "commit": F.lit(COMMIT_AVAILABLE), "marketplace_payment_method": F.col("payment_method"),
+        "payment_option": F.when(F.col("payment_method") == "Stripe", PAY_CARD_ONLINE).otherwise(PAY_WALLET),
+        "terms": F.lit(TERMS), "to_be_emailed": F.lit("No"),
+        "shipping_name": name, "shipping_address1": address, "shipping_city": city, "shipping_province": F.col("shipping_province"),
+        "shipping_country": country, "shipping_postal_code": F.col("shipping_zip"),
+        "billing_name": name, "billing_address1": address, "billing_city": city, "billing_province": F.col("shipping_province"),
+        "billing_country": country, "billing_postal_code": F.col("shipping_zip"),
+        "department": F.lit(department), "class": F.concat(F.lit("FBM : "), country), "warehouse": F.lit(warehouse),
+        "recipient": name, "recipient_email": F.col("email"), "recipient_phone": F.col("phone"),
+        "carrier": F.when(ca, CARRIER_HOME[0]).otherwise(CARRIER_US[0]), "shipping_service": F.when(ca, CARRIER_HOME[1]).otherwise(CARRIER_US[1]),
+        "service": F.when(~pickup, SHIP_STANDARD).otherwise(at(service_points, F.concat_ws(" ", city, F.lit("Pickup")))),
+        "order_issue": F.lit(""), "memo": F.lit(memo),
+    }
+    return paid.select(*[out[c].alias(c) for c in MARKET_ORDER_HEADERS])
 
 
 def returns_adjustment(returns: DataFrame, as_of: date, warehouse: str = "WH-STORE") -> DataFrame:
@@ -286,8 +299,8 @@ def unstocked_errors(errors: DataFrame, stock: DataFrame) -> DataFrame:
 
 
 def store_wholesale(lines: DataFrame, payments: DataFrame, contacts: DataFrame, wholesalers: DataFrame, orders: DataFrame,
-                    mark: str = "Wholesaler", block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Wholesale orders taken in the store: lines summed by (reference, item), orders, months.
+                    mark: str = "Wholesaler", store: Store = MAIN, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Wholesale orders taken in the store: lines summed by (reference, item) in the upload's layout and their tender, orders, months.
 
     ``orders`` are the sales orders already uploaded (for the reference); ``payments`` need ``_pos``.
     """
@@ -309,10 +322,16 @@ def store_wholesale(lines: DataFrame, payments: DataFrame, contacts: DataFrame,
         "order_date": F.date_format(parse_date("line_item_date", "dd-MMM-yyyy"), "MM/dd/yyyy"),
         "__discount": F.coalesce("total_discount", F.lit(0)) + F.coalesce("order_discount_proportion", F.lit(0)),
     })
+    # of what lines of one item say beside their sums, the first line in file order speaks
     lines_out = rows.groupBy("order_date", "ref_id", "order_id", "item_sku", "tender", "amount", "company_name", "recipient_phone",
                              "recipient_email").agg(
         F.count(F.lit(1)).alias("quantity"), F.sum("item_total").alias("rate"),
-        zero_to_null(F.sum("__discount")).alias("coupon_discount"), F.sum("tax_amount").alias("tax_amount"))
+        zero_to_null(F.sum("__discount")).alias("coupon_discount"), F.sum("tax_amount").alias("tax_amount"),
+        F.min_by(coupon_code("order_discounts", "discounts"), "_pos").alias("coupon_code"),
+        F.min_by(F.when(F.col("item_tax_rate").isNotNull(), rate_tax_code(F.col("item_tax_rate"))), "_pos").alias("tax_code"))
+    lines_out = lines_out.withColumns({"warehouse": F.lit(store.warehouse), "price_level": F.lit(PRICE_LEVEL), "customer": F.lit(store.customer),
+                                       "shipping_carrier": F.lit(""), "shipping_method": F.lit(""), "shipping_cost": F.lit(0)})
+    lines_out = lines_out.select(*STORE_WHOLESALE_HEADERS, "tender")
     orders_out = lines_out.groupBy("order_date", "ref_id", "order_id", "tender", "amount", "company_name").agg(
         F.sum(F.coalesce("coupon_discount", F.lit(0))).alias("discount"), F.sum("tax_amount").alias("tax"))
     months_out = orders_out.groupBy(F.substring("order_date", 1, 2).alias("month")).agg(

@@ -13,7 +13,6 @@ from ..constants import (
 )
 from ..functions import sku
 from ..functions.semantics import clip0, not_blank, number
-from ..operators.groups import with_group_total
 from ..operators.keys import first_per_key
 from ..operators.lookup import anti, lookup, lookup_chain, semi
 from ..operators.reshape import split_rows, unpivot_regions
@@ -133,15 +132,25 @@ def label_zero(orders: DataFrame, master: DataFrame) -> DataFrame:
     return zero.filter(F.col("upc").isNotNull()).select("po", "sku", "category", "upc", "design_version")
 
 
-def allocate_fabric(items: DataFrame, fabric: DataFrame, usage: DataFrame, skip_sizes: Sequence[str] = ()) -> DataFrame:
-    """Pieces per size from leftover fabric of a print: fabric x size share / cost-weighted shares of the print."""
+def allocate_fabric(items: DataFrame, fabric: DataFrame, usage: DataFrame, skip_sizes: Sequence[str] = (), master: DataFrame | None = None) -> DataFrame:
+    """Pieces per size from leftover fabric of a print: fabric x size share / cost-weighted shares of the print.
+
+    ``check`` is the fabric the print's pieces use; with the master its status and print names stand beside each item.
+    """
     out = semi(items, fabric, {"item_category_sku": "category", "item_print_sku": "print"}).filter(~F.coalesce(F.col("item_size").isin(list(skip_sizes)), F.lit(False)))
     out = lookup(out, fabric, {"item_category_sku": "category", "item_print_sku": "print"}, {"length": "fabric"}, unique=True)
     out = lookup(out, usage, {"item_category_sku": "category", "item_size": "size"}, ["cost_m", "size_r"], unique=True)
+    if master is not None:
+        out = lookup(out, master, {"name": "msku"}, {"msku_status": "status", "print_name": "print_name", "print_chinese": "print_chinese"}, unique=True)
     out = out.withColumn("__w", F.col("cost_m") * F.col("size_r"))
-    out = with_group_total(out, ["item_category_sku", "item_print_sku"], {"total_weight": F.sum("__w")})
-    qty = F.bround(F.try_divide(F.col("fabric") * F.col("size_r"), F.col("total_weight")), 0)
-    return out.withColumn("quantity", qty.cast("int")).drop("__w")
+    of_print = ["item_category_sku", "item_print_sku"]
+    # the pieces of a size follow from the print's total, so the print's use follows from its distinct sizes
+    sizes = out.groupBy(*of_print, "fabric", "cost_m", "size_r").agg(F.count(F.lit(1)).alias("__n"))
+    weight = sizes.groupBy(*of_print).agg(F.sum(F.col("__n") * F.col("cost_m") * F.col("size_r")).alias("__w"))
+    pieces = F.bround(F.try_divide(F.col("fabric") * F.col("size_r"), F.col("total_weight")), 0).cast("int")
+    use = lookup(sizes, weight, of_print, {"__w": "total_weight"}, unique="grouped").groupBy(*of_print).agg(
+        F.max("total_weight").alias("total_weight"), F.sum(F.col("__n") * F.col("cost_m") * pieces).alias("check"))
+    return lookup(out, use, of_print, ["total_weight", "check"], unique="grouped").withColumn("quantity", pieces).drop("__w")
 
 
 def checklist(folders: DataFrame) -> DataFrame:

@@ -9,22 +9,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import REASON_COUNT, STATUS_SHIPPED, STATUS_SYNCED
+from ..constants import LOG_WHOLE, LOG_YES, REASON_COUNT, STATUS_SHIPPED, STATUS_SYNCED
 from ..functions import sku
 from ..functions.semantics import MONEY, apply_rules, clip0, isin0, rlike0, safe_div
 from ..operators.keys import densify, first_per_key, source_order, upsert_status
 from ..operators.lookup import anti, lookup, semi
+from ..operators.reshape import sort_r
 from ..operators.rules import matches_any
+from ..schemas import STATUS_LOG_HEADERS
+from ..sources.writers import VersionedTable
 
 
 def _date(as_of: date) -> Column:
     return F.lit(as_of.strftime("%m/%d/%Y"))
 
 
-def _transfer(as_of: date, season: str, source: str, target: str, prefix: str, memo: str, by: str) -> dict[str, Column]:
+def transfer(as_of: date, season: str, source: str, target: str, ref_no: str, memo: str, by: str, to_type: str) -> dict[str, Column]:
+    """What all rows of a transfer order say, by the names of ``TRANSFER_HEADERS``."""
     return {
-        "date": _date(as_of), "season": F.lit(season), "from_warehouse": F.lit(source), "to_warehouse": F.lit(target),
-        "ref_no": F.lit(f"{prefix}{as_of:%y%m%d}"), "memo": F.lit(memo), "order_placed_by": F.lit(by),
+        "date": _date(as_of), "to_type": F.lit(to_type), "season": F.lit(season), "from_warehouse": F.lit(source), "to_warehouse": F.lit(target),
+        "ref_no": F.lit(ref_no), "memo": F.lit(memo), "order_placed_by": F.lit(by),
     }
 
 
@@ -74,7 +78,7 @@ def apply_movements(pos: DataFrame, moves: DataFrame, sign: int = 1, clip: bool
 
 def replenish(pos: DataFrame, donor: DataFrame, categories: Sequence[str], priority_categories: Sequence[str],
               priority_sizes: Sequence[str], season: str, as_of: date, target: int = 2, priority_target: int = 5,
-              donor_floor: int = 8, source: str = "WH-CENTRAL", to: str = "WH-STORE", by: str = "") -> DataFrame:
+              donor_floor: int = 8, source: str = "WH-CENTRAL", to: str = "WH-STORE", by: str = "", to_type: str = "Central-Store") -> DataFrame:
     """Transfer request up to the target stock (a higher one for priority category, size and season) where
     the donor holds more than its floor."""
     low = clean_pos(pos).filter(F.col("quantity") < priority_target).select(F.col("name").alias("item"), F.col("quantity").alias("stock"))
@@ -83,17 +87,17 @@ def replenish(pos: DataFrame, donor: DataFrame, categories: Sequence[str], prior
     first = isin0("__cat", priority_categories) & isin0("__size", priority_sizes) & rlike0("seasons", season)
     out = out.withColumn("quantity", F.when(first, priority_target).otherwise(target) - F.col("stock"))
     out = out.filter((F.col("__donor") > donor_floor) & (F.col("quantity") > 0) & isin0(sku.category("item"), categories))
-    return out.withColumns(_transfer(as_of, season, source, to, "TO-S2R", "Store Refill", by)).drop("__cat", "__size", "__donor")
+    return out.withColumns(transfer(as_of, season, source, to, f"TO-S2R{as_of:%y%m%d}", "Store Refill", by, to_type)).drop("__cat", "__size", "__donor")
 
 
 def replenish_clearance(pos: DataFrame, donor: DataFrame, rules: DataFrame, n: int, as_of: date, season: str = "",
-                        source: str = "WH-CENTRAL", to: str = "WH-STORE", by: str = "") -> DataFrame:
+                        source: str = "WH-CENTRAL", to: str = "WH-STORE", by: str = "", to_type: str = "Central-Store") -> DataFrame:
     """All donor stock of clearance items the store is short of, or of which one piece is left."""
     hit = matches_any(clean_pos(pos), rules, "name", "item", "_pos", "__hit").filter("__hit")
     out = lookup(hit.select(F.col("name").alias("item"), F.col("quantity").alias("stock")), donor, {"item": "name"},
                  {"warehouse_available": "quantity", "item_sku_seasons": "seasons"}, unique=True)
     out = out.filter((F.col("quantity") > 0) & ((F.col("stock") < n) | (F.col("quantity") == 1)))
-    return out.withColumns(_transfer(as_of, season, source, to, "TO-S2R", "Store Refill", by))
+    return out.withColumns(transfer(as_of, season, source, to, f"TO-S2R{as_of:%y%m%d}", "Store Refill", by, to_type))
 
 
 def refill_sold(sold: DataFrame, pos: DataFrame) -> DataFrame:
@@ -109,11 +113,11 @@ def refill_event(pos: DataFrame, donor: DataFrame, event_items: DataFrame, low:
 
 
 def move_offline(erp: DataFrame, new_season: str, k: int, as_of: date, season: str = "", source: str = "WH-CENTRAL",
-                 to: str = "WH-STORE", by: str = "") -> DataFrame:
+                 to: str = "WH-STORE", by: str = "", to_type: str = "Central-Store") -> DataFrame:
     """Transfer order for small remainders of older seasons."""
     small = erp.filter((F.col("warehouse_available") > 0) & (F.col("warehouse_available") <= k) & ~rlike0("item_sku_seasons", new_season))
     return small.select(F.col("name").alias("item"), F.col("warehouse_available").alias("quantity")).withColumns(
-        _transfer(as_of, season, source, to, "TO-S2R", "Store Refill", by))
+        transfer(as_of, season, source, to, f"TO-S2R{as_of:%y%m%d}", "Store Refill", by, to_type))
 
 
 def store_only(erp: DataFrame, pos: DataFrame, season: str) -> DataFrame:
@@ -144,7 +148,9 @@ def recount(first: DataFrame, others: Sequence[DataFrame]) -> DataFrame:
 
 
 def recount_differences(counts: DataFrame) -> DataFrame:
-    return counts.filter(F.col("new_qty") != F.col("quantity")).withColumn("diff", F.abs(F.col("quantity") - F.col("new_qty")))
+    """Counts that differ from the books, largest difference first (ties by SKU)."""
+    off = counts.filter(F.col("new_qty") != F.col("quantity")).withColumn("diff", F.abs(F.col("quantity") - F.col("new_qty")))
+    return sort_r(off, ["-diff", "sku"])
 
 
 def combine_stock(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -175,12 +181,14 @@ def tpl_diff(tpl: DataFrame, erp: DataFrame) -> DataFrame:
 
 
 def tpl_log_rows(orders: DataFrame) -> DataFrame:
-    """Third-party orders in the layout of the status log."""
-    return orders.select(
-        F.split("shipment_order_date", " ")[0].alias("date"), F.col("extra_note_1").alias("order_id"),
-        F.col("billing_state").alias("province"), F.col("total_quantity").alias("total_qty"),
-        F.when(F.col("shipping_service") == "Cheapest Service", "").otherwise("Express").alias("shipping_required"),
-        F.when(F.col("total_quantity") == 1, F.col("sku")).otherwise("").alias("items"), F.lit(None).cast("string").alias("status"))
+    """Third-party orders in the layout of the status log (``STATUS_LOG_HEADERS``)."""
+    out = {
+        "date": F.split("shipment_order_date", " ")[0], "order_id": F.col("extra_note_1"), "shipped_from": F.lit(LOG_WHOLE),
+        "province": F.col("billing_state"), "total_qty": F.col("total_quantity"), "shipped_qty": F.col("total_quantity"), "auto_fr": F.lit(LOG_YES),
+        "shipping_required": F.when(F.col("shipping_service") == "Cheapest Service", "").otherwise("Express"), "fr_created": F.lit(LOG_YES),
+        "status": F.lit(None).cast("string"), "items": F.when(F.col("total_quantity") == 1, F.col("sku")).otherwise(""),
+    }
+    return orders.select(*[out[c].alias(c) for c in STATUS_LOG_HEADERS])
 
 
 def tpl_upsert(log: DataFrame, synced: DataFrame, shipped: DataFrame) -> DataFrame:
@@ -188,6 +196,11 @@ def tpl_upsert(log: DataFrame, synced: DataFrame, shipped: DataFrame) -> DataFra
     return upsert_status(log, "order_id", "status", [(tpl_log_rows(synced), STATUS_SYNCED), (tpl_log_rows(shipped), STATUS_SHIPPED)])
 
 
+def tpl_refresh(log: VersionedTable, synced: DataFrame, shipped: DataFrame) -> int:
+    """Bring the kept log up to date: read and replaced in one job, as one new version."""
+    return log.replace(tpl_upsert(log.read(), synced, shipped))
+
+
 def tpl_split_orders(orders: DataFrame) -> DataFrame:
     """Rows of sales orders fulfilled in more than one part, one per order code."""
     parts = orders.withColumns({"so": F.regexp_replace("order_code", "-.*", ""), "fr": F.regexp_replace("order_code", ".*-", "")})

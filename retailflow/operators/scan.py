@@ -49,15 +49,14 @@ def run_id(df: DataFrame, value: str, order: str, by: Sequence[str] = (), out: s
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """1-based id that grows whenever ``value`` differs from the row before it (within ``by``)."""
     inside = _inside(order)
-    v = F.struct(F.col(f"`{value}`").alias("v"))  # never null: a null value is a value
-    above = F.lag(v).over(inside)
-    rows = _in_blocks(df, by, order, block_rows).withColumns({
-        "__first": F.first(v).over(inside), "__changed": F.when(above.isNull(), 0).otherwise((above != v).cast("int"))})
+    rows = _in_blocks(df, by, order, block_rows).withColumn("__v", F.struct(F.col(f"`{value}`").alias("v")))  # never null: a null value is a value
+    above = F.lag("__v").over(inside)
+    rows = rows.withColumns({"__first": F.first("__v").over(inside), "__changed": F.when(above.isNull(), 0).otherwise((above != F.col("__v")).cast("int"))})
     rows = rows.withColumn("__run", F.sum("__changed").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     before = F.lag("__last").over(_across())
     joined = _carried(rows, order, {
         "__before": before,
-        "__starts": F.when(F.col("__before").isNull() | (F.struct(F.col(f"__before.{value}").alias("v")) != F.col("__last.__first")), 1).otherwise(0),
+        "__starts": F.when(F.col("__before").isNull() | (F.col("__before.__v") != F.col("__last.__first")), 1).otherwise(0),
         "__base": F.sum(F.col("__starts") + F.coalesce(F.col("__before.__run"), F.lit(0))).over(_across().rowsBetween(Window.unboundedPreceding, 0)),
     }, ["__base"])
     new = {out: F.col("__base") + F.col("__run")}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..jobs import pricing, stock
 from ..operators.lookup import lookup
+from ..schemas import STATUS_LOG_HEADERS
 from .registry import AS_OF, cat, cents, half_even, query, values
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
@@ -244,7 +245,7 @@ def _(t):
 
 
 CLEAN = "pos AS (SELECT name, greatest(coalesce(quantity, 0), 0) AS quantity FROM s_pos WHERE name IS NOT NULL AND name <> '')"
-TRANSFER = f"'{DAY}' AS date, '25S' AS season, 'WH-CENTRAL' AS from_warehouse, 'WH-STORE' AS to_warehouse, 'TO-S2R{YMD}' AS ref_no, 'Store Refill' AS memo, 'ops' AS order_placed_by"
+TRANSFER = f"'{DAY}' AS date, 'Central-Store' AS to_type, '25S' AS season, 'WH-CENTRAL' AS from_warehouse, 'WH-STORE' AS to_warehouse, 'TO-S2R{YMD}' AS ref_no, 'Store Refill' AS memo, 'ops' AS order_placed_by"
 
 
 @query("replenish", f"""
@@ -311,11 +312,23 @@ COUNTS = "SELECT name AS sku, warehouse_available AS q FROM s_erp WHERE inventor
     SELECT f.sku, cast(f.q as double) AS quantity, cast(a.q + b.q + c.q - 2 * (CASE WHEN f.q > 4 THEN f.q ELSE 0 END) as double) AS new_qty
     FROM f JOIN a USING (sku) JOIN b USING (sku) JOIN c USING (sku)""")
 def _(t):
+    return _recount(t)
+
+
+def _recount(t):
     sheet = lambda w: stock.warehouse_stock(t.s_erp, w).select(F.col("name").alias("sku"), F.col("warehouse_available").cast("string").alias("new_qty"))
     first = t.s_pos.select(F.col("name").alias("sku"), "quantity", F.when(F.col("quantity") > 4, F.col("quantity").cast("string")).otherwise("").alias("new_qty"))
     return stock.recount(first, [sheet("WH-CENTRAL"), sheet("WH-STORE"), sheet("WH-3PL")]).withColumn("quantity", F.col("quantity").cast("double"))
 
 
+@query("recount_differences", f"""
+    WITH a AS ({COUNTS}'WH-CENTRAL'), b AS ({COUNTS}'WH-STORE'), c AS ({COUNTS}'WH-3PL'), f AS (SELECT name AS sku, quantity AS q FROM s_pos),
+    r AS (SELECT f.sku, cast(f.q as double) AS quantity, cast(a.q + b.q + c.q - 2 * (CASE WHEN f.q > 4 THEN f.q ELSE 0 END) as double) AS new_qty FROM f JOIN a USING (sku) JOIN b USING (sku) JOIN c USING (sku))
+    SELECT sku, quantity, new_qty, abs(quantity - new_qty) AS diff FROM r WHERE new_qty <> quantity ORDER BY diff DESC, sku""")
+def _(t):
+    return stock.recount_differences(_recount(t))
+
+
 @query("combine_stock", """
     SELECT p.name, cast(CASE WHEN e.name IS NULL THEN NULL ELSE greatest(coalesce(p.quantity, 0) + e.warehouse_available, 0) END as double) AS quantity, cast(w.regular_price as double) AS price
     FROM s_pos p LEFT JOIN s_erp e ON e.name = p.name AND e.inventory_warehouse = 'WH-3PL' LEFT JOIN s_web w ON w.sku = e.name""")
@@ -360,16 +373,28 @@ def _(t):
     return stock.tpl_split_orders(_tpl(t)).select("order_code")
 
 
-@query("tpl_upsert", """
-    WITH log AS (SELECT CASE WHEN o_orderstatus = 'O' THEN 'W' ELSE 'V' END || o_orderkey AS id, 'New' AS status FROM orders), a AS (SELECT DISTINCT 'W' || l_orderkey AS id FROM lineitem WHERE l_returnflag = 'A'),
-    b AS (SELECT DISTINCT 'W' || l_orderkey AS id FROM lineitem WHERE l_returnflag <> 'A')
-    SELECT log.id AS order_id, CASE WHEN a.id IS NOT NULL THEN 'Synced' WHEN b.id IS NOT NULL THEN 'Shipped' ELSE status END AS status FROM log LEFT JOIN a ON a.id = log.id LEFT JOIN b ON b.id = log.id
-    UNION ALL SELECT id, 'Synced' FROM a WHERE id NOT IN (SELECT id FROM log) UNION ALL SELECT id, 'Shipped' FROM b WHERE id NOT IN (SELECT id FROM log)""")
+LOG_ROW = """date, shipped_from, province, total_qty, shipped_qty, auto_fr, shipping_required, fr_created, items"""
+
+
+def _log_sql(which: str, status: str) -> str:
+    """First row of each order of a batch in the log's layout."""
+    return f"""(SELECT order_id, {LOG_ROW}, '{status}' AS status FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY date, province, total_qty, shipping_required, items) AS rn FROM (
+      SELECT 'W' || l_orderkey AS order_id, cast(year(l_shipdate) as varchar) AS date, 'Whole' AS shipped_from, 'BC' AS province, cast(l_quantity as int) AS total_qty, cast(l_quantity as int) AS shipped_qty, 'Y' AS auto_fr,
+        CASE WHEN l_suppkey % 2 = 0 THEN '' ELSE 'Express' END AS shipping_required, 'Y' AS fr_created, CASE WHEN cast(l_quantity as int) = 1 THEN cast(l_partkey as varchar) ELSE '' END AS items
+      FROM lineitem WHERE {which})) WHERE rn = 1)"""
+
+
+@query("tpl_upsert", f"""
+    WITH log AS (SELECT CASE WHEN o_orderstatus = 'O' THEN 'W' ELSE 'V' END || o_orderkey AS id FROM orders),
+    a AS {_log_sql("l_returnflag = 'A'", "Synced")}, b AS {_log_sql("l_returnflag <> 'A'", "Shipped")}
+    SELECT log.id AS order_id, CASE WHEN a.order_id IS NOT NULL THEN 'Synced' WHEN b.order_id IS NOT NULL THEN 'Shipped' ELSE 'New' END AS status,
+      '' AS date, '' AS shipped_from, '' AS province, 0 AS total_qty, 0 AS shipped_qty, '' AS auto_fr, '' AS shipping_required, '' AS fr_created, '' AS items
+    FROM log LEFT JOIN a ON a.order_id = log.id LEFT JOIN b ON b.order_id = log.id
+    UNION ALL SELECT order_id, status, {LOG_ROW} FROM a WHERE order_id NOT IN (SELECT id FROM log) UNION ALL SELECT order_id, status, {LOG_ROW} FROM b WHERE order_id NOT IN (SELECT id FROM log)""")
 def _(t):
-    log = t.orders.select(
-        F.lit("").alias("date"), F.concat(F.when(F.col("o_orderstatus") == "O", "W").otherwise("V"), "o_orderkey").alias("order_id"), F.lit("").alias("province"), F.lit(0).alias("total_qty"),
-        F.lit("").alias("shipping_required"), F.lit("").alias("items"), F.lit("New").alias("status"))
-    return stock.tpl_upsert(log, _tpl(t, "l_returnflag = 'A'"), _tpl(t, "l_returnflag <> 'A'")).select("order_id", "status")
+    known = {"order_id": F.concat(F.when(F.col("o_orderstatus") == "O", "W").otherwise("V"), "o_orderkey"), "total_qty": F.lit(0), "shipped_qty": F.lit(0), "status": F.lit("New")}
+    log = t.orders.select(*[known.get(c, F.lit("")).alias(c) for c in STATUS_LOG_HEADERS])
+    return stock.tpl_upsert(log, _tpl(t, "l_returnflag = 'A'"), _tpl(t, "l_returnflag <> 'A'"))
 
 
 @query("fill_upc", "SELECT k.sku, m.upc_active AS upc FROM s_sku k LEFT JOIN s_master m ON m.msku = k.sku")

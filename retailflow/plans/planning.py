@@ -27,24 +27,29 @@ def _months(ms):
 R3 = _months(trailing_months(MONTH))
 
 
-def frame(months: str = R3, late: str = "") -> str:
-    """Catalog items with stock, demand and years of stock per SPU; category ``late`` counts June and July instead."""
+def frame(months: str = R3, late: str = "", published: bool = False) -> str:
+    """Catalog items with stock, demand and years of stock per SPU; category ``late`` counts June and July instead.
+
+    With ``published`` only published items count, and an SPU's warehouse stock is the ERP's."""
+    shown = " AND w.published = 1" if published else ""
+    erp = f"(SELECT {spu('name')} AS spu, sum(warehouse_available)::BIGINT AS wh FROM s_erp WHERE inventory_warehouse = 'WH-CENTRAL' GROUP BY 1)"
+    wh, joined = ("ew.wh", f" LEFT JOIN {erp} ew ON ew.spu = i.spu") if published else ("stk.qty_wh", "")
     sold_in = f"CASE WHEN split_part(adjust_msku, '-', 1) = '{late}' THEN month IN (6, 7) ELSE month IN {months} END" if late else f"month IN {months}"
     share_in = f"CASE WHEN category = '{late}' THEN month IN (6, 7) ELSE month IN {months} END" if late else f"month IN {months}"
     return f"""{L12},
     items AS (SELECT w.id, w.sku, CASE WHEN a.msku IS NOT NULL THEN a.seasons_sku ELSE b.seasons_sku END AS seasons, a.category_sku AS cat, {spu('w.sku')} AS spu, w.regular_price,
         CASE WHEN w.sale_price IS NULL THEN 0.0 ELSE (cast(w.regular_price as double) - cast(w.sale_price as double)) / cast(w.regular_price as double) END AS discount, coalesce(e.warehouse_available, 0) AS qty
       FROM s_web w LEFT JOIN s_master a ON a.msku = w.sku LEFT JOIN s_master b ON b.adjust_sku = w.sku LEFT JOIN s_erp e ON e.name = w.sku AND e.inventory_warehouse = 'WH-CENTRAL'
-      WHERE w.regular_price IS NOT NULL AND w.sku IN (SELECT name FROM s_erp)),
+      WHERE w.regular_price IS NOT NULL{shown} AND w.sku IN (SELECT name FROM s_erp)),
     stk AS (SELECT {spu('adjust_msku')} AS spu, sum(inv_total_end_wk)::BIGINT AS qty_spu, sum(inv_warehouse)::BIGINT AS qty_wh FROM s_inv GROUP BY 1),
     sold AS (SELECT {spu('adjust_msku')} AS spu, sum(CASE WHEN {sold_in} THEN qty ELSE 0 END)::BIGINT AS t3, sum(CASE WHEN sales_channel = 'WEB' THEN CASE WHEN {sold_in} THEN qty ELSE 0 END END)::BIGINT AS t3w,
         sum(CASE WHEN sales_channel LIKE 'Amazon%' THEN qty END)::BIGINT AS m12 FROM l12 GROUP BY 1),
     miss AS (SELECT * FROM (SELECT {spu('name')} AS spu, count(DISTINCT regexp_replace(name, '^([A-Za-z0-9_]+-[A-Za-z0-9_]+-[A-Za-z0-9_]+).*', '\\1')) AS sizes, count(CASE WHEN warehouse_available > {K} THEN 1 END) AS in_stock
         FROM s_erp WHERE inventory_warehouse = 'WH-CENTRAL' GROUP BY 1) WHERE in_stock > 0),
     rat AS (SELECT category, cast(sum(CASE WHEN {share_in} THEN ratio ELSE 0 END) as double) AS r3 FROM s_ratio GROUP BY 1),
-    f0 AS (SELECT i.*, stk.qty_spu, stk.qty_wh, stk.qty_spu - stk.qty_wh AS qty_amz, sold.t3, sold.t3w, sold.m12, rat.r3,
+    f0 AS (SELECT i.*, stk.qty_spu, {wh} AS qty_wh, stk.qty_spu - stk.qty_wh AS qty_amz, sold.t3, sold.t3w, sold.m12, rat.r3,
         CASE WHEN miss.sizes IS NULL THEN NULL WHEN miss.sizes < miss.in_stock THEN 0.0 ELSE (miss.sizes - miss.in_stock) / miss.sizes END AS missing_share
-      FROM items i JOIN stk ON stk.spu = i.spu LEFT JOIN sold ON sold.spu = i.spu LEFT JOIN miss ON miss.spu = i.spu LEFT JOIN rat ON rat.category = i.cat),
+      FROM items i JOIN stk ON stk.spu = i.spu LEFT JOIN sold ON sold.spu = i.spu LEFT JOIN miss ON miss.spu = i.spu LEFT JOIN rat ON rat.category = i.cat{joined}),
     f1 AS (SELECT *, {years('t3', 'r3')} AS y1, {years('t3w', 'r3')} AS y1w FROM f0),
     framed AS (SELECT *, CASE WHEN qty_amz >= m12 THEN {years('qty_wh', 'y1w')} WHEN qty_amz < m12 THEN {years('qty_spu', 'y1')} END AS time_yr FROM f1)"""
 
@@ -75,6 +80,12 @@ def _frame(t, include_current=False, special=None):
     return demand.with_years(_items(t), t.s_inv, _last12(t), t.s_ratio, _missing(t), MONTH, "WEB", "^Amazon", include_current=include_current, special=special)
 
 
+def _holiday_frame(t):
+    here = stock.warehouse_stock(t.s_erp, "WH-CENTRAL")
+    items = demand.catalog_frame(t.s_web.filter("regular_price IS NOT NULL AND published = 1"), t.s_erp, t.s_master, "WH-CENTRAL")
+    return demand.with_years(items, t.s_inv, _last12(t), t.s_ratio, _missing(t), MONTH, "WEB", "^Amazon", special={"B3": (6, 7)}, warehouse=demand.erp_spu_stock(here))
+
+
 def _grid(t):
     return t.spark.createDataFrame(GRID, "time_band string, missing_band string, discount double")
 
@@ -222,9 +233,18 @@ def bins_sql(name: str, source: str, n: int) -> str:
             f"{name} AS (SELECT * FROM ({' UNION '.join(cut(i) for i in range(1, n))}) WHERE e > (SELECT min(x) FROM {name}_sorted))")
 
 
-def _winter(t):
+def _winter(t, sales=None):
     growth = t.s_sku.select(F.col("cat").alias("category")).distinct().withColumn("growth", F.when(F.col("category").isin("B5", "B6"), None).otherwise(F.lit(0.1)))
-    return clearance.winter_frame(_items(t), t.s_inv, _last12(t), t.s_ratio, growth, 1, shared=t.shared)
+    return clearance.winter_frame(_items(t), t.s_inv, _last12(t) if sales is None else sales, t.s_ratio, growth, 1, shared=t.shared)
+
+
+@query("clearance_no_sales", f"""
+    WITH {WINTER.replace("SELECT sales_channel, adjust_msku, month, sum(qty)", "SELECT sales_channel, CASE WHEN adjust_msku LIKE 'B4-%' THEN 'Q' || adjust_msku ELSE adjust_msku END AS adjust_msku, month, sum(qty)", 1)}
+    SELECT sku, seasons, cat, spu, cast(regular_price as double) AS regular_price, discount, qty, cast(qty_spu as double) AS qty_spu FROM w WHERE sales_yr IS NULL""")
+def _(t):
+    other = F.when(F.col("adjust_msku").startswith("B4-"), F.concat(F.lit("Q"), "adjust_msku")).otherwise(F.col("adjust_msku"))  # sold under other names
+    out = clearance.clearance_no_sales(_winter(t, _last12(t).withColumn("adjust_msku", other)))
+    return out.select("sku", "seasons", "cat", "spu", "regular_price", "discount", "qty", F.col("qty_spu").cast("double").alias("qty_spu"))
 
 
 @query("clearance_carry_over", f"""
@@ -279,14 +299,14 @@ def _(t):
 
 
 @query("holiday_discounts", f"""
-    WITH {frame(R3, 'B3')}, h0 AS (SELECT *, coalesce(round_even(time_yr, 2), 0.0) AS ty FROM framed WHERE qty > 1 AND regular_price > 0),
+    WITH {frame(R3, 'B3', True)}, h0 AS (SELECT *, coalesce(round_even(time_yr, 2), 0.0) AS ty FROM framed WHERE qty > 1 AND regular_price > 0),
     h1 AS (SELECT *, CASE WHEN cat = 'B3' THEN 0.2 WHEN contains(coalesce(seasons, ''), '25F') THEN CASE WHEN ty > 4 THEN 0.2 ELSE 0.1 END ELSE 0.0 END AS rule FROM h0),
     h2 AS (SELECT *, row_number() OVER (ORDER BY rule, ty DESC, sku) AS rk FROM h1),
     h3 AS (SELECT *, cast(CASE WHEN rk <= 54 THEN 0.4 WHEN rk <= 101 THEN 0.3 WHEN rk <= 250 THEN 0.2 WHEN rk <= 500 THEN 0.1 ELSE rule END + CASE WHEN cat = 'B7' THEN 0.1 ELSE 0.0 END as double) AS d FROM h2),
     z AS (SELECT *, CASE WHEN d > discount THEN d ELSE discount END AS sd FROM h3)
     SELECT sku, seasons, cat, spu, cast(regular_price as double) AS regular_price, discount, qty, ty AS time_yrs, sd AS suggest_discount, {off_price('sd', 4)} AS sale_price FROM z""")
 def _(t):
-    return clearance.holiday_discounts(_frame(t, special={"B3": (6, 7)}), 1, "25F", late_categories=["B3"], bumps={"B7": 0.1}, shared=t.shared)
+    return clearance.holiday_discounts(_holiday_frame(t), 1, "25F", late_categories=["B3"], bumps={"B7": 0.1}, shared=t.shared)
 
 
 SIZES = {"B1": 60, "B4": 40, "B9": 70, "B11": 55}

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..constants import MARKET_HOME
 from ..jobs import customers, orders, reports
 from ..operators.lookup import lookup
 from ..operators.reshape import calendar
@@ -82,9 +83,9 @@ LINE_NET = "(lineitem_total - lineitem_total_discount)"
     SELECT strftime(cast(created_at as timestamp), '%m/%d/%Y') AS order_date, order_no AS order_id, 'MKT-' || order_no AS ref_id, lineitem_sku AS item_sku, lineitem_quantity AS quantity,
       {half_even(cents(LINE_NET), 'cast(lineitem_quantity as hugeint)')} / 100.0::DOUBLE AS rate, cast(nullif(lineitem_total_discount, 0) as double) AS coupon_discount,
       shipping_last_name || shipping_first_name AS recipient, phone AS recipient_phone, email AS recipient_email, 'Longxing' AS shipping_carrier, cast(shipping as double) AS shipping_cost, 'AlphaPay' AS payment_option
-    FROM s_market WHERE financial_status = 'paid' AND shipping_country = 'CN'""")
+    FROM s_market WHERE financial_status = 'paid' AND shipping_country = '中国'""")
 def _(t):
-    return orders.market_cash_sales(t.s_market, "CN").select("order_date", "order_id", "ref_id", "item_sku", "quantity", "rate", "coupon_discount", "recipient", "recipient_phone",
+    return orders.market_cash_sales(t.s_market, MARKET_HOME).select("order_date", "order_id", "ref_id", "item_sku", "quantity", "rate", "coupon_discount", "recipient", "recipient_phone",
                                                              "recipient_email", "shipping_carrier", "shipping_cost", "payment_option")
 
 
@@ -95,19 +96,23 @@ TAX_TREE = """CASE WHEN shipping_country = 'US' THEN '.' WHEN shipping_province
 
 
 @query("tax_code_tree", f"""
-    SELECT 'MARKET ' || shipping_country AS order_type_code, 'MKT' || shipping_country || '-' || order_no AS order_id, '{DAY}' AS date, strftime(cast(created_at as timestamp), '%m/%d/%Y') AS order_date,
-      '03/16/2001' AS ship_by_date, 'Custom' AS price_level, lineitem_sku AS sku, cast(lineitem_unit_price as double) AS unit_price, lineitem_quantity AS qty, cast({LINE_NET} as double) AS amount,
-      {TAX_TREE} AS tax_code, cast(lineitem_total_discount as double) AS coupon_discount, promotion_detail AS order_coupon_code, cast(shipping as double) AS shipping_cost, cast(total as double) AS order_total,
+    WITH m AS (SELECT * REPLACE (replace(replace(shipping_country, '美国', 'US'), '加拿大', 'CA') AS shipping_country, replace(shipping_province, '不列颠哥伦比亚', 'BC') AS shipping_province) FROM s_market),
+    x AS (SELECT *, 'MKT' || shipping_country || '-' || order_no AS oid, strftime(cast(created_at as timestamp), '%m/%d/%Y') AS od, shipping_address1 || ' ' || coalesce(shipping_address2, '') AS addr,
+      CASE WHEN delivery_method = 'pickup' THEN pickup_person_name ELSE shipping_first_name || ' ' || shipping_last_name END AS person FROM m WHERE financial_status = 'paid' AND shipping_country <> '中国')
+    SELECT CASE WHEN shipping_country = 'CA' THEN 'market CA' ELSE 'market US' END AS customer_id, 'MARKET ' || shipping_country AS order_type_code, oid AS order_id, oid AS ref_number, '{DAY}' AS date, od AS order_date,
+      od AS sales_effective_date, '03/16/2001' AS ship_by_date, 'Custom' AS price_level, lineitem_sku AS sku, cast(lineitem_unit_price as double) AS unit_price, lineitem_quantity AS qty, cast({LINE_NET} as double) AS amount,
+      {TAX_TREE} AS tax_code, cast(lineitem_total_discount as double) AS coupon_discount, promotion_detail AS order_coupon_code, cast(shipping as double) AS shipping_cost, '.' AS shipping_tax_code, cast(total as double) AS order_total,
       CASE WHEN delivery_method <> 'pickup' THEN CASE WHEN shipping = 0 THEN 'Free shipping over $69' ELSE 'Parcel with Tracking' END WHEN shipping_city = 'City1' THEN 'Pickup at Campus'
            WHEN shipping_city = 'City2' THEN 'Pickup at Office' ELSE 'Pickup at Warehouse' END AS shipping_method,
-      CASE WHEN payment_method = 'Stripe' THEN 'Stripe CAD Allvalue' ELSE 'AlphaPay' END AS payment_option,
-      CASE WHEN delivery_method = 'pickup' THEN pickup_person_name ELSE shipping_first_name || ' ' || shipping_last_name END AS shipping_name,
-      shipping_address1 || ' ' || coalesce(shipping_address2, '') AS shipping_address1, shipping_city, shipping_province, shipping_country, shipping_zip AS shipping_postal_code, 'WH-CENTRAL' AS warehouse,
+      'Available QTY' AS commit, payment_method AS marketplace_payment_method, CASE WHEN payment_method = 'Stripe' THEN 'Stripe CAD Allvalue' ELSE 'AlphaPay' END AS payment_option, 'CIA' AS terms, 'No' AS to_be_emailed,
+      person AS shipping_name, addr AS shipping_address1, shipping_city, shipping_province, shipping_country, shipping_zip AS shipping_postal_code,
+      person AS billing_name, addr AS billing_address1, shipping_city AS billing_city, shipping_province AS billing_province, shipping_country AS billing_country, shipping_zip AS billing_postal_code,
+      'Retail : Marketplace' AS department, 'FBM : ' || shipping_country AS class, 'WH-CENTRAL' AS warehouse, person AS recipient, email AS recipient_email, phone AS recipient_phone,
       CASE WHEN shipping_country = 'CA' THEN 'Canada Post' ELSE 'USPS' END AS carrier, CASE WHEN shipping_country = 'CA' THEN 'Expedited Parcel' ELSE 'USPS Priority Mail' END AS shipping_service,
-      CASE WHEN delivery_method <> 'pickup' THEN 'Standard' WHEN shipping_city = 'City1' THEN 'Campus Pickup' ELSE shipping_city || ' Pickup' END AS service
-    FROM s_market WHERE financial_status = 'paid' AND shipping_country <> 'CN'""")
+      CASE WHEN delivery_method <> 'pickup' THEN 'Standard' WHEN shipping_city = 'City1' THEN 'Campus Pickup' ELSE shipping_city || ' Pickup' END AS service, '' AS order_issue, 'Marketplace order' AS memo
+    FROM x""")
 def _(t):
-    return orders.market_sales_orders(t.s_market, "CN", AS_OF, TAXABLE, [("City1", "Pickup at Campus"), ("City2", "Pickup at Office")], "Pickup at Warehouse", [("City1", "Campus Pickup")])
+    return orders.market_sales_orders(t.s_market, MARKET_HOME, AS_OF, TAXABLE, [("City1", "Pickup at Campus"), ("City2", "Pickup at Office")], "Pickup at Warehouse", [("City1", "Campus Pickup")])
 
 
 @query("returns_adjustment", f"""
@@ -165,26 +170,30 @@ def _(t):
 WHOLE = f"""{CONTACTS}, l AS (SELECT l.*, cast(ts as date) AS d FROM s_line l WHERE (coalesce(contains(order_discounts, 'Wholesaler'), false) OR coalesce(contains(discounts, 'Wholesaler'), false)) AND order_payment_state = 'Paid'),
     p AS (SELECT order_id, string_agg(tender || ':$' || cast(amount as varchar), '|' ORDER BY _pos) AS tender, sum(amount) AS amount, min_by(customer_name, _pos) AS customer_name
           FROM s_payment WHERE result = 'SUCCESS' GROUP BY 1),
-    w AS (SELECT 'u' || c_custkey || '@x.ca' AS email, c_name AS company_name, '777' || c_nationkey AS phone FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')),
+    w AS (SELECT CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 'u' ELSE 'w' END || c_custkey || '@x.ca' AS email, c_name AS company_name, '777' || c_nationkey AS phone FROM customer),
     o AS (SELECT l.order_id, min(p.tender) AS tender, min(p.amount) AS amount, min(CASE WHEN w.email IS NOT NULL THEN w.company_name ELSE p.customer_name END) AS company_name,
             min(CASE WHEN w.email IS NOT NULL THEN w.phone ELSE c.phone END) AS recipient_phone, min(c.email) AS recipient_email
           FROM l JOIN p ON p.order_id = l.order_id LEFT JOIN contacts c ON c.name = p.customer_name LEFT JOIN w ON w.email = c.email GROUP BY 1),
     lines AS (SELECT strftime(d, '%m/%d/%Y') AS order_date, CASE WHEN o.order_id IS NOT NULL THEN 'REF' || l.order_id END AS ref_id, l.order_id, item_sku, o.tender, o.amount, o.company_name, o.recipient_phone, o.recipient_email,
-            count(*) AS quantity, sum(item_total) AS rate, nullif(sum(total_discount + order_discount_proportion), 0) AS coupon_discount, sum(tax_amount) AS tax_amount
+            count(*) AS quantity, sum(item_total) AS rate, nullif(sum(total_discount + order_discount_proportion), 0) AS coupon_discount, sum(tax_amount) AS tax_amount,
+            arg_min(regexp_replace(coalesce(order_discounts, '') || coalesce(discounts, ''), ' -.*', ''), _pos) AS coupon_code,
+            arg_min(CASE WHEN item_tax_rate = 0.05 THEN 'CA-BC-GST' WHEN item_tax_rate = 0.12 THEN 'CA-BC-TAX' WHEN item_tax_rate IS NOT NULL THEN '' END, _pos) AS tax_code
           FROM l LEFT JOIN o ON o.order_id = l.order_id GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9),
     ords AS (SELECT order_date, ref_id, order_id, tender, amount, company_name, sum(coalesce(coupon_discount, 0)) AS discount, sum(tax_amount) AS tax FROM lines GROUP BY 1, 2, 3, 4, 5, 6)"""
 
 
 def _wholesale(t):
-    wholesalers = t.customer.filter("c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')").select(
-        F.concat(F.lit("u"), F.col("c_custkey"), F.lit("@x.ca")).alias("email"), F.col("c_name").alias("company_name"), F.concat(F.lit("777"), F.col("c_nationkey")).alias("phone"))
+    mail = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "FURNITURE"), "u").otherwise("w")  # others are not the contacts' addresses
+    wholesalers = t.customer.select(
+        F.concat(mail, F.col("c_custkey"), F.lit("@x.ca")).alias("email"), F.col("c_name").alias("company_name"), F.concat(F.lit("777"), F.col("c_nationkey")).alias("phone"))
     done = t.s_payment.filter("result = 'SUCCESS'").select("order_id", F.concat(F.lit("REF"), "order_id").alias("ref_id"))
     return orders.store_wholesale(t.s_line, t.s_payment, customers.consolidate_contacts(t.s_customer), wholesalers, done, block_rows=BLOCK)
 
 
 @query("store_wholesale", f"""
     WITH {WHOLE} SELECT order_date, ref_id, order_id, item_sku, tender, cast(amount as double) AS amount, company_name, recipient_phone, recipient_email, quantity, cast(rate as double) AS rate,
-      cast(coupon_discount as double) AS coupon_discount, cast(tax_amount as double) AS tax_amount FROM lines""")
+      cast(coupon_discount as double) AS coupon_discount, cast(tax_amount as double) AS tax_amount, coupon_code, tax_code,
+      'WH-STORE' AS warehouse, 'Custom' AS price_level, 'store 1' AS customer, '' AS shipping_carrier, '' AS shipping_method, 0 AS shipping_cost FROM lines""")
 def _(t):
     return _wholesale(t)[0]
 

@@ -53,13 +53,14 @@ STANDINS: dict[str, str] = {
                case when p_size % 3 = 0 then cast(price - 100 - p_size * 5 as decimal(12,2)) end AS sale_price,
                case p_size % 4 when 0 then timestamp '2024-01-01 00:00:00' when 1 then timestamp '2024-07-01 00:00:00' end AS sale_starts,
                case p_size % 5 when 0 then timestamp '2024-12-31 23:59:59' when 1 then timestamp '2024-02-01 00:00:00' end AS sale_ends,
-               case when p_partkey % 3 = 0 then 'full' when p_partkey % 3 = 1 then 'reduced' end AS tax_class
+               case when p_partkey % 3 = 0 then 'full' when p_partkey % 3 = 1 then 'reduced' end AS tax_class,
+               case when p_partkey % 23 = 0 then 0 else 1 end AS published
         FROM s_sku""",
     "s_master": """
         SELECT case when p_partkey % 7 = 3 then 'X' || sku else sku end AS msku,
                case when p_partkey % 7 = 3 then sku end AS adjust_sku,
                case when p_partkey % 11 = 0 then 'Inactive' else 'Active' end AS msku_status,
-               seasons, seasons AS seasons_sku, cat AS category_sku, print AS print_sku, p_name AS print_name, size,
+               seasons, seasons AS seasons_sku, cat AS category_sku, print AS print_sku, p_name AS print_name, 'CN ' || p_name AS print_chinese, size,
                cast(100000 + p_partkey as string) || case p_partkey % 4 when 0 then '/77' when 1 then '|88' when 2 then ' 99' else '' end AS upc_active,
                p_name AS item_name,
                case when p_partkey % 5 = 0 then 'US-' || sku end AS fbasku_us,
@@ -165,8 +166,9 @@ STANDINS: dict[str, str] = {
                case when o_custkey % 3 = 0 then 'pickup' else 'delivery' end AS delivery_method, 'P' || cast(o_custkey as string) AS pickup_person_name,
                'F' || cast(o_custkey as string) AS shipping_first_name, 'L' || cast(o_custkey as string) AS shipping_last_name,
                cast(o_custkey as string) || ' Main St' AS shipping_address1, case when o_custkey % 2 = 0 then 'Unit 2' end AS shipping_address2,
-               'City' || cast(c_nationkey % 4 as string) AS shipping_city, """ + _province("c_nationkey") + """ AS shipping_province,
-               case c_nationkey % 3 when 0 then 'CN' when 1 then 'CA' else 'US' end AS shipping_country, 'V' || cast(c_nationkey as string) AS shipping_zip,
+               'City' || cast(c_nationkey % 4 as string) AS shipping_city,
+               case when o_custkey % 5 = 0 then '不列颠哥伦比亚' else """ + _province("c_nationkey") + """ end AS shipping_province,
+               case c_nationkey % 3 when 0 then '中国' when 1 then case when o_custkey % 2 = 0 then '加拿大' else 'CA' end else case when o_custkey % 4 = 0 then '美国' else 'US' end end AS shipping_country, 'V' || cast(c_nationkey as string) AS shipping_zip,
                '555' || cast(c_nationkey as string) AS phone, 'u' || cast(o_custkey as string) || '@x.ca' AS email
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN s_sku k ON k.p_partkey = l_partkey""",
     "s_web_order": """

@@ -128,15 +128,17 @@ def _(t):
     WITH f AS (SELECT k.cat, CASE WHEN k.print = 'LARGE' THEN 'L' ELSE k.print END AS print, cast(sum(l_quantity) as double) AS len FROM lineitem JOIN s_sku k ON k.p_partkey = l_partkey GROUP BY 1, 2),
     x AS (SELECT e.name, e.item_category_sku, e.item_print_sku, f.len, (e.item_size::INT % 3 + 1)::DOUBLE AS cost, (e.item_size::INT % 5 + 1)::DOUBLE AS r FROM s_erp e JOIN f ON f.cat = e.item_category_sku AND f.print = e.item_print_sku
       WHERE e.inventory_warehouse = 'WH-CENTRAL' AND e.item_size NOT IN ('6', '10')),
-    y AS (SELECT *, sum(cost * r) OVER (PARTITION BY item_category_sku, item_print_sku) AS w FROM x)
-    SELECT name, len AS fabric, cost AS cost_m, r AS size_r, w AS total_weight, cast({half_even('cast(len * r as hugeint)', 'cast(w as hugeint)')} as int) AS quantity FROM y""")
+    y AS (SELECT *, sum(cost * r) OVER (PARTITION BY item_category_sku, item_print_sku) AS w FROM x),
+    z AS (SELECT *, cast({half_even('cast(len * r as hugeint)', 'cast(w as hugeint)')} as int) AS quantity FROM y)
+    SELECT z.name, item_category_sku, item_print_sku, m.print_name, m.print_chinese, m.msku_status AS status, len AS fabric, cost AS cost_m, r AS size_r, w AS total_weight, quantity,
+      sum(cost * quantity) OVER (PARTITION BY item_category_sku, item_print_sku) AS "check" FROM z LEFT JOIN s_master m ON m.msku = z.name""")
 def _(t):
     lines = lookup(t.lineitem, t.s_sku, {"l_partkey": "p_partkey"}, ["cat", "print"], unique=True).replace("LARGE", "L", "print")
     fabric = lines.groupBy(F.col("cat").alias("category"), "print").agg(F.sum("l_quantity").alias("length"))
     usage = t.s_sku.select(F.col("cat").alias("category"), "size").distinct().withColumns({
         "cost_m": (F.col("size").cast("int") % 3 + 1).cast("double"), "size_r": (F.col("size").cast("int") % 5 + 1).cast("double")})
-    out = purchasing.allocate_fabric(stock.warehouse_stock(t.s_erp, "WH-CENTRAL"), fabric, usage, ["6", "10"])
-    return out.select("name", "fabric", "cost_m", "size_r", "total_weight", "quantity")
+    out = purchasing.allocate_fabric(stock.warehouse_stock(t.s_erp, "WH-CENTRAL"), fabric, usage, ["6", "10"], t.s_master)
+    return out.select("name", "item_category_sku", "item_print_sku", "print_name", "print_chinese", "status", "fabric", "cost_m", "size_r", "total_weight", "quantity", "check")
 
 
 # Inbound
@@ -249,9 +251,11 @@ def _(t):
     return inbound.split_over_receipt(_ship(t).filter("po_ref IS NOT NULL"), _open(t), "S1", "PO#77")
 
 
-@query("reserve_transfer", f"WITH {PACK} SELECT replace(sku, '-V1', '') AS item, sum(quantity) AS quantity FROM boxes WHERE contains(sheet_name, 'F25') GROUP BY 1 HAVING sum(quantity) > 0")
+@query("reserve_transfer", f"""
+    WITH {PACK} SELECT '{DAY}' AS date, 'China-Central' AS to_type, '25F' AS season, 'WH-CN' AS from_warehouse, 'WH-CENTRAL' AS to_warehouse, 'TO-S1' AS ref_no, 'S1' AS memo, 'ops' AS order_placed_by,
+      replace(sku, '-V1', '') AS item, sum(quantity) AS quantity FROM boxes WHERE contains(sheet_name, 'F25') GROUP BY replace(sku, '-V1', '') HAVING sum(quantity) > 0""")
 def _(t):
-    return inbound.reserve_transfer(_boxes(t), "F25")
+    return inbound.reserve_transfer(_boxes(t), "F25", AS_OF, "S1", "25F", by="ops")
 
 
 @query("reserve_shortfall", f"""
@@ -259,7 +263,7 @@ def _(t):
     SELECT '{DAY}' AS date, item, q - coalesce(e.warehouse_available, 0) AS adjust_qty_by, 'CC' AS reason_code, 'S1 Reserve TO' AS memo, 'WH-CN' AS warehouse, 'IAC-{YMD}-1' AS external_id
     FROM r LEFT JOIN s_erp e ON e.name = r.item AND e.inventory_warehouse = 'WH-3PL' WHERE q > 0 AND q - coalesce(e.warehouse_available, 0) > 0""")
 def _(t):
-    return inbound.reserve_shortfall(inbound.reserve_transfer(_boxes(t), "F25"), stock.warehouse_stock(t.s_erp, "WH-3PL"), "S1", "WH-CN", AS_OF)
+    return inbound.reserve_shortfall(inbound.reserve_transfer(_boxes(t), "F25", AS_OF, "S1"), stock.warehouse_stock(t.s_erp, "WH-3PL"), "S1", "WH-CN", AS_OF)
 
 
 @query("check_totals", f"""
@@ -271,6 +275,17 @@ def _(t):
     return inbound.check_totals(_boxes(t), first.unionByName(last))
 
 
+@query("shipment_upload", f"""
+    WITH {RESOLVE}, j AS (SELECT sh.*, coalesce(remain, 0.0) AS remain FROM sh LEFT JOIN op ON op.ref_no = po_ref AND op.item = sh.item WHERE po_ref IS NOT NULL),
+    a AS (SELECT po_ref, item, least(quantity, remain) AS quantity, document, box_no FROM j WHERE document IS NOT NULL
+      UNION ALL SELECT 'Over.S1', item, quantity - remain, 'PO#77', box_no FROM j WHERE quantity > remain)
+    SELECT 'S1' AS ref_no, '{DAY}' AS expected_shipping_date, '04/20/2001' AS expected_delivery_date, 'sea' AS memo, po_ref, string_agg(box_no, ' | ' ORDER BY box_no) AS box_no, item, sum(quantity) AS quantity,
+      'WH-CENTRAL' AS location, min(document) AS document, 'FBA1' AS amz_shipment_id FROM a WHERE quantity <> 0 GROUP BY po_ref, item""")
+def _(t):
+    kept = inbound.split_over_receipt(_ship(t).filter("po_ref IS NOT NULL"), _open(t), "S1", "PO#77")
+    return inbound.shipment_upload(kept, "S1", AS_OF, date(2001, 4, 20), "sea", "WH-CENTRAL", "FBA1")
+
+
 @query("receiving_by_box", f"""
     WITH {EST} SELECT split_part(box_no, '-', 1) AS sheet_number, split_part(box_no, '-', 2) AS box_number, sku, quantity AS packing_slip_qty, gross_weight, est_weight, est_weight_ref FROM est WHERE box_no IS NOT NULL""")
 def _(t):
@@ -348,6 +363,17 @@ def _(t):
     return _ledger(t)
 
 
+@query("ledger_totals", f"""
+    WITH {LEDGER}, s AS (SELECT po, sum(total_qty)::BIGINT + CASE WHEN po LIKE '%3' THEN 1 ELSE 0 END AS total FROM s_request WHERE po NOT LIKE '%7' GROUP BY po),
+    l AS (SELECT po, sum(plan)::BIGINT AS line_total FROM led WHERE region = 'Total' GROUP BY po)
+    SELECT led.po, led.sku, led.region, led.plan, l.line_total, s.total AS stated_total, CASE WHEN s.total IS NOT NULL THEN CASE WHEN coalesce(l.line_total, 0) = s.total THEN 1 ELSE 0 END END AS total_ok
+    FROM led LEFT JOIN l ON l.po = led.po LEFT JOIN s ON s.po = led.po""")
+def _(t):
+    off = F.max(F.when(F.col("po").endswith("3"), 1).otherwise(0))
+    stated = t.s_request.groupBy("po").agg((F.sum("total_qty") + off).alias("total_qty")).filter(~F.col("po").endswith("7"))
+    return ledger.stated_totals(ledger.plan_lines(t.s_request), stated)
+
+
 @query("ledger_subtotals", f"""
     WITH {LEDGER} SELECT po, region, CASE WHEN grouping(sku) = 1 THEN '' ELSE sku END AS sku, sum(plan)::BIGINT AS plan, sum(plan)::BIGINT AS remaining, CASE WHEN grouping(sku) = 1 THEN 'order' ELSE 'line' END AS level
     FROM led GROUP BY GROUPING SETS ((po, region, sku), (po, region))""")

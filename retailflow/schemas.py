@@ -93,6 +93,38 @@ SALES_ORDER_HEADERS = {
     "recipient_phone": "Recipient Phone", "recipient_email": "Recipient Email",
     "shipping_carrier": "SHIPPING CARRIER", "shipping_method": "SHIPPING METHOD", "shipping_cost": "SHIPPING COST",
 }
+MARKET_ORDER_HEADERS = {
+    "customer_id": "Customer ID", "order_type_code": "Order Type Code", "order_id": "Order ID", "ref_number": "Ref Number", "date": "Date",
+    "order_date": "Order Date", "sales_effective_date": "Sales Effective Date", "ship_by_date": "Ship By Date",
+    "price_level": "Price Level", "sku": "SKU", "unit_price": "Unit Price", "qty": "QTY", "amount": "Amount", "tax_code": "Tax Code",
+    "coupon_discount": "Coupon_Discount", "order_coupon_code": "Order Coupon Code", "shipping_cost": "Shipping cost",
+    "shipping_tax_code": "Shipping Tax Code", "order_total": "Woocommerce Order Total", "shipping_method": "Marketplace Shipping Method",
+    "commit": "Commit", "marketplace_payment_method": "Marketplace PAYMENT METHOD", "payment_option": "Payment Option", "terms": "Terms",
+    "to_be_emailed": "To Be Emailed", "shipping_name": "Shipping Name", "shipping_address1": "Shipping Address1",
+    "shipping_city": "Shipping City", "shipping_province": "Shipping Province", "shipping_country": "Shipping Country",
+    "shipping_postal_code": "Shipping Postal Code", "billing_name": "Billing Name", "billing_address1": "Billing Address1",
+    "billing_city": "Billing City", "billing_province": "Billing Province", "billing_country": "Billing Country",
+    "billing_postal_code": "Billing Postal Code", "department": "Department", "class": "Class", "warehouse": "Warehouse",
+    "recipient": "Recipient", "recipient_email": "Recipient Email", "recipient_phone": "Recipient Phone", "carrier": "Shipstation Carrier",
+    "shipping_service": "Shipstation Shipping Service", "service": "SHIPSTATION SERVICE", "order_issue": "Order Issue", "memo": "Memo",
+}
+STORE_WHOLESALE_HEADERS = {
+    "order_date": "Order date", "ref_id": "REF ID", "warehouse": "Warehouse", "order_id": "Order ID", "item_sku": "Item SKU",
+    "quantity": "Quantity", "price_level": "Price level", "rate": "Rate", "coupon_discount": "Coupon Discount",
+    "coupon_code": "Coupon Code", "tax_code": "Tax Code", "tax_amount": "Tax Amount", "amount": "Amount", "customer": "Customer",
+    "company_name": "Company Name", "recipient_phone": "Recipient Phone", "recipient_email": "Recipient Email",
+    "shipping_carrier": "SHIPPING CARRIER", "shipping_method": "SHIPPING METHOD", "shipping_cost": "SHIPPING COST",
+}
+SHIPMENT_HEADERS = {
+    "ref_no": "REF NO", "expected_shipping_date": "EXPECTED SHIPPING DATE", "expected_delivery_date": "EXPECTED DELIVERY DATE",
+    "memo": "MEMO", "po_ref": "PO REF NO", "box_no": "BOX NO", "item": "ITEM", "quantity": "QUANTITY", "location": "LOCATION",
+    "document": "PO", "amz_shipment_id": "AMZ Shipment ID",
+}
+STATUS_LOG_HEADERS = {
+    "date": "Date", "order_id": "Order ID", "shipped_from": "Shipped from eShipper", "province": "Province", "total_qty": "Total Qty",
+    "shipped_qty": "eShipper Qty", "auto_fr": "Auto FR", "shipping_required": "Shipping Required", "fr_created": "FR Created",
+    "status": "eShipper Status", "items": "Items",
+}
 ADJUSTMENT_HEADERS = {
     "date": "Date", "item": "ITEM", "adjust_qty_by": "ADJUST QTY. BY", "reason_code": "Reason Code",
     "status": "Status", "memo": "MEMO", "warehouse": "WAREHOUSE", "external_id": "External ID",

@@ -181,3 +181,98 @@ def test_small_table_verbs(spark):
     out = reshape.across(reshape.with_constants(df, {"k": "x"}), ["a", "b"], lambda c: F.coalesce(c, F.lit(0)))
     assert rows(out.select("k", "a", "b")) == [("x", 0, 1), ("x", 1, 3), ("x", 2, 0)]
     assert rows(keys.append_rows(df.select("sku", "a"), [("z", 5)]).filter("sku = 'z'")) == [("z", 5)]
+
+
+def test_a_key_listed_twice_is_an_error_not_a_second_row(spark):
+    """Also where no column of the dimension is asked for, and with several keys; null keys may repeat."""
+    df = spark.createDataFrame([("A", 1), ("B", 1), (None, 1)], "k string, j int")
+    good = spark.createDataFrame([("A", 1, "x"), (None, 1, "y"), (None, 1, "z"), ("A", 2, "w")], "k string, j int, v string")
+    assert rows(lk.lookup(df, good, ["k", "j"], ["v"], unique=True)) == [("A", 1, "x"), ("B", 1, None), (None, 1, None)]
+    bad = good.union(spark.createDataFrame([("A", 1, "again")], good.schema))
+    for out in (lk.lookup(df, bad, ["k", "j"], ["v"], unique=True), lk.lookup(df, bad, ["k", "j"], {}, unique=True, flag="hit"),
+                lk.lookup(df, bad, "k", {}, unique=True, flag="hit").select("j")):
+        with pytest.raises(Exception, match="is not unique"):
+            out.collect()
+    assert rows(lk.lookup(df, bad, ["k", "j"], ["v"], order="v"))[0] == ("A", 1, "again")
+
+
+def test_checked_lookup_reads_its_dimension_once(spark, tmp_path):
+    spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "d"))
+    out = lk.lookup(spark.range(10).select(F.col("id").alias("k")), spark.read.parquet(str(tmp_path / "d")), "k", ["v"], unique=True)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+PATTERNS = [r"^AB-", r"abc|def", r"a.c", r"x{0,2}yzw", r"q*uvw+t", r"[a-c]def", r"\d{3}-9", r"(abc)?def", r"(?i)ABC", r"zz$", r"\.com", r"a\|b", r"foo|", r"\x41BC", r"abcd", r"", r"ab+c+d", r"[^a]+bcd", r"s?hop", r"\Qa|b\E"]
+
+
+def test_rule_index_equals_trying_every_rule(spark):
+    rnd = random.Random(9)
+    parts = ["AB-", "abc", "def", "a|b", "yzw", "uvwt", "123-9", ".com", "ABC", "zz", "bcd", "hop", "ab", "", "shop", "abbccd"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 3))) for _ in range(300)] + [None, "zz"]
+    order = list(range(len(PATTERNS)))
+    rnd.shuffle(order)
+    table = list(zip(order, PATTERNS)) + [(None, "AB"), (99, None)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    r = spark.createDataFrame(table[:-2] + table[-1:], "pos int, item string")
+    got = {x.t: x.pos2 for x in rules.regex_lookup(df, r.withColumn("pos2", F.col("pos")), "t", "item", "pos", ["pos2"]).collect()}
+    pairs = df.distinct().crossJoin(r).filter(F.regexp_like("t", F.col("item"))).groupBy("t").agg(F.min("pos").alias("p"))
+    want = {x.t: x.p for x in pairs.collect()}
+    assert got == {t: want.get(t) for t in texts}
+
+
+def test_literals_are_required(spark):
+    df = spark.createDataFrame([(p,) for p in PATTERNS], "p string")
+    got = {r.p: r.l for r in df.select("p", rules.literals(F.col("p")).alias("l")).collect()}
+    assert got[r"^AB-"] == ["AB-"] and got["abc|def"] == ["abc", "def"] and got["ab+c+d"] is None and got[r"[a-c]def"] == ["def"] and got[r"q*uvw+t"] == ["uvw"]
+    assert all(got[p] is None for p in (r"(abc)?def", "(?i)ABC", "foo|", "", r"\x41BC", r"a\|b", r"\Qa|b\E"))
+
+
+def test_many_rules_are_never_one_value(spark):
+    r = spark.range(50_000).select(F.concat(F.lit("^K"), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit("-")).alias("item"), F.col("id").alias("pos"))
+    df = spark.range(0, 2_000).select(F.concat(F.lit("K"), F.lpad((F.col("id") * 31 % 60_000).cast("string"), 6, "0"), F.lit("-X")).alias("t"), (F.col("id") * 31 % 60_000).alias("n"))
+    out = rules.regex_lookup(df, r.withColumn("v", F.col("pos")), "t", "item", "pos", ["v"])
+    assert out.filter("(n < 50000 AND v <> n) OR (n < 50000 AND v IS NULL) OR (n >= 50000 AND v IS NOT NULL)").count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "scalar-subquery" not in plan
+
+
+def one_scan(df):
+    df._jdf.queryExecution().toRdd().count()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return plan.count("FileScan")
+
+
+def test_scans_and_quantiles_read_their_input_once(spark, tmp_path):
+    spark.range(5000).select("id", (F.col("id") % 5).alias("d"), F.when(F.col("id") % 7 > 2, F.col("id") % 11).alias("v"), F.lit("more").alias("x")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert one_scan(scan.run_id(df, "v", "id", ["d"], block_rows=100)) == 1
+    assert one_scan(scan.fill_down(df, ["v"], "id", block_rows=100)) == 1
+    assert one_scan(bins.column_quantiles(df, ["v", "id"], [.1, .5])) == 1
+
+
+def test_quantiles_of_many_columns_and_of_nothing(spark):
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(rnd.expovariate(1) * 10 ** rnd.randint(-3, 6), rnd.choice([None, 1.0, 2.0, 2.0]), None) for _ in range(3000)], "a double, b double, c double")
+    probs = [0, .01, .25, 1 / 3, .5, .999, 1]
+    got = {r.c: r.q for r in bins.column_quantiles(df, ["a", "b", "c"], probs, blocks=16).collect()}
+    for i, c in enumerate("ab"):
+        assert got[i] == pytest.approx(df.agg(F.percentile(c, probs)).first()[0])
+    assert set(got) == {0, 1} and bins.exact_quantiles(df, "c", [.5]).first()["q"] == [None]
+    assert bins.impute_median(df, ["b", "c"]).filter("b IS NULL").count() == 0
+
+
+def test_rank_bands_sort_missing_values_and_join_nothing(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([3.0, None, 5.0, 5.0, 1.0, None])], "id int, y double")
+    out = bins.assign_by_rank(df, ["id"], ["-y"], [(2, "a"), (4, "b")], F.lit("c"), "d")
+    assert {r.id: r.d for r in out.collect()} == {2: "a", 3: "a", 0: "b", 4: "b", 1: "c", 5: "c"}
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_frames_are_dropped_with_their_owner(spark):
+    from retailflow.session import SharedFrames
+    with SharedFrames(spark) as shared:
+        kept = shared.keep(spark.range(10), "numbers")
+        assert kept.count() == 10
+        names = [t.name for t in spark.catalog.listTables() if t.name.startswith("shared_numbers")]
+        assert len(names) == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("shared_numbers")]

@@ -5,6 +5,7 @@ import time
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from retailflow.schemas import ADJUSTMENT_HEADERS, schema
@@ -162,3 +163,43 @@ def test_preambles_of_files_of_one_name(spark, tmp_path):
     put(tmp_path / "a" / "q.csv", "nothing of the kind\n")
     with pytest.raises(ValueError, match="q.csv"):
         readers.read_after_preamble(spark, str(tmp_path / "a"), schema("amz_transaction"), "type,sku")
+
+
+def test_ordered_export(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("n"), F.concat(F.lit("A-B-"), F.lpad((F.col("id") % 9).cast("string"), 2, "0")).alias("item")).repartition(7)
+    for name, kw, key in (("n", {"order": ["-n"]}, lambda r: -int(r[0])), ("s", {"sku_order": "item"}, lambda r: r[1])):
+        out = str(tmp_path / name)
+        writers.write_export(df, out, {"n": "N", "item": "ITEM"}, **kw)
+        lines = [line.split(",") for f in writers.ordered_files(spark, out) for line in open(f).read().splitlines()[1:]]
+        assert len(lines) == 1000 and [key(r) for r in lines] == sorted(key(r) for r in lines)
+        assert spark.read.option("header", True).csv(out).count() == 1000
+    with pytest.raises(ValueError, match="item"):
+        writers.write_export(df, str(tmp_path / "x"), {"n": "N"})
+
+
+def test_totals_are_checked_while_writing(spark, tmp_path):
+    df = spark.range(10)
+    checks = {"total": (F.sum("id"), 45), "n": (F.count("*"), None)}
+    assert writers.write_checked(df, str(tmp_path / "a"), checks) == {"total": 45, "n": 10}
+    with pytest.raises(writers.TotalsDiffer, match="total: 45 written, 44 stated"):
+        writers.write_checked(df, str(tmp_path / "b"), {"total": (F.sum("id"), 44)})
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 10
+    assert writers.write_checked(df, str(tmp_path / "c"), {"total": (F.sum("id"), 44)}, fail=False) == {"total": 45}
+
+
+def test_a_table_read_and_replaced_in_one_job(spark, tmp_path, monkeypatch):
+    t = writers.VersionedTable(spark, str(tmp_path / "t"), readers.T.StructType.fromDDL("k int, v string"))
+    assert t.version() == 0 and t.read().collect() == []
+    assert t.replace(spark.createDataFrame([(1, "a")], "k int, v string")) == 1
+    assert t.replace(t.read().unionByName(spark.createDataFrame([(2, "b")], "k int, v string"))) == 2
+    assert rows(t.read()) == [(1, "a"), (2, "b")] and rows(t.read(1)) == [(1, "a")]
+
+    def lost(self, version, folder):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(writers.VersionedTable, "_commit", lost)
+    with pytest.raises(RuntimeError):
+        t.replace(t.read().filter("k = 1"))
+    monkeypatch.undo()
+    assert t.version() == 2 and rows(t.read()) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="version 9"):
+        t.read(9)
