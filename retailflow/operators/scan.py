@@ -21,43 +21,47 @@ from .groups import BLOCK_ROWS, block_of, join_back
 _G, _B, _END = "__group", "__block", "__end"
 
 
-def _inside(order: str) -> WindowSpec:
-    return Window.partitionBy(_G, _B).orderBy(order)
+def _inside(by: Sequence[str], order: str) -> WindowSpec:
+    return Window.partitionBy(*_key(by)).orderBy(order)
 
 
-def _across() -> WindowSpec:
-    return Window.partitionBy(_G).orderBy(_B)
+def _across(by: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*_key(by)[:-1]).orderBy(_B)
+
+
+def _key(by: Sequence[str]) -> list[str]:
+    return [_G, _B] if by else [_B]
 
 
 def _in_blocks(df: DataFrame, by: Sequence[str], order: str, block_rows: int) -> DataFrame:
     """Rows with their group (one value, never null, so that null is a group of its own) and block."""
-    group = F.struct(*[F.col(f"`{c}`") for c in by]) if by else F.lit(0)
-    return df.withColumns({_G: group, _B: F.coalesce(block_of(order, block_rows), F.lit(-1))})
+    group = {_G: F.struct(*[F.col(f"`{c}`") for c in by])} if by else {}
+    return df.withColumns(group | {_B: F.coalesce(block_of(order, block_rows), F.lit(-1))})
 
 
-def _carried(rows: DataFrame, order: str, carry: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
+def _carried(rows: DataFrame, by: Sequence[str], order: str, carry: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
     """``rows`` with ``keep``, of which ``carry`` gives what each block inherits; it sees a block's last row as ``__last``."""
-    rows = rows.withColumn(_END, F.lead(F.lit(True)).over(_inside(order)).isNull())
-    ends = rows.filter(_END).select(_G, _B, F.struct(*rows.columns).alias("__last"))
+    rows = rows.withColumn(_END, F.lead(F.lit(True)).over(_inside(by, order)).isNull())
+    ends = rows.filter(_END).select(*_key(by), F.struct(*rows.columns).alias("__last"))
     for name, value in carry.items():
         ends = ends.withColumn(name, value)
-    right = ends.select(F.col(_G).alias("__g"), F.col(_B).alias("__b"), *keep)
-    return rows.join(right, (F.col(_G) == F.col("__g")) & (F.col(_B) == F.col("__b"))).drop("__g", "__b", _END)
+    right = ends.select(*[F.col(k).alias(f"{k}_end") for k in _key(by)], *keep)
+    return rows.join(right, [F.col(k) == F.col(f"{k}_end") for k in _key(by)])
 
 
 def run_id(df: DataFrame, value: str, order: str, by: Sequence[str] = (), out: str = "run_id",
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """1-based id that grows whenever ``value`` differs from the row before it (within ``by``)."""
-    inside = _inside(order)
+    inside = _inside(by, order)
     rows = _in_blocks(df, by, order, block_rows).withColumn("__v", F.struct(F.col(f"`{value}`").alias("v")))  # never null: a null value is a value
     above = F.lag("__v").over(inside)
     rows = rows.withColumns({"__first": F.first("__v").over(inside), "__changed": F.when(above.isNull(), 0).otherwise((above != F.col("__v")).cast("int"))})
     rows = rows.withColumn("__run", F.sum("__changed").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    before = F.lag("__last").over(_across())
-    joined = _carried(rows, order, {
+    before = F.lag("__last").over(_across(by))
+    joined = _carried(rows, by, order, {
         "__before": before,
         "__starts": F.when(F.col("__before").isNull() | (F.col("__before.__v") != F.col("__last.__first")), 1).otherwise(0),
-        "__base": F.sum(F.col("__starts") + F.coalesce(F.col("__before.__run"), F.lit(0))).over(_across().rowsBetween(Window.unboundedPreceding, 0)),
+        "__base": F.sum(F.col("__starts") + F.coalesce(F.col("__before.__run"), F.lit(0))).over(_across(by).rowsBetween(Window.unboundedPreceding, 0)),
     }, ["__base"])
     new = {out: F.col("__base") + F.col("__run")}
     return joined.withColumns(new).select(*[c for c in df.columns if c != out], out)
@@ -66,11 +70,11 @@ def run_id(df: DataFrame, value: str, order: str, by: Sequence[str] = (), out: s
 def fill_down(df: DataFrame, cols: Sequence[str], order: str, by: Sequence[str] = (),
               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Replace nulls by the last value above them (within ``by``)."""
-    so_far = _inside(order).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = _inside(by, order).rowsBetween(Window.unboundedPreceding, 0)
     rows = _in_blocks(df, by, order, block_rows).withColumns({f"__f{i}": F.last(c, ignorenulls=True).over(so_far) for i, c in enumerate(cols)})
-    above = _across().rowsBetween(Window.unboundedPreceding, -1)
+    above = _across(by).rowsBetween(Window.unboundedPreceding, -1)
     carry = {f"__c{i}": F.last(F.col(f"__last.__f{i}"), ignorenulls=True).over(above) for i, _ in enumerate(cols)}
-    out = _carried(rows, order, carry, list(carry))
+    out = _carried(rows, by, order, carry, list(carry))
     return out.withColumns({c: F.coalesce(F.col(f"__f{i}"), F.col(f"__c{i}")) for i, c in enumerate(cols)}).select(*df.columns)
 
 
