@@ -73,7 +73,8 @@ def fill_down(df: DataFrame, cols: Sequence[str], order: str, by: Sequence[str]
     so_far = _inside(by, order).rowsBetween(Window.unboundedPreceding, 0)
     rows = _in_blocks(df, by, order, block_rows).withColumns({f"__f{i}": F.last(c, ignorenulls=True).over(so_far) for i, c in enumerate(cols)})
     above = _across(by).rowsBetween(Window.unboundedPreceding, -1)
-    carry = {f"__c{i}": F.last(F.col(f"__last.__f{i}"), ignorenulls=True).over(above) for i, _ in enumerate(cols)}
+    # the last row that had a value, whole: its columns keep both readers of the exchange alike
+    carry = {f"__c{i}": F.last(F.when(F.col(f"__last.__f{i}").isNotNull(), F.col("__last")), ignorenulls=True).over(above)[f"__f{i}"] for i, _ in enumerate(cols)}
     out = _carried(rows, by, order, carry, list(carry))
     return out.withColumns({c: F.coalesce(F.col(f"__f{i}"), F.col(f"__c{i}")) for i, c in enumerate(cols)}).select(*df.columns)
 
