@@ -7,19 +7,23 @@ reader unpacks whole groups with numpy or picks single ids.  ``docs`` lists the
 with their first id and length, both counted in the shard.  Shards (range partitions of doc_id) follow
 ``doc_id``; a shard's first id in the corpus is the sum of the shards before it.
 
-Cases.  Null text is the empty text, a document always has the end id, so every row owns ids.  Null doc_ids come
-first, rows of one doc_id follow the order of their texts, repeated rows stay rows.  A document longer than a
+Cases.  Null text is the empty text, a document always has the end id, so every row owns ids.  The text of a special token
+is that token, as in the library's own state.  Null doc_ids come first, rows of one doc_id (however many, in as many shards as they need) follow
+a hash of their texts, repeated rows stay rows.  A document longer than a
 block spans several.  Other columns are not read.  An empty table makes no blocks and reads back as no rows.
 """
 
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,8 +31,19 @@ from pyspark.sql import functions as F
 from .shared import ready, shared_folder
 
 BLOCK = 65_536
-#: Entries of a worker's table of encoded pieces; beyond it the table starts anew.  No result depends on it.
-KNOWN_PIECES = 500_000
+#: Bytes of text encoded together.
+SLICE = 4 << 20
+#: Bytes of a worker's table of encoded words (``ENTRY`` is what an entry takes besides its text and ids); beyond it the
+#: table starts anew.  No result depends on it.
+KNOWN_BYTES = 96 << 20
+ENTRY = 200
+
+#: The tokenizer's pattern, for lowered text of Latin script.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+LATIN_END = "\u0250"
+#: Bytes as letters, as byte-level tokenizers write them: printable ones are themselves, the rest follow from 256 on.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 BLOCK_SCHEMA = ("shard int, block int, first_id long, n_ids int, bits int, payload binary, "
                 "docs array<struct<doc_id: long, first_id: long, n_ids: long>>")
@@ -72,40 +87,71 @@ def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
 
 # Encoding
 
-class Pieces(dict):
-    """Encoded pieces of text between plain white space, little-endian unsigned 32-bit ids.
+class Pieces:
+    """Token ids of text, by way of its distinct pieces.
 
-    The tokenizer drops white space and never looks across it, so a text's ids are those of its pieces.  Pieces
-    of lower-case ASCII letters reach the model as they are, so normaliser and splitter are left out for them.
+    The tokenizer drops white space and never looks across it, so a text's ids are those of its pieces.  The pieces of many texts are
+    found and numbered by Arrow, each distinct one is encoded once and numpy lays the ids out.  Pieces of ASCII letters reach
+    the model as they are, other pieces of Latin script after lowering and splitting by the tokenizer's own pattern; normaliser and
+    splitter are left out for them.  All else, and what may hold a special token, goes through the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.words: dict[str, bytes] = {}
+        self.room = KNOWN_BYTES
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, word: str) -> bytes:
+        """One pre-token, lowered; remembered."""
+        got = self.words.get(word)
+        if got is None:
+            spelt = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            got = _raw([t.id for t in self.model.tokenize(spelt)])
+            self.room -= len(word) + len(got) + ENTRY
+            if self.room < 0:
+                self.words.clear()
+                self.room = KNOWN_BYTES
+            self.words[word] = got
+        return got
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KNOWN_PIECES:
-            self.clear()
+    def piece(self, piece: str) -> bytes:
         if piece.isascii() and piece.isalpha():
-            got = np.array([t.id for t in self.model.tokenize(piece.lower())], "<u4").tobytes()
-        elif piece[-1] in ".," and piece[:-1].isalpha() and max(piece) < "\u0250":  # a word of Latin letters, one mark
-            got = self[piece[:-1]] + self[piece[-1]]
-        else:
-            got = self.whole(piece)
-        self[piece] = got
-        return got
+            return self.word(piece.lower())
+        if not piece or (max(piece) < LATIN_END and "<|" not in piece):
+            return b"".join(map(self.word, SPLIT.findall(piece.lower())))
+        return self.whole(piece)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (nulls are empty) one after the other, and how many each has."""
+        texts = pc.fill_null(texts, "")
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():  # the splitter's white space, not the tokenizer's
+            raws = [self.whole(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(raws), "<u4"), np.array([len(r) // 4 for r in raws], np.int64)
+        split = pc.utf8_split_whitespace(texts)
+        numbered = split.flatten().dictionary_encode()
+        raws = list(map(self.piece, numbered.dictionary.to_pylist()))
+        size = np.array([len(r) // 4 for r in raws], np.int64)
+        known = np.frombuffer(b"".join(raws), "<u4")
+        at = np.asarray(numbered.indices)
+        sizes = size[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = known[np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[at] - ends[:-1], sizes)]
+        places = np.asarray(split.offsets, np.int64)
+        places -= places[0]
+        return ids, ends[places[1:]] - ends[places[:-1]]
 
     def encode(self, text: str) -> bytes:
-        # str.split() also cuts at four control characters the tokenizer does not take for white space
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return self.encode_all(pa.array([text], pa.string()))[0].astype("<u4").tobytes()
+
+
+def _raw(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _pieces: dict[str, Pieces] = {}
@@ -119,6 +165,18 @@ def pieces(path: str) -> Pieces:
     return _pieces[path]
 
 
+def _encoded(table: Pieces, batch: pa.RecordBatch, end: bytes) -> Iterator[tuple[int | None, bytes]]:
+    """(doc_id, ids and the end id) of each row; about ``SLICE`` bytes of text are encoded together."""
+    texts = batch.column(1)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
+    slices = np.cumsum(sizes) // SLICE
+    for lo, hi in zip(first := np.flatnonzero(np.diff(slices, prepend=-1)), [*first[1:], len(texts)]):
+        ids, n = table.encode_all(texts.slice(lo, hi - lo))
+        raw, ends = ids.astype("<u4").tobytes(), 4 * np.concatenate([[0], np.cumsum(n)])
+        for i, doc_id in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
+            yield doc_id, raw[ends[i]:ends[i + 1]] + end
+
+
 def _blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path)
@@ -136,8 +194,7 @@ def _blocks(path: str, end_id: int):
                                                 "payload": pack(ids, bits), "docs": [d for d in docs if d["first_id"] < first + size]}], schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = table.encode(text.as_py() or "") + end
+            for doc_id, raw in _encoded(table, batch, end):
                 docs.append({"doc_id": doc_id, "first_id": seen, "n_ids": len(raw) // 4})
                 seen += len(raw) // 4
                 held += raw
@@ -156,7 +213,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int =
     """Encode ``documents`` (doc_id, text) and write the files to ``path``.  One shuffle, of the texts, by ranges of doc_id."""
     ready(documents.sparkSession)
     ordered = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+               .withColumn("text_hash", F.xxhash64("text")).repartitionByRange("doc_id", "text_hash")  # rows of one id are many ranges too
+               .sortWithinPartitions("doc_id", "text_hash", "text").select("doc_id", "text"))
     ordered.mapInArrow(_blocks(tokenizer, end_id), BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 

@@ -18,9 +18,7 @@ RANKS, PATTERN = queries.tokenizer_file("byte_bpe_multi_50k.tiktoken"), queries.
 @pytest.fixture(scope="module")
 def word_tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(TOKENIZER)
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +56,32 @@ def test_pieces_encode_as_the_whole_text(text):
     assert table.encode(text) == table.whole(text)
 
 
+#: Special tokens whole, glued and torn, letters that grow when lowered, marks beside them, contractions, combining marks.
+AWKWARD = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", "İ", "İ.", ".", ",", "ß", "ŉ", "ª", "²", "½", "'s", "'LL", "'", "e\u0301", "\u0307", "ǅ", "ﬁ", "Ω", "A", "z", "9", "_", "*",
+           " ", "\n", "\u0085", "\u00a0", "\u200b", "\x1c", "\x00", "é", "Ÿ", "好", "\U0001f600"]
+
+
+@given(st.lists(st.sampled_from(AWKWARD) | st.characters(max_codepoint=0x24F) | st.characters(), max_size=14).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_awkward_pieces_encode_as_the_whole_text(text):
+    table = token_file.pieces(TOKENIZER)
+    assert table.encode(text) == table.whole(text)
+
+
+def test_special_tokens_are_themselves(word_tokenizer):
+    assert word_tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == np.frombuffer(token_file.pieces(TOKENIZER).encode("a <|endoftext|> b"), "<u4").tolist()
+    assert len(token_file.pieces(TOKENIZER).encode("a <|endoftext|> b")) == 12
+
+
+def test_known_pieces_start_anew(monkeypatch):
+    monkeypatch.setattr(token_file, "KNOWN_BYTES", 3000)
+    table = token_file.Pieces(TOKENIZER)
+    texts = [f"Word{chr(97 + i % 26)} über{chr(97 + i % 7)}, x{i}" for i in range(200)]
+    assert all(table.encode(t) == table.whole(t) for t in texts) and len(table.words) < 30
+    ids, n = table.encode_all(__import__('pyarrow').array([*texts, None, '', 'a\x1cb']))
+    assert ids.astype('<u4').tobytes() == b''.join(table.whole(t) for t in [*texts, 'a\x1cb']) and n[-3:-1].tolist() == [0, 0]
+
+
 def expected_files(rows, tokenizer, end=1):
     start = 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
