@@ -15,13 +15,13 @@ place of its own bucket.  A bucket is complete when its turn comes, so numpy sca
 turn per byte.  Adjacent common prefixes follow; a window repeats if that with a neighbour reaches LENGTH, or if
 its context occurs more than once.
 
-Hot anchors.  Equal contexts are one row before any group is formed.  An anchor with more than ``CROWD`` different
-contexts (the end of a passage in very many documents) is split: each of its windows goes to the part its bytes'
-hash names, so equal windows still meet and a part stays of bounded size.
+Hot anchors.  Equal contexts are one row before any group is formed.  The contexts of an anchor with more than ``CROWD`` different
+ones (the end of a passage in very many documents) do not meet in a task: growing strings to either side of the anchor are counted
+by digest, and only windows that no unique one of these lies in are counted themselves.
 
 Cases.  Null text is the empty text.  Matches are of bytes (they may begin inside a character), never cross
 documents and are judged on the input.  A text shorter than LENGTH loses nothing.  Repeated rows repeat each
-other wholly.  Null doc_ids are ids like others.  Other columns are kept by ``cleaned`` and not read by ``repeats``.
+other wholly; however many rows of one id and text there are, their anchors are one row each from then on.  Null doc_ids are ids like others.  Other columns are kept by ``cleaned`` and not read by ``repeats``.
 An empty table stays empty.  Contexts are compared by two 64-bit hashes, windows by their bytes, those of crowded anchors by 128-bit digest.
 """
 
@@ -42,6 +42,8 @@ from .shingles import mixed
 LENGTH = 200
 GRAM = 24
 CROWD = 4096
+#: Bytes by which the strings around a crowded anchor grow.
+STEP = 16
 #: Bytes handled at once in a task.
 AT_ONCE = 2 << 20
 NO_ID = -(1 << 63)  # stands for a null doc_id in keys
@@ -111,24 +113,19 @@ def _pieces(batch: pa.RecordBatch):
         yield rows, shift, b"".join(held), np.cumsum([len(p) for p in held])
 
 
-def _found(contexts: bool):
-    """Anchors of the texts; with the document, place and context hash of each, or only their hashes."""
-    def run(batches):
-        for batch in batches:
-            for rows, shift, joined, ends in _pieces(batch):
-                first, last, gram = anchors(np.frombuffer(joined, np.uint8), ends)
-                if not contexts:
-                    yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64))], ["gram"])
-                    continue
-                view = memoryview(joined)
-                context = np.fromiter((xxhash.xxh3_64_intdigest(view[a: b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(first))
-                which = np.searchsorted(ends, first, "right")
-                row = pa.array(np.array(rows)[which])
-                lo = first - np.concatenate([[0], ends[:-1]])[which] + np.array(shift)[which]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), batch.column("_id").take(row), batch.column("_hash").take(row),
-                     pa.array(lo.astype(np.int32)), pa.array((last - first).astype(np.int32))], ["gram", "context", "_id", "_hash", "lo", "more"])
-    return run
+def _found(batches):
+    """Anchors of the texts with the document, place and context hash of each."""
+    for batch in batches:
+        for rows, shift, joined, ends in _pieces(batch):
+            first, last, gram = anchors(np.frombuffer(joined, np.uint8), ends)
+            view = memoryview(joined)
+            context = np.fromiter((xxhash.xxh3_64_intdigest(view[a: b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(first))
+            which = np.searchsorted(ends, first, "right")
+            row = pa.array(np.array(rows)[which])
+            lo = first - np.concatenate([[0], ends[:-1]])[which] + np.array(shift)[which]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), batch.column("_id").take(row), batch.column("_hash").take(row),
+                 pa.array(lo.astype(np.int32)), pa.array((last - first).astype(np.int32))], ["gram", "context", "_id", "_hash", "lo", "more"])
 
 
 # Suffix array
@@ -249,10 +246,12 @@ def _common(order: np.ndarray, word, depth: int) -> np.ndarray:
 # The operator
 
 def _cut(batches):
-    """(gram, context, many, bytes) of the contexts asked for."""
+    """(gram, context, many, bytes) of the contexts asked for; of neighbouring rows of one document only the first gives them."""
+    before = None
     for batch in batches:
-        for text, asked in zip(_text(batch), batch.column("asked")):
-            if asked.is_valid:
+        for text, asked, *document in zip(_text(batch), batch.column("asked"), batch.column("_id").to_pylist(), batch.column("_hash").to_pylist()):
+            if asked.is_valid and document != before:
+                before = document
                 raw = text.as_buffer()
                 for a in asked.as_py():
                     yield a["gram"], a["context"], a["many"], raw[a["lo"]: a["lo"] + a["more"] + LENGTH].to_pybytes()
@@ -272,25 +271,50 @@ def _contexts(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
 
-def _windows(batches):
-    """A row per window of the contexts asked for, with its 128-bit digest."""
-    def table():
-        n = np.array([len(d) // 16 for *_, d in out])
-        digest = np.frombuffer(b"".join(d for *_, d in out), ">i8").astype(np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(np.repeat(np.array([r[i] for r in out]), n)) for i in range(3)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in n])),
-             pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy())], ["gram", "context", "many", "start", "high", "low"])
+def _anchor(content: bytes, gram: int) -> int:
+    """Where the anchor lies in a context: all its windows hold it, it is the first of its hash there."""
+    more = len(content) - LENGTH
+    keys = _grams(np.frombuffer(content, np.uint8)[more: LENGTH]).view(np.int64)
+    return more + int(np.flatnonzero(keys == gram)[0])
 
-    out, size = [], 0
-    for gram, context, many, content in _cut(batches):
-        digests = b"".join([xxhash.xxh3_128_digest(content[i: i + LENGTH]) for i in range(len(content) - LENGTH + 1)])
-        out.append((gram, context, many, digests))
-        size += len(digests)
-        if size >= AT_ONCE:
-            yield table()
-            out, size = [], 0
-    if out:
-        yield table()
+
+def _probes(batches):
+    """(gram, context, side, step, high, low): digests of the anchor with its next, and with its last, ``STEP`` bytes, twice as many, and so on."""
+    for batch in batches:
+        out, n, side, step = [], [], [], []
+        for gram, content in zip(batch.column("gram").to_pylist(), batch.column("content").to_pylist()):
+            at = _anchor(content, gram)
+            right = [content[at: at + GRAM + STEP * k] for k in range(1, (len(content) - at - GRAM) // STEP + 1)]
+            left = [content[at - STEP * k: at + GRAM] for k in range(1, at // STEP + 1)]
+            out += [xxhash.xxh3_128_digest(x) for x in right + left]
+            n.append(len(right) + len(left))
+            side += [0] * len(right) + [1] * len(left)
+            step += [*range(1, len(right) + 1), *range(1, len(left) + 1)]
+        yield _digests(batch, n, out, [("side", pa.array(side, pa.int32())), ("step", pa.array(step, pa.int32()))])
+
+
+def _windows(batches):
+    """(gram, context, many, start, high, low): the windows that no unique probe lies in, with their 128-bit digests."""
+    for batch in batches:
+        out, n, start = [], [], []
+        for gram, content, right, left in zip(*(batch.column(c).to_pylist() for c in ("gram", "content", "right", "left"))):
+            at, lo, hi = _anchor(content, gram), 0, len(content) - LENGTH
+            if left is not None:  # less than left * STEP bytes before the anchor
+                lo = max(lo, at - STEP * left + 1)
+            if right is not None:  # less than right * STEP bytes behind it
+                hi = min(hi, at + GRAM - LENGTH + STEP * right - 1)
+            places = range(lo, hi + 1)
+            out += [xxhash.xxh3_128_digest(content[i: i + LENGTH]) for i in places]
+            n.append(len(places))
+            start += places
+        yield _digests(batch, n, out, [("start", pa.array(start, pa.int32()))], ["gram", "context", "many"])
+
+
+def _digests(batch, n: list[int], digests: list[bytes], more: list[tuple], keys=("gram", "context")) -> pa.RecordBatch:
+    take = pa.array(np.repeat(np.arange(len(n)), n))
+    digest = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+    named = [(k, batch.column(k).take(take)) for k in keys] + more + [("high", pa.array(digest[:, 0].copy())), ("low", pa.array(digest[:, 1].copy()))]
+    return pa.RecordBatch.from_arrays([c for _, c in named], [k for k, _ in named])
 
 
 def _runs(batches):
@@ -342,6 +366,8 @@ def _sort(batches):
     held, size = [], 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "context", "many", "content"))):
+            if held and row[:2] == held[-1][:2]:  # cut more than once from rows of one document
+                continue
             if size >= AT_ONCE and row[0] != held[-1][0]:
                 yield _repeated(held)
                 held, size = [], 0
@@ -371,17 +397,20 @@ def _marked(documents: DataFrame) -> DataFrame:
     """``documents`` (a struct _row with the text, keys _id and _hash) with ``spans``: runs (first, last) of windows that repeat."""
     key = ["_id", "_hash"]
     text = F.col("_row.text").alias("text")
-    grams = written(documents.select(text).mapInArrow(_found(False), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    rows = documents.select(*key, text).mapInArrow(_found(True), "gram long, context long, _id long, _hash long, lo int, more int")
-    live = written(rows.join(grams, "gram", "left_semi"), "anchors")
+    # anchors are found once; where a hash occurs is told from the table
+    rows = written(documents.select(*key, text).mapInArrow(_found, "gram long, context long, _id long, _hash long, lo int, more int"), "anchors")
+    grams = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # repeated rows of one document are one place, as often as they are there
+    live = written(rows.join(grams, "gram", "left_semi"), "live")
+    live = written(live.groupBy("gram", "context", *key, "lo", "more").agg(F.count("*").alias("copies")), "live")
     contexts = written(live.groupBy("gram", "context").agg(
-        (F.count("*") > 1).alias("many"), *[F.first(c).alias(c) for c in (*key, "lo", "more")]), "contexts")
+        (F.sum("copies") > 1).alias("many"), *[F.first(c).alias(c) for c in (*key, "lo", "more")]), "contexts")
     crowds = written(contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("gram"), "crowds")
     asked = F.collect_list(F.struct("gram", "context", "many", "lo", "more")).alias("asked")
     # left joins on both uses of the documents: they share one exchange of the texts
     dealt = (documents.join(contexts.join(crowds, "gram", "left_anti").groupBy(*key).agg(asked), key, "left")
              .mapInArrow(_contexts, "gram long, context long, many boolean, content binary")
-             .repartition("gram").sortWithinPartitions("gram"))
+             .repartition("gram").sortWithinPartitions("gram", "context"))
     found = dealt.mapInArrow(_sort, "gram long, context long, first int, last int")
     if not crowds.isEmpty():
         found = found.union(_of_crowds(documents, contexts.join(crowds, "gram", "left_semi"), asked))
@@ -391,13 +420,21 @@ def _marked(documents: DataFrame) -> DataFrame:
 
 
 def _of_crowds(documents: DataFrame, contexts: DataFrame, asked: Column) -> DataFrame:
-    """Runs of windows that repeat in the contexts of crowded anchors: windows are counted by digest, no anchor's contexts gather in a task."""
-    key, window = ["_id", "_hash"], ["gram", "high", "low"]
-    windows = written(documents.join(contexts.groupBy(*key).agg(asked), key).mapInArrow(
+    """Runs of windows that repeat in the contexts of crowded anchors, no anchor's contexts gather in a task.
+
+    A string around the anchor that only one context has makes all windows around it unique.  So contexts are probed a few
+    bytes at a time to either side, and only the windows between the first unique probes are counted, by digest.
+    """
+    key, window, probe = ["_id", "_hash"], ["gram", "high", "low"], ["gram", "side", "step", "high", "low"]
+    cut = written(documents.join(contexts.groupBy(*key).agg(asked), key).mapInArrow(_contexts, "gram long, context long, many boolean, content binary"), "crowded")
+    cut = written(cut.dropDuplicates(["gram", "context"]), "crowded")
+    held = [F.min("context").alias("context"), F.max("context").alias("other")]
+    unique = cut.mapInArrow(_probes, "gram long, context long, side int, step int, high long, low long").groupBy(*probe).agg(*held).where("context = other")
+    limits = unique.groupBy("gram", "context").agg(F.min(F.when(F.col("side") == 0, F.col("step"))).alias("right"), F.min(F.when(F.col("side") == 1, F.col("step"))).alias("left"))
+    windows = written(cut.join(limits, ["gram", "context"], "left").mapInArrow(
         _windows, "gram long, context long, many boolean, start int, high long, low long"), "windows")
-    # contexts are different ones: a window counted twice is in two of them
-    twice = written(windows.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1").select(*window), "repeated")
-    runs = (windows.where("NOT many").join(twice, window, "left_semi").groupBy("gram", "context").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+    twice = windows.groupBy(*window).agg(*held).where("context <> other").select(*window)
+    runs = (windows.where("NOT many").join(twice, window, "left_semi").groupBy("gram", "context").agg(F.sort_array(F.collect_set("start")).alias("starts"))
             .mapInArrow(_runs, "gram long, context long, first int, last int"))
     return runs.union(contexts.where("many").select("gram", "context", F.lit(0).alias("first"), F.col("more").alias("last")))
 

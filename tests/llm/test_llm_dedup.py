@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from llm_data import BASE, PASSAGE, SCHEMA, SF, as_rows, empty, messy, messy_rows, needs_tables, prose, texts_of
@@ -55,7 +56,7 @@ def test_texts_in_pieces_hold_every_window_once(monkeypatch):
 
     def windows():
         out = {}
-        for got in suffix_dedup._found(True)([batch]):
+        for got in suffix_dedup._found([batch]):
             for r in got.to_pylist():
                 for i in range(r["lo"], r["lo"] + r["more"] + 1):
                     assert (r["_id"], i) not in out
@@ -116,6 +117,29 @@ def test_no_sort_holds_more_of_an_anchor_than_crowd(spark, monkeypatch, crowd):
     assert as_rows(suffix_dedup.repeats(df)) == sorted(brute_repeats(rows), key=repr)
 
 
+@pytest.mark.parametrize("crowd", [3, 4096])
+def test_many_equal_rows(spark, monkeypatch, crowd):
+    """Thousands of rows of one id (none) and text cost what one costs; near crowds they count once."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    text = prose(300)
+    few = [(i, prose(20) + " " + text[:900] + " " + prose(20)) for i in range(12)] + [(50, BASE + " end"), (51, prose(100))]
+    df = spark.createDataFrame(few, "doc_id long, text string").union(spark.range(10_000).select(F.lit(None).cast("long"), F.lit(text)))
+    got = suffix_dedup.repeats(df)
+    want = dict((r[0], r) for r in brute_repeats([*few, (None, text), (None, text)]))
+    assert got.groupBy(*got.columns).count().filter("doc_id IS NULL").collect() == [(*want[None], 10_000)]
+    assert as_rows(got.filter("doc_id IS NOT NULL")) == sorted((r for i, r in want.items() if i is not None), key=repr)
+
+
+def test_crowded_windows_beside_unique_strings(spark, monkeypatch):
+    """Contexts that agree far to one side, or to both, or only in their middle; windows are cut at either end of a text."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 2)
+    core = PASSAGE[:260]
+    rows = [(i, core[i % 40:] + chr(97 + i % 5) * (i % 7) + prose(5 + i % 30)) for i in range(40)]
+    rows += [(100 + i, prose(i % 30) + core[: 200 + i]) for i in range(40)] + [(200 + i, core[30:230 + i]) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_rows(suffix_dedup.repeats(df)) == sorted(brute_repeats(rows), key=repr)
+
+
 def test_texts_without_ids_are_known_by_the_whole_hash(spark):
     """Two texts without an id whose hashes agree in 32 bits; only one repeats anything."""
     def low(text):  # Spark's xxhash64 % 2^31, with the sign of the hash
