@@ -11,15 +11,17 @@ Vectors are not gathered: the vector of a token is the sum of hashes of (page, c
 a host with a third of all pages is no heavier than many small ones.  A template is a few numbers per recurring
 container.
 
-The article is the slot to extract: an ``article`` or ``main`` container (or one named like it) where there is
-one, else the innermost container that holds most of the page's data; of several the one with most data over the
-host.  Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out inside
-it, and so is template text: a block that every page of the host (``ALWAYS`` pages at least) has in that slot.
+The article is the slot to extract: the innermost container that holds most of the page's data.  Names come second: where the slot
+lies in an ``article`` or ``main`` container (or one named like it) that is taken whole, and between several slots the one named so goes
+first.  Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out inside it, and in a slot that
+nothing names so is template text: containers whose text is the template's on every page, and blocks that every page repeats
+where most of a container varies (``SLOT``).  Where all pages of a host are alike, no slot holds data;
+then all text counts as data, and nothing is lost by being repeated.
 
 Text.  Character references are decoded; white space in a block becomes one space; blocks are joined by one line
 feed.  Block elements and ``br`` end a block.
 
-Cases.  Null html is the empty page, its text is empty.  A null or odd url makes its own host.  Unclosed and crossing
+Cases.  Null html is the empty page, its text is empty.  A null or odd url is a host of its own, page by page.  Unclosed and crossing
 tags, missing ends, and ``<`` in text are read as browsers do, roughly.  Repeated rows stay rows; other columns pass
 through, ``host``, ``text`` and ``n_chars`` among them are replaced.  An empty table stays empty.
 """
@@ -35,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ready, written
+from .shared import ready, tidy, written
 
 #: A valid class has this many tokens, on this many pages and this share of its host's pages.
 LEAST_TOKENS, LEAST_PAGES, LEAST_SHARE = 3, 2, 0.02
-#: Pages of a host that must all have a block before it counts as template text inside the article.
-ALWAYS = 8
+#: A container is a slot of its template, in which what repeats is template too, from this share of data on.
+SLOT = 0.5
 #: A container holds the article if it has this share of the data of the container around it.
 MOST = 0.7
 
@@ -63,6 +65,10 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _DIGITS = re.compile(r"\d{2,}")  # numbers of posts and the like
 
 
+def _hash(text: str) -> int:
+    return (xxhash.xxh64_intdigest(text) >> 1) or 1
+
+
 class Page:
     """Containers of a page and its text blocks."""
 
@@ -174,40 +180,60 @@ class Page:
             if not self.out[i]:
                 found.setdefault((self.role[i], self.role[self.parent[i]], 0), [0, 0])[0] += 1
         for node, text in self.blocks:
-            t = found.setdefault((self.role[node], self.role[node], (xxhash.xxh64_intdigest(text) >> 1) or 1), [0, 0])
+            t = found.setdefault((self.role[node], self.role[node], _hash(text)), [0, 0])
             t[0] += 1
             t[1] += len(text)
         return [(*k, *v) for k, v in found.items()]
 
-    def article(self, data: dict[int, float], fixed: set[tuple[int, int]]) -> list[str]:
-        """Blocks of the article.  ``data``: share of data in the text of a container, by role; ``fixed``: template text by role and hash."""
+    def article(self, data: dict[int, float], fixed: set[tuple[int, int]] = frozenset()) -> list[str]:
+        """Blocks of the article.  ``data``: share of data in the text of a container, by role (1 where it is not named);
+        ``fixed``: template text inside slots, by role and hash."""
         n = len(self.parent)
-        own = [0.0] * n
-        for node, text in self.blocks:
-            own[node] += len(text) * data.get(self.role[node], 1.0)
-        for i in range(n - 1, 0, -1):
-            own[self.parent[i]] += own[i]
-        main = self._chosen(own)
+        own = self._weights([data.get(r, 1.0) for r in self.role])
+        known = own[0] > 0
+        if not known:  # pages of a host that are all alike: everything is template, nothing tells the slots apart
+            own = self._weights([1.0] * n)
+        main = self._slot(own)
         inside = [False] * n
         for i in range(n):  # with the article all of its role: a text may come in several
             inside[i] = i == main or self.named[i] and self.role[i] == self.role[main] or i > 0 and inside[self.parent[i]]
-        return [text for node, text in self.blocks if inside[node] and (not fixed or (self.role[node], (xxhash.xxh64_intdigest(text) >> 1) or 1) not in fixed)]
+        # a container whose text is the template's on every page fills no slot; one that is the article is taken whole
+        whole = self.named[main] or not known
+        return [text for node, text in self.blocks if inside[node] and (whole or data.get(self.role[node], 1.0) > 0 and (self.role[node], _hash(text)) not in fixed)]
 
-    def _chosen(self, own: list[float]) -> int:
-        for kind in ("article", "main", None):
+    def _weights(self, share: list[float]) -> list[float]:
+        """Characters of data in every container, those of the containers in it included."""
+        own = [0.0] * len(self.parent)
+        for node, text in self.blocks:
+            own[node] += len(text) * share[node]
+        for i in range(len(self.parent) - 1, 0, -1):
+            own[self.parent[i]] += own[i]
+        return own
+
+    def _slot(self, own: list[float]) -> int:
+        """The innermost container that holds most of the data.  Names decide how far out the article goes, and between slots alike."""
+        node = 0
+        while True:
+            best = max((i for i in range(1, len(self.parent)) if self.parent[i] == node and not self.out[i]), key=lambda i: own[i], default=None)
+            if best is None or own[best] < MOST * own[node] or own[best] <= 0:
+                break
+            node = best
+        up = node
+        while up > 0 and not self.named[up]:
+            up = self.parent[up]
+        if up > 0:  # the article around it, with its title; the outermost of the most telling kind
+            kinds = [up]
+            while (up := self.parent[up]) > 0:
+                kinds += [up] * self.named[up]
+            return max(kinds, key=lambda i: (self.tag[i] == "article", self.tag[i] == "main", i))
+        for kind in ("article", "main", None):  # several, none of which holds most
             some = [i for i in range(1, len(self.parent)) if not self.out[i] and own[i] > 0 and self.named[i] and kind in (None, self.tag[i])]
             if some:
                 by_role: dict[int, float] = {}
                 for i in some:
                     by_role[self.role[i]] = by_role.get(self.role[i], 0) + own[i]
                 return max(some, key=lambda i: (by_role[self.role[i]], -i))
-        node = 0
-        while True:
-            inner = [i for i in range(1, len(self.parent)) if self.parent[i] == node and not self.out[i]]
-            best = max(inner, key=lambda i: own[i], default=None)
-            if best is None or own[best] < MOST * own[node] or own[best] <= 0:
-                return node
-            node = best
+        return node
 
 
 def _host(pages: DataFrame):
@@ -226,11 +252,11 @@ def _tokens(batches):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: data (role, share of data in its text) of recurring containers and fixed (role, text hash): template text.
+    """Per host: data (role, share of data in its text) of the recurring containers with template text.
 
     ``pages`` has host, page (a hash of the row) and html.
     """
-    tokens = pages.mapInArrow(_tokens, "host string, page long, role long, around long, words long, n long, chars long")
+    tokens = pages.mapInArrow(tidy(_tokens), "host string, page long, role long, around long, words long, n long, chars long")
     by_token = tokens.groupBy("host", "role", "around", "words").agg(
         F.count("*").alias("pages"), F.sum("chars").alias("chars"),
         F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"))
@@ -251,9 +277,12 @@ def templates(pages: DataFrame) -> DataFrame:
     text = by_token.where("words <> 0").join(template, ["host", "role", "words"], "left")
     share = text.groupBy("host", "role").agg(
         (1 - F.sum(F.when(F.col("is_fixed"), F.col("chars")).otherwise(0)) / F.sum("chars")).alias("share"))
-    always = (text.where("is_fixed").join(containers, ["host", "role"]).where((F.col("pages") == F.col("role_pages")) & (F.col("role_pages") >= ALWAYS))
-              .groupBy("host").agg(F.collect_list(F.struct("role", "words")).alias("fixed")))
-    data = (share.join(containers, ["host", "role"]).where(F.col("role_pages") >= LEAST_PAGES)
+    # text on every page in a slot that mostly varies; a slot that mostly repeats holds copies of an article, not a template
+    slots = share.where(F.col("share") >= SLOT).select("host", "role").join(containers.where(F.col("role_pages") >= LEAST_TOKENS), ["host", "role"])
+    always = (text.where("is_fixed").join(slots, ["host", "role"]).where(F.col("pages") == F.col("role_pages"))
+              .groupBy("host").agg(F.collect_list(F.struct("role", "words")).alias("fixed")))  # together less than a page's text
+    # of a host travel only the containers that hold template text
+    data = (share.where("share < 1").join(containers, ["host", "role"]).where(F.col("role_pages") >= LEAST_PAGES)
             .groupBy("host").agg(F.collect_list(F.struct("role", "share")).alias("data")))
     return data.join(always, "host", "left")
 
@@ -263,6 +292,7 @@ def extract(pages: DataFrame) -> DataFrame:
     ready(pages.sparkSession)
     passed = [c for c in pages.columns if c not in ("html", "host", "text", "n_chars")]
     rows = pages.select(F.struct(*passed).alias("_row"), F.xxhash64(*passed, "html").alias("page"), _host(pages).alias("host"), "html")
+    rows = rows.withColumn("host", F.when(F.col("host") == "", F.concat(F.lit("?"), "page")).otherwise(F.col("host")))
     template = written(templates(rows.select("host", "page", "html")), "templates")
     joined = rows.drop("page").join(template, "host", "left").drop("host")
 
@@ -275,4 +305,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["_row", "text", "n_chars"])
 
     schema = T.StructType([rows.schema["_row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return joined.mapInArrow(run, schema).select("_row.*", "text", "n_chars")
+    return joined.mapInArrow(tidy(run), schema).select("_row.*", "text", "n_chars")

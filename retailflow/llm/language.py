@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ready
+from .shared import ready, tidy
 
 BUCKETS = 1 << 16
 FIT_DOCS = 4000
@@ -154,8 +154,9 @@ def viterbi(scores: np.ndarray, first: np.ndarray, count: np.ndarray, switch: fl
     """Best label of every word; text i has ``count[i]`` words from ``first[i]`` on.  All texts go forward in step."""
     order = np.argsort(-count, kind="stable")
     first, count = first[order], count[order]
-    back = np.zeros(scores.shape, np.uint8)
-    own = np.arange(scores.shape[1], dtype=np.uint8)
+    kind = np.min_scalar_type(max(0, scores.shape[1] - 1))  # of a label
+    back = np.zeros(scores.shape, kind)
+    own = np.arange(scores.shape[1], dtype=kind)
     value = scores[first[count > 0]].astype(np.float64)
     ends = np.empty((len(first), scores.shape[1]))
     live = len(value)
@@ -173,9 +174,9 @@ def viterbi(scores: np.ndarray, first: np.ndarray, count: np.ndarray, switch: fl
         back[at] = np.where(stay, own, best[:, None])
         value = np.where(stay, value, jump[:, None]) + scores[at]
         value -= value.max(1, keepdims=True)
-    label = np.zeros(len(scores), np.uint8)
+    label = np.zeros(len(scores), kind)
     some = int((count > 0).sum())
-    state = ends[:some].argmax(1).astype(np.uint8)
+    state = ends[:some].argmax(1).astype(kind)
     label[first[:some] + count[:some] - 1] = state
     for t in range(int(count.max(initial=0)) - 1, 0, -1):
         now = int(np.searchsorted(-count, -t, "left"))
@@ -260,6 +261,11 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5
 
 
+def sample_limit(wanted: int, there: int) -> int:
+    """Greatest of the 64-bit hashes that ``wanted`` of ``there`` rows have, about; at least one in 2^64 rows, all where there are no more."""
+    return (1 << 63) - 1 if there <= wanted else (wanted << 64) // there - (1 << 63)
+
+
 def learn(documents: DataFrame, fit_docs: int = FIT_DOCS, evidence: bool = False) -> Model:
     """A model from the documents (doc_id, text, lang) it is given; with ``evidence`` also the languages' floors."""
     spark = ready(documents.sparkSession)
@@ -269,9 +275,8 @@ def learn(documents: DataFrame, fit_docs: int = FIT_DOCS, evidence: bool = False
     langs = list(counts)
     if not langs:
         return Model([], np.empty(0), np.empty(0), np.empty(0))
-    cut = 1_000_000
-    limit = F.coalesce(*[F.when(F.col("lang") == l, int(cut * min(1.0, fit_docs / n))) for l, n in counts.items()])
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(cut)) < limit).select("lang", "text")
+    limit = F.coalesce(*[F.when(F.col("lang") == l, sample_limit(fit_docs, n)) for l, n in counts.items()])
+    sample = labelled.where(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))) <= limit).select("lang", "text")
     number = {l: i for i, l in enumerate(langs)}
 
     def count(batches):
@@ -305,14 +310,14 @@ def learn(documents: DataFrame, fit_docs: int = FIT_DOCS, evidence: bool = False
                         (lang[of], inside), (lang[of], None), (to, model.log[other.bucket, to]), (to, None)))], ["lang", "inside", "n", "outside", "m"])
 
     # at most BUCKETS rows per language
-    rows = sample.mapInArrow(count, "lang int, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
+    rows = sample.mapInArrow(tidy(count), "lang int, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
     both = np.zeros((len(langs), BUCKETS + OTHER + 1), np.int64)
     both[np.asarray(rows["lang"]), np.asarray(rows["key"])] = np.asarray(rows["n"])
     model = Model(langs, both[:, :BUCKETS], both[:, BUCKETS:], np.array(list(counts.values())))
     if evidence:
         model.grams = both[:, :BUCKETS]
         # one row per language
-        for r in sample.mapInArrow(score, "lang int, inside double, n double, outside double, m double").groupBy("lang").agg(*[F.sum(c).alias(c) for c in ("inside", "n", "outside", "m")]).collect():
+        for r in sample.mapInArrow(tidy(score), "lang int, inside double, n double, outside double, m double").groupBy("lang").agg(*[F.sum(c).alias(c) for c in ("inside", "n", "outside", "m")]).collect():
             if r["n"] and (inside := r["inside"] / r["n"]) > (outside := r["outside"] / r["m"]):
                 model.floor[r["lang"]] = outside + FLOOR * (inside - outside)
         del model.grams  # not sent to the tasks of identify
@@ -341,6 +346,6 @@ def identify(documents: DataFrame, model: Model, evidence: bool = False) -> Data
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), *(pa.array(g, k) for g, k in zip(got, kinds))],
                                                  [*batch.schema.names, *(f.name for f in more)])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 

@@ -59,6 +59,19 @@ def test_viterbi_finds_the_best_path_of_every_text():
             assert cost(got[f: f + c].tolist(), scores[f: f + c].tolist(), 4.0) == pytest.approx(best, abs=1e-3)
 
 
+def test_labels_of_hundreds_of_languages():
+    scores = np.zeros((5, 300))
+    scores[:, 290] = 3
+    assert language.viterbi(scores, np.array([0, 3]), np.array([3, 2])).tolist() == [290] * 5
+
+
+def test_sample_limit_holds_for_any_number_of_rows():
+    assert language.sample_limit(4000, 3000) == language.sample_limit(4000, 4000) == 2 ** 63 - 1
+    for n in (4001, 10 ** 6, 10 ** 11, 10 ** 15):
+        share = (language.sample_limit(4000, n) + 2 ** 63 + 1) / 2 ** 64
+        assert abs(share * n - 4000) < 1
+
+
 def test_words_are_runs_of_one_script():
     w = language.Words(["Ab1c", "", "дом-house", "it's 你好world"])
     points = " ".join(["Ab1c", "", "дом-house", "it's 你好world", ""])
@@ -146,6 +159,36 @@ def test_template_of_a_host_is_deduced(spark):
     assert got == {p[0]: p[3] for p in pages}
 
 
+def extracted(spark, pages):
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string").repartition(4)
+    return {r.page_id: r.text for r in html_text.extract(df).collect()}
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 100])
+@pytest.mark.parametrize("named", [True, False])
+@pytest.mark.parametrize("title", ["Same", None])
+def test_equal_pages_keep_their_article(spark, n, named, title):
+    """Pages of one host that are all alike, or but for their titles."""
+    box = "<article>{}</article>" if named else "<div class=z1><div class=z2>{}</div></div>"
+    long_ = "words of the article " * 20
+    pages = [(i, "https://same.example/p", "<body><div class=menu>no</div>" + box.format(f"<h1>{title or 'Title %d' % i}</h1><p>One {long_}</p><p>Two {long_}</p>") + "<footer>no</footer>",
+              f"{title or 'Title %d' % i}\nOne {long_.strip()}\nTwo {long_.strip()}") for i in range(n)]
+    assert extracted(spark, pages) == {p[0]: p[3] for p in pages}
+
+
+def test_pages_without_a_url_are_hosts_of_their_own(spark):
+    pages = [(i, None if i % 2 else "no host", "<article><p>all alike</p></article>", "all alike") for i in range(20)]
+    assert extracted(spark, pages) == {p[0]: p[3] for p in pages}
+
+
+def test_the_template_decides_where_names_do_not(spark):
+    """The same pages with and without their host's template: the longest text is the menu's."""
+    pages = site(20)
+    assert extracted(spark, pages) == {p[0]: p[3] for p in pages}
+    alone = [(i, f"https://h{i}.example/", source, want) for i, _, source, want in pages]
+    assert all(extracted(spark, alone)[p[0]] != p[3] for p in pages)
+
+
 def test_extract_of_awkward_rows(spark):
     rows = [(1, None, None, 0), (2, "", "", 0), (3, "x", "<p>t", 0), (3, "x", "<p>t", 0), (None, "//a/b", "<article>é</article>", 0), (5, "http://a/", "<article>" + "w " * 50_000, 0)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, host int")
