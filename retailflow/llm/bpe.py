@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import tidy
+
 #: Pre-tokens of more bytes get a queue of their own.
 LONG = 400
 #: Entries of a worker's table of encoded pieces; beyond it the table starts anew.  No result depends on it.
@@ -299,7 +301,7 @@ def encode(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 raw = encoder(ranks, pattern).encode_batch(texts)
                 ids = [np.frombuffer(r, "<u4").astype(np.int32) for r in raw]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -310,7 +312,7 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
             lists = batch.column(1)
             out = [vocabulary.decode(np.asarray(x.values)) if x.is_valid and len(x) else b"" for x in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "content"])
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, content binary")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, content binary")
 
 
 def round_trip(documents: DataFrame, ranks: str, pattern: str, with_ids: bool = False) -> DataFrame:
@@ -330,4 +332,4 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, with_ids: bool =
                     out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4"))))
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(out)])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), schema)

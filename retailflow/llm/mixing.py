@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import tidy, written
 
 BLOCK = 64
 SHARD_WORDS = 1 << 17
@@ -109,7 +109,7 @@ def with_sizes(documents: DataFrame, whole: bool = False) -> DataFrame:
             sizes = [len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in text]  # bytes split at 09-0D and 20
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sizes, pa.int64())], [*names, "size"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def _quotas(seed: int):
@@ -206,4 +206,4 @@ def mixed(documents: DataFrame, seed: int = 7) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_pylist(out, kept)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import ready, written
+from .shared import ready, tidy, written
 from .shingles import mixed, shingle_set
 
 BANDS, ROWS = 32, 4
@@ -110,7 +110,7 @@ def _texts(documents: DataFrame, reps: DataFrame, nodes: DataFrame) -> DataFrame
     """(node, z): compressed text of every class in ``nodes``."""
     keys = reps.join(nodes, "node", "left_semi").select("node", "id", "text_hash")
     texts = (_keyed(documents).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash", "text")
-             .mapInArrow(_compress, "id long, text_hash long, z binary"))
+             .mapInArrow(tidy(_compress), "id long, text_hash long, z binary"))
     return written(texts.join(keys, ["id", "text_hash"]).groupBy("node").agg(F.min("z").alias("z")).withColumn("bytes", F.length("z")), "texts")
 
 
@@ -141,7 +141,7 @@ def _links(texts: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> Da
     """(a, b): the pairs (x, y) that are links."""
     with_texts = (pairs.join(texts.select(F.col("node").alias("x"), F.col("z").alias("zx")), "x")
                   .join(texts.select(F.col("node").alias("y"), F.col("z").alias("zy")), "y"))
-    return written(with_texts.select("x", "y", "zx", "zy").mapInArrow(_confirm(n_words, percent), "a binary, b binary"), "links")
+    return written(with_texts.select("x", "y", "zx", "zy").mapInArrow(tidy(_confirm(n_words, percent)), "a binary, b binary"), "links")
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -213,7 +213,7 @@ def _part_links(n_words: int, percent: int):
 def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, n_shingles, component (null for the empty set), component_id, kept of every row (doc_id, text)."""
     ready(documents.sparkSession)
-    signed = written(_keyed(documents).mapInArrow(_sign(n_words), SIGNED), "signed")
+    signed = written(_keyed(documents).mapInArrow(tidy(_sign(n_words)), SIGNED), "signed")
     nodes = signed.where(F.col("node").isNotNull())
     # one class per set: its signature and the text that stands for it
     reps = written(nodes.groupBy("node").agg(
@@ -262,7 +262,7 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -
     left = dealt.where("other").select("band", "l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("right_parts") - 1)).alias("r"), "node", "component", F.lit(True).alias("is_left"))
     with_texts = (left.union(right).select(F.xxhash64("band", "l", "r").alias("part"), "node", "component", "is_left")
                   .join(texts.select("node", "z"), "node"))
-    more = written(with_texts.repartition("part").sortWithinPartitions("part").mapInArrow(_part_links(n_words, percent), "a binary, b binary"), "more")
+    more = written(with_texts.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(_part_links(n_words, percent)), "a binary, b binary"), "more")
     joined = components(links.union(more))
 
     # the smallest doc_id of a class, or of all classes of its component

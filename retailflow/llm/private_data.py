@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ready, written
+from .shared import ready, tidy, written
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 64
@@ -236,11 +236,11 @@ def _report(batches):
 def find(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added of every row."""
     ready(documents.sparkSession)
-    found = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_read, FOUND)
+    found = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(tidy(_read), FOUND)
     found = written(found.withColumn("row", F.monotonically_increasing_id()), "private-found")  # written once: row numbers stay
     each = found.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
     seeds = each.where("seed").select("value", "kind", F.lit(1.0).alias("score")).distinct()
     added = each.where("not seed").join(seeds.union(bootstrap(found)), ["value", "kind"]).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "stop", "score")).alias("added"))
     return (found.select("row", "id", "base").join(added, "row", "left").select("id", "base", "added")
-            .mapInArrow(_report, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+            .mapInArrow(tidy(_report), "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
             .withColumnRenamed("id", key))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
@@ -48,3 +52,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tidy(run):
+    """A task's generator that gives its memory back to the system when it ends.
+
+    Workers live on for the tasks of other stages; what the allocators keep of one stage's arrays would count against them all.
+    """
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it keeps
+                ctypes.CDLL(None).malloc_trim(0)
+    return tidied

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ready, written
+from .shared import ready, tidy, written
 
 #: Fixed by the contract: letters of a run, the divisor of planted misspellings.
 LETTERS = "a-zÀ-ÿ"
@@ -119,7 +119,7 @@ def neighbours(vocabulary: DataFrame) -> DataFrame:
     # one partition holds all rows of a prefix; sampling for the ranges reads the written vocabulary again
     ordered = rotations(vocabulary).repartitionByRange("prefix").sortWithinPartitions("prefix", "last")
     best = F.min(F.struct((-F.col("near_n")).alias("down"), "near"))
-    return (ordered.mapInArrow(_scan, MEMBER).groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
+    return (ordered.mapInArrow(tidy(_scan), MEMBER).groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
             .select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.down")).alias("near_n")))
 
 

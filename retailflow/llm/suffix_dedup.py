@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ready, written
+from .shared import ready, tidy, written
 from .shingles import mixed
 
 LENGTH = 200
@@ -45,7 +45,7 @@ CROWD = 4096
 #: Bytes by which the strings around a crowded anchor grow.
 STEP = 16
 #: Bytes handled at once in a task.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 NO_ID = -(1 << 63)  # stands for a null doc_id in keys
 
 _bytes = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -398,7 +398,7 @@ def _marked(documents: DataFrame) -> DataFrame:
     key = ["_id", "_hash"]
     text = F.col("_row.text").alias("text")
     # anchors are found once; where a hash occurs is told from the table
-    rows = written(documents.select(*key, text).mapInArrow(_found, "gram long, context long, _id long, _hash long, lo int, more int"), "anchors")
+    rows = written(documents.select(*key, text).mapInArrow(tidy(_found), "gram long, context long, _id long, _hash long, lo int, more int"), "anchors")
     grams = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     # repeated rows of one document are one place, as often as they are there
     live = written(rows.join(grams, "gram", "left_semi"), "live")
@@ -409,9 +409,9 @@ def _marked(documents: DataFrame) -> DataFrame:
     asked = F.collect_list(F.struct("gram", "context", "many", "lo", "more")).alias("asked")
     # left joins on both uses of the documents: they share one exchange of the texts
     dealt = (documents.join(contexts.join(crowds, "gram", "left_anti").groupBy(*key).agg(asked), key, "left")
-             .mapInArrow(_contexts, "gram long, context long, many boolean, content binary")
+             .mapInArrow(tidy(_contexts), "gram long, context long, many boolean, content binary")
              .repartition("gram").sortWithinPartitions("gram", "context"))
-    found = dealt.mapInArrow(_sort, "gram long, context long, first int, last int")
+    found = dealt.mapInArrow(tidy(_sort), "gram long, context long, first int, last int")
     if not crowds.isEmpty():
         found = found.union(_of_crowds(documents, contexts.join(crowds, "gram", "left_semi"), asked))
     spans = (found.join(live, ["gram", "context"])
@@ -426,16 +426,16 @@ def _of_crowds(documents: DataFrame, contexts: DataFrame, asked: Column) -> Data
     bytes at a time to either side, and only the windows between the first unique probes are counted, by digest.
     """
     key, window, probe = ["_id", "_hash"], ["gram", "high", "low"], ["gram", "side", "step", "high", "low"]
-    cut = written(documents.join(contexts.groupBy(*key).agg(asked), key).mapInArrow(_contexts, "gram long, context long, many boolean, content binary"), "crowded")
+    cut = written(documents.join(contexts.groupBy(*key).agg(asked), key).mapInArrow(tidy(_contexts), "gram long, context long, many boolean, content binary"), "crowded")
     cut = written(cut.dropDuplicates(["gram", "context"]), "crowded")
     held = [F.min("context").alias("context"), F.max("context").alias("other")]
-    unique = cut.mapInArrow(_probes, "gram long, context long, side int, step int, high long, low long").groupBy(*probe).agg(*held).where("context = other")
+    unique = cut.mapInArrow(tidy(_probes), "gram long, context long, side int, step int, high long, low long").groupBy(*probe).agg(*held).where("context = other")
     limits = unique.groupBy("gram", "context").agg(F.min(F.when(F.col("side") == 0, F.col("step"))).alias("right"), F.min(F.when(F.col("side") == 1, F.col("step"))).alias("left"))
     windows = written(cut.join(limits, ["gram", "context"], "left").mapInArrow(
-        _windows, "gram long, context long, many boolean, start int, high long, low long"), "windows")
+        tidy(_windows), "gram long, context long, many boolean, start int, high long, low long"), "windows")
     twice = windows.groupBy(*window).agg(*held).where("context <> other").select(*window)
     runs = (windows.where("NOT many").join(twice, window, "left_semi").groupBy("gram", "context").agg(F.sort_array(F.collect_set("start")).alias("starts"))
-            .mapInArrow(_runs, "gram long, context long, first int, last int"))
+            .mapInArrow(tidy(_runs), "gram long, context long, first int, last int"))
     return runs.union(contexts.where("many").select("gram", "context", F.lit(0).alias("first"), F.col("more").alias("last")))
 
 
@@ -464,7 +464,7 @@ def repeats(documents: DataFrame) -> DataFrame:
             ids = [None if i == NO_ID else i for i in batch.column("_id").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([r[i] for r in out], k) for i, k in enumerate([pa.int64()] * 3 + [pa.string()]))],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return _marked(_with_keys(documents, ["text"])).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _marked(_with_keys(documents, ["text"])).mapInArrow(tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cleaned(documents: DataFrame) -> DataFrame:
@@ -476,6 +476,6 @@ def cleaned(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], ["_row", "_left"])
 
     rows = _with_keys(documents, documents.columns)
-    left = _marked(rows).mapInArrow(run, T.StructType([rows.schema["_row"], T.StructField("_left", T.StringType())]))
+    left = _marked(rows).mapInArrow(tidy(run), T.StructType([rows.schema["_row"], T.StructField("_left", T.StringType())]))
     new = {"text": F.col("_left"), "n_chars": F.length("_left")}
     return left.select(*(new[f.name].cast(f.dataType).alias(f.name) if f.name in new else F.col("_row")[f.name].alias(f.name) for f in documents.schema.fields))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import ready, shared_folder
+from .shared import ready, shared_folder, tidy
 
 BLOCK = 65_536
 #: Bytes of text encoded together.
@@ -215,7 +215,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int =
     ordered = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .withColumn("text_hash", F.xxhash64("text")).repartitionByRange("doc_id", "text_hash")  # rows of one id are many ranges too
                .sortWithinPartitions("doc_id", "text_hash", "text").select("doc_id", "text"))
-    ordered.mapInArrow(_blocks(tokenizer, end_id), BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(tidy(_blocks(tokenizer, end_id)), BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 # Reading
@@ -243,7 +243,7 @@ def _segments(fn, kind: pa.DataType):
 
 def _documents(blocks: DataFrame, fn, kind: pa.DataType, sql_kind: str) -> DataFrame:
     """One row per document: its first id in the corpus and its segments in order."""
-    parts = blocks.mapInArrow(_segments(fn, kind), "shard int, doc_id long, first_id long, n_ids long, at long, size long, value " + sql_kind)
+    parts = blocks.mapInArrow(tidy(_segments(fn, kind)), "shard int, doc_id long, first_id long, n_ids long, at long, size long, value " + sql_kind)
     docs = parts.groupBy("shard", "first_id").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_ids").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("at", "size", "value"))).alias("segments"))
@@ -294,7 +294,7 @@ def _joined_crc(batches):
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and the crc32 of a document's ids as little-endian unsigned 32-bit integers, from the files."""
     docs = _documents(read_blocks(spark, path), lambda ids: zlib.crc32(ids.tobytes()), pa.int64(), "long")
-    return docs.select("doc_id", "start", "n_tokens", "segments").mapInArrow(_joined_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return docs.select("doc_id", "start", "n_tokens", "segments").mapInArrow(tidy(_joined_crc), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def tokens_of(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:

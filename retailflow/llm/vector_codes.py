@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
-from .shared import ready, written
+from .shared import ready, tidy, written
 
 BLOCK = 64  # vectors of neighbouring sums searched side by side
 STEP = 16  # entries a direction takes at once
@@ -124,7 +124,7 @@ def _totals(rows: DataFrame, books: list[np.ndarray], dim: int) -> DataFrame:
         width = sums.shape[2]
         yield pa.record_batch({"part": np.repeat(part, width).astype(np.int32), "entry": np.repeat(entry, width).astype(np.int32),
                                "at": np.tile(np.arange(-1, width - 1, dtype=np.int32), len(part)), "total": sums[part, entry].ravel()})
-    found = rows.select("v").mapInArrow(run, "part int, entry int, at int, total long")
+    found = rows.select("v").mapInArrow(tidy(run), "part int, entry int, at int, total long")
     return found.groupBy("part", "entry", "at").agg(F.sum(F.col("total").cast("decimal(20,0)")).alias("total"))
 
 
@@ -154,7 +154,7 @@ def encode(rows: DataFrame, books: list[np.ndarray], dim: int) -> DataFrame:
             yield pa.record_batch({"id": batch.column("id"), "label": batch.column("label"),
                                    "code": pa.array([c.tobytes() for c in codes], pa.binary()), "error": np.sum([d for _, d in found], 0, np.int64)})
     label = dict(rows.dtypes)["label"]
-    return rows.mapInArrow(run, f"id long, label {label}, code binary, error long")
+    return rows.mapInArrow(tidy(run), f"id long, label {label}, code binary, error long")
 
 
 def decode(codes: DataFrame, books: list[np.ndarray], scale: int = 1024) -> DataFrame:
