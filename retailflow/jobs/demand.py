@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..constants import CHANNEL_MARKERS
 from ..functions import sku
 from ..functions.months import forward_months, in_season_letter, month_fraction, off_season_letter, trailing_months
-from ..functions.semantics import MONEY, band_label, isin0, money_round, r_ifelse, rlike0, years_ratio
+from ..functions.semantics import MONEY, band_label, isin0, money_round, r_ifelse, rlike0, row_sum, years_ratio
 from ..operators.groups import with_group_total
 from ..operators.keys import first_per_key, source_order
 from ..operators.lookup import grid_lookup, lookup, semi
@@ -220,7 +220,7 @@ def demand_base(sales: DataFrame, inv: DataFrame, master: DataFrame, ratio: Data
     sold = sales.filter(F.col("sales_channel").isin(list(channels))).groupBy("adjust_msku").agg(
         sum_where(F.col("month").isin(months), "qty").cast(DOUBLE).alias("sales_last3m"))
     stock = inv.groupBy("adjust_msku").agg(F.sum(
-        F.coalesce("inv_warehouse", F.lit(0)) + F.coalesce("inv_amz_usa", F.lit(0)) + F.coalesce("inv_amz_ca", F.lit(0))).alias("stock"))
+        row_sum(["inv_warehouse", "inv_amz_usa", "inv_amz_ca"])).alias("stock"))
     out = sold.join(stock, "adjust_msku")
     out = lookup(out, master, {"adjust_msku": "msku"}, {"category_sku": "cat", "seasons_sku": "seasons", "msku_status": "status"}, unique=True)
     sums = ratio_sums(ratio, r3=months, r_ahead=forward_months(month, ahead))

@@ -44,11 +44,6 @@ def weighted_count(df: DataFrame, key: str | Sequence[str], weight: str, out: st
     return df.groupBy(*key).agg(F.sum(weight).alias(out))
 
 
-def first_by(c: str, order: str) -> Column:
-    """Value of the first row by a unique order column, as an aggregate."""
-    return F.min_by(F.col(c), F.col(order))
-
-
 def collapse(df: DataFrame, by: Sequence[str], order: str | Sequence[str], sep: str, texts: Mapping[str, str],
              sums: Mapping[str, str] | None = None, mins: Mapping[str, str] | None = None,
              maxs: Mapping[str, str] | None = None, block_rows: int = BLOCK_ROWS, fan: int = 1024) -> DataFrame:

@@ -145,7 +145,3 @@ def _exists(df: DataFrame, other: DataFrame, on: On, how: str) -> DataFrame:
     on = _pairs(on)
     keys = other.select(*[F.col(f"`{r}`").alias(f"__k{i}") for i, (_, r) in enumerate(on)])
     return df.join(keys, [F.col(f"`{l}`") == F.col(f"__k{i}") for i, (l, _) in enumerate(on)], how)
-
-
-def unpivot_grid(wide: DataFrame, row_label: str, cols: Sequence[str], names=("row_key", "col_key", "value")) -> DataFrame:
-    return wide.unpivot(row_label, list(cols), names[1], names[2]).withColumnRenamed(row_label, names[0])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..jobs import pricing, stock
 from ..operators.lookup import lookup
 from ..schemas import STATUS_LOG_HEADERS
-from .registry import AS_OF, cat, cents, half_even, query, values
+from .registry import AS_OF, cat, cents, half_even, query, renamed, values
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
 EXTRA = (("MISC5", 5), ("MISC10", 10), ("MAJC", 99.99))
@@ -92,15 +92,15 @@ def _(t):
 
 
 @query("event_price", f"""
-    WITH i AS (SELECT sku AS name, cast(price - 500 as double) AS price FROM s_sku WHERE size IN ('7', '9')),
-    c AS (SELECT cat, cast(min(price) - 300 as double) AS price FROM s_sku WHERE cat IN ('B3', 'B4') GROUP BY 1),
+    WITH i AS (SELECT CASE WHEN size IN ('7', '9') THEN sku ELSE 'Z' || sku END AS name, cast(price - 500 as double) AS price FROM s_sku),
+    c AS (SELECT CASE WHEN cat IN ('B3', 'B4') THEN cat ELSE 'Z' || cat END AS cat, cast(min(price) - 300 as double) AS price FROM s_sku GROUP BY 1),
     x AS (SELECT p.name, {cat('p.name')} AS cat, CASE WHEN regexp_matches(p.name, '^B1-') THEN 8.5 WHEN regexp_matches(p.name, '-PROMO-') THEN 45
             WHEN i.name IS NOT NULL THEN i.price WHEN c.cat IS NOT NULL THEN c.price ELSE cast(p.price as double) END AS price
           FROM s_pos p LEFT JOIN i ON i.name = p.name LEFT JOIN c ON c.cat = {cat('p.name')})
     SELECT name, cat, cast(price as double) AS price, CASE WHEN price IS NULL THEN 'Variable' ELSE 'Fixed' END AS price_type FROM x""")
 def _(t):
-    listed = t.s_sku.filter(F.col("size").isin("7", "9")).select(F.col("sku").alias("name"), (F.col("price") - 500).alias("price"))
-    cats = t.s_sku.filter(F.col("cat").isin("B3", "B4")).groupBy("cat").agg((F.min("price") - 300).alias("price"))
+    listed = t.s_sku.select(renamed("sku", F.col("size").isin("7", "9")).alias("name"), (F.col("price") - 500).alias("price"))
+    cats = t.s_sku.groupBy(renamed("cat", F.col("cat").isin("B3", "B4")).alias("cat")).agg((F.min("price") - 300).alias("price"))
     return pricing.event_price(t.s_pos.select("name", "price"), listed, cats, [("-PROMO-", 45), ("^B1-", 8.5)])
 
 
@@ -136,12 +136,12 @@ def _(t):
 
 
 @query("category_listing", f"""
-    WITH {MASTER_SYNC}, c AS (SELECT DISTINCT cat AS category_name, 'ID-' || cat AS category_id FROM s_sku WHERE cat <> 'B9'),
+    WITH {MASTER_SYNC}, c AS (SELECT DISTINCT CASE WHEN cat <> 'B9' THEN cat ELSE 'Z' || cat END AS category_name, 'ID-' || cat AS category_id FROM s_sku),
     r AS (SELECT categories, name, row_number() OVER (PARTITION BY categories ORDER BY name) AS rn FROM items)
     SELECT CASE WHEN rn = 1 THEN categories ELSE '' END AS category_name, CASE WHEN rn = 1 THEN c.category_id ELSE '' END AS category_id, name AS item_sort_order
     FROM r LEFT JOIN c ON c.category_name = categories""")
 def _(t):
-    ids = t.s_sku.filter("cat <> 'B9'").select(F.col("cat").alias("category_name"), F.concat(F.lit("ID-"), "cat").alias("category_id")).distinct()
+    ids = t.s_sku.select(renamed("cat", F.col("cat") != "B9").alias("category_name"), F.concat(F.lit("ID-"), "cat").alias("category_id")).distinct()
     return pricing.category_listing(_master_items(t), ids)
 
 
@@ -168,14 +168,14 @@ def _(t):
     return out.withColumn("inventory", F.col("inventory").cast("double"))
 
 
-LISTING = f"""{WEB}, listed AS (SELECT cat || '-' || print AS spu, sku FROM s_sku WHERE size IN ('3', '4', '5')),
-    d AS (SELECT cat || '-' || print AS spu, min(p_name) AS product_name, max(p_name) AS description FROM s_sku WHERE print <> 'LARGE' GROUP BY 1),
+LISTING = f"""{WEB}, listed AS (SELECT cat || '-' || print AS spu, CASE WHEN size IN ('3', '4', '5') THEN sku ELSE 'Z' || sku END AS sku FROM s_sku),
+    d AS (SELECT CASE WHEN print <> 'LARGE' THEN '' ELSE 'Z' END || cat || '-' || print AS spu, min(p_name) AS product_name, max(p_name) AS description FROM s_sku GROUP BY 1),
     cand AS (SELECT * FROM s_erp WHERE inventory_warehouse = 'WH-CENTRAL' AND warehouse_available >= 5 AND item_category_sku NOT IN ('B1', 'B2') AND name NOT IN (SELECT sku FROM listed))"""
 
 
 def _listing(t):
-    listed = t.s_sku.filter(F.col("size").isin("3", "4", "5")).select(F.concat_ws("-", "cat", "print").alias("spu"), "sku")
-    descr = t.s_sku.filter("print <> 'LARGE'").groupBy(F.concat_ws("-", "cat", "print").alias("spu")).agg(
+    listed = t.s_sku.select(F.concat_ws("-", "cat", "print").alias("spu"), renamed("sku", F.col("size").isin("3", "4", "5")).alias("sku"))
+    descr = t.s_sku.groupBy(F.concat_ws("-", renamed("cat", F.col("print") != "LARGE"), "print").alias("spu")).agg(
         F.min("p_name").alias("product_name"), F.max("p_name").alias("description"))
     here = stock.warehouse_stock(t.s_erp, "WH-CENTRAL")
     return listed, descr, here, pricing.listing_candidates(here, listed, ["B1", "B2"])
@@ -194,13 +194,13 @@ def _(t):
 
 
 @query("listing_gaps", f"""
-    WITH {LISTING}, cd AS (SELECT DISTINCT cat FROM s_sku WHERE cat NOT IN ('B3', 'B8'))
+    WITH {LISTING}, cd AS (SELECT DISTINCT CASE WHEN cat IN ('B3', 'B8') THEN 'Z' || cat ELSE cat END AS cat FROM s_sku)
     SELECT 'category' AS kind, item_category_sku AS key FROM cand WHERE item_category_sku NOT IN (SELECT cat FROM cd) GROUP BY 2
     UNION ALL SELECT 'spu', item_category_sku || '-' || item_print_sku FROM cand
       WHERE item_category_sku || '-' || item_print_sku NOT IN (SELECT spu FROM d) AND item_category_sku || '-' || item_print_sku IN (SELECT {cat('sku')} || '-' || split_part(sku, '-', 2) FROM s_web) GROUP BY 2""")
 def _(t):
     _, descr, _, cand = _listing(t)
-    texts = t.s_sku.filter("cat NOT IN ('B3', 'B8')").select("cat").distinct().withColumns({c: F.lit("") for c in ("product_name", "description", "categories")})
+    texts = t.s_sku.select(renamed("cat", ~F.col("cat").isin("B3", "B8")).alias("cat")).distinct().withColumns({c: F.lit("") for c in ("product_name", "description", "categories")})
     a = pricing.missing_category_texts(cand, texts).select(F.lit("category").alias("kind"), F.col("cat").alias("key"))
     return a.unionByName(pricing.missing_spu_texts(cand, descr, t.s_web, texts).select(F.lit("spu").alias("kind"), F.col("spu").alias("key")))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.months import trailing_months
 from ..jobs import clearance, demand, stock
-from .registry import AS_OF, CHANNELS, cents, half_even, query, spu, values, years
+from .registry import AS_OF, CHANNELS, cents, half_even, query, renamed, spu, values, years
 
 MONTH = AS_OF.month
 K = 25
@@ -103,14 +103,14 @@ def _(t):
 
 
 @query("month_ratio_refresh", """
-    WITH this AS (SELECT category, month, CASE WHEN category = 'B6' THEN 0 ELSE qty END AS qty FROM s_cat_month WHERE year = 2001 AND category <> 'B5'),
+    WITH this AS (SELECT CASE WHEN category = 'B5' THEN 'ZB5' ELSE category END AS category, month, CASE WHEN category = 'B6' THEN 0 ELSE qty END AS qty FROM s_cat_month WHERE year = 2001),
     sold AS (SELECT category, month, sum(qty)::BIGINT AS q FROM this WHERE month < 8 GROUP BY 1, 2), tot AS (SELECT category, sum(q)::BIGINT AS t FROM sold GROUP BY 1),
     sh AS (SELECT category, cast(sum(CASE WHEN month < 8 THEN ratio ELSE 0 END) as double) AS s FROM s_ratio GROUP BY 1)
     SELECT r.category, r.month, CASE WHEN r.month < 8 AND coalesce(tot.t, 0) <> 0 THEN coalesce(cast(sold.q as double), 0.0) / cast(tot.t as double) * sh.s ELSE cast(r.ratio as double) END AS ratio
     FROM s_ratio r LEFT JOIN sold ON sold.category = r.category AND sold.month = r.month LEFT JOIN tot ON tot.category = r.category JOIN sh ON sh.category = r.category
     WHERE r.category IN (SELECT category FROM this)""")
 def _(t):
-    this = t.s_cat_month.filter("year = 2001 AND category <> 'B5'").withColumn("qty", F.when(F.col("category") == "B6", 0).otherwise(F.col("qty")))
+    this = t.s_cat_month.filter("year = 2001").withColumns({"qty": F.when(F.col("category") == "B6", 0).otherwise(F.col("qty")), "category": renamed("category", F.col("category") != "B5")})
     return demand.refresh_month_ratio(this, t.s_ratio, AUGUST)
 
 

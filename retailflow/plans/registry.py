@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,11 @@ def spu(c: str) -> str:
     return rf"regexp_replace({c}, '^([A-Za-z0-9_]+-[A-Za-z0-9_]+)-.*', '\1')"
 
 
+def renamed(key: str, keep: Column, prefix: str = "Z") -> Column:
+    """A key that others miss where ``keep`` does not hold: the rows stay."""
+    return F.when(keep, F.col(key)).otherwise(F.concat(F.lit(prefix), F.col(key)))
+
+
 def half_even(num: str, den: str) -> str:
     """Whole quotient rounded half to even, for whole non-negative operands."""
     q, r = f"(({num}) // ({den}))", f"(({num}) % ({den}))"

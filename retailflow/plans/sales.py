@@ -11,7 +11,7 @@ from ..jobs import customers, orders, reports
 from ..operators.lookup import lookup
 from ..operators.reshape import calendar
 from .catalog_prices import TAXABLE
-from .registry import AS_OF, cat, cents, half_even, query, spu
+from .registry import AS_OF, cat, cents, half_even, query, renamed, spu
 
 MAIN = orders.Store("store 1", "SHOP 1", "Retail : Store 1", "WH-STORE", "CLR")
 SECOND = orders.Store("store 2", "SHOP 2", "Retail : Store 2", "WH-CENTRAL", "CLS")
@@ -282,7 +282,7 @@ def _(t):
     SELECT 'G' || substr(category, 1, 2) AS category_group, category, year, cast(NULL as double) AS month, sum(qty)::BIGINT AS sales FROM s_cat_month WHERE category <> 'B5' GROUP BY 1, 2, 3
     UNION ALL SELECT 'G' || substr(category, 1, 2), category, year, cast(month as double), sum(qty)::BIGINT FROM s_cat_month WHERE category <> 'B5' GROUP BY 1, 2, 3, 4""")
 def _(t):
-    groups = t.s_sku.select(F.col("cat").alias("category_sku")).distinct().filter("category_sku <> 'B5'").withColumn(
+    groups = t.s_sku.select(renamed("cat", F.col("cat") != "B5").alias("category_sku")).distinct().withColumn(
         "category_group", F.concat(F.lit("G"), F.substring("category_sku", 1, 2)))
     yearly, monthly = reports.sales_trend(t.s_cat_month, groups)
     return yearly.withColumn("month", F.lit(None).cast("double")).unionByName(monthly.withColumn("month", F.col("month").cast("double")))
@@ -406,7 +406,7 @@ def _(t):
 def _(t):
     side = F.when(F.col("n_nationkey") % 2 == 0, "B").otherwise("C")
     region = t.nation.select(F.concat(F.lit("V"), (F.col("n_nationkey") % 9).cast("string"), side).alias("fsa")).distinct().withColumn("in_region", F.lit(True))
-    census = region.filter("fsa < 'V5'").select("fsa", F.lit("1,234").alias("occupied_dwellings"))
+    census = region.select(renamed("fsa", F.col("fsa") < "V5").alias("fsa"), F.lit("1,234").alias("occupied_dwellings"))
     care = t.supplier.select(F.concat(F.lit("v"), (F.col("s_suppkey") % 9).cast("string"), F.lit("b 2X2")).alias("postal_code"))
     return reports.fsa_rollup(t.s_web_order, "postcode", "order_total", region, census, care)
 

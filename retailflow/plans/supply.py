@@ -10,7 +10,7 @@ from ..jobs import inbound, ledger, pricing, purchasing, stock
 from ..operators.lookup import lookup
 from ..sources.readers import parse_folder_name
 from .catalog_prices import CATS, EXTRA, NOW, WEB
-from .registry import AS_OF, cat, half_even, query
+from .registry import AS_OF, cat, half_even, query, renamed
 
 DAY, YMD = AS_OF.strftime("%m/%d/%Y"), AS_OF.strftime("%y%m%d")
 PO_CONST = f"'CAD' AS currency, '{DAY}' AS order_date, 'ops' AS order_placed_by, 'APPROVED' AS approval_status, 'CA-Zero' AS tax_code"
@@ -23,7 +23,7 @@ PLACES = {"CA": "WH-CENTRAL", "UK": "FBA-UK", "DE": "FBA-DE", "AU": "FBA-AU", "J
       CASE category WHEN 'B3' THEN '06/01/2025' WHEN 'B4' THEN NULL ELSE {DUE} END AS due_date, memo, sku AS item, r.qty AS quantity, po || '-' || r.region AS external_id
     FROM s_request, LATERAL (VALUES ('CA', qty_ca), ('UK', qty_uk), ('DE', qty_de), ('AU', qty_au), ('JP', qty_jp), ('CN', qty_cn)) AS r(region, qty) WHERE r.qty > 0""")
 def _(t):
-    starts = t.s_sku.select(F.col("cat").alias("category")).distinct().filter("category IN ('B3', 'B4')").withColumn(
+    starts = t.s_sku.select(renamed("cat", F.col("cat").isin("B3", "B4")).alias("category")).distinct().withColumn(
         "arrival_date", F.when(F.col("category") == "B3", "2025-06-01"))
     return purchasing.region_pos(t.s_request, starts, AS_OF, "26F", PLACES, by="ops")
 
@@ -164,13 +164,13 @@ def _(t):
     return _boxes(t).withColumnRenamed("_box_seq", "box_seq")
 
 
-WEIGHTS = """manual AS (SELECT DISTINCT cat AS category, size, cast(150 + p_size as double) AS unit_weight FROM s_sku WHERE p_size <= 25),
-    wt AS (SELECT * FROM manual UNION ALL SELECT DISTINCT cat, size, round_even(180.4 + p_size * 0.2, 0) FROM s_sku WHERE p_size >= 10 AND p_size < 45 AND (cat, size) NOT IN (SELECT (category, size) FROM manual))"""
+WEIGHTS = """manual AS (SELECT DISTINCT CASE WHEN p_size <= 25 THEN cat ELSE 'Z' || cat END AS category, size, cast(150 + p_size as double) AS unit_weight FROM s_sku),
+    wt AS (SELECT * FROM manual UNION ALL SELECT * FROM (SELECT DISTINCT CASE WHEN p_size >= 10 AND p_size < 45 THEN cat ELSE 'Y' || cat END AS cat, size, round_even(180.4 + p_size * 0.2, 0) FROM s_sku) WHERE (cat, size) NOT IN (SELECT (category, size) FROM manual))"""
 
 
 def _weights(t):
-    manual = t.s_sku.filter("p_size <= 25").select(F.col("cat").alias("category"), "size", (F.col("p_size") + 150).cast("double").alias("unit_weight")).distinct()
-    log = t.s_sku.filter("p_size >= 10 AND p_size < 45").select(F.col("cat").alias("category"), "size", (F.lit(180.4) + F.col("p_size") * F.lit(0.2)).alias("sample_weight_g")).distinct()
+    manual = t.s_sku.select(renamed("cat", F.col("p_size") <= 25).alias("category"), "size", (F.col("p_size") + 150).cast("double").alias("unit_weight")).distinct()
+    log = t.s_sku.select(renamed("cat", (F.col("p_size") >= 10) & (F.col("p_size") < 45), "Y").alias("category"), "size", (F.lit(180.4) + F.col("p_size") * F.lit(0.2)).alias("sample_weight_g")).distinct()
     return inbound.unit_weight(manual, log)
 
 
@@ -349,7 +349,7 @@ LEDGER = """led AS (SELECT po, trim(sku) AS sku, r.region, sum(r.q)::BIGINT AS p
 
 def _factories(t):
     n = F.substring("cat", 2, 5).cast("int")
-    return t.s_sku.select("cat").distinct().filter("cat <> 'B9'").select(*[F.when((n % 3 == i) | ((n % 5 == 0) & F.lit(i == 2)), F.col("cat")).alias(f"FAC{i}") for i in range(3)])
+    return t.s_sku.select("cat").distinct().select(*[F.when((n % 3 == i) | ((n % 5 == 0) & F.lit(i == 2)), renamed("cat", F.col("cat") != "B9")).alias(f"FAC{i}") for i in range(3)])
 
 
 def _ledger(t):
@@ -409,7 +409,7 @@ MANIFEST = """SELECT case when p_partkey % 6 = 0 then 'DE-' || sku when p_partke
     pm AS (SELECT category AS cat, arg_max(po, sku || '|' || po) AS po FROM s_request WHERE category <> 'B7' GROUP BY 1)
     SELECT pm.po, m.sku, sum(quantity)::BIGINT AS quantity FROM m LEFT JOIN pm ON pm.cat = {cat('m.sku')} GROUP BY 1, 2""")
 def _(t):
-    po_map = t.s_request.filter("category <> 'B7'").select("sku", F.concat("po", F.lit("-CA")).alias("po"), F.concat_ws("|", "sku", "po").alias("_pos"))
+    po_map = t.s_request.select(renamed("sku", F.col("category") != "B7").alias("sku"), F.concat("po", F.lit("-CA")).alias("po"), F.concat_ws("|", "sku", "po").alias("_pos"))
     master = t.s_master.withColumn("_pos", F.lit(0))
     again = master.filter("fbasku_de IS NOT NULL").withColumns({"msku": F.concat("msku", F.lit("-V9")), "_pos": F.lit(1)})
     return ledger.manifest_to_po(t.sql(MANIFEST), master.unionByName(again), po_map)

@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.semantics import percent_text
 from ..operators.reshape import sort_r, sort_sku
 
 MANIFEST = "_manifest"  # Spark's readers leave names with an underscore out
 
 
 def write_export(df: DataFrame, path: str, renames: Mapping[str, str] | None = None, *, encoding: str = "UTF-8", quote_all: bool = False,
-                 mode: str = "errorifexists", order: Sequence[str] | None = None, sku_order: str | None = None,
+                 mode: str = "errorifexists", percents: Sequence[str] = (), order: Sequence[str] | None = None, sku_order: str | None = None,
                  checks: Mapping[str, tuple[Column, object]] | None = None) -> None:
     """CSV with nulls blank and headers renamed to the target's spelling; a column the spelling lacks is an error.
 
-    With ``order`` (as ``sort_r`` takes it) or ``sku_order`` (a SKU column) rows are in total order: ranges of the keys are dealt to
+    Columns named in ``percents`` are numbers inside and percent text in the file.  With ``order`` (as ``sort_r`` takes it) or ``sku_order`` (a SKU column) rows are in total order: ranges of the keys are dealt to
     tasks and sorted there, a file is one range, file names follow the ranges, and a manifest lists the files in order.
     With ``checks`` totals are held against what they should be (see ``write_checked``).
     """
@@ -29,7 +30,7 @@ def write_export(df: DataFrame, path: str, renames: Mapping[str, str] | None = N
         raise ValueError(f"no header for {', '.join(extra)}")
     if order or sku_order:
         df = sort_r(df, order) if order else sort_sku(df, sku_order)
-    out = df.withColumnsRenamed(dict(renames or {}))
+    out = df.withColumns({c: percent_text(c) for c in percents}).withColumnsRenamed(dict(renames or {}))
     dates = [f.name for f in out.schema.fields if isinstance(f.dataType, T.DateType)]
     out = out.withColumns({c: F.date_format(c, "MM/dd/yyyy") for c in dates}) if dates else out
     options = {"header": True, "nullValue": "", "emptyValue": "", "encoding": encoding, "quoteAll": quote_all}

@@ -247,3 +247,32 @@ def test_duplicate_pos_names_do_not_multiply_rows(spark):
     pos = spark.createDataFrame([(2, "A-B-1", 5), (1, "A-B-1", 0)], "_pos bigint, name string, quantity int")
     inv = spark.createDataFrame([("A-B-1", 0)], "adjust_msku string, inv_total_end_wk int")
     assert [(r.msku, r.inv_pos) for r in demand.to_inactivate(master, pos, inv, "26S").collect()] == [("A-B-1", 0)]
+
+
+def test_status_log_twice_is_once(spark, tmp_path):
+    from retailflow.schemas import STATUS_LOG_HEADERS
+    from retailflow.sources.writers import VersionedTable
+    from pyspark.sql import types as T
+    log = VersionedTable(spark, str(tmp_path / "log"), T.StructType.fromDDL(", ".join(f"{c} {'int' if c.endswith('qty') else 'string'}" for c in STATUS_LOG_HEADERS)))
+    order = "extra_note_1 string, shipment_order_date string, sku string, total_quantity int, shipping_service string, billing_state string"
+    synced = spark.createDataFrame([("A", "2024-01-02 10:00", "s1", 1, "Cheapest Service", "BC"), ("A", "2024-01-02 10:00", "s2", 1, "Fast", "BC")], order)
+    shipped = spark.createDataFrame([("B", "2024-01-03 10:00", "s3", 4, "Fast", "ON")], order)
+    for version in (1, 2, 3):
+        assert stock.tpl_refresh(log, synced, shipped) == version
+        got = sorted((r.order_id, r.status, r["items"], r.shipping_required, r.total_qty, r.shipped_qty, r.shipped_from) for r in log.read().collect())
+        assert got == [("A", "Synced", "s1", "", 1, 1, "Whole"), ("B", "Shipped", "", "Express", 4, 4, "Whole")]
+    stock.tpl_refresh(log, spark.createDataFrame([], order), synced)
+    assert {r.order_id: r.status for r in log.read().collect()} == {"A": "Shipped", "B": "Shipped"}
+
+
+def test_ledger_is_checked_against_stated_totals(spark, tmp_path):
+    from retailflow.jobs import ledger
+    from retailflow.sources.writers import TotalsDiffer, write_checked
+    lines = spark.createDataFrame([("P1", "A-B-1", "Total", 5), ("P1", "A-B-2", "Total", 7), ("P1", "A-B-2", "CA/US", 3), ("P2", "C-D-1", "Total", 2), ("P3", "C-D-1", "Total", 2)],
+                                  "po string, sku string, region string, plan int")
+    stated = spark.createDataFrame([("P1", 12), ("P2", 3)], "po string, total_qty int")
+    out = ledger.stated_totals(lines, stated)
+    assert {(r.po, r.total_ok) for r in out.collect()} == {("P1", True), ("P2", False), ("P3", None)}
+    assert write_checked(out.filter("po = 'P1'"), str(tmp_path / "a"), ledger.totals_hold()) == {"lines_off": 0}
+    with pytest.raises(TotalsDiffer):
+        write_checked(out, str(tmp_path / "b"), ledger.totals_hold())

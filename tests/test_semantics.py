@@ -95,3 +95,14 @@ def test_month_sets_wrap():
     assert months.trailing_months(1) == [10, 11, 12]
     assert months.forward_months(11) == [11, 12, 1, 2]
     assert months.month_fraction(date(2024, 5, 31)) == 1.0
+
+
+def test_row_sum_and_percent_text(spark):
+    assert one(spark, s.row_sum(["a", "b", "c"]), a=1, b=(2,), c=3) == 4
+    assert [one(spark, s.percent_text("a"), a=x) for x in (0.125, 1.0, 0.0)] == ["12.5%", "100.0%", "0.0%"]
+    assert one(spark, s.percent("a"), a="10% Off") == 0.1 and one(spark, s.percent("a"), a="Sold out") is None
+
+
+def test_substitutions_go_in_order(spark):
+    assert one(spark, s.substitutions("a", [("ab", "b"), ("bb", "x")]), a="abb 中国") == "x 中国"
+    assert one(spark, s.substitutions("a", [("a", "b")]), a=("x",)) is None

@@ -203,3 +203,19 @@ def test_a_table_read_and_replaced_in_one_job(spark, tmp_path, monkeypatch):
     assert t.version() == 2 and rows(t.read()) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError, match="version 9"):
         t.read(9)
+
+
+def test_percent_text_in_an_export(spark, tmp_path):
+    out = str(tmp_path / "pct")
+    writers.write_export(spark.createDataFrame([("a", 0.255)], "item string, share double").coalesce(1), out, {"item": "ITEM", "share": "Share"}, percents=["share"])
+    assert rows(spark.read.option("header", True).csv(out)) == [("a", "25.5%")]
+
+
+def test_uploads_have_headers_for_all_their_columns(spark):
+    """Layouts and jobs agree: what a job returns is what its header map names, in its order."""
+    from retailflow import schemas
+    from retailflow.jobs import orders, stock
+    assert orders.SALES_ORDER == tuple(schemas.SALES_ORDER_HEADERS) and len(schemas.MARKET_ORDER_HEADERS) == 48
+    tpl = spark.createDataFrame([], "extra_note_1 string, shipment_order_date string, sku string, total_quantity int, shipping_service string, billing_state string")
+    assert stock.tpl_log_rows(tpl).columns == list(schemas.STATUS_LOG_HEADERS)
+    assert {*stock.transfer(date(2024, 1, 1), "s", "a", "b", "r", "m", "by", "t"), "item", "quantity"} == set(schemas.TRANSFER_HEADERS)
