@@ -32,7 +32,7 @@ from .shared import ready, shared_folder, tidy
 
 BLOCK = 65_536
 #: Bytes of text encoded together.
-SLICE = 4 << 20
+SLICE = 8 << 20
 #: Bytes of a worker's table of encoded words (``ENTRY`` is what an entry takes besides its text and ids); beyond it the
 #: table starts anew.  No result depends on it.
 KNOWN_BYTES = 96 << 20
@@ -122,7 +122,9 @@ class Pieces:
 
     def piece(self, piece: str) -> bytes:
         if piece.isascii() and piece.isalpha():
-            return self.word(piece.lower())
+            word = piece.lower()
+            got = self.words.get(word)
+            return self.word(word) if got is None else got
         if not piece or (max(piece) < LATIN_END and "<|" not in piece):
             return b"".join(map(self.word, SPLIT.findall(piece.lower())))
         return self.whole(piece)
