@@ -11,9 +11,11 @@ six standard deviations under the limit are no candidates.
 Links.  Every candidate is confirmed on the full sets.  First every class is compared with one class of its
 buckets: of the bucket's centres (the class that meets most others, as an original among its edited copies does) the one
 that seems most alike.  That joins groups of any size with as many comparisons as members.  Then the classes that are not
-of their centre's component are compared with all classes of the bucket that they aren't joined with, so no link that
-would join two components is lost.  This goes bucket by bucket in tasks, a large bucket in parts of ``PART`` classes, and a
-part yields no pairs but the few links that connect what it has found to belong together.
+of their centre's component meet all classes of the bucket that they aren't joined with, so no link that
+would join two components is lost.  This goes bucket by bucket in tasks, a large bucket in parts of ``PART`` classes.  First
+only signatures travel, and a class leaves a part in which no estimate reaches the limit; the texts of those that stay
+follow, and full sets decide the pairs whose estimate does.  A bucket of unlike classes, which share some boilerplate, costs
+bit counts only.  A part yields no pairs but the few links that connect what it has found to belong together.
 
 Cases.  Texts without words (null among them) have the empty set and are linked with nothing.  A text of fewer
 words than a shingle has one shingle, the whole sequence.  Repeated rows are one class and share their
@@ -92,6 +94,16 @@ def least_estimate(percent: int) -> float:
     return percent / 100 - 6 * (p * (1 - p) / HASHES) ** 0.5 / 0.75
 
 
+def likely_pairs(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the signatures (a row each) of ``left`` and ``right`` reach the least estimate, by the bit counts of ``estimate``."""
+    n = HASHES // 64
+    left, right = left.view(np.uint64), right.view(np.uint64)  # of signed numbers the absolute value's bits would be counted
+    differ = np.zeros((len(left), len(right)), np.int32)
+    for i in range(n):
+        differ += np.bitwise_count((left[:, None, i] ^ right[None, :, i]) | (left[:, None, i + n] ^ right[None, :, i + n]))
+    return ((1 - differ / HASHES) - 0.25) / 0.75 >= least_estimate(percent)
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
@@ -179,33 +191,72 @@ def connecting(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _by_part(batches, columns):
+    """The rows of one part after the other; rows come in order of their part."""
+    held = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if held and row[0] != held[-1][0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _apart_and_likely(left, right, percent: int) -> np.ndarray:
+    """Pairs of classes of different components whose signatures are alike enough; rows are (part, node, component, signature, ...)."""
+    number = {c: i for i, c in enumerate({r[2] for r in (*left, *right)})}
+    apart = np.array([number[r[2]] for r in left])[:, None] != np.array([number[r[2]] for r in right])[None]
+    return apart & likely_pairs(*(np.array([r[3] for r in side], np.int64) for side in (left, right)), percent)
+
+
+SIDES = "part long, node binary, component binary, signature array<long>, is_left boolean"
+
+
+def _likely(percent: int):
+    """The rows of each part that have a likely partner on its other side."""
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.bool_())
+    names = ["part", "node", "component", "signature", "is_left"]
+
+    def run(batches):
+        for rows in _by_part(batches, names):
+            left, right = [r for r in rows if r[4]], [r for r in rows if not r[4]]
+            if not left or not right:
+                continue
+            likely = _apart_and_likely(left, right, percent)
+            stay = [r for r, has in zip((*left, *right), (*likely.any(1), *likely.any(0))) if has]
+            if stay:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in stay], k) for i, k in enumerate(kinds)], names)
+    return run
+
+
 def _part_links(n_words: int, percent: int):
-    """Links between classes of different components in parts of buckets; rows come in order of their part."""
+    """Links between classes of different components in parts of buckets, of the pairs whose signatures are alike."""
     def compare(rows):
         left, right = [r for r in rows if r[4]], [r for r in rows if not r[4]]
         if not left or not right:
             return []
+        likely = _apart_and_likely(left, right, percent)
         open_ = zstandard.ZstdDecompressor()
-        sets = {r[1]: shingle_set(open_.decompress(r[3]), n_words) for r in rows}
+        sets = {node: shingle_set(open_.decompress(z), n_words) for node, z in {r[1]: r[5] for r in rows}.items()}
         x, y = [sets[r[1]] for r in left], [sets[r[1]] for r in right]
-        both = shared_counts(x, y)
-        size = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None]
-        number = {c: i for i, c in enumerate({r[2] for r in rows})}
-        apart = np.array([number[r[2]] for r in left])[:, None] != np.array([number[r[2]] for r in right])[None]
-        return [(left[i][1], right[j][1]) for i, j in connecting(apart & (100 * both >= percent * (size - both)))]
+        linked = np.zeros_like(likely)
+        if likely.sum() <= 16 * (len(x) + len(y)):  # few pairs: one by one
+            for i, j in np.argwhere(likely).tolist():
+                both = len(np.intersect1d(x[i], y[j], assume_unique=True))
+                linked[i, j] = 100 * both >= percent * (len(x[i]) + len(y[j]) - both)
+        else:
+            both = shared_counts(x, y)
+            size = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None]
+            linked = likely & (100 * both >= percent * (size - both))
+        return [(left[i][1], right[j][1]) for i, j in connecting(linked)]
 
     def run(batches):
-        held, out = [], []
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "node", "component", "z", "is_left"))):
-                if held and row[0] != held[-1][0]:
-                    out += compare(held)
-                    held = []
-                held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], ["a", "b"])
-            out = []
-        out = compare(held)
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+        for rows in _by_part(batches, ("part", "node", "component", "signature", "is_left", "z")):
+            out = compare(rows)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], ["a", "b"])
 
     return run
 
@@ -241,7 +292,7 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -
     links = _links(_texts(documents, reps, both_sides), first, n_words, percent)
     joined = components(links)
 
-    # then the classes of other components than their bucket's centre, against all of the bucket that they aren't joined with
+    # then the classes of other components than their bucket's centre, with all of the bucket that they aren't joined with
     unseen = alike.join(first.select("x", "y", F.lit(True).alias("seen")), ["x", "y"], "left").where("seen IS NULL")
     labelled = written(
         shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -260,8 +311,10 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80) -
         "l": F.pmod(F.xxhash64("node"), F.col("left_parts")), "r": F.pmod(F.xxhash64("node", F.lit(1)), F.col("right_parts"))})
     right = dealt.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("left_parts") - 1)).alias("l"), "r", "node", "component", F.lit(False).alias("is_left"))
     left = dealt.where("other").select("band", "l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("right_parts") - 1)).alias("r"), "node", "component", F.lit(True).alias("is_left"))
-    with_texts = (left.union(right).select(F.xxhash64("band", "l", "r").alias("part"), "node", "component", "is_left")
-                  .join(texts.select("node", "z"), "node"))
+    sides = (left.union(right).select(F.xxhash64("band", "l", "r").alias("part"), "node", "component", "is_left").join(held, "node")
+             .select("part", "node", "component", "signature", "is_left"))
+    likely = written(sides.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(_likely(percent)), SIDES), "likely")
+    with_texts = likely.join(texts.select("node", "z"), "node")
     more = written(with_texts.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(_part_links(n_words, percent)), "a binary, b binary"), "more")
     joined = components(links.union(more))
 

@@ -265,6 +265,39 @@ def test_near_duplicates_in_chains_and_crowds(spark, monkeypatch, part):
     assert result(near_dup.near_duplicates(df, 2)) == sorted(brute_near(rows, 2), key=repr)
 
 
+def test_unlike_classes_leave_their_part_before_texts_come():
+    """5,000 classes of one bucket that share boilerplate only, one pair of them alike."""
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    common = rng.integers(1, 1 << 62, 100, np.uint64)
+    sets = [np.concatenate([common, rng.integers(1, 1 << 62, 300, np.uint64)]) for _ in range(5000)]
+    sets[4321] = np.concatenate([sets[17][:395], rng.integers(1, 1 << 62, 5, np.uint64)])
+    signs = np.array([near_dup.planes(near_dup.minima(s)) for s in sets])
+    likely = near_dup.likely_pairs(signs[10:20], signs, 80)
+    x, y = signs[17].view(np.uint64), signs[4321].view(np.uint64)
+    differ = sum(bin(int((x[i] ^ y[i]) | (x[i + 2] ^ y[i + 2]))).count("1") for i in range(2))
+    assert ((1 - differ / 128) - 0.25) / 0.75 > 0.8 and set(np.flatnonzero(likely[7]).tolist()) == {17, 4321} and likely.sum() == 11
+    name = lambda i: i.to_bytes(4, "big")
+    rows = [(1, name(i), name(i), signs[i].tolist(), i < 2000) for i in range(5000)] + [(2, name(0), name(0), signs[0].tolist(), True)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows[lo: lo + 999]]) for c in range(5)], ["part", "node", "component", "signature", "is_left"])
+               for lo in range(0, len(rows), 999)]
+    got = [r for b in near_dup._likely(80)(batches) for r in b.to_pylist()]
+    assert sorted((r["part"], r["node"], r["is_left"]) for r in got) == [(1, name(17), True), (1, name(4321), False)]
+
+
+@pytest.mark.parametrize("part", [1024, 40])
+def test_near_duplicates_among_boilerplate(spark, monkeypatch, part):
+    """Buckets full of classes that share two fifths of their words; a few of them have an edited copy."""
+    monkeypatch.setattr(near_dup, "PART", part)
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    common = " ".join(word() for _ in range(60))
+    rows = [(i, common + " " + " ".join(word() for _ in range(90))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1][:-7] + " " + word()) for i in range(0, 200, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(near_dup.near_duplicates(df, 2)) == sorted(brute_near(rows, 2), key=repr)
+
+
 def test_near_duplicates_of_no_rows(spark):
     assert near_dup.near_duplicates(empty(spark)).collect() == []
 
