@@ -31,18 +31,41 @@ def one_or_join(df: DataFrame, by: Sequence[str], cols: Sequence[str], sep: str,
     return out.select(*by, *single)
 
 
+CONTACT_FIELDS = ("phone_number", "email_address")
+
+
+def _named(customers: DataFrame) -> DataFrame:
+    return customers.withColumns({"name": full_name(), **{c: blank_to_null(c) for c in CONTACT_FIELDS}}).filter(F.trim("name") != "")
+
+
 def consolidate_contacts(customers: DataFrame, order: str = "_pos") -> DataFrame:
-    """One row per customer name with its phone and e-mail (several: joined by ``|``); nameless rows dropped."""
-    named = customers.withColumns({
-        "name": full_name(), "phone_number": blank_to_null("phone_number"), "email_address": blank_to_null("email_address"),
-    }).filter(F.trim("name") != "")
-    return one_or_join(named, ["name"], ["phone_number", "email_address"], "|", order)
+    """One row per customer name with its phone and e-mail (several: joined by ``|``); nameless rows dropped.
+
+    The form an upload takes: a name's text is as long as its values.  ``contact_values`` has the same values as rows.
+    """
+    return one_or_join(_named(customers), ["name"], list(CONTACT_FIELDS), "|", order)
 
 
 def ambiguous_contacts(contacts: DataFrame) -> DataFrame:
     return contacts.filter(F.col("email_address").contains("|"))
 
 
+def contact_values(customers: DataFrame, order: str = "_pos") -> DataFrame:
+    """A row per name, field and distinct value: how often it occurs and where first.  Nameless rows and blank values are dropped.
+
+    However many values a name has, no row grows with them; counts are partial before the exchange.
+    """
+    long = _named(customers).unpivot(["name", order], list(CONTACT_FIELDS), "field", "value").filter(F.col("value").isNotNull())
+    return long.groupBy("name", "field", "value").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_pos"))
+
+
+def contact_conflicts(customers: DataFrame, order: str = "_pos") -> DataFrame:
+    """The contact values, as rows, of names with several of one field: number of distinct values and occurrences beside each."""
+    values = contact_values(customers, order)
+    several = values.groupBy("name", "field").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows")).filter(F.col("n_values") > 1)
+    return values.join(several, ["name", "field"])
+
+
 def named_emails(customers: DataFrame) -> DataFrame:
     """One row per e-mail, then one per name: the simple contact table of the points and report jobs.
 

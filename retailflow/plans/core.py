@@ -370,3 +370,21 @@ def _(t):
     FROM s_customer WHERE first_name || last_name <> '' GROUP BY 1 HAVING count(DISTINCT nullif(email_address, '')) > 1""")
 def _(t):
     return customers.ambiguous_contacts(customers.consolidate_contacts(t.s_customer)).select("name", "email_address")
+
+
+CONTACT_VALUES = """v AS (SELECT name, field, value, count(*) AS n, min(_pos) AS first_pos FROM (
+        SELECT first_name || ' ' || last_name AS name, 'phone_number' AS field, nullif(phone_number, '') AS value, _pos FROM s_customer
+        UNION ALL SELECT first_name || ' ' || last_name, 'email_address', nullif(email_address, ''), _pos FROM s_customer)
+      WHERE trim(name) <> '' AND value IS NOT NULL GROUP BY 1, 2, 3)"""
+
+
+@query("contact_values", f"WITH {CONTACT_VALUES} SELECT * FROM v")
+def _(t):
+    return customers.contact_values(t.s_customer)
+
+
+@query("contact_conflicts", f"""
+    WITH {CONTACT_VALUES} SELECT name, field, value, n, first_pos, n_values, cast(n_rows AS bigint) AS n_rows
+    FROM v JOIN (SELECT name, field, count(*) AS n_values, sum(n) AS n_rows FROM v GROUP BY 1, 2 HAVING count(*) > 1) USING (name, field)""")
+def _(t):
+    return customers.contact_conflicts(t.s_customer)

@@ -84,6 +84,11 @@ def test_contacts(spark):
     out = customers.consolidate_contacts(c)
     assert rows(out) == [("a b", "1", "x@|y@"), ("n o", None, None)]
     assert rows(customers.ambiguous_contacts(out)) == [("a b", "1", "x@|y@")]
+    values = customers.contact_values(c).select("name", "field", "value", "n", "first_pos")
+    assert rows(values) == [("a b", "email_address", "x@", 1, 2), ("a b", "email_address", "y@", 1, 3), ("a b", "phone_number", "1", 2, 1)]
+    apart = customers.contact_conflicts(c).select("name", "field", "value", "n", "first_pos", "n_values", "n_rows")
+    assert rows(apart) == [("a b", "email_address", "x@", 1, 2, 2, 2), ("a b", "email_address", "y@", 1, 3, 2, 2)]
+    assert customers.contact_conflicts(c.limit(0)).count() == 0
 
 
 def test_province_tax(spark):
