@@ -26,6 +26,15 @@ def test_salted_lookup_equals_plain(spark):
     assert rows(plain) == rows(salted) and salted.count() == 3000
 
 
+def test_salted_copies_are_not_broadcast(spark):
+    df = spark.range(3000).select((F.col("id") % 50).alias("k"), "id")
+    dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    out = lk.lookup(df, dim, "k", ["v"], unique=True, salt=8)
+    out._jdf.queryExecution().toRdd().count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_lookup_chain_first_dimension_with_the_key_decides(spark):
     df = spark.createDataFrame([("A",), ("B",), ("C",)], "k string")
     d1 = spark.createDataFrame([("A", None)], "k string, v string")
