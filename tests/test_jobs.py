@@ -1,5 +1,6 @@
 """Business rules on small hand-made tables with the awkward rows."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -77,6 +78,33 @@ def test_interleaved_orders_get_new_run_ids(spark):
                    ("CLR240905-03", "A", "Cash", "A-A-1", None, "e@x"), ("CLR240905-04", "C", "Clover", "MISC-ITEM", Decimal("2.00"), None)]
 
 
+def carried(df, capsys, column):
+    """Exchanges of the plan that carry ``column``: their other columns."""
+    df.explain("formatted")
+    nodes = re.findall(r"\n\(\d+\) Exchange\n(?:Input|Output) \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    nodes = [set(re.sub(r"#\d+L?", "", n).split(", ")) for n in nodes]
+    return [n for n in nodes if column in n]
+
+
+def till(spark):
+    lines = table(spark, "pos_line", [dict(order_id=o, _pos=i, line_item_date="05-Sep-2024 09:00 AM", item_sku="A-A-1", item_total=5, total_discount=1, tax_amount=1, item_tax_rate=0.05, order_payment_state="Paid",
+                                           refunded="false", exchanged="false", discounts="Wholesaler line") for i, o in enumerate(["A", "A", "B", "C", None])], "_pos bigint")
+    pays = table(spark, "pos_payment", [dict(order_id=o, tender="Cash", amount=7, result="SUCCESS", customer_name=n, _pos=i) for i, (o, n) in enumerate([("A", "x y"), ("A", "p q"), ("B", "p q"), ("C", None)])], "_pos bigint")
+    contacts = spark.createDataFrame([("x y", "1", "e@x"), ("p q", "2|3", "f@x|g@x")], "name string, phone_number string, email_address string")
+    return lines, pays, contacts
+
+
+TEXTS = {"phone", "email", "phone_number", "email_address", "recipient_phone", "recipient_email", "__phone", "__email"}
+
+
+def test_sales_orders_travel_without_contact_texts(spark, capsys):
+    lines, pays, contacts = till(spark)
+    out = orders.pos_sales_orders(lines, pays, contacts, spark.createDataFrame([("A-A-1",)], "name string"))
+    moved = carried(out, capsys, "order_id")
+    assert moved and not any(n & TEXTS for n in moved)
+    assert sorted((r["order_id"], r["recipient"] or "", r["recipient_phone"] or "") for r in out.collect()) == [("A", "x y", "1"), ("A", "x y", "1"), ("B", "p q", "2|3"), ("C", "", "")]
+
+
 def test_contacts(spark):
     c = table(spark, "pos_customer", [dict(first_name="a", last_name="b", phone_number="1", email_address="", _pos=1), dict(first_name="a", last_name="b", phone_number="1", email_address="x@", _pos=2),
                                       dict(first_name="a", last_name="b", phone_number=None, email_address="y@", _pos=3), dict(first_name="", last_name="", phone_number="9", _pos=4),
