@@ -105,6 +105,21 @@ def test_sales_orders_travel_without_contact_texts(spark, capsys):
     assert sorted((r["order_id"], r["recipient"] or "", r["recipient_phone"] or "") for r in out.collect()) == [("A", "x y", "1"), ("A", "x y", "1"), ("B", "p q", "2|3"), ("C", "", "")]
 
 
+def test_store_wholesale_travels_without_contact_texts(spark, capsys):
+    lines, pays, contacts = till(spark)
+    wholesalers = spark.createDataFrame([("e@x", "X Ltd", "777")], "email string, company_name string, phone string")
+    done = spark.createDataFrame([("A", "REF1"), ("B", "REF2")], "order_id string, ref_id string")
+    per_line, per_order, months = orders.store_wholesale(lines, pays, contacts, wholesalers, done)
+    for out in (per_line, per_order, months):
+        moved = carried(out, capsys, "order_id")
+        assert moved and not any(n & TEXTS for n in moved)
+    got = rows(per_line.select("order_id", "ref_id", "quantity", "tender", "company_name", "recipient_phone", "recipient_email"))
+    assert got == [("A", "REF1", 2, "Cash:$7.00|Cash:$7.00", "X Ltd", "777", "e@x"), ("B", "REF2", 1, "Cash:$7.00", "p q", "2|3", "f@x|g@x"),
+                   ("C", None, 1, "Cash:$7.00", None, None, None), (None, None, 1, None, None, None, None)]
+    assert rows(per_order.select("order_id", "amount", "company_name", "discount", "tax"))[0] == ("A", Decimal("14.00"), "X Ltd", Decimal("2.00"), Decimal("2.00"))
+    assert rows(months.select("month", "amount", "tax")) == [("09", Decimal("28.00"), Decimal("5.00"))]
+
+
 def test_contacts(spark):
     c = table(spark, "pos_customer", [dict(first_name="a", last_name="b", phone_number="1", email_address="", _pos=1), dict(first_name="a", last_name="b", phone_number="1", email_address="x@", _pos=2),
                                       dict(first_name="a", last_name="b", phone_number=None, email_address="y@", _pos=3), dict(first_name="", last_name="", phone_number="9", _pos=4),
