@@ -53,6 +53,17 @@ def test_rows_update_and_upsert(spark):
     assert rows(out) == [(1, "Shipped"), (2, "Synced"), (5, "Synced"), (6, "Shipped")]
 
 
+def test_upsert_sees_a_notice_once_per_key(spark):
+    log = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "k int, v string")
+    notices = spark.createDataFrame([(2,), (2,), (1,), (1,), (None,), (None,)], "k int")
+    out = keys.upsert_status(log, "k", "v", [(notices, "Synced"), (notices, "Shipped")])
+    assert rows(out) == [(1, "Synced"), (1, "Synced"), (2, "Shipped"), (2, "Synced"), (None, "Shipped"), (None, "Synced"), (None, "z")]
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    wide = spark.createDataFrame([(2, "b"), (2, "a")], "k int, w string")
+    out = keys.upsert_status(spark.createDataFrame([(1, "x", "c")], "k int, v string, w string"), "k", "v", [(wide, "Synced")])
+    assert rows(out) == [(1, "x", "c"), (2, "Synced", "a")]
+
+
 def test_unions_by_key(spark):
     a = spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string")
     b = spark.createDataFrame([(2, "b"), (3, "b"), (3, "c")], "k int, v string")

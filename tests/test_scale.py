@@ -64,3 +64,18 @@ def test_hot_first_row_and_text(no_broadcast):
     text = groups.collapse(df.withColumn("t", F.col("id").cast("string")), ["k"], "id", "|", {"t": "t"}, {"v": "v"}, block_rows=10_000)
     got = text.filter("k = 7").first()
     assert got["t"].startswith("0|3|") and got["t"].count("|") == text_rows(df) - 1 and rows(text.agg(F.sum("v"))) == [(sum(i % 97 for i in range(300_000)),)]
+
+
+def test_a_task_is_given_a_bounded_share(spark):
+    from retailflow.session import apply_settings
+    keys_ = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    old = {k: spark.conf.get(k) for k in keys_}
+    try:
+        for given, held in ((["64MB", "134217728b"], ["16m", "32m"]), (["1g", "33m"], ["16m", "32m"]), (["8m", "16384k"], ["8m", "16384k"]), (["16777216", "32MB"], ["16777216", "32MB"])):
+            for k, v in zip(keys_, given):
+                spark.conf.set(k, v)
+            apply_settings(spark)
+            assert [spark.conf.get(k) for k in keys_] == held
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
