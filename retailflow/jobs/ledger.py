@@ -30,8 +30,10 @@ def factory_by_category(factories: DataFrame, factory_cols: Sequence[str]) -> Da
 def plan_lines(requests: DataFrame, regions: Mapping[str, str] = LEDGER_REGIONS) -> DataFrame:
     """Planned quantity per (order, SKU, region) with a Total region."""
     lines = requests.filter(F.col("sku").contains("-")).withColumn("sku", F.trim("sku"))
-    long = unpivot_regions(lines, ["po", "sku"], {"total_qty": TOTAL, **regions}, ("region", "plan"))
-    return long.groupBy("po", "sku", "region").agg(F.sum("plan").alias("plan"))
+    columns = {"total_qty": TOTAL, **regions}
+    # summed while the regions are columns: a row per order and SKU is hashed and moved, not one per region
+    wide = lines.groupBy("po", "sku").agg(*[F.sum(c).alias(c) for c in columns])
+    return unpivot_regions(wide, ["po", "sku"], columns, ("region", "plan"))
 
 
 def open_ledger(requests: DataFrame, master: DataFrame, factories: DataFrame | None = None,

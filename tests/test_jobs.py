@@ -213,6 +213,15 @@ def test_po_reference_retry(spark):
     assert got == {"P1": ("P1-CA", "D1"), "P2": ("P2", "D2"), "P3": ("P3-CA", None), "P4": ("P4", None)}
 
 
+def test_plan_lines_are_summed_before_regions_become_rows(spark):
+    req = table(spark, "po_request", [dict(po="P1", sku="A-B-1", total_qty=5, qty_uk=2), dict(po="P1", sku=" A-B-1", total_qty=4, qty_uk=0), dict(po="P1", sku="Total", total_qty=9),
+                                      dict(po=None, sku="A-B-2", qty_ca=1), dict(po="P2", sku="A-B-1")])
+    out = ledger.plan_lines(req)
+    assert rows(out) == [("P1", "A-B-1", "Total", 9), ("P1", "A-B-1", "UK", 2), (None, "A-B-2", "CA/US", 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Expand") < plan.index("HashAggregate")
+
+
 def test_ledger_is_idempotent_and_conserves(spark):
     plan = spark.createDataFrame([("P1", "A-B-1", "Total", 10), ("P1", "A-B-1", "UK", 4), ("P1", "A-B-1", "CA/US", 6), ("P1", "A-B-2", "Total", 0)], "po string, sku string, region string, plan int")
     ship = spark.createDataFrame([("P1", "A-B-1", "UK", 3), ("P1", "A-B-1", "UK", 2), ("P1", "X-Y-1", "UK", 1)], "po string, sku string, region string, quantity int")
