@@ -166,7 +166,10 @@ def web_region_yoy(orders: DataFrame, years: Sequence[int], before: tuple[int, i
 
     ``before=(month, day)`` compares the years up to the same day.
     """
-    one = first_per_key(orders, "order_number", source_order(orders)).withColumn("__d", F.to_date(F.split("order_date", " ")[0]))
+    used, order = ["order_number", "order_date", "country_code", "state_code", "order_total"], source_order(orders)
+    if "_pos" not in order:  # of columns in their order, those behind the last used one decide nothing that shows
+        order = order[:1 + max(order.index(c) for c in used)]
+    one = first_per_key(orders.select(*dict.fromkeys([*order, *used])), "order_number", order).withColumn("__d", F.to_date(F.split("order_date", " ")[0]))
     out = one.withColumns({"year": F.year("__d"), "month": F.month("__d"),
                            "state": F.when(F.col("country_code") == lump, lump).otherwise(F.col("state_code"))})
     out = out.filter(F.col("year").isin(list(years)) & not_blank("country_code") & not_blank("state"))

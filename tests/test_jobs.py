@@ -222,6 +222,17 @@ def test_plan_lines_are_summed_before_regions_become_rows(spark):
     assert plan.index("Expand") < plan.index("HashAggregate")
 
 
+def test_web_orders_travel_with_the_used_columns(spark, capsys):
+    names = "order_number string, order_date string, order_status string, order_total decimal(12,2), country_code string, state_code string, sku string, quantity int"
+    lines = spark.createDataFrame([("1", "2000-05-02 08:00", "b", Decimal(7), "CA", "BC", "x", 1), ("1", "2000-05-02 08:00", "a", Decimal(9), "CA", "ON", "y", 2), ("1", "2000-05-02 08:00", "a", Decimal(9), "CA", "ON", "x", 1),
+                                   ("2", "1999-05-02 08:00", "a", Decimal(5), "US", "WA", "x", 1)], names)
+    out = reports.web_region_yoy(lines, [1999, 2000])
+    assert not any(n & {"sku", "quantity"} for n in carried(out, capsys, "order_number"))
+    assert rows(out) == [(1999, 5, "US", "US", "amount", 5.0), (1999, 5, "US", "US", "orders", 1.0), (2000, 5, "CA", "ON", "amount", 9.0), (2000, 5, "CA", "ON", "orders", 1.0)]
+    last = lines.withColumn("_pos", -F.monotonically_increasing_id())
+    assert ("amount", 9.0) in rows(reports.web_region_yoy(last, [2000]).select("measure", "value"))
+
+
 def test_ledger_is_idempotent_and_conserves(spark):
     plan = spark.createDataFrame([("P1", "A-B-1", "Total", 10), ("P1", "A-B-1", "UK", 4), ("P1", "A-B-1", "CA/US", 6), ("P1", "A-B-2", "Total", 0)], "po string, sku string, region string, plan int")
     ship = spark.createDataFrame([("P1", "A-B-1", "UK", 3), ("P1", "A-B-1", "UK", 2), ("P1", "X-Y-1", "UK", 1)], "po string, sku string, region string, quantity int")
