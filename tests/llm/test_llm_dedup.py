@@ -328,3 +328,19 @@ def test_op7(spark):
     got = queries.op7(spark, SF).persist()
     assert result(got) == sorted(brute_near(texts_of(spark), 2), key=repr)
     assert compare(got, connect(SF), queries.SQL["op7_near_duplicates"]) is None
+
+
+def test_texts_are_dealt_once_with_or_without_crowds(spark, monkeypatch, tmp_path):
+    """Crowded anchors take their contexts from the exchange that all contexts share: no other job moves the texts."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 3)
+    rows = [(i, prose(20) + " " + PASSAGE + " " + prose(20)) for i in range(30)] + [(99, BASE + BASE)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    moved = []
+    monkeypatch.setattr(suffix_dedup, "written", lambda frame, name, write=suffix_dedup.written: (moved.append(frame), write(frame, name))[1])
+    out = suffix_dedup.repeats(df)
+    assert as_rows(out) == sorted(brute_repeats(rows), key=repr)
+    assert [f.columns for f in moved if "_row" in f._jdf.queryExecution().analyzed().toString() and "Join" in f._jdf.queryExecution().analyzed().toString()] == []
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    exchanges = [line for line in plan.splitlines() if " Exchange " in line and "hashpartitioning(_id" in line]
+    assert len(exchanges) == 3, plan  # texts, what is asked of them, runs
