@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import tidy
+from .shared import ready, tidy
 
 #: Pre-tokens of more bytes get a queue of their own.
 LONG = 400
@@ -255,13 +255,15 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         # four control characters are white space to Python and not to the pattern; such texts are one piece
-        cut = [_PIECE.findall(t) if not any(c in t for c in "\x1c\x1d\x1e\x1f") else [t] if t else [] for t in texts]
-        new: set[str] = set()
-        for ps in cut:
-            new.update(ps)
-        if len(self.known) + len(new) > KNOWN_PIECES:
+        seen: dict[str, str] = {}
+        cut = []
+        for t in texts:
+            ps = _PIECE.findall(t) if not any(c in t for c in "\x1c\x1d\x1e\x1f") else [t] if t else []
+            cut.append(list(map(seen.setdefault, ps, ps)))  # equal pieces are one string while the batch is held
+        if len(self.known) + len(seen) > KNOWN_PIECES:
             self.known.clear()
-        new.difference_update(self.known)
+        new = seen.keys() - self.known.keys()
+        del seen
         self.learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, ps)) for ps in cut]
@@ -281,12 +283,12 @@ def encoder(path: str, pattern: str) -> Encoder:
 AT_ONCE = 4 << 20
 
 
-def _texts(batch: pa.RecordBatch, column: int):
-    """Slices of the column of about AT_ONCE bytes, as lists of texts."""
+def _texts(batch: pa.RecordBatch, column: int, at_once: int | None = None):
+    """Slices of the column of about ``at_once`` (AT_ONCE) bytes, as lists of texts."""
     texts, size, lo = batch.column(column), 0, 0
     for i in range(len(texts)):
         size += len(texts[i].as_buffer()) if texts[i].is_valid else 0
-        if size >= AT_ONCE:
+        if size >= (at_once or AT_ONCE):
             yield lo, i + 1, [t or "" for t in texts[lo: i + 1].to_pylist()]
             lo, size = i + 1, 0
     if lo < len(texts):
@@ -301,6 +303,7 @@ def encode(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 raw = encoder(ranks, pattern).encode_batch(texts)
                 ids = [np.frombuffer(r, "<u4").astype(np.int32) for r in raw]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+    ready(documents.sparkSession)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
@@ -321,7 +324,7 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, with_ids: bool =
 
     def run(batches):
         for batch in batches:
-            for lo, hi, texts in _texts(batch, 1):
+            for lo, hi, texts in _texts(batch, 1, AT_ONCE // 2 if with_ids else None):  # ids are held and written too
                 own = encoder(ranks, pattern)
                 raw = own.encode_batch(texts)
                 back = [hashlib.sha256(own.vocabulary.decode(np.frombuffer(r, "<u4")) if r else b"").hexdigest() for r in raw]
@@ -332,4 +335,5 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str, with_ids: bool =
                     out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4"))))
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(out)])
 
+    ready(documents.sparkSession)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), schema)

@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -170,3 +171,31 @@ def test_round_trip_of_awkward_rows(spark, byte_tokenizer):
 @needs_tables
 def test_op9(spark, byte_tokenizer):
     assert sorted(tuple(r) for r in queries.op9(spark, SF).collect()) == sorted(digests(texts_of(spark), byte_tokenizer))
+
+
+def test_equal_pieces_of_a_batch_are_held_once():
+    """A worker holds the words of a batch as often as they differ, not as often as they occur."""
+    import tracemalloc
+    own = bpe.encoder(RANKS, PATTERN)
+    texts = [" surroundings" * 2000] * 100
+    own.encode_batch(texts[:1])
+    tracemalloc.start()
+    try:
+        ids = own.encode_batch(texts)
+        assert tracemalloc.get_traced_memory()[1] < 6e6  # 13 MB as a string per word
+    finally:
+        tracemalloc.stop()
+    assert len(set(ids)) == 1
+
+
+def test_batches_that_reach_a_worker_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        df = spark.range(40).selectExpr("id AS doc_id", "repeat('ab c ', 100000) AS text").coalesce(1)
+        assert bpe.round_trip(df, RANKS, PATTERN).select("decoded_sha256").distinct().count() == 1
+        held = df.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in bs), "n long").collect()
+        assert max(r.n for r in held) < 10e6 and sum(r.n for r in held) > 20e6 - 1e6
+    finally:
+        spark.conf.set(key, before)
