@@ -15,15 +15,19 @@ block spans several.  Other columns are not read.  An empty table makes no block
 
 from __future__ import annotations
 
+import codecs
+import functools
 import os
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,18 +36,33 @@ from .shared import ready, shared_folder, tidy
 
 BLOCK = 65_536
 #: Bytes of text encoded together.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Bytes of a worker's table of encoded words (``ENTRY`` is what an entry takes besides its text and ids); beyond it the
-#: table starts anew.  No result depends on it.
+#: older half goes.  No result depends on it.
 KNOWN_BYTES = 96 << 20
 ENTRY = 200
+#: Bytes of a worker's table of numbered pieces; beyond it those go that came in one slice only.  No result depends on it.
+PIECES_BYTES = 12 << 20
+#: Pieces split or laid out together.
+PORTION = 8_192
 
-#: The tokenizer's pattern, for lowered text of Latin script.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-LATIN_END = "\u0250"
+LATIN_END = 0x250
+#: Pieces that the tokenizer encodes itself: beyond Latin script, or perhaps with a special token.
+ODD = f"[^\\x00-\\x{{{LATIN_END - 1:x}}}]|<\\|"
+
+
+def _lowered(category: str) -> str:
+    """Characters of a general category that Latin text has after lowering, some of them beyond ``LATIN_END``."""
+    return "".join(sorted(c for c in {c for i in range(LATIN_END) for c in chr(i).lower()} if unicodedata.category(c).startswith(category)))
+
+
+#: The tokenizer's pattern, for lowered pieces of Latin script that a line end follows.
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^\n{0}{1}]+|\n".format(_lowered("L"), _lowered("N")))
+#: What stands for the line end between ids.
+MARK = 0xFFFFFFFF
 #: Bytes as letters, as byte-level tokenizers write them: printable ones are themselves, the rest follow from 256 on.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+BYTE_LETTERS = "".join(chr(b if b in _PLAIN else 256 + b - sum(p < b for p in _PLAIN)) for b in range(256))
 
 BLOCK_SCHEMA = ("shard int, block int, first_id long, n_ids int, bits int, payload binary, "
                 "docs array<struct<doc_id: long, first_id: long, n_ids: long>>")
@@ -91,9 +110,10 @@ class Pieces:
     """Token ids of text, by way of its distinct pieces.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its pieces.  The pieces of many texts are
-    found and numbered by Arrow, each distinct one is encoded once and numpy lays the ids out.  Pieces of ASCII letters reach
-    the model as they are, other pieces of Latin script after lowering and splitting by the tokenizer's own pattern; normaliser and
-    splitter are left out for them.  All else, and what may hold a special token, goes through the library whole.
+    found and numbered by Arrow, together with those known from texts before, so that only new ones are encoded, and numpy lays the
+    ids out.  New pieces of Latin script are lowered and split in portions by the tokenizer's own pattern, and words not met before
+    reach the model as they are; normaliser and splitter are left out for them.  All else, and what may hold a special token, goes
+    through the library whole.
     """
 
     def __init__(self, path: str):
@@ -102,48 +122,101 @@ class Pieces:
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.words: dict[str, bytes] = {}
-        self.room = KNOWN_BYTES
+        self.held = 0
+        self.start_anew()
 
     def whole(self, text: str) -> bytes:
         return _raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def word(self, word: str) -> bytes:
-        """One pre-token, lowered; remembered."""
-        got = self.words.get(word)
-        if got is None:
-            spelt = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            got = _raw([t.id for t in self.model.tokenize(spelt)])
-            self.room -= len(word) + len(got) + ENTRY
-            if self.room < 0:
-                self.words.clear()
-                self.room = KNOWN_BYTES
-            self.words[word] = got
-        return got
-
-    def piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isalpha():
-            word = piece.lower()
-            got = self.words.get(word)
-            return self.word(word) if got is None else got
-        if not piece or (max(piece) < LATIN_END and "<|" not in piece):
-            return b"".join(map(self.word, SPLIT.findall(piece.lower())))
-        return self.whole(piece)
+    # Words
+
+    def learn(self, found: list[str]) -> None:
+        """Encode those of the lowered pre-tokens that are not remembered, and remember them; line ends are the ``MARK``."""
+        if self.held > KNOWN_BYTES:
+            self.words = dict(islice(self.words.items(), len(self.words) // 2, None))
+            self.held = sum(map(len, self.words)) + sum(map(len, self.words.values())) + ENTRY * len(self.words)
+        new = list(set(found).difference(self.words, "\n"))
+        if new:
+            spelt = codecs.charmap_decode("\n".join(new).encode(), "strict", BYTE_LETTERS)[0].split(BYTE_LETTERS[ord("\n")])
+            raws = [_raw([t.id for t in tokens]) for tokens in map(self.model.tokenize, spelt)]
+            self.words.update(zip(new, raws))
+            self.held += sum(map(len, new)) + sum(map(len, raws)) + ENTRY * len(new)
+        self.words["\n"] = _raw([MARK])
+
+    # Pieces
+
+    def start_anew(self) -> None:
+        """No piece is known.  ``ids[start:start + size]`` are those of the piece in the same place of ``known``, ``used`` counts its slices."""
+        self.known = pa.array([], pa.large_string())
+        self.start, self.size, self.used = (np.empty(0, np.int64) for _ in range(3))
+        self.ids = np.empty(0, np.uint32)
+
+    def full(self) -> bool:
+        return sum(x.nbytes for x in (self.known, self.start, self.size, self.used, self.ids)) > PIECES_BYTES
+
+    def make_room(self) -> None:
+        """Keep the pieces that came again."""
+        keep = np.flatnonzero(self.used > 1)
+        ids, ends = self.laid_out(keep)
+        self.known = self.known.take(pa.array(keep))
+        self.start, self.size, self.ids, self.used = ends[:-1], self.size[keep], ids, np.zeros(len(keep), np.int64)
+        if self.full():
+            self.start_anew()
+
+    def laid_out(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces in these places one after the other, and where each begins, with the end of all."""
+        ends = np.zeros(len(at) + 1, np.int64)
+        np.cumsum(self.size[at], out=ends[1:])
+        ids = np.empty(ends[-1], np.uint32)
+        for lo in range(0, len(at), PORTION):
+            some, to = at[lo:lo + PORTION], ends[lo:lo + PORTION + 1]
+            ids[to[0]:to[-1]] = self.ids[np.arange(to[0], to[-1]) + np.repeat(self.start[some] - to[:-1], self.size[some])]
+        return ids, ends
+
+    def add(self, pieces: pa.Array) -> None:
+        """Encode new pieces: ids of those of Latin script first, then of the odd ones."""
+        odd = pc.match_substring_regex(pieces, ODD)
+        latin = pieces.filter(pc.invert(odd))
+        ids, sizes = [], []
+        for lo in range(0, len(latin), PORTION):
+            portion = latin.slice(lo, PORTION).cast(pa.string())
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(portion)], pa.int32()), portion), "\n")[0].as_py()
+            found = SPLIT.findall(text.lower() + "\n")
+            self.learn(found)
+            got = np.frombuffer(b"".join(map(self.words.__getitem__, found)), "<u4")
+            mark = got == MARK
+            ids.append(got[~mark])
+            sizes.append(np.diff(np.flatnonzero(mark), prepend=-1) - 1)
+        raws = list(map(self.whole, pieces.filter(odd).to_pylist()))
+        ids.append(np.frombuffer(b"".join(raws), "<u4"))
+        sizes.append(np.array([len(r) // 4 for r in raws], np.int64))
+        place = len(self.size) + np.argsort(np.asarray(odd), kind="stable")
+        size, ends = np.concatenate(sizes), len(self.ids) + np.cumsum(np.concatenate(sizes))
+        self.start, self.size, self.used = (np.concatenate([x, np.zeros(len(pieces), np.int64)]) for x in (self.start, self.size, self.used))
+        self.start[place], self.size[place] = ends - size, size
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def numbered(self, pieces: pa.Array) -> np.ndarray:
+        """The places of all pieces in the table, which has them all then."""
+        if self.full():
+            self.make_room()
+        had = len(self.known)
+        coded = pa.concat_arrays([self.known, pieces]).dictionary_encode()
+        if len(coded.dictionary) > had:
+            self.add(coded.dictionary.slice(had))
+            self.known = coded.dictionary
+        at = np.asarray(coded.indices.slice(had))
+        self.used += np.bincount(at, minlength=len(self.used)) > 0
+        return at
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (nulls are empty) one after the other, and how many each has."""
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")  # the table and the pieces of a slice may pass 2 GB together
         if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():  # the splitter's white space, not the tokenizer's
             raws = [self.whole(t) for t in texts.to_pylist()]
             return np.frombuffer(b"".join(raws), "<u4"), np.array([len(r) // 4 for r in raws], np.int64)
         split = pc.utf8_split_whitespace(texts)
-        numbered = split.flatten().dictionary_encode()
-        raws = list(map(self.piece, numbered.dictionary.to_pylist()))
-        size = np.array([len(r) // 4 for r in raws], np.int64)
-        known = np.frombuffer(b"".join(raws), "<u4")
-        at = np.asarray(numbered.indices)
-        sizes = size[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = known[np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[at] - ends[:-1], sizes)]
+        ids, ends = self.laid_out(self.numbered(split.flatten()))
         places = np.asarray(split.offsets, np.int64)
         places -= places[0]
         return ids, ends[places[1:]] - ends[places[:-1]]
@@ -152,8 +225,13 @@ class Pieces:
         return self.encode_all(pa.array([text], pa.string()))[0].astype("<u4").tobytes()
 
 
+@functools.cache
+def _packer(size: int) -> struct.Struct:
+    return struct.Struct(f"<{size}I")
+
+
 def _raw(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _packer(len(ids)).pack(*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 _pieces: dict[str, Pieces] = {}
@@ -230,16 +308,20 @@ def _segments(fn, kind: pa.DataType):
     """Per block and document: the document's place and ``fn`` of its ids in the block."""
     def run(batches):
         for batch in batches:
-            out = []
-            for b in batch.to_pylist():
-                ids = unpack(b["payload"], b["bits"], 0, b["n_ids"])
-                for d in b["docs"]:
-                    lo, hi = max(d["first_id"], b["first_id"]), min(d["first_id"] + d["n_ids"], b["first_id"] + b["n_ids"])
-                    out.append((b["shard"], d["doc_id"], d["first_id"], d["n_ids"], lo - d["first_id"], hi - lo,
-                                fn(ids[lo - b["first_id"]: hi - b["first_id"]])))
-            names = ("shard", "doc_id", "first_id", "n_ids", "at", "size", "value")
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), kind)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], list(names))
+            docs = batch.column("docs")
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(docs)))
+            doc_id, first, n = (pc.struct_field(docs.flatten(), name) for name in ("doc_id", "first_id", "n_ids"))
+            start, size = (np.asarray(batch.column(name), np.int64) for name in ("first_id", "n_ids"))
+            lo = np.maximum(first, start[row])
+            hi = np.minimum(np.add(first, n), (start + size)[row])
+            values, now = [], -1
+            for k, a, b in zip(row.tolist(), (lo - start[row]).tolist(), (hi - start[row]).tolist()):
+                if k != now:
+                    ids, now = unpack(batch.column("payload")[k].as_py(), batch.column("bits")[k].as_py(), 0, int(size[k])), k
+                values.append(fn(ids[a:b]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("shard").take(pa.array(row)), doc_id, first, n, pa.array(lo - np.asarray(first)), pa.array(hi - lo), pa.array(values, kind)],
+                ["shard", "doc_id", "first_id", "n_ids", "at", "size", "value"])
     return run
 
 
@@ -261,34 +343,43 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.flatten(F.col("segments.value")).alias("ids"))
 
 
+def _apply(matrix: list[int], value: int) -> int:
+    out, i = 0, 0
+    while value:
+        if value & 1:
+            out ^= matrix[i]
+        value, i = value >> 1, i + 1
+    return out
+
+
+@functools.cache
+def _zeros(power: int) -> list[int]:
+    """What 2 ** ``power`` zero bits do to a crc32, as a matrix."""
+    if power == 0:
+        return [0xEDB88320] + [1 << i for i in range(31)]
+    half = _zeros(power - 1)
+    return [_apply(half, x) for x in half]
+
+
 def combine_crc32(first: int, second: int, size: int) -> int:
     """crc32 of two byte strings joined, from theirs and the second's length: shift the first by ``size`` zero bytes."""
-    def apply(m, v):
-        out, i = 0, 0
-        while v:
-            if v & 1:
-                out ^= m[i]
-            v, i = v >> 1, i + 1
-        return out
-
-    step = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
-    for _ in range(3):
-        step = [apply(step, x) for x in step]  # one zero byte
-    while size:
-        if size & 1:
-            first = apply(step, first)
-        step, size = [apply(step, x) for x in step], size >> 1
+    for i in range(size.bit_length()):
+        if size >> i & 1:
+            first = _apply(_zeros(i + 3), first)
     return first ^ second
 
 
 def _joined_crc(batches):
     for batch in batches:
-        out = []
-        for segments in batch.column("segments").to_pylist():
-            crc = segments[0]["value"]
-            for s in segments[1:]:
-                crc = combine_crc32(crc, s["value"], 4 * s["size"])
-            out.append(crc)
+        segments = batch.column("segments")
+        places = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(segments), np.int64))])
+        sizes, values = (np.asarray(pc.struct_field(segments.flatten(), name)) for name in ("size", "value"))
+        out = values[places[:-1]]
+        for i in np.flatnonzero(np.diff(places) > 1).tolist():
+            crc = int(out[i])
+            for k in range(places[i] + 1, places[i + 1]):
+                crc = combine_crc32(crc, int(values[k]), 4 * int(sizes[k]))
+            out[i] = crc
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(out, pa.int64())],
                                          ["doc_id", "start", "n_tokens", "ids_crc32"])
 

@@ -83,6 +83,41 @@ def test_known_pieces_start_anew(monkeypatch):
     assert ids.astype('<u4').tobytes() == b''.join(table.whole(t) for t in [*texts, 'a\x1cb']) and n[-3:-1].tolist() == [0, 0]
 
 
+def test_pieces_of_texts_before_are_not_encoded_again():
+    table, sent = token_file.Pieces(TOKENIZER), []
+    library = table.whole
+    table.whole = lambda text: sent.append(text) or library(text)
+    first = pa.array(["好 Word, été", "Ω 好 word"])
+    ids = [table.encode_all(texts) for texts in (first, pa.array(["word 好", None, "Ω"]), first)]
+    assert sorted(sent) == ["Ω", "好"]
+    assert ids[0][0].tolist() == ids[2][0].tolist() and ids[1][1].tolist()[1] == 0
+
+
+def test_small_tables_change_no_ids(monkeypatch):
+    """Pieces that came once go, the rest stay, and when these are too many as well the table starts anew."""
+    monkeypatch.setattr(token_file, "KNOWN_BYTES", 3000)
+    monkeypatch.setattr(token_file, "PORTION", 3)
+    words = ["the", "The,", "don't", "好", "<|endoftext|>", "x9", "über", "a\u0301", "İ.", "²"] + [f"w{chr(97 + i)}{chr(98 + i % 5)};" for i in range(20)]
+    for room in (0, 400, 1500, 1 << 20):
+        monkeypatch.setattr(token_file, "PIECES_BYTES", room)
+        table = token_file.Pieces(TOKENIZER)
+        for i in range(60):
+            texts = [" ".join(rng.choice(words if j % 2 else words[:6]) for _ in range(rng.randint(0, 9))) for j in range(4)]
+            ids, n = table.encode_all(pa.array([*texts, None]))
+            want = [table.whole(t) for t in texts]
+            assert ids.astype("<u4").tobytes() == b"".join(want) and n.tolist() == [*(len(w) // 4 for w in want), 0]
+            assert len(table.known) == len(set(table.known.to_pylist())) == len(table.start) == len(table.size) == len(table.used)
+
+
+def test_documents_of_many_blocks(spark, word_tokenizer, tmp_path, monkeypatch):
+    """Segments of a document over many blocks, and blocks of many documents, join to the crc32 of all its ids."""
+    monkeypatch.setattr(token_file, "BLOCK", 70)
+    rows = [(i, " ".join(f"word{k % 7} x" for k in range(40 * (i % 5)))) for i in range(30)]
+    path = str(tmp_path / "tokens")
+    token_file.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, TOKENIZER)
+    assert sorted(tuple(r) for r in token_file.digests(spark, path).collect()) == [w[:4] for w in expected_files(rows, word_tokenizer)]
+
+
 def expected_files(rows, tokenizer, end=1):
     start = 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
