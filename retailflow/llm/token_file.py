@@ -58,6 +58,8 @@ def _lowered(category: str) -> str:
 
 #: The tokenizer's pattern, for lowered pieces of Latin script that a line end follows.
 SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^\n{0}{1}]+|\n".format(_lowered("L"), _lowered("N")))
+#: Halves of characters, which Python's strings can hold and no table's text can.
+SURROGATE = re.compile("[\ud800-\udfff]")
 #: What stands for the line end between ids.
 MARK = 0xFFFFFFFF
 #: Bytes as letters, as byte-level tokenizers write them: printable ones are themselves, the rest follow from 256 on.
@@ -126,6 +128,8 @@ class Pieces:
         self.start_anew()
 
     def whole(self, text: str) -> bytes:
+        if not text.isascii():
+            text = SURROGATE.sub("\ufffd", text)
         return _raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     # Words
@@ -222,7 +226,7 @@ class Pieces:
         return ids, ends[places[1:]] - ends[places[:-1]]
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all(pa.array([text], pa.string()))[0].astype("<u4").tobytes()
+        return self.encode_all(pa.array([SURROGATE.sub("\ufffd", text)], pa.string()))[0].astype("<u4").tobytes()
 
 
 @functools.cache

@@ -69,6 +69,12 @@ def test_awkward_pieces_encode_as_the_whole_text(text):
     assert table.encode(text) == table.whole(text)
 
 
+def test_halves_of_characters_are_replaced():
+    table = token_file.pieces(TOKENIZER)
+    for text in ("\ud800", "a\udfff b", "好\ud83d"):
+        assert table.encode(text) == table.whole(text) == table.whole(text.encode("utf-16", "surrogatepass").decode("utf-16", "replace"))
+
+
 def test_special_tokens_are_themselves(word_tokenizer):
     assert word_tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == np.frombuffer(token_file.pieces(TOKENIZER).encode("a <|endoftext|> b"), "<u4").tolist()
     assert len(token_file.pieces(TOKENIZER).encode("a <|endoftext|> b")) == 12
